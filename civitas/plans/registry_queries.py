@@ -1054,3 +1054,125 @@ def q_g8(spark, d):
     migrated = G.migrate_config(_config_docs(spark, d), _ENTRY, "math_dependencies",
                                 {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, [])
     return _explode_config(migrated)
+
+
+def conform(spark: SparkSession, df: DataFrame, ddl: str) -> DataFrame:
+    """Select ``df`` into the full table schema ``ddl`` (absent columns NULL)."""
+    schema = spark.createDataFrame([], ddl).schema
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+def _masked(orderkey: Column) -> Column:
+    return F.concat(F.lit("2912****"), F.right(F.lpad(orderkey.cast("string"), 9, "0"), F.lit(5)))
+
+
+@register("G4_school_discovery", """
+SELECT o_orderkey AS school_id,
+  CAST(c_nationkey AS VARCHAR) || right(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 5) AS udise_code,
+  CASE WHEN NOT (o_orderstatus='F' AND o_orderpriority='1-URGENT') THEN c_name END AS block_name,
+  CASE WHEN NOT (o_orderstatus='F' AND o_orderpriority='1-URGENT') THEN 'C-' || CAST(c_custkey AS VARCHAR) END
+    AS cluster_name,
+  CASE WHEN o_orderstatus='F' AND o_orderpriority='1-URGENT' THEN 'success'
+       WHEN o_orderstatus='O' THEN 'closed_registry' ELSE 'pending' END AS scrape_status,
+  CASE WHEN o_orderstatus='F' AND o_orderpriority='1-URGENT' THEN 11 END AS effective_year,
+  CASE o_orderstatus WHEN 'O' THEN 1 ELSE 0 END AS school_status,
+  CASE WHEN o_orderstatus='P' THEN 'Unknown' ELSE o_orderpriority END AS status_name
+FROM orders JOIN customer ON c_custkey=o_custkey""")
+def q_g4(spark, d):
+    from civitas.schemas import SCHOOLS
+    n, c, o = t(spark, d, "nation"), t(spark, d, "customer"), t(spark, d, "orders")
+    districts = (n.groupBy(F.col("n_regionkey").alias("state_id"))
+                 .agg(F.collect_list(F.struct(F.col("n_nationkey").alias("districtId"),
+                                              F.col("n_name").alias("districtName"))).alias("data"))
+                 .select("state_id", F.to_json(F.struct("data")).alias("body")))
+    blocks = (c.groupBy(F.col("c_nationkey").alias("district_id"), (F.col("c_custkey") / 100).cast("bigint"))
+              .agg(F.collect_list(F.struct(F.col("c_custkey").alias("blockId"),
+                                           F.col("c_name").alias("blockName"))).alias("data"))
+              .select("district_id", F.to_json(F.struct("data")).alias("body")))
+    clusters = c.select(F.col("c_custkey").alias("block_id"), F.to_json(F.struct(F.array(F.struct(
+        F.col("c_custkey").alias("clusterId"),
+        F.concat(F.lit("C-"), F.col("c_custkey").cast("string")).alias("clusterName"))).alias("data"))).alias("body"))
+    oc = o.join(c.select("c_custkey", "c_nationkey"), o["o_custkey"] == c["c_custkey"])
+    status = F.when(F.col("o_orderstatus") == "F", F.lit(0)).when(F.col("o_orderstatus") == "O", F.lit(1))
+    rec = F.struct(F.col("o_orderkey").alias("schoolId"), _masked(F.col("o_orderkey")).alias("udiseschCode"),
+                   F.col("o_orderpriority").alias("schoolName"), status.alias("schoolStatus"),
+                   F.col("o_orderpriority").alias("schoolStatusName"),
+                   F.col("c_nationkey").cast("string").alias("blockCd"), F.col("o_custkey").alias("blockId"),
+                   F.col("o_custkey").alias("clusterId"), F.lit("S").alias("stateName"))
+    # JSON drops null fields, so status P records have no schoolStatus / name at all
+    rec_json = F.when(F.col("o_orderstatus") == "P", F.to_json(rec.dropFields("schoolStatus", "schoolStatusName"))) \
+                .otherwise(F.to_json(rec))
+    pages = (oc.groupBy(F.col("o_custkey").alias("cluster_id"), (F.col("o_orderkey") / 50).cast("bigint").alias("page"))
+             .agg(F.collect_list(rec_json).alias("recs"))
+             .select("cluster_id", "page",
+                     F.concat(F.lit('{"data": {"content": ['), F.array_join("recs", ","), F.lit("]}}")).alias("body")))
+    urgent_f = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    target = conform(spark, o.filter(urgent_f).select(
+        F.col("o_orderkey").cast("int").alias("school_id"), F.lit(12).alias("year_id"),
+        _masked(F.col("o_orderkey")).alias("udise_code"), F.lit("success").alias("scrape_status"),
+        F.lit(11).alias("effective_year")), SCHOOLS)
+    schools = G.discovered_schools(districts, blocks, clusters, pages)
+    table, _ = G.school_discovery(target, schools)
+    return table.select(F.col("school_id"), "udise_code", "block_name", "cluster_name", "scrape_status",
+                        "effective_year", "school_status", "status_name")
+
+
+def _enrichment_inputs(spark, d):
+    from civitas.schemas import SCHOOLS
+    o = t(spark, d, "orders")
+    target = conform(spark, o.select(
+        F.col("o_orderkey").cast("int").alias("school_id"), F.lit(12).alias("year_id"),
+        _masked(F.col("o_orderkey")).alias("udise_code"), F.col("o_orderpriority").alias("state_name"),
+        F.lit("pending").alias("scrape_status"), F.lit(-1).alias("total_students"), F.lit(-1).alias("total_boys"),
+        F.lit(-1).alias("total_girls"), F.lit(-1).alias("total_teachers"), F.lit(False).alias("has_internet"),
+        F.lit(False).alias("has_library"), F.lit(False).alias("has_playground"),
+        F.lit(False).alias("has_electricity")), SCHOOLS)
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    ok = lambda data: F.to_json(F.struct(F.lit(True).alias("status"), data.alias("data")))
+    att = lambda ep, a, code, body: F.struct(F.lit(ep).alias("endpoint"), F.lit(a).alias("attempt"),
+                                              code.alias("http_status"), body.alias("body"))
+    none = F.lit(None).cast("string")
+    year_doc = ok(F.struct(F.lit(12).alias("yearId")))
+    resolved = st != "P"
+    entries = F.array(
+        att("by_year", 1, F.when(st == "F", 200).otherwise(404),
+            F.when((st == "F") & (pr == "2-HIGH"), F.lit('{"status": false}'))
+            .when(st == "F", year_doc).otherwise(none)),
+        att("by_year", 2, F.when(st == "F", 200).otherwise(404),
+            F.when(st == "F", ok(F.struct(F.lit(1).alias("unused")))).otherwise(none)),
+        att("probe", 1, F.when(st == "O", 200).otherwise(404), F.when(st == "O", ok(F.struct())).otherwise(none)),
+        att("report_card", 1, F.when(resolved, 200).otherwise(404), ok(F.struct(
+            (F.col("o_custkey") % 10).alias("totMale"), (F.col("o_orderkey") % 10).alias("totFemale")))),
+        att("facility_data", 1, F.when(resolved, 200).otherwise(404), ok(F.struct(
+            F.when(F.col("o_totalprice") > 100000, F.lit(1)).otherwise(F.lit(2)).alias("internetYn")))),
+        att("profile_data", 1, F.when(resolved & (pr != "5-LOW"), 200).otherwise(404),
+            ok(F.struct(F.col("o_custkey").alias("lgdwardId")))),
+    )
+    responses = (o.select(F.col("o_orderkey").cast("int").alias("school_id"), "o_orderstatus",
+                          F.explode(entries).alias("r"))
+                 # a school the registry has not got (status P) yields no fragment requests
+                 .filter((F.col("o_orderstatus") != "P") | F.col("r.endpoint").isin("by_year", "probe"))
+                 .select("school_id", "r.endpoint", "r.attempt", F.lit(0).cast("long").alias("seq"),
+                         "r.http_status", "r.body"))
+    return target, responses
+
+
+@register("G5_school_enrichment", """
+SELECT o_orderkey AS school_id,
+  CASE o_orderstatus WHEN 'F' THEN 12 WHEN 'O' THEN 11 END AS effective_year,
+  CASE o_orderstatus WHEN 'O' THEN 11 ELSE 12 END AS year_id,
+  CASE WHEN o_orderstatus='P' THEN 'missing_on_server' WHEN o_orderpriority<>'5-LOW' THEN 'success'
+       ELSE 'partial' END AS scrape_status,
+  CAST(CASE WHEN o_orderstatus='P' THEN -1 ELSE o_custkey%10 + o_orderkey%10 END AS INTEGER) AS total_teachers,
+  (o_orderstatus<>'P' AND o_totalprice>100000) AS has_internet,
+  CASE WHEN o_orderstatus<>'P' THEN '{"basic_info":200,"facility_data":200,"profile_data":' ||
+    CASE WHEN o_orderpriority<>'5-LOW' THEN '200' ELSE '404' END || ',"report_card":200}' END AS enrichment_manifest,
+  CASE WHEN o_orderstatus<>'P' AND o_orderpriority<>'5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS lgd_ward_id
+FROM orders""")
+def q_g5(spark, d):
+    target, responses = _enrichment_inputs(spark, d)
+    out = G.school_enrichment(target, responses, as_of=_ts(_T1))
+    return out.select("school_id", "effective_year", "year_id", "scrape_status", "total_teachers", "has_internet",
+                      "enrichment_manifest", "lgd_ward_id")
