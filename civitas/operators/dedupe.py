@@ -60,6 +60,10 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     null_key = F.lit(False)
     for c in k:
         null_key = null_key | F.col(c).isNull()
+    # A row with a NULL key part is its own group: its seq (unique, a total
+    # order) joins the grouping key, so one aggregation serves both cases
+    # and the input is computed once.
+    staged = df.withColumn("__solo", F.when(null_key, F.col(seq)))
     aggs: list[Column] = []
     if last_cols:
         aggs.append(F.max_by(F.struct(*last_cols), F.col(seq)).alias("__last"))
@@ -68,16 +72,14 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     for c in first_non_null_cols:
         aggs.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c))
     aggs.append(F.max(seq).alias(seq))
-    folded = df.filter(~null_key).groupBy(*k).agg(*aggs)
+    folded = staged.groupBy(*k, "__solo").agg(*aggs)
     out_cols = [F.col(c) for c in k]
     if last_cols:
         out_cols += [F.col(f"__last.{c}").alias(c) for c in last_cols]
     if first_cols:
         out_cols += [F.col(f"__first.{c}").alias(c) for c in first_cols]
     out_cols += [F.col(c) for c in first_non_null_cols] + [F.col(seq)]
-    folded = folded.select(*out_cols)
-    names = folded.columns
-    return folded.unionByName(df.filter(null_key).select(*names))
+    return folded.select(*out_cols)
 
 
 # Scrape statuses the enrichment work queues select.
