@@ -105,14 +105,26 @@ def resolve_effective_year(schools: DataFrame, primary: DataFrame, probe: DataFr
     p = primary.select(F.col(key), F.col("code").alias("__pcode"), F.col("year").alias("__pyear"))
     q = probe.select(F.col(key), F.col("code").alias("__qcode"))
     j = schools.join(p, on=key, how="left").join(q, on=key, how="left")
-    primary_ok = F.coalesce(F.col("__pcode") == 200, F.lit(False))
-    probe_ok = F.coalesce(F.col("__qcode") == 200, F.lit(False))
-    year = (F.when(primary_ok, F.coalesce(F.col("__pyear"), F.lit(current_year)))
+    year, missing = effective_year(F.col("__pcode"), F.coalesce(F.col("__pyear"), F.lit(current_year)),
+                                   F.col("__qcode"),
+                                   current_year, fallback_year)
+    return (j.withColumn("effective_year", year).withColumn("missing_on_server", missing)
+             .drop("__pcode", "__pyear", "__qcode"))
+
+
+def effective_year(primary_code: Column, primary_year: Column, probe_code: Column,
+                   current_year: int = 12, fallback_year: int = 11) -> tuple[Column, Column]:
+    """J5 as expressions on one row: ``(effective_year, missing_on_server)``.
+
+    A primary year that is explicitly NULL stays NULL (the caller decides
+    what that means); a missing one was already defaulted by P20.
+    """
+    primary_ok = F.coalesce(primary_code == 200, F.lit(False))
+    probe_ok = F.coalesce(probe_code == 200, F.lit(False))
+    year = (F.when(primary_ok, primary_year)
             .when(probe_ok, F.lit(fallback_year))
             .otherwise(F.lit(current_year)).cast("int"))
-    return (j.withColumn("effective_year", year)
-             .withColumn("missing_on_server", ~primary_ok & ~probe_ok)
-             .drop("__pcode", "__pyear", "__qcode"))
+    return year, ~primary_ok & ~probe_ok
 
 
 def lookup(df: DataFrame, col: str, value) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from civitas.functions.json import classify_response
@@ -54,6 +54,46 @@ def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempt
                         F.col("__first.__body").alias("body"))
 
 
+def resolve_attempts_wide(responses: DataFrame, key: str | Sequence[str], names: Sequence[str],
+                          name_col: str = "endpoint", max_attempts: int = 2, attempt_col: str = "attempt",
+                          status_col: str = "http_status", body_col: str = "body") -> DataFrame:
+    """A5 for a fixed list of endpoints in one pass: one row per key with
+    ``<name>_code`` and ``<name>_body`` per endpoint.
+
+    Same rules as :func:`resolve_attempts` (``outcome='valid'``, 503 stops);
+    ``<name>_code`` is NULL when the endpoint was never requested for the
+    key. One keyed aggregation (partial, map-side) instead of one per
+    endpoint, so a school's whole story moves through a single shuffle.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    r = responses.filter(F.col(attempt_col) <= F.lit(max_attempts))
+    cls = classify_response(status_col, body_col)
+    code = F.when(cls == F.lit("ok"), F.lit(200)).when(cls == F.lit("retry"), F.lit(503))
+    staged = r.select(*keys, F.col(name_col).alias("__name"), F.col(attempt_col).alias("__attempt"),
+                      code.alias("__code"), F.when(cls == F.lit("ok"), F.col(body_col)).alias("__body"))
+    aggs = []
+    for n in names:
+        mine = F.col("__name") == F.lit(n)
+        aggs.append(F.min_by(F.struct("__code", "__body"),
+                             F.when(mine & F.col("__code").isNotNull(), F.col("__attempt"))).alias(f"__r_{n}"))
+        aggs.append(F.max(mine).alias(f"__seen_{n}"))
+    wide = staged.filter(F.col("__name").isin(*names)).groupBy(*keys).agg(*aggs)
+    out = [F.col(k) for k in keys]
+    for n in names:
+        out.append(F.when(F.col(f"__seen_{n}"), F.coalesce(F.col(f"__r_{n}.__code"), F.lit(404)))
+                   .cast("int").alias(f"{n}_code"))
+        out.append(F.col(f"__r_{n}.__body").alias(f"{n}_body"))
+    return wide.select(*out)
+
+
+def manifest_of(entries: Sequence[tuple[str, Column]]) -> Column:
+    """A4 on one row: JSON object name -> code of the entries whose code is
+    not NULL, keys in the given order (pass them sorted)."""
+    arr = F.array(*[F.struct(F.lit(n).alias("k"), c.cast("int").alias("v")) for n, c in entries])
+    kept = F.filter(arr, lambda e: e["v"].isNotNull())
+    return F.when(F.size(kept) > 0, F.to_json(F.map_from_entries(kept)))
+
+
 def assemble_fragments(docs: DataFrame, key: str | Sequence[str], names: Sequence[str],
                        name_col: str = "endpoint", doc_col: str = "body", seq_col: str = "seq",
                        columns: dict[str, str] | None = None) -> DataFrame:

@@ -18,8 +18,8 @@ from civitas.functions.json import initial_status, json_map_set, json_or, truthy
 from civitas.operators.audit import fits
 from civitas.operators.dedupe import fold_batch
 from civitas.operators.ids import assign_ids
-from civitas.operators.joins import expand_hierarchy, resolve_effective_year
-from civitas.operators.responses import assemble_fragments, build_manifest, resolve_attempts
+from civitas.operators.joins import effective_year, expand_hierarchy
+from civitas.operators.responses import manifest_of, resolve_attempts_wide
 from civitas.operators.upsert import KEEP, OVERWRITE, custom, insert_absent, split_rejects, stamp, sticky, upsert
 from civitas.plans.summary import extract_summary
 from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER
@@ -279,34 +279,23 @@ def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
     Only schools present in ``responses`` change.
     """
     now = _as_of(as_of)
-    resolved = resolve_attempts(responses, ["school_id", "endpoint"], max_attempts=max_attempts)
-    primary = (resolved.filter(F.col("endpoint") == PRIMARY_ENDPOINT)
-               .withColumn("year", json_or(variant("body"), "$.data.yearId", CURRENT_YEAR_ID)))
-    probe = resolved.filter(F.col("endpoint") == PROBE_ENDPOINT)
-    ids = responses.select("school_id").distinct()
-    years = resolve_effective_year(ids, primary.select("school_id", "code", "year"),
-                                   probe.select("school_id", "code"), "school_id",
-                                   CURRENT_YEAR_ID, FALLBACK_YEAR_ID)
-    frag = resolved.filter(F.col("endpoint").isin(*FRAGMENT_ENDPOINTS))
-    ok_docs = frag.filter(F.col("code") == 200).select("school_id", "endpoint", "body",
-                                                       F.lit(0).alias("seq"))
-    basic = primary.select("school_id", F.lit("basic_info").alias("endpoint"),
-                           F.when(F.col("code") == 200, F.col("body")).otherwise(F.lit("{}")).alias("body"),
-                           F.lit(0).alias("seq"))
-    names = ["basic_info", *FRAGMENT_ENDPOINTS]
-    docs = assemble_fragments(ok_docs.unionByName(basic), "school_id", names,
-                              columns={n: f"__doc_{FRAGMENT_COLUMNS[n]}" for n in names})
-    codes = frag.select("school_id", "endpoint", "code").unionByName(
-        ids.select("school_id", F.lit("basic_info").alias("endpoint"), F.lit(200).alias("code")))
-    manifest = build_manifest(codes, "school_id")
-    codes_wide = (frag.groupBy("school_id").pivot("endpoint", ["profile_data", "report_card"])
-                  .agg(F.max("code")).select("school_id", F.col("profile_data").alias("__c_profile"),
-                                             F.col("report_card").alias("__c_report")))
-    years = years.select("school_id", F.col("effective_year").alias("__eff"),
-                         F.col("missing_on_server").alias("__missing"))
-    changes = (years.join(docs, "school_id", "left")
-               .join(manifest.withColumnRenamed("manifest", "__manifest"), "school_id", "left")
-               .join(codes_wide, "school_id", "left").withColumn("__hit", F.lit(True)))
+    names = [PRIMARY_ENDPOINT, PROBE_ENDPOINT, *FRAGMENT_ENDPOINTS]
+    # One keyed aggregation resolves every endpoint of a school (A5); year,
+    # documents and manifest are then expressions on that one row.
+    w = resolve_attempts_wide(responses, "school_id", names, max_attempts=max_attempts)
+    p_code, q_code = F.col(f"{PRIMARY_ENDPOINT}_code"), F.col(f"{PROBE_ENDPOINT}_code")
+    p_year = json_or(variant(f"{PRIMARY_ENDPOINT}_body"), "$.data.yearId", CURRENT_YEAR_ID)
+    eff, missing_flag = effective_year(p_code, p_year, q_code, CURRENT_YEAR_ID, FALLBACK_YEAR_ID)
+    docs = {"basic_info": F.when(p_code == 200, F.col(f"{PRIMARY_ENDPOINT}_body")).otherwise(F.lit("{}"))}
+    for ep in FRAGMENT_ENDPOINTS:
+        docs[ep] = F.when(F.col(f"{ep}_code") == 200, F.col(f"{ep}_body"))
+    entries = sorted([("basic_info", F.lit(200))] + [(ep, F.col(f"{ep}_code")) for ep in FRAGMENT_ENDPOINTS])
+    changes = w.select(
+        "school_id", eff.alias("__eff"), missing_flag.alias("__missing"),
+        *[d.alias(f"__doc_{FRAGMENT_COLUMNS[n]}") for n, d in docs.items()],
+        manifest_of(entries).alias("__manifest"),
+        F.col("profile_data_code").alias("__c_profile"), F.col("report_card_code").alias("__c_report"),
+        F.lit(True).alias("__hit"))
     j = target.join(changes, "school_id", "left")
     hit = F.col("__hit").isNotNull()
     missing = hit & F.col("__missing")
