@@ -1176,3 +1176,18 @@ def q_g5(spark, d):
     out = G.school_enrichment(target, responses, as_of=_ts(_T1))
     return out.select("school_id", "effective_year", "year_id", "scrape_status", "total_teachers", "has_internet",
                       "enrichment_manifest", "lgd_ward_id")
+
+
+@register("G9_run_loads", _AMENITIES_SQL)
+def q_g9(spark, d):
+    from civitas.sources.csv import write_csv
+    raw = _amenities_raw(spark, d)
+    base = scratch_path(spark, "g9")
+    write_csv(raw, f"{base}/landing")
+    steps = {
+        "amenities": lambda s, path: G.amenities_load(s, path, raw.columns, f"{base}/raw"),
+        "district_stats": lambda s, path: s.read.csv(path),
+    }
+    out = G.run_loads(spark, steps, {"amenities": f"{base}/landing", "district_stats": f"{base}/absent.zip"})
+    assert str(out["district_stats"]).startswith("skipped"), out["district_stats"]
+    return out["amenities"]
