@@ -177,10 +177,15 @@ def truthy_text(v: Column, path: str) -> Column:
 
 
 def classify_response(http_status: ColumnOrName, body: ColumnOrName) -> Column:
-    """503 -> 'retry'; 200 whose JSON ``status`` is boolean true -> 'ok'; else 'bad'."""
-    st = vget(variant(body), "$.status")
-    ok = F.coalesce((F.schema_of_variant(st) == F.lit("BOOLEAN"))
-                    & F.try_variant_get(st, "$", "boolean"), F.lit(False))
+    """503 -> 'retry'; 200 whose JSON ``status`` is boolean true -> 'ok'; else 'bad'.
+
+    ``from_json`` into ``struct<status: boolean>`` reads only that field and
+    accepts only a JSON ``true``/``false`` token for it: the string
+    ``"true"``, a number, an array document or invalid text all give NULL,
+    and a repeated key keeps the last value, as the source's parser does.
+    """
+    st = F.from_json(_c(body), "struct<status: boolean>").getField("status")
+    ok = F.coalesce(st, F.lit(False))
     code = _c(http_status)
     return (F.when(code == F.lit(503), F.lit("retry"))
             .when((code == F.lit(200)) & ok, F.lit("ok"))

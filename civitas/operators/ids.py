@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def assign_ids(df: DataFrame, existing: DataFrame | None, id_col: str,
-               order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+               order: Sequence[str], num_partitions: int | None = None,
+               existing_col: str | None = None) -> DataFrame:
     """A2: dense ids ``max(existing.id) + 1, + 2, ...`` in ``order``.
 
     No single-partition window over the data: rows are range-partitioned and
@@ -32,7 +33,7 @@ def assign_ids(df: DataFrame, existing: DataFrame | None, id_col: str,
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
     # One scalar (the current maximum id) is read back; no data rows are.
-    top = existing.agg(F.max(id_col)).first()[0] if existing is not None else None
+    top = existing.agg(F.max(existing_col or id_col)).first()[0] if existing is not None else None
     base: Column = F.lit(int(top) if top is not None else 0).cast("bigint")
     out = ordered.join(F.broadcast(offsets), on="__pid", how="inner")
     return (out.withColumn(id_col, (base + F.col("__off") + local + F.lit(1)).cast("bigint"))

@@ -77,10 +77,23 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     rules = {c: OVERWRITE for c in ("village_name", "subdistrict_name", "district_name", "state_name", "pincode")}
     rules["last_updated"] = stamp(as_of_col)
     merged = upsert(target, good.withColumn("last_updated", as_of_col), "village_code", rules, seq="seq")
-    with_id = merged.filter(F.col("id").isNotNull())
-    new = merged.filter(F.col("id").isNull()).drop("id")
-    numbered = assign_ids(new, target, "id", ["village_code"]).select(*target.columns)
-    return with_id.unionByName(numbered), rejects
+    return number_new_rows(merged, target, good, "village_code", "id"), rejects
+
+
+def number_new_rows(merged: DataFrame, target: DataFrame, batch: DataFrame, key: str, id_col: str) -> DataFrame:
+    """Give rows the upsert inserted a surrogate id after ``MAX(id)`` (SERIAL).
+
+    Only the new keys (batch keys absent from the target's key column) are
+    numbered, so the sort and checkpoint behind the dense numbering are
+    batch-sized; the ids reach the table through one join on the key the
+    upsert already partitioned by.
+    """
+    new_keys = (batch.select(key).filter(F.col(key).isNotNull()).distinct()
+                .join(target.select(key), key, "left_anti"))
+    numbered = assign_ids(new_keys, target, f"__new_{id_col}", [key], existing_col=id_col)
+    out = merged.join(numbered, key, "left")
+    return out.withColumn(id_col, F.coalesce(F.col(id_col), F.col(f"__new_{id_col}")).cast(
+        dict(target.dtypes)[id_col])).select(*target.columns)
 
 
 def sync_status_row(spark: SparkSession, job: str, offset: DataFrame, consumed: DataFrame, as_of=None) -> DataFrame:
@@ -306,10 +319,10 @@ def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
                                    .otherwise(F.col(col)))
     for col in SUMMARY_COLUMNS:
         merged = merged.withColumnRenamed(col, f"__old_{col}")
-    merged = extract_summary(merged)
+    merged = extract_summary(merged, only_when=done)
     # A document with "data": null (or a null year) stops the school after
     # its fragments, manifest and year were stored, before the summary.
-    ok = done & ~F.col("summary_error") & F.col("__eff").isNotNull()
+    ok = done & ~F.coalesce(F.col("summary_error"), F.lit(False)) & F.col("__eff").isNotNull()
     for col in SUMMARY_COLUMNS:
         merged = merged.withColumn(col, F.when(ok, F.col(col)).otherwise(F.col(f"__old_{col}")))
     merged = (merged
@@ -341,13 +354,9 @@ def seed_reference(target: DataFrame, seeds: DataFrame, key: str = "name", id_co
     s = seeds
     if "created_at" in target.columns and "created_at" not in s.columns:
         s = s.withColumn("created_at", _as_of(as_of))
-    before = target.select(key)
-    grown = insert_absent(target, s.select(*[c for c in s.columns if c in target.columns or c == seq]),
-                          [key], seq=seq if seq in s.columns else None)
-    old = grown.join(before, key, "left_semi")
-    new = grown.join(before, key, "left_anti").drop(id_col)
-    numbered = assign_ids(new, target, id_col, [key]).select(*target.columns)
-    return old.unionByName(numbered)
+    rows = s.select(*[c for c in s.columns if c in target.columns or c == seq])
+    grown = insert_absent(target, rows, [key], seq=seq if seq in s.columns else None)
+    return number_new_rows(grown, target, rows, key, id_col)
 
 
 # ------------------------------------------------------ G8 config migration

@@ -29,12 +29,22 @@ def _int_or(v: Column, path: str, sentinel: int = -1) -> Column:
 
 
 def extract_summary(df: DataFrame, social: str = "enrollment_social", report: str = "report_card",
-                    facility: str = "facility_data", profile: str = "profile_data") -> DataFrame:
+                    facility: str = "facility_data", profile: str = "profile_data",
+                    only_when: Column | None = None) -> DataFrame:
     """Add the 12 summary columns and ``summary_error`` (a document whose
-    ``data`` is null, which the row-at-a-time extractor could not read)."""
+    ``data`` is null, which the row-at-a-time extractor could not read).
+
+    ``only_when`` limits the parsing to the rows that need a new summary
+    (e.g. the schools of this enrichment batch inside the whole table);
+    other rows get NULL summary columns and must keep their stored values.
+    """
+    def parse(c: str) -> Column:
+        v = variant(c)
+        return v if only_when is None else F.when(only_when, v)
+
     # Parse each document once into its own column; every field below reads it.
-    df = (df.withColumn("__vs", variant(social)).withColumn("__vr", variant(report))
-            .withColumn("__vf", variant(facility)).withColumn("__vp", variant(profile)))
+    df = (df.withColumn("__vs", parse(social)).withColumn("__vr", parse(report))
+            .withColumn("__vf", parse(facility)).withColumn("__vp", parse(profile)))
     s, r, f, p = F.col("__vs"), F.col("__vr"), F.col("__vf"), F.col("__vp")
     sp, rp, fp, pp = _present(s), _present(r), _present(f), _present(p)
     base = "$.data.schEnrollmentYearDataTotal"
