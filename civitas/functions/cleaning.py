@@ -78,7 +78,9 @@ def clean_int(col: ColumnOrName) -> Column:
     beyond BIGINT reads as 0 here; range checks against the target type are
     the job of :func:`civitas.operators.audit.audit_fits`.
     """
-    s = F.regexp_replace(_c(col).cast("string"), r"(?<=\d)_(?=\d)", "")
+    raw = _c(col).cast("string")
+    # the lookbehind regex is costly: only text holding '_' needs it
+    s = F.when(raw.contains("_"), F.regexp_replace(raw, r"(?<=\d)_(?=\d)", "")).otherwise(raw)
     numeric = s.rlike(NUMERIC_TEXT)
     as_long = s.try_cast("double").try_cast("bigint")
     return F.coalesce(F.when(numeric, as_long), F.lit(0).cast("bigint"))

@@ -112,3 +112,51 @@ def ensure_column(df: DataFrame, name: str, dtype: str, default=None) -> DataFra
         return df
     value = default if isinstance(default, Column) else F.lit(default)
     return df.withColumn(name, value.cast(dtype))
+
+
+# ------------------------------------------------------- bucketed merge
+
+BUCKET_COL = "_bucket"
+
+
+def bucket_of(keys: list[str], num_buckets: int) -> Column:
+    """Stable bucket of a key: ``pmod(xxhash64(keys), num_buckets)``."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
+
+
+def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str],
+                       rules: dict, schema: T.StructType, seq: str | None = None,
+                       num_buckets: int = 256) -> list[int]:
+    """Upsert ``batch`` into a Parquet table partitioned by key bucket,
+    rewriting only the buckets the batch touches.
+
+    The touched bucket ids (at most ``num_buckets`` small ints) are read
+    back to prune the target scan to those partitions; the merged buckets
+    are checkpointed to the shared checkpoint folder (cutting the lineage
+    to the files about to be replaced) and written with dynamic partition
+    overwrite, so untouched buckets are never read or rewritten. The upsert
+    rules are idempotent, so a replayed batch (after a failure) converges
+    to the same table. Returns the touched bucket ids.
+    """
+    from civitas.operators.upsert import KEEP, upsert
+    keys = [key] if isinstance(key, str) else list(key)
+    b = batch.withColumn(BUCKET_COL, bucket_of(keys, num_buckets))
+    touched = sorted(r[0] for r in b.select(BUCKET_COL).distinct().collect())
+    if not touched:
+        return []
+    full = T.StructType([*schema.fields, T.StructField(BUCKET_COL, T.IntegerType())])
+    fs, p, jvm = _fs(spark, path)
+    if fs.exists(p):
+        current = spark.read.schema(full).parquet(path).filter(F.col(BUCKET_COL).isin(touched))
+    else:
+        current = spark.createDataFrame([], full)
+    merged = upsert(current, b, keys, {**rules, BUCKET_COL: KEEP}, seq=seq)
+    merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET_COL).parquet(path))
+    return touched
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """A bucketed table without its bucket column."""
+    return spark.read.parquet(path).drop(BUCKET_COL)

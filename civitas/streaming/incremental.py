@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civitas.operators.upsert import Rule, upsert
-from civitas.sources.tables import read_as_of, write_version
+from civitas.sources.tables import merge_into_buckets, read_as_of, write_version
 
 
 def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.StructType | str,
@@ -28,12 +28,19 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
                        key: str | list[str], rules: Mapping[str, Rule], seq: str,
                        prepare: Callable[[DataFrame], DataFrame] | None = None,
                        status_path: str | None = None, job: str = "incremental",
-                       fmt: str = "json", max_files_per_trigger: int | None = None) -> None:
+                       fmt: str = "json", max_files_per_trigger: int | None = None,
+                       num_buckets: int | None = None) -> None:
     """Drain ``landing`` into the versioned table at ``target``.
 
     ``prepare`` turns landed rows into batch rows (e.g. explode pages);
     it must produce the key, the rule columns and ``seq``. Runs until all
     landed files are consumed, then returns.
+
+    With ``num_buckets`` the target is one Parquet table partitioned by key
+    bucket and each micro-batch rewrites only the buckets it touches
+    (:func:`civitas.sources.tables.merge_into_buckets`) -- the mode for a
+    large table fed small batches. Without it every batch writes a full new
+    version named after the batch id.
     """
     schema = landing_schema if isinstance(landing_schema, T.StructType) else \
         T._parse_datatype_string(landing_schema)
@@ -46,11 +53,14 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        # Read the version this batch builds on (not the newest): a replayed
-        # batch then recomputes exactly the same result.
-        current = read_as_of(spark, target, batch_id, tschema)
-        merged = upsert(current, rows, key, rules, seq=seq)
-        write_version(merged, target, version=batch_id + 1)
+        if num_buckets:
+            merge_into_buckets(spark, target, rows, key, dict(rules), tschema, seq=seq, num_buckets=num_buckets)
+        else:
+            # Read the version this batch builds on (not the newest): a
+            # replayed batch then recomputes exactly the same result.
+            current = read_as_of(spark, target, batch_id, tschema)
+            merged = upsert(current, rows, key, rules, seq=seq)
+            write_version(merged, target, version=batch_id + 1)
         if status_path:
             consumed = rows.agg(F.count(F.lit(1)).cast("int").alias("n"))
             prev = read_as_of(spark, status_path, batch_id, T.StructType([

@@ -114,3 +114,30 @@ def test_incremental_stream_equals_batch_and_resumes(spark, scratch):
     assert final == [(1, "c"), (2, "e"), (3, "d")]
     status = T.read_latest(spark, f"{scratch}/status").first()
     assert status["job_name"] == "j" and status["last_offset"] == 5
+
+
+def test_merge_into_buckets_rewrites_only_touched(spark, scratch):
+    import glob
+    from pyspark.sql import types as TT
+    path = f"{scratch}/bucketed"
+    schema = TT.StructType([TT.StructField("k", TT.LongType()), TT.StructField("v", TT.StringType())])
+    rules = {"v": U.OVERWRITE}
+    first = spark.createDataFrame([(i, "a") for i in range(200)], schema)
+    touched_all = T.merge_into_buckets(spark, path, first, "k", rules, schema, num_buckets=16)
+    assert len(touched_all) == 16
+
+    def mtimes():
+        return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/_bucket=*/*.parquet")}
+
+    before = mtimes()
+    batch = spark.createDataFrame([(7, "b", 1), (7, "c", 2), (1000, "n", 3)], "k long, v string, seq int")
+    touched = T.merge_into_buckets(spark, path, batch, "k", rules, schema, seq="seq", num_buckets=16)
+    assert 1 <= len(touched) <= 2
+    after = mtimes()
+    untouched = [f for f in before if not any(f"_bucket={b}/" in f for b in touched)]
+    assert untouched and all(after.get(f) == before[f] for f in untouched)
+    table = {r["k"]: r["v"] for r in T.read_buckets(spark, path).collect()}
+    assert len(table) == 201 and table[7] == "c" and table[1000] == "n" and table[8] == "a"
+    T.merge_into_buckets(spark, path, batch, "k", rules, schema, seq="seq", num_buckets=16)  # replay
+    again = {r["k"]: r["v"] for r in T.read_buckets(spark, path).collect()}
+    assert again == table
