@@ -64,22 +64,16 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     # order) joins the grouping key, so one aggregation serves both cases
     # and the input is computed once.
     staged = df.withColumn("__solo", F.when(null_key, F.col(seq)))
+    # One aggregate per column over the same (unique) seq picks every value
+    # from the same row; per-column buffers stay fixed-width for numeric
+    # columns, which lets Spark use a hash aggregate instead of a sort.
     aggs: list[Column] = []
-    if last_cols:
-        aggs.append(F.max_by(F.struct(*last_cols), F.col(seq)).alias("__last"))
-    if first_cols:
-        aggs.append(F.min_by(F.struct(*first_cols), F.col(seq)).alias("__first"))
-    for c in first_non_null_cols:
-        aggs.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c))
+    aggs += [F.max_by(F.col(c), F.col(seq)).alias(c) for c in last_cols]
+    aggs += [F.min_by(F.col(c), F.col(seq)).alias(c) for c in first_cols]
+    aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in first_non_null_cols]
     aggs.append(F.max(seq).alias(seq))
     folded = staged.groupBy(*k, "__solo").agg(*aggs)
-    out_cols = [F.col(c) for c in k]
-    if last_cols:
-        out_cols += [F.col(f"__last.{c}").alias(c) for c in last_cols]
-    if first_cols:
-        out_cols += [F.col(f"__first.{c}").alias(c) for c in first_cols]
-    out_cols += [F.col(c) for c in first_non_null_cols] + [F.col(seq)]
-    return folded.select(*out_cols)
+    return folded.select(*k, *last_cols, *first_cols, *first_non_null_cols, seq)
 
 
 # Scrape statuses the enrichment work queues select.
