@@ -212,6 +212,20 @@ def json_map_set(doc: ColumnOrName, entry_schema: str, field: str,
     return F.to_json(updated)
 
 
+def unknown_entry_fields(doc: ColumnOrName, entry_schema: str) -> Column:
+    """Keys used inside the entries of a JSON object of objects that
+    ``entry_schema`` does not name (distinct, sorted). A rewrite through
+    :func:`json_map_set` would drop them, so callers route such rows aside.
+    """
+    from pyspark.sql.types import StructType, _parse_datatype_string
+    known = [f.name for f in _parse_datatype_string(entry_schema).fields] \
+        if isinstance(entry_schema, str) else [f.name for f in StructType(entry_schema).fields]
+    raw = F.from_json(_c(doc), "map<string, string>")
+    keys = F.flatten(F.transform(F.map_values(raw), lambda e: F.coalesce(F.json_object_keys(e),
+                                                                         F.array().cast("array<string>"))))
+    return F.array_sort(F.array_distinct(F.array_except(keys, F.array(*[F.lit(k) for k in known]))))
+
+
 def profile_fields(doc: ColumnOrName, fields: dict[str, str], root: str = "data") -> Column:
     """Optional nested values passed through as text (one parse)."""
     parsed = json_struct(doc, [f"{root}.{src}" for src in fields.values()])

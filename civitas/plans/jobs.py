@@ -365,9 +365,16 @@ def migrate_config(blueprints: DataFrame, entry_schema: str, field: str = "math_
                    value_by_key: Mapping[str, list[str]] | None = None,
                    default: Sequence[str] = (), config_col: str = "sections_config",
                    where: Column | None = None) -> DataFrame:
-    """G8 (U7 + P19): rewrite one field in every section of the default blueprint(s)."""
+    """G8 (U7 + P19): rewrite one field in every section of the default blueprint(s).
+
+    A row whose sections hold a field ``entry_schema`` does not name is left
+    unchanged (rewriting it would drop that field); find such rows with
+    :func:`civitas.functions.json.unknown_entry_fields`.
+    """
+    from civitas.functions.json import unknown_entry_fields
     from civitas.operators.upsert import update_where
     cond = where if where is not None else F.coalesce(F.col("is_default"), F.lit(False))
+    cond = cond & (F.size(unknown_entry_fields(config_col, entry_schema)) == 0)
     new = json_map_set(config_col, entry_schema, field, dict(value_by_key or {}), list(default))
     return update_where(blueprints, cond, {config_col: new})
 

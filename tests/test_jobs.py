@@ -162,3 +162,10 @@ def test_seed_and_migrate(spark):
     assert out[1] == {"A": {"model": "m", "math_dependencies": []},
                       "COSTS_BUDGETS": {"model": "n", "math_dependencies": ["SOLUTION_DESIGN", "BENEFICIARIES"]}}
     assert out[2] == json.loads(cfg)
+    odd = json.dumps({"A": {"model": "m", "prompt_method": "p"}})
+    bp2 = spark.createDataFrame([(3, True, odd)], "id int, is_default boolean, sections_config string")
+    from civitas.functions.json import unknown_entry_fields
+    schema = "struct<model: string, math_dependencies: array<string>>"
+    assert bp2.select(unknown_entry_fields("sections_config", schema)).first()[0] == ["prompt_method"]
+    kept = G.migrate_config(bp2, schema, "math_dependencies", {}, []).first()["sections_config"]
+    assert json.loads(kept) == json.loads(odd)              # not rewritten: nothing is lost
