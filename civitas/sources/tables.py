@@ -94,13 +94,24 @@ def rotate_table(spark: SparkSession, base: str, backup_base: str,
                  new_schema: T.StructType) -> str:
     """Keep the current table as a backup, start a fresh empty one.
 
-    The newest version is copied to ``backup_base`` (as its first version)
-    and an empty version with ``new_schema`` is written on top of ``base``.
+    An empty version with ``new_schema`` is written on top of ``base``
+    first (readers switch to it at once), then the previous newest version
+    folder is renamed into ``backup_base`` as its next version -- a metadata
+    operation on HDFS-like stores, not a copy of the data. Where the store
+    cannot rename, the data is copied instead.
     """
-    cur = latest_version_path(spark, base)
-    if cur is not None:
-        write_version(spark.read.parquet(cur), backup_base)
-    return write_version(spark.createDataFrame([], new_schema), base)
+    cur = list_versions(spark, base)
+    fresh = write_version(spark.createDataFrame([], new_schema), base)
+    if cur:
+        src = version_path(base, cur[-1])
+        backups = list_versions(spark, backup_base)
+        dst = version_path(backup_base, (backups[-1] + 1) if backups else 1)
+        fs, _, jvm = _fs(spark, src)
+        Path = jvm.org.apache.hadoop.fs.Path
+        fs.mkdirs(Path(backup_base))
+        if not fs.rename(Path(src), Path(dst)):
+            spark.read.parquet(src).write.mode("overwrite").parquet(dst)
+    return fresh
 
 
 def ensure_column(df: DataFrame, name: str, dtype: str, default=None) -> DataFrame:
@@ -124,24 +135,21 @@ def bucket_of(keys: list[str], num_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
 
-def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str],
-                       rules: dict, schema: T.StructType, seq: str | None = None,
-                       num_buckets: int = 256) -> list[int]:
-    """Upsert ``batch`` into a Parquet table partitioned by key bucket,
-    rewriting only the buckets the batch touches.
-
-    The touched bucket ids (at most ``num_buckets`` small ints) are read
-    back to prune the target scan to those partitions; the merged buckets
-    are checkpointed to the shared checkpoint folder (cutting the lineage
-    to the files about to be replaced) and written with dynamic partition
-    overwrite, so untouched buckets are never read or rewritten. The upsert
-    rules are idempotent, so a replayed batch (after a failure) converges
-    to the same table. Returns the touched bucket ids.
+def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, key: str | list[str],
+                     fn, schema: T.StructType, num_buckets: int = 256) -> list[int]:
+    """Rewrite only the key buckets that ``touched_keys`` hit, as ``fn(current)``.
+
+    ``fn`` receives the rows of the touched buckets (with the bucket column)
+    and returns the new rows for exactly those buckets (same columns). The
+    touched bucket ids (at most ``num_buckets`` small ints) are read back to
+    prune the scan; the result is checkpointed to the shared checkpoint
+    folder (cutting the lineage to the files about to be replaced) and
+    written with dynamic partition overwrite, so untouched buckets are
+    never read or rewritten. Returns the touched bucket ids.
     """
-    from civitas.operators.upsert import KEEP, upsert
     keys = [key] if isinstance(key, str) else list(key)
-    b = batch.withColumn(BUCKET_COL, bucket_of(keys, num_buckets))
-    touched = sorted(r[0] for r in b.select(BUCKET_COL).distinct().collect())
+    touched = sorted(r[0] for r in touched_keys.select(bucket_of(keys, num_buckets).alias("b"))
+                     .distinct().collect())
     if not touched:
         return []
     full = T.StructType([*schema.fields, T.StructField(BUCKET_COL, T.IntegerType())])
@@ -150,13 +158,27 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: st
         current = spark.read.schema(full).parquet(path).filter(F.col(BUCKET_COL).isin(touched))
     else:
         current = spark.createDataFrame([], full)
-    merged = upsert(current, b, keys, {**rules, BUCKET_COL: KEEP}, seq=seq)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    result = fn(current).checkpoint(eager=True)
+    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
     return touched
 
 
+def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str],
+                       rules: dict, schema: T.StructType, seq: str | None = None,
+                       num_buckets: int = 256) -> list[int]:
+    """Upsert ``batch`` into a Parquet table partitioned by key bucket,
+    rewriting only the buckets the batch touches (see :func:`apply_to_buckets`).
+    The upsert rules are idempotent, so a replayed batch (after a failure)
+    converges to the same table."""
+    from civitas.operators.upsert import KEEP, upsert
+    keys = [key] if isinstance(key, str) else list(key)
+    b = batch.withColumn(BUCKET_COL, bucket_of(keys, num_buckets))
+    return apply_to_buckets(spark, path, batch, keys,
+                            lambda current: upsert(current, b, keys, {**rules, BUCKET_COL: KEEP}, seq=seq),
+                            schema, num_buckets)
+
+
 def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     """A bucketed table without its bucket column."""
     return spark.read.parquet(path).drop(BUCKET_COL)

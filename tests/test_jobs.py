@@ -169,3 +169,25 @@ def test_seed_and_migrate(spark):
     assert bp2.select(unknown_entry_fields("sections_config", schema)).first()[0] == ["prompt_method"]
     kept = G.migrate_config(bp2, schema, "math_dependencies", {}, []).first()["sections_config"]
     assert json.loads(kept) == json.loads(odd)              # not rewritten: nothing is lost
+
+
+def test_enrichment_on_touched_buckets_only(spark, scratch):
+    from civitas.sources import tables as T
+    schema = spark.createDataFrame([], SCHOOLS).schema
+    base = conform(spark, spark.range(1, 41).selectExpr(
+        "cast(id as int) as school_id", "12 as year_id", "concat('c', id) as udise_code",
+        "'pending' as scrape_status", "-1 as total_teachers", "false as has_internet"), SCHOOLS)
+    path = f"{scratch}/schools"
+    T.apply_to_buckets(spark, path, base, "school_id", lambda cur: base.withColumn(
+        T.BUCKET_COL, T.bucket_of(["school_id"], 8)), schema, num_buckets=8)
+    responses = spark.createDataFrame([_resp(3, "by_year", 1, 404, None), _resp(3, "probe", 1, 404, None)],
+                                      "school_id int, endpoint string, attempt int, seq long, http_status int, "
+                                      "body string")
+    touched = T.apply_to_buckets(
+        spark, path, responses, "school_id",
+        lambda cur: G.school_enrichment(cur.drop(T.BUCKET_COL), responses, as_of=ts())
+        .withColumn(T.BUCKET_COL, T.bucket_of(["school_id"], 8)), schema, num_buckets=8)
+    assert len(touched) == 1
+    table = {r["school_id"]: r["scrape_status"] for r in T.read_buckets(spark, path).collect()}
+    assert len(table) == 40 and table[3] == "missing_on_server"
+    assert sum(1 for v in table.values() if v == "pending") == 39
