@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civitas.functions.cleaning import composite_key
-from civitas.functions.json import json_struct, text_flag
+from civitas.functions.json import json_struct, text_flag, text_to_int
 from civitas.operators.dedupe import distinct_on
 from civitas.operators.joins import enrich_left
 
 
 def _facility(df: DataFrame, ints: dict[str, str], flags: dict[str, str],
-              texts: dict[str, str] | None = None, doc: str = "facility_data"):
+              texts: dict[str, str] | None = None, doc: str = "facility_data", on_bad: str = "fail"):
     """Columns for JSON fields under ``data``: integers, ``= 1`` flags, raw texts."""
     texts = texts or {}
     keys = list(dict.fromkeys([*ints.values(), *flags.values(), *texts.values()]))
@@ -27,9 +27,9 @@ def _facility(df: DataFrame, ints: dict[str, str], flags: dict[str, str],
     for out, k in texts.items():
         cols[out] = parsed.getField(k)
     for out, k in ints.items():
-        cols[out] = parsed.getField(k).cast("int")
+        cols[out] = text_to_int(parsed.getField(k), on_bad)
     for out, k in flags.items():
-        cols[out] = text_flag(parsed.getField(k))
+        cols[out] = text_flag(parsed.getField(k), on_bad)
     return cols
 
 
@@ -41,51 +41,56 @@ def view_student_population(schools: DataFrame) -> DataFrame:
         F.col("cluster_name").alias("cluster"), "total_students", "total_boys", "total_girls", "year_id")
 
 
-def view_campus_assets(schools: DataFrame) -> DataFrame:
-    """V2: building, boundary and campus flags."""
+def view_campus_assets(schools: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """V2: building, boundary and campus flags.
+
+    Like the ``::INTEGER`` casts they mirror, a malformed number (``'1.0'``,
+    ``'abc'``) fails the query; ``on_bad='null'`` reads it as NULL instead
+    (applies to V2-V5).
+    """
     c = _facility(schools,
                   ints={"building_blocks": "bldBlkTot"},
                   flags={"has_playground": "playgroundYn", "has_ramps": "rampsYn",
                          "has_handrails": "handrailsYn", "has_solar_power": "solarpanelYn",
                          "has_rain_harvesting": "rainHarvestYn"},
-                  texts={"building_status": "bldStatus", "boundary_wall_type": "bndrywallType"})
+                  texts={"building_status": "bldStatus", "boundary_wall_type": "bndrywallType"}, on_bad=on_bad)
     order = ["building_status", "building_blocks", "boundary_wall_type", "has_playground", "has_ramps",
              "has_handrails", "has_solar_power", "has_rain_harvesting"]
     return schools.filter(F.col("state_name").isNotNull()).select(
         "udise_code", "school_name", "state_name", *[c[k].alias(k) for k in order])
 
 
-def view_classroom_condition(schools: DataFrame) -> DataFrame:
+def view_classroom_condition(schools: DataFrame, on_bad: str = "fail") -> DataFrame:
     """V3: classroom counts by condition and a furniture flag."""
     c = _facility(schools,
                   ints={"total_classrooms": "clsrmsInst", "rooms_good": "clsrmsGd",
                         "rooms_minor_repair": "clsrmsMin", "rooms_major_repair": "clsrmsMaj",
                         "rooms_pucca_good": "clsrmsGdPpu"},
-                  flags={"has_furniture": "stusHvFurnt"})
+                  flags={"has_furniture": "stusHvFurnt"}, on_bad=on_bad)
     order = ["total_classrooms", "rooms_good", "rooms_minor_repair", "rooms_major_repair",
              "rooms_pucca_good", "has_furniture"]
     return schools.filter(F.col("state_name").isNotNull()).select(
         "udise_code", "school_name", *[c[k].alias(k) for k in order])
 
 
-def view_digital_infrastructure(schools: DataFrame) -> DataFrame:
+def view_digital_infrastructure(schools: DataFrame, on_bad: str = "fail") -> DataFrame:
     """V4: internet and ICT flags, device counts."""
     c = _facility(schools,
                   ints={"laptop_count": "laptopTot", "desktop_count": "desktopFun",
                         "projector_count": "projectorTot", "printer_count": "printerTot"},
-                  flags={"has_internet": "internetYn", "has_ict_lab": "ictLabYn"})
+                  flags={"has_internet": "internetYn", "has_ict_lab": "ictLabYn"}, on_bad=on_bad)
     order = ["has_internet", "has_ict_lab", "laptop_count", "desktop_count", "projector_count",
              "printer_count"]
     return schools.filter(F.col("state_name").isNotNull()).select(
         "udise_code", "school_name", *[c[k].alias(k) for k in order])
 
 
-def view_specialized_spaces(schools: DataFrame) -> DataFrame:
+def view_specialized_spaces(schools: DataFrame, on_bad: str = "fail") -> DataFrame:
     """V5: principal room, library, tinkering lab flags and other rooms."""
     c = _facility(schools,
                   ints={"staff_and_store_rooms_count": "othrooms"},
                   flags={"has_principal_room": "hmRoomYn", "has_library": "libraryYn",
-                         "has_atal_tinkering_lab": "tinkeringLabYn"})
+                         "has_atal_tinkering_lab": "tinkeringLabYn"}, on_bad=on_bad)
     order = ["has_principal_room", "has_library", "has_atal_tinkering_lab", "staff_and_store_rooms_count"]
     return schools.filter(F.col("state_name").isNotNull()).select(
         "udise_code", "school_name", *[c[k].alias(k) for k in order])

@@ -22,7 +22,7 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
-                        on_bad: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
+                        on_bad: str = "fail", multi_line: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """CSV with a header line, mapped to ``columns`` by **position**.
 
     Unquoted empty -> NULL, quoted ``""`` -> ''. Doubled quotes escape a
@@ -30,10 +30,12 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     renamed header still loads). A row with the wrong number of fields is an
     error (``on_bad='fail'``) or goes to the second returned frame
     (``on_bad='reject'``, with the raw line in ``_corrupt_record``).
+    ``multi_line=False`` makes large files splittable across tasks; use it
+    only for files known to hold no newline inside a quoted field.
     """
     fields = [T.StructField(c, T.StringType(), True) for c in columns]
     reader = (spark.read.option("header", True).option("enforceSchema", True)
-              .option("quote", '"').option("escape", '"').option("multiLine", True)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
               .option("emptyValue", EMPTY_MARK).option("nullValue", ""))
     if on_bad == "fail":
         df = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)

@@ -120,3 +120,13 @@ def test_where_present_is_pushed_down(spark, scratch):
     df = C.where_present(spark.read.parquet(scratch), "s")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(s)" in plan and df.count() == 1
+
+
+def test_view_on_bad(spark):
+    from civitas.plans import views as V
+    df = spark.createDataFrame([("c", "n", "S", '{"data": {"laptopTot": "1.0", "internetYn": "x"}}')],
+                               "udise_code string, school_name string, state_name string, facility_data string")
+    with pytest.raises(Exception):
+        V.view_digital_infrastructure(df).collect()
+    r = V.view_digital_infrastructure(df, on_bad="null").first()
+    assert r["laptop_count"] is None and r["has_internet"] is None
