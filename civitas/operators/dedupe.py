@@ -67,11 +67,16 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     # One aggregate per column over the same (unique) seq picks every value
     # from the same row; per-column buffers stay fixed-width for numeric
     # columns, which lets Spark use a hash aggregate instead of a sort.
+    def q(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    s_ = q(seq)
     aggs: list[Column] = []
-    aggs += [F.max_by(F.col(c), F.col(seq)).alias(c) for c in last_cols]
-    aggs += [F.min_by(F.col(c), F.col(seq)).alias(c) for c in first_cols]
-    aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in first_non_null_cols]
-    aggs.append(F.max(seq).alias(seq))
+    aggs += [F.expr(f"max_by({q(c)}, {s_}) AS {q(c)}") for c in last_cols]
+    aggs += [F.expr(f"min_by({q(c)}, {s_}) AS {q(c)}") for c in first_cols]
+    aggs += [F.expr(f"min_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {s_} END) AS {q(c)}")
+             for c in first_non_null_cols]
+    aggs.append(F.expr(f"max({s_}) AS {s_}"))
     folded = staged.groupBy(*k, "__solo").agg(*aggs)
     return folded.select(*k, *last_cols, *first_cols, *first_non_null_cols, seq)
 

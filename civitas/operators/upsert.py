@@ -59,6 +59,22 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def q(name: str) -> str:
+    """Quote a column name for a SQL expression string."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_literal(v) -> str | None:
+    """SQL text of a plain literal, or None when it is not one."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return None
+
+
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -102,47 +118,57 @@ def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
     b = _fold(batch.select(*batch_cols), keys, rules, seq)
     if seq is not None:
         b = b.drop(seq)
-    b = b.select(*[F.col(c).alias(f"__n_{c}") for c in b.columns]).withColumn("__b", F.lit(True))
+    # Wide tables: build the projections as SQL text, one JVM call per
+    # column instead of a dozen Column calls each.
+    b = b.selectExpr(*[f"{q(c)} AS {q('__n_' + c)}" for c in b.columns], "true AS __b")
     t = target.withColumn("__t", F.lit(True))
     cond = None
     for k in keys:
         e = t[k] == b[f"__n_{k}"]
         cond = e if cond is None else cond & e
     j = t.join(b, on=cond, how="full_outer" if insert else "left")
-    in_t = F.col("__t").isNotNull()
-    in_b = F.col("__b").isNotNull()
     have_new = set(b.columns)
+    in_t, in_b = "__t IS NOT NULL", "__b IS NOT NULL"
 
-    def new(c: str) -> Column:
-        return F.col(f"__n_{c}") if f"__n_{c}" in have_new else F.lit(None)
+    def new(c: str) -> str:
+        return q(f"__n_{c}") if f"__n_{c}" in have_new else "NULL"
 
     sel: list[Column] = []
     dtypes = dict(target.dtypes)
     for c in out_cols:
-        old = t[c]
-        if c in keys:
-            expr = F.when(in_t, old).otherwise(new(c))
+        old, typ = q(c), dtypes[c]
+        r = KEEP if c in keys else rules.get(c, KEEP)
+        text = None
+        if r.kind == "overwrite":
+            text = f"CASE WHEN {in_b} THEN {new(c)} ELSE {old} END"
+        elif r.kind == "keep":
+            text = f"CASE WHEN {in_t} THEN {old} ELSE {new(c)} END"
+        elif r.kind == "fill":
+            text = (f"CASE WHEN {in_t} AND {in_b} THEN coalesce({old}, {new(c)}) "
+                    f"WHEN {in_t} THEN {old} ELSE {new(c)} END")
+        elif r.kind == "sticky" and _sql_literal(r.value) is not None:
+            v = _sql_literal(r.value)
+            ever = q(f"__n___ever_{c}") if f"__n___ever_{c}" in have_new else f"({new(c)} = {v})"
+            text = (f"CASE WHEN {in_t} AND {old} = {v} THEN {v} WHEN {in_b} AND coalesce({ever}, false) THEN {v} "
+                    f"WHEN {in_b} THEN {new(c)} ELSE {old} END")
+        if text is not None:
+            sel.append(F.expr(f"CAST(({text}) AS {typ}) AS {q(c)}"))
+            continue
+        old_c = F.col(c)
+        new_c = F.col(f"__n_{c}") if f"__n_{c}" in have_new else F.lit(None)
+        tb, bb = F.col("__t").isNotNull(), F.col("__b").isNotNull()
+        if r.kind == "sticky":
+            v = _lit(r.value)
+            ever = F.col(f"__n___ever_{c}") if f"__n___ever_{c}" in have_new else (new_c == v)
+            expr = (F.when(tb & (old_c == v), v).when(bb & F.coalesce(ever, F.lit(False)), v)
+                    .when(bb, new_c).otherwise(old_c))
+        elif r.kind == "stamp":
+            expr = F.when(bb, _lit(r.value)).otherwise(old_c)
+        elif r.kind == "custom":
+            expr = F.when(tb & bb, r.fn(old_c, new_c)).when(bb, new_c).otherwise(old_c)
         else:
-            r = rules.get(c, KEEP)
-            if r.kind == "overwrite":
-                expr = F.when(in_b, new(c)).otherwise(old)
-            elif r.kind == "keep":
-                expr = F.when(in_t, old).otherwise(new(c))
-            elif r.kind == "fill":
-                expr = F.when(in_t & in_b, F.coalesce(old, new(c))).when(in_t, old).otherwise(new(c))
-            elif r.kind == "sticky":
-                v = _lit(r.value)
-                ever = F.col(f"__n___ever_{c}") if f"__n___ever_{c}" in have_new else (new(c) == v)
-                expr = (F.when(in_t & (old == v), v)
-                        .when(in_b & F.coalesce(ever, F.lit(False)), v)
-                        .when(in_b, new(c)).otherwise(old))
-            elif r.kind == "stamp":
-                expr = F.when(in_b, _lit(r.value)).otherwise(old)
-            elif r.kind == "custom":
-                expr = F.when(in_t & in_b, r.fn(old, new(c))).when(in_b, new(c)).otherwise(old)
-            else:
-                raise ValueError(f"unknown rule {r.kind!r} for column {c!r}")
-        sel.append(expr.cast(dtypes[c]).alias(c))
+            raise ValueError(f"unknown rule {r.kind!r} for column {c!r}")
+        sel.append(expr.cast(typ).alias(c))
     return j.select(*sel)
 
 

@@ -313,29 +313,30 @@ def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
     hit = F.col("__hit").isNotNull()
     missing = hit & F.col("__missing")
     done = hit & ~F.col("__missing")
-    merged = j
-    for col in FRAGMENT_COLUMNS.values():
-        merged = merged.withColumn(col, F.when(done, F.coalesce(F.col(f"__doc_{col}"), F.col(col)))
-                                   .otherwise(F.col(col)))
-    for col in SUMMARY_COLUMNS:
-        merged = merged.withColumnRenamed(col, f"__old_{col}")
+    # Merged documents and renamed old summaries in one projection (a
+    # withColumn per column would re-analyse the wide plan each time).
+    docs_merged = {col: F.when(done, F.coalesce(F.col(f"__doc_{col}"), F.col(col))).otherwise(F.col(col))
+                   for col in FRAGMENT_COLUMNS.values()}
+    merged = j.select(*[docs_merged.get(c, F.col(c)).alias(c) if c not in SUMMARY_COLUMNS
+                        else F.col(c).alias(f"__old_{c}") for c in target.columns],
+                      *[F.col(c) for c in j.columns if c.startswith("__") and not c.startswith("__doc_")])
     merged = extract_summary(merged, only_when=done)
     # A document with "data": null (or a null year) stops the school after
     # its fragments, manifest and year were stored, before the summary.
     ok = done & ~F.coalesce(F.col("summary_error"), F.lit(False)) & F.col("__eff").isNotNull()
-    for col in SUMMARY_COLUMNS:
-        merged = merged.withColumn(col, F.when(ok, F.col(col)).otherwise(F.col(f"__old_{col}")))
-    merged = (merged
-              .withColumn("effective_year", F.when(done, F.col("__eff")).otherwise(F.col("effective_year")))
-              .withColumn("year_id", F.when(ok, F.col("__eff")).otherwise(F.col("year_id")))
-              .withColumn("enrichment_manifest", F.when(done, F.col("__manifest"))
-                          .otherwise(F.col("enrichment_manifest")))
-              .withColumn("last_modified", F.when(done, now).otherwise(F.col("last_modified")))
-              .withColumn("scrape_status", F.when(missing, F.lit("missing_on_server"))
+    final = {c: F.when(ok, F.col(c)).otherwise(F.col(f"__old_{c}")) for c in SUMMARY_COLUMNS}
+    final.update({
+        "effective_year": F.when(done, F.col("__eff")).otherwise(F.col("effective_year")),
+        "year_id": F.when(ok, F.col("__eff")).otherwise(F.col("year_id")),
+        "enrichment_manifest": F.when(done, F.col("__manifest")).otherwise(F.col("enrichment_manifest")),
+        "last_modified": F.when(done, now).otherwise(F.col("last_modified")),
+        "scrape_status": (F.when(missing, F.lit("missing_on_server"))
                           .when(ok, completeness("__c_profile", "__c_report"))
-                          .otherwise(F.col("scrape_status")))
-              .withColumn("last_scraped_at", F.when(missing | ok, now).otherwise(F.col("last_scraped_at"))))
-    return merged.select(*target.columns)
+                          .otherwise(F.col("scrape_status"))),
+        "last_scraped_at": F.when(missing | ok, now).otherwise(F.col("last_scraped_at")),
+    })
+    dtypes = dict(target.dtypes)
+    return merged.select(*[(final[c] if c in final else F.col(c)).cast(dtypes[c]).alias(c) for c in target.columns])
 
 
 SUMMARY_COLUMNS = ("total_students", "total_boys", "total_girls", "total_teachers", "has_internet",

@@ -1060,8 +1060,8 @@ def conform(spark: SparkSession, df: DataFrame, ddl: str) -> DataFrame:
     """Select ``df`` into the full table schema ``ddl`` (absent columns NULL)."""
     schema = spark.createDataFrame([], ddl).schema
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    return df.selectExpr(*[f"CAST({('`' + f.name + '`') if f.name in have else 'NULL'} AS "
+                           f"{f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def _masked(orderkey: Column) -> Column:

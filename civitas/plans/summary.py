@@ -43,8 +43,8 @@ def extract_summary(df: DataFrame, social: str = "enrollment_social", report: st
         return v if only_when is None else F.when(only_when, v)
 
     # Parse each document once into its own column; every field below reads it.
-    df = (df.withColumn("__vs", parse(social)).withColumn("__vr", parse(report))
-            .withColumn("__vf", parse(facility)).withColumn("__vp", parse(profile)))
+    df = df.withColumns({"__vs": parse(social), "__vr": parse(report),
+                         "__vf": parse(facility), "__vp": parse(profile)})
     s, r, f, p = F.col("__vs"), F.col("__vr"), F.col("__vf"), F.col("__vp")
     sp, rp, fp, pp = _present(s), _present(r), _present(f), _present(p)
     base = "$.data.schEnrollmentYearDataTotal"
@@ -74,8 +74,6 @@ def extract_summary(df: DataFrame, social: str = "enrollment_social", report: st
         "lgd_ward_id": F.when(pp, F.try_variant_get(p, "$.data.lgdwardId", "string")),
         "lgd_ward_name": F.when(pp, F.try_variant_get(p, "$.data.lgdwardName", "string")),
     }
-    out = df
-    for name, expr in cols.items():
-        out = out.withColumn(name, expr)
-    out = out.withColumn("summary_error", _data_null(s) | _data_null(r) | _data_null(f) | _data_null(p))
-    return out.drop("__vs", "__vr", "__vf", "__vp")
+    cols["summary_error"] = _data_null(s) | _data_null(r) | _data_null(f) | _data_null(p)
+    # one projection (withColumns), not one re-analysed plan per column
+    return df.withColumns(cols).drop("__vs", "__vr", "__vf", "__vp")
