@@ -1213,3 +1213,36 @@ def q_s7b(spark, d):
         prepare=lambda b: b.select("o_custkey", F.col("o_totalprice").alias("price"), "o_orderkey"),
         max_files_per_trigger=8, num_buckets=64)
     return read_buckets(spark, f"{base}/target")
+
+
+@register("S1_csv_positional_rejects", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source FROM documents WHERE doc_id%10<>0""")
+def q_s1_rejects(spark, d):
+    """Rows with a wrong field count go to rejects; the rest loads by position."""
+    from civitas.sources.csv import read_csv_positional
+    docs = t(spark, d, "documents")
+    q = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), q(F.col("lang")), q(F.col("source")))
+    # every tenth document carries a stray extra field
+    line = F.when(F.col("doc_id") % 10 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
+    path = scratch_path(spark, "s1r")
+    docs.select(line.alias("value")).write.mode("overwrite").text(f"{path}/rows")
+    good, bad = read_csv_positional(spark, f"{path}/rows", ["doc_id", "lang", "source"], on_bad="reject",
+                                    header=False)
+    return good
+
+
+@register("U1_upsert_buckets", """
+SELECT c_custkey, CASE WHEN c_nationkey>=7 THEN -c_acctbal ELSE c_acctbal END AS bal,
+  CASE WHEN c_nationkey<13 THEN c_mktsegment ELSE 'NEW' END AS seg FROM customer""")
+def q_u1_buckets(spark, d):
+    """U1/U2 into a bucket-partitioned table: the batch rewrites only its buckets."""
+    from civitas.sources.tables import apply_to_buckets, bucket_of, merge_into_buckets, read_buckets
+    target, batch = _cust_target_batch(spark, d)
+    target = target.select("c_custkey", "bal", "seg")
+    path = scratch_path(spark, "u1b")
+    apply_to_buckets(spark, path, target, "c_custkey",
+                     lambda _: target.withColumn("_bucket", bucket_of(["c_custkey"], 32)), target.schema, 32)
+    merge_into_buckets(spark, path, batch, "c_custkey", {"bal": U.OVERWRITE, "seg": U.KEEP}, target.schema,
+                       num_buckets=32)
+    return read_buckets(spark, path)

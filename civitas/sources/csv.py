@@ -22,7 +22,8 @@ CORRUPT = "_corrupt_record"
 
 
 def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
-                        on_bad: str = "fail", multi_line: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
+                        on_bad: str = "fail", multi_line: bool = True,
+                        header: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """CSV with a header line, mapped to ``columns`` by **position**.
 
     Unquoted empty -> NULL, quoted ``""`` -> ''. Doubled quotes escape a
@@ -32,9 +33,10 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     (``on_bad='reject'``, with the raw line in ``_corrupt_record``).
     ``multi_line=False`` makes large files splittable across tasks; use it
     only for files known to hold no newline inside a quoted field.
+    ``header=False`` reads landed files that carry no header line.
     """
     fields = [T.StructField(c, T.StringType(), True) for c in columns]
-    reader = (spark.read.option("header", True).option("enforceSchema", True)
+    reader = (spark.read.option("header", header).option("enforceSchema", True)
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
               .option("emptyValue", EMPTY_MARK).option("nullValue", ""))
     if on_bad == "fail":
