@@ -114,6 +114,21 @@ def rotate_table(spark: SparkSession, base: str, backup_base: str,
     return fresh
 
 
+def union_with_defaults(old: DataFrame, new: DataFrame, defaults: dict | None = None) -> DataFrame:
+    """S9 across versions: rows written before a column existed read with
+    its declared default (``ADD COLUMN ... DEFAULT``), not NULL.
+
+    ``unionByName(allowMissingColumns=True)`` aligns the schemas; columns
+    absent from ``old`` take ``defaults[name]`` for old rows only.
+    """
+    defaults = defaults or {}
+    missing = [c for c in new.columns if c not in old.columns]
+    dtypes = dict(new.dtypes)
+    staged = old.withColumns({c: (defaults[c] if isinstance(defaults.get(c), Column)
+                                  else F.lit(defaults.get(c))).cast(dtypes[c]) for c in missing})
+    return staged.unionByName(new, allowMissingColumns=True)
+
+
 def ensure_column(df: DataFrame, name: str, dtype: str, default=None) -> DataFrame:
     """``ADD COLUMN IF NOT EXISTS name dtype DEFAULT default``.
 

@@ -126,6 +126,7 @@ def test_school_discovery_hierarchy(spark):
         {"schoolId": 2, "udiseschCode": "29120654321", "blockCd": "29120", "schoolName": "B", "schoolStatus": 1},
         {"schoolId": 3, "udiseschCode": None, "blockCd": "29120", "schoolName": "C"},
         {"schoolId": 1, "udiseschCode": "2912*****12345", "blockCd": "29120", "schoolName": "A2"},
+        {"schoolId": None, "udiseschCode": "29120600001", "blockCd": "29120", "schoolName": "NoId"},
     ]
     pages = spark.createDataFrame([(100, 0, json.dumps({"data": {"content": schools}}))],
                                   "cluster_id int, page int, body string")
@@ -139,7 +140,7 @@ def test_school_discovery_hierarchy(spark):
     assert (got[1]["udise_code"], got[1]["school_name"], got[1]["scrape_status"]) == ("2912012345", "A2", "pending")
     assert (got[1]["block_name"], got[1]["cluster_name"]) == ("B10", "C100")
     assert (got[2]["school_name"], got[2]["scrape_status"], got[2]["effective_year"]) == ("B", "success", 11)
-    assert [r["reasons"] for r in rejects.collect()] == ["no_code"]
+    assert sorted(r["reasons"] for r in rejects.collect()) == ["no_code", "school_id_null"]
     assert G.STATE_IDS["GOA"] == 130
     assert spark.range(1).select(G.state_id(F.lit("karnataka"))).first()[0] == 129
 

@@ -188,3 +188,11 @@ def test_audits(spark):
     assert rows(K.audit_unique(default, "is_default", where=F.col("is_default")), "n") == [(2,)]
     rep = K.audit([(K.audit_in(df, "status", ["draft"]), "status")])
     assert rep.columns == ["rule", "detail"] and rep.count() == 1
+
+
+def test_audit_fixture_edges(spark):
+    from civitas.schemas import PROPOSAL_STATUSES
+    df = spark.createDataFrame([(1, "draft", 9.995), (2, "published", 9.99), (3, "deleted", -1.0), (4, None, None)],
+                               "id int, status string, temperature double")
+    assert rows(K.audit_in(df, "status", PROPOSAL_STATUSES), "id") == [(3,)]      # NULL passes
+    assert rows(K.audit_fits(df, "temperature", "numeric(3,2)"), "id") == [(1,)]  # 9.995 rounds to 10.00

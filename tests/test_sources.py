@@ -141,3 +141,10 @@ def test_merge_into_buckets_rewrites_only_touched(spark, scratch):
     T.merge_into_buckets(spark, path, batch, "k", rules, schema, seq="seq", num_buckets=16)  # replay
     again = {r["k"]: r["v"] for r in T.read_buckets(spark, path).collect()}
     assert again == table
+
+
+def test_union_with_defaults(spark):
+    old = spark.createDataFrame([(1, "a")], "id int, content string")
+    new = spark.createDataFrame([(2, "b", '{"x": 1}')], "id int, content string, downstream_summary string")
+    out = sorted(tuple(r) for r in T.union_with_defaults(old, new, {"downstream_summary": "{}"}).collect())
+    assert out == [(1, "a", "{}"), (2, "b", '{"x": 1}')]
