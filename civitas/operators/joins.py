@@ -36,6 +36,25 @@ def enrich_left(master: DataFrame, detail: DataFrame, left_on: str | Sequence[st
     return master.join(detail, on=_eq(master, detail, lk, rk), how="left")
 
 
+def best_match_left(master: DataFrame, detail: DataFrame, left_on: str, right_on: str,
+                    order: Sequence[Column]) -> DataFrame:
+    """J1 + W1: ``SELECT DISTINCT ON (master key) ... FROM master LEFT JOIN
+    detail ... ORDER BY key, <order over detail columns>``.
+
+    Because the ranking reads only detail columns, the best detail row per
+    key is chosen *before* the join (a ``WindowGroupLimit`` that trims each
+    map task first), so a key holding a third of the detail rows never
+    reaches the join: the join is at most 1:1 per master row. A final
+    rank-1 cut on the master key keeps the DISTINCT ON meaning when the
+    master itself repeats a key (no extra shuffle: the join output is
+    already partitioned by that key).
+    """
+    from civitas.operators.dedupe import distinct_on
+    best = distinct_on(detail, right_on, order)
+    joined = enrich_left(master, best, left_on, right_on)
+    return distinct_on(joined, left_on, order)
+
+
 def expand_hierarchy(levels: Sequence[tuple[DataFrame, str | None, str]]) -> DataFrame:
     """Chain parent -> child levels with inner joins.
 

@@ -61,8 +61,8 @@ def q_v6_distinct_on(spark, d):
     c = t(spark, d, "customer").select("c_custkey", "c_name")
     o = (t(spark, d, "orders").filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
          .select("o_custkey", "o_totalprice", "o_orderkey"))
-    j = JN.enrich_left(c, o, "c_custkey", "o_custkey")
-    best = W.distinct_on(j, "c_custkey", [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc()])
+    best = JN.best_match_left(c, o, "c_custkey", "o_custkey",
+                              [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc()])
     return C.project(best, {"code": "c_custkey", "name": "c_name", "best": "o_totalprice", "okey": "o_orderkey"})
 
 

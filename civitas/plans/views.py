@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from civitas.functions.cleaning import composite_key
 from civitas.functions.json import json_struct, text_flag, text_to_int
-from civitas.operators.dedupe import distinct_on
-from civitas.operators.joins import enrich_left
+from civitas.operators.joins import best_match_left
 
 
 def _facility(df: DataFrame, ints: dict[str, str], flags: dict[str, str],
@@ -100,9 +99,8 @@ def view_village_discovery(master: DataFrame, demographics: DataFrame) -> DataFr
     """V6: master LEFT JOIN demographics, best (largest population) match per village."""
     d = demographics.select(F.col("lgd_code"), F.col("total_population").alias("population"),
                             F.col("households"))
-    j = enrich_left(master, d, "village_code", "lgd_code")
-    best = distinct_on(j, "village_code", [F.col("population").desc_nulls_last(),
-                                           F.col("households").desc_nulls_last()])
+    best = best_match_left(master, d, "village_code", "lgd_code",
+                           [F.col("population").desc_nulls_last(), F.col("households").desc_nulls_last()])
     return best.select(F.col("village_code").alias("lgd_code"), F.col("village_name").alias("village"),
                        F.col("subdistrict_name").alias("taluk"), F.col("district_name").alias("district"),
                        F.col("state_name").alias("state"), "pincode", "population", "households")

@@ -74,3 +74,15 @@ def test_views_prune_columns_and_push_gate(spark, scratch):
     schools.write.parquet(f"{scratch}/schools")
     v4 = V.view_digital_infrastructure(spark.read.parquet(f"{scratch}/schools"))
     assert "IsNotNull(state_name)" in plan(v4)
+
+
+def test_best_match_ranks_detail_before_join(spark):
+    from civitas.operators.joins import best_match_left
+    master = spark.range(5).select(F.col("id").alias("code"))
+    detail = hot_frame(spark).select(F.col("k").alias("code"), "v", "seq")
+    out = best_match_left(master, detail, "code", "code", [F.col("v").desc_nulls_last(), F.col("seq").asc()])
+    p = plan(out)
+    join_at = min(i for i in (p.find("SortMergeJoin"), p.find("BroadcastHashJoin")) if i >= 0)
+    assert p.find("WindowGroupLimit", join_at) > join_at  # the detail is cut to rank 1 below the join
+    got = {r["code"]: (r["v"], r["seq"]) for r in out.collect()}
+    assert got[0] == (96.0, 96) and got[1] == (1.0, 1) and got[3] == (None, None) and len(got) == 5
