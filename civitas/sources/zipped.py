@@ -22,7 +22,10 @@ class MemberNotFound(RuntimeError):
     pass
 
 
-def _member_rows(member_like: str, wanted: list[str]):
+CHUNK_ROWS = 100_000
+
+
+def _member_rows(member_like: str, wanted: list[str], chunk_rows: int = CHUNK_ROWS):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
@@ -30,13 +33,17 @@ def _member_rows(member_like: str, wanted: list[str]):
                     name = next((n for n in z.namelist() if member_like in n), None)
                     if name is None:
                         raise MemberNotFound(f"{member_like!r} not found in {path}")
+                    line_no = 0
+                    # the member is parsed in bounded chunks, never whole in memory
                     with z.open(name) as f:
-                        frame = pd.read_csv(f, dtype=str)
-                out = pd.DataFrame({"source_path": path, "member": name}, index=frame.index)
-                for c in wanted:
-                    out[c] = frame[c] if c in frame.columns else None
-                out["line_no"] = range(1, len(frame) + 1)
-                yield out.astype({c: "object" for c in wanted})
+                        for frame in pd.read_csv(f, dtype=str, chunksize=chunk_rows):
+                            out = pd.DataFrame({"source_path": path, "member": name}, index=frame.index)
+                            for c in wanted:
+                                col = frame[c] if c in frame.columns else pd.Series(None, index=frame.index)
+                                out[c] = col.astype(object).where(col.notna(), None)
+                            out["line_no"] = range(line_no + 1, line_no + len(frame) + 1)
+                            line_no += len(frame)
+                            yield out
     return run
 
 
