@@ -105,19 +105,32 @@ def assemble_fragments(docs: DataFrame, key: str | Sequence[str], names: Sequenc
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = columns or {}
-    pivoted = (docs.groupBy(*keys).pivot(name_col, list(names))
-                   .agg(F.max_by(F.col(doc_col), F.col(seq_col))))
-    return pivoted.select(*keys, *[F.col(f"`{n}`").alias(cols.get(n, n)) for n in names])
+    # One conditional aggregate per name (max_by skips rows whose ordering
+    # is NULL, i.e. other endpoints): a single keyed aggregation and shuffle,
+    # where pivot plans two.
+    aggs = [F.max_by(F.col(doc_col), F.when(F.col(name_col) == F.lit(n), F.col(seq_col))).alias(cols.get(n, n))
+            for n in names]
+    return docs.groupBy(*keys).agg(*aggs)
 
 
 def build_manifest(results: DataFrame, key: str | Sequence[str], name_col: str = "endpoint",
-                   code_col: str = "code", seq_col: str | None = None) -> DataFrame:
+                   code_col: str = "code", seq_col: str | None = None,
+                   names: Sequence[str] | None = None) -> DataFrame:
     """A4: ``manifest`` JSON ``{endpoint: code}`` per key, keys sorted.
 
-    First one row per (key, endpoint) (the latest by ``seq_col`` when given),
-    so each key's list is bounded by the number of distinct endpoints.
+    With the endpoint list ``names`` known, one conditional aggregation per
+    name builds it in a single keyed pass. Otherwise rows are first reduced
+    to one per (key, endpoint) (the latest by ``seq_col`` when given), so
+    each key's list is bounded by its number of distinct endpoints.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if names is not None:
+        order = F.col(seq_col) if seq_col else F.col(code_col)
+        aggs = [F.max_by(F.col(code_col), F.when(F.col(name_col) == F.lit(n), order)).alias(f"__m_{i}")
+                for i, n in enumerate(names)]
+        wide = results.groupBy(*keys).agg(*aggs)
+        entries = sorted((n, F.col(f"__m_{i}")) for i, n in enumerate(names))
+        return wide.select(*keys, manifest_of(entries).alias("manifest"))
     if seq_col:
         per = results.groupBy(*keys, name_col).agg(F.max_by(code_col, seq_col).alias(code_col))
     else:

@@ -585,6 +585,15 @@ def q_a4(spark, d):
     return R.build_manifest(e, "user_id", name_col="event_type")
 
 
+@register("A4_build_manifest_named", """
+SELECT user_id, '{' || string_agg('"' || event_type || '":200', ',' ORDER BY event_type) || '}' AS manifest
+FROM (SELECT DISTINCT user_id, event_type FROM events) x GROUP BY 1""")
+def q_a4_named(spark, d):
+    e = t(spark, d, "events").select("user_id", "event_type", F.lit(200).alias("code"))
+    return R.build_manifest(e, "user_id", name_col="event_type",
+                            names=["click", "error", "purchase", "signup", "view"])
+
+
 def _attempts(spark, d) -> DataFrame:
     e = t(spark, d, "events")
     status = F.when(F.col("event_type") == "error", 503).when(F.col("event_type").isin("purchase", "click"), 200) \
