@@ -225,15 +225,21 @@ def update_where(df: DataFrame, cond: Column, sets: Mapping[str, Column]) -> Dat
     return out
 
 
-def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+def split_rejects(df: DataFrame, rules: Mapping[str, Column],
+                  checkpoint: bool = False) -> tuple[DataFrame, DataFrame]:
     """U8: ``(good, rejects)``; a rule is a Column that is true for a bad row.
 
     ``rejects`` keeps the row and adds ``reasons`` (comma list of rule names,
-    in rule order). A NULL rule result counts as not bad.
+    in rule order). A NULL rule result counts as not bad. Both outputs
+    derive from one staged frame; with ``checkpoint=True`` it is written
+    once to the shared checkpoint folder, so writing both outputs parses
+    the batch once (and survives executor loss) instead of twice.
     """
     reasons = F.concat_ws(",", *[F.when(F.coalesce(c, F.lit(False)), F.lit(name))
                                  for name, c in rules.items()])
     staged = df.withColumn("reasons", reasons)
+    if checkpoint:
+        staged = staged.checkpoint(eager=True)
     good = staged.filter(F.col("reasons") == F.lit("")).drop("reasons")
     bad = staged.filter(F.col("reasons") != F.lit(""))
     return good, bad

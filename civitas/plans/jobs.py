@@ -3,7 +3,9 @@
 Every job is ``inputs -> DataFrames``: it returns the new table (and the
 rejects) lazily; writing it as a new version is the caller's step (see
 :mod:`civitas.sources.tables`). ``as_of`` pins load-time stamps so results
-are reproducible; it defaults to ``current_timestamp()``.
+are reproducible; it defaults to ``current_timestamp()``. Jobs returning
+``(table, rejects)`` take ``checkpoint_batch=True`` when the caller writes
+both: the parsed batch is then materialised once instead of twice.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def geography_records(pages: DataFrame, page_col: str = "page", body_col: str =
 
 
 def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
-                   page_col: str = "page") -> tuple[DataFrame, DataFrame]:
+                   page_col: str = "page", checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """G1: upsert landed geography pages into ``lgd_master`` -> ``(table, rejects)``.
 
     Names and pincode are overwritten by the last record of a code, the three
@@ -72,7 +74,7 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     good, rejects = split_rejects(recs, {
         "village_code_null": F.col("village_code").isNull(),
         "village_code_length": ~fits("village_code", "varchar(50)"),
-    })
+    }, checkpoint=checkpoint_batch)
     as_of_col = _as_of(as_of)
     rules = {c: OVERWRITE for c in ("village_name", "subdistrict_name", "district_name", "state_name", "pincode")}
     rules["last_updated"] = stamp(as_of_col)
@@ -119,7 +121,8 @@ DISTRICT_SOURCE_FILE = "NDAP_9307_source_data.csv"
 
 
 def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_of=None,
-                  source_file: str = DISTRICT_SOURCE_FILE) -> tuple[DataFrame, DataFrame]:
+                  source_file: str = DISTRICT_SOURCE_FILE,
+                  checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """Clean, total, reject, fold and upsert district statistics -> ``(table, rejects)``.
 
     ``rows`` carries the header-named text columns and an ordering ``seq``.
@@ -141,7 +144,7 @@ def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_o
         "year_null": F.col("year_code").isNull(),
         "out_of_range": ~(fits("total_population", "int") & fits("sc_population", "int")
                           & fits("st_population", "int") & fits("general_population", "int")),
-    })
+    }, checkpoint=checkpoint_batch)
     batch = good.withColumn("source_file", F.lit(source_file)).withColumn("created_at", _as_of(as_of))
     rules = {k: OVERWRITE for k in ("total_population", "sc_population", "st_population", "general_population")}
     rules["created_at"] = stamp(_as_of(as_of))
@@ -249,7 +252,8 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
          + F.col("record_index")).alias("seq"))
 
 
-def school_discovery(target: DataFrame, schools: DataFrame) -> tuple[DataFrame, DataFrame]:
+def school_discovery(target: DataFrame, schools: DataFrame,
+                     checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """Upsert discovered schools on (school_id, year_id) -> ``(table, rejects)``.
 
     Rows without an unmasked code are skipped (reported in rejects).
@@ -261,7 +265,7 @@ def school_discovery(target: DataFrame, schools: DataFrame) -> tuple[DataFrame,
         "school_id_null": F.col("school_id").isNull(),
         "no_code": F.col("udise_code").isNull(),
         "code_length": ~fits("udise_code", "varchar(11)"),
-    })
+    }, checkpoint=checkpoint_batch)
     rules = {c: OVERWRITE for c in DISCOVERY_OVERWRITE}
     rules["scrape_status"] = sticky("success")
     rules["effective_year"] = custom(lambda old, new: F.coalesce(old, new))

@@ -196,3 +196,10 @@ def test_audit_fixture_edges(spark):
                                "id int, status string, temperature double")
     assert rows(K.audit_in(df, "status", PROPOSAL_STATUSES), "id") == [(3,)]      # NULL passes
     assert rows(K.audit_fits(df, "temperature", "numeric(3,2)"), "id") == [(1,)]  # 9.995 rounds to 10.00
+
+
+def test_split_rejects_checkpointed(spark):
+    df = spark.createDataFrame([(1, "ok"), (None, "x")], "k int, s string")
+    good, bad = U.split_rejects(df, {"key_null": F.col("k").isNull()}, checkpoint=True)
+    assert "ExistingRDD" in good._jdf.queryExecution().executedPlan().toString()
+    assert rows(good, "k") == [(1,)] and rows(bad, "reasons") == [("key_null",)]
