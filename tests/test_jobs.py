@@ -192,3 +192,12 @@ def test_enrichment_on_touched_buckets_only(spark, scratch):
     table = {r["school_id"]: r["scrape_status"] for r in T.read_buckets(spark, path).collect()}
     assert len(table) == 40 and table[3] == "missing_on_server"
     assert sum(1 for v in table.values() if v == "pending") == 39
+
+
+def test_sync_status_row(spark):
+    from civitas.operators.ids import resume_offset
+    target = spark.range(2345)
+    consumed = spark.range(120)
+    row = G.sync_status_row(spark, "lgd_master", resume_offset(None, target, "lgd_master"), consumed,
+                            as_of=ts()).first()
+    assert (row["job_name"], row["last_offset"]) == ("lgd_master", 2120)
