@@ -102,7 +102,7 @@ def sync_status_row(spark: SparkSession, job: str, offset: DataFrame, consumed:
     """The offset row a sync leaves: start offset plus records consumed."""
     n = consumed.agg(F.count(F.lit(1)).alias("__n"))
     both = offset.select(F.col("offset").alias("__v")).unionByName(n.select(F.col("__n").alias("__v")))
-    return both.agg(F.sum("__v").cast("int").alias("last_offset")).select(
+    return both.agg(F.sum("__v").cast("bigint").alias("last_offset")).select(
         F.lit(job).alias("job_name"), "last_offset", _as_of(as_of).alias("last_updated"))
 
 
@@ -180,13 +180,13 @@ FALLBACK_YEAR_ID = 11
 
 # School record key -> school table column (discovery).
 SCHOOL_FIELDS = {
-    "school_id": ("schoolId", "int"), "school_name": "schoolName",
+    "school_id": ("schoolId", "bigint"), "school_name": "schoolName",
     "last_modified": ("lastmodifiedTime", "timestamp_ntz"),
-    "state_id": ("stateId", "int"), "state_cd": "stateCd", "state_name": "stateName",
-    "district_id": ("districtId", "int"), "district_cd": "districtCd", "district_name": "districtName",
-    "block_id": ("blockId", "int"), "block_cd": "blockCd",
-    "cluster_id": ("clusterId", "int"), "cluster_cd": "clusterCd",
-    "village_id": ("villageId", "int"), "vill_ward_cd": "villWardCd", "village_name": "villageName",
+    "state_id": ("stateId", "bigint"), "state_cd": "stateCd", "state_name": "stateName",
+    "district_id": ("districtId", "bigint"), "district_cd": "districtCd", "district_name": "districtName",
+    "block_id": ("blockId", "bigint"), "block_cd": "blockCd",
+    "cluster_id": ("clusterId", "bigint"), "cluster_cd": "clusterCd",
+    "village_id": ("villageId", "bigint"), "vill_ward_cd": "villWardCd", "village_name": "villageName",
     "pincode": ("pincode", "int"), "address": "address", "email": "email",
     "lgd_state_id": ("lgdStateId", "int"), "lgd_district_id": ("lgdDistrictCd", "int"),
     "lgd_block_id": ("lgdBlockId", "int"), "lgd_village_id": "lgdvillageId", "lgd_vill_name": "lgdvillName",
@@ -223,11 +223,11 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
     ``school_pages(cluster_id, page, body)`` with ``data.content[]``.
     """
     from civitas.sources.envelope import explode_records
-    d = explode_records(districts, "body", "$.data", {"h_district_id": ("districtId", "int"),
+    d = explode_records(districts, "body", "$.data", {"h_district_id": ("districtId", "bigint"),
                                                       "h_district_name": "districtName"}, keep=["state_id"])
-    b = explode_records(blocks, "body", "$.data", {"h_block_id": ("blockId", "int"), "h_block_name": "blockName"},
+    b = explode_records(blocks, "body", "$.data", {"h_block_id": ("blockId", "bigint"), "h_block_name": "blockName"},
                         keep=["district_id"]).withColumnRenamed("district_id", "p_district_id")
-    c = explode_records(clusters, "body", "$.data", {"h_cluster_id": ("clusterId", "int"),
+    c = explode_records(clusters, "body", "$.data", {"h_cluster_id": ("clusterId", "bigint"),
                                                      "h_cluster_name": "clusterName"},
                         keep=["block_id"]).withColumnRenamed("block_id", "p_block_id")
     levels = [

@@ -78,7 +78,7 @@ def _village_demographics(spark, d) -> DataFrame:
     o = t(spark, d, "orders")
     pop = F.when(F.col("o_orderstatus") != "F", F.floor("o_totalprice").cast("int"))
     return o.select(F.col("o_custkey").cast("string").alias("lgd_code"), pop.alias("total_population"),
-                    F.col("o_orderkey").cast("int").alias("households"))
+                    F.col("o_orderkey").alias("households"))
 
 
 @register("V6_village_discovery_view", """
@@ -88,7 +88,7 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS village_code, c_name AS village_name,
         CAST(c_nationkey AS VARCHAR) AS district, 'S' AS state, CAST(c_nationkey AS VARCHAR) AS pincode FROM customer) lm
 LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS lgd_code,
         CASE WHEN o_orderstatus<>'F' THEN CAST(floor(o_totalprice) AS INTEGER) END AS population,
-        CAST(o_orderkey AS INTEGER) AS households FROM orders) vd ON lm.village_code=vd.lgd_code
+        o_orderkey AS households FROM orders) vd ON lm.village_code=vd.lgd_code
 ORDER BY lm.village_code, vd.population DESC NULLS LAST, vd.households DESC NULLS LAST""")
 def q_v6_view(spark, d):
     return V.view_village_discovery(_lgd_master(spark, d), _village_demographics(spark, d))
@@ -1119,7 +1119,7 @@ def q_g4(spark, d):
                      F.concat(F.lit('{"data": {"content": ['), F.array_join("recs", ","), F.lit("]}}")).alias("body")))
     urgent_f = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     target = conform(spark, o.filter(urgent_f).select(
-        F.col("o_orderkey").cast("int").alias("school_id"), F.lit(12).alias("year_id"),
+        F.col("o_orderkey").alias("school_id"), F.lit(12).alias("year_id"),
         _masked(F.col("o_orderkey")).alias("udise_code"), F.lit("success").alias("scrape_status"),
         F.lit(11).alias("effective_year")), SCHOOLS)
     schools = G.discovered_schools(districts, blocks, clusters, pages)
@@ -1132,7 +1132,7 @@ def _enrichment_inputs(spark, d):
     from civitas.schemas import SCHOOLS
     o = t(spark, d, "orders")
     target = conform(spark, o.select(
-        F.col("o_orderkey").cast("int").alias("school_id"), F.lit(12).alias("year_id"),
+        F.col("o_orderkey").alias("school_id"), F.lit(12).alias("year_id"),
         _masked(F.col("o_orderkey")).alias("udise_code"), F.col("o_orderpriority").alias("state_name"),
         F.lit("pending").alias("scrape_status"), F.lit(-1).alias("total_students"), F.lit(-1).alias("total_boys"),
         F.lit(-1).alias("total_girls"), F.lit(-1).alias("total_teachers"), F.lit(False).alias("has_internet"),
@@ -1159,7 +1159,7 @@ def _enrichment_inputs(spark, d):
         att("profile_data", 1, F.when(resolved & (pr != "5-LOW"), 200).otherwise(404),
             ok(F.struct(F.col("o_custkey").alias("lgdwardId")))),
     )
-    responses = (o.select(F.col("o_orderkey").cast("int").alias("school_id"), "o_orderstatus",
+    responses = (o.select(F.col("o_orderkey").alias("school_id"), "o_orderstatus",
                           F.explode(entries).alias("r"))
                  # a school the registry has not got (status P) yields no fragment requests
                  .filter((F.col("o_orderstatus") != "P") | F.col("r.endpoint").isin("by_year", "probe"))
@@ -1251,7 +1251,8 @@ def q_u1_buckets(spark, d):
     target = target.select("c_custkey", "bal", "seg")
     path = scratch_path(spark, "u1b")
     apply_to_buckets(spark, path, target, "c_custkey",
-                     lambda _: target.withColumn("_bucket", bucket_of(["c_custkey"], 32)), target.schema, 32)
+                     lambda _: target.withColumn("_bucket", bucket_of(["c_custkey"], 32, target.schema)),
+                     target.schema, 32)
     merge_into_buckets(spark, path, batch, "c_custkey", {"bal": U.OVERWRITE, "seg": U.KEEP}, target.schema,
                        num_buckets=32)
     return read_buckets(spark, path)

@@ -3,7 +3,9 @@
 Fixed values: column names and types of the registry tables, kept as the
 source schemas declare them. The school table is the flattened year-12
 layout plus the columns the enrichment writes (effective_year,
-enrichment_manifest, the urban-body and ward ids and names).
+enrichment_manifest, the urban-body and ward ids and names). Identifier
+columns are BIGINT (a superset of the source's INTEGER) so that keys past
+2^31 neither overflow an ANSI cast nor get rejected.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ LGD_MASTER = (
     "state_name string, pincode string, last_updated timestamp_ntz"
 )
 
-SYNC_STATUS = "job_name string, last_offset int, last_updated timestamp_ntz"
+SYNC_STATUS = "job_name string, last_offset bigint, last_updated timestamp_ntz"
 
 VILLAGE_DEMOGRAPHICS = (
     "id int, village_id int, lgd_code string, total_population int, households int, "
@@ -31,11 +33,11 @@ DISTRICT_DEMOGRAPHICS = (
 )
 
 SCHOOLS = (
-    "school_id int, year_id int, udise_code string, school_name string, school_status int, "
+    "school_id bigint, year_id int, udise_code string, school_name string, school_status int, "
     "status_name string, last_modified timestamp_ntz, "
-    "state_id int, state_cd string, state_name string, district_id int, district_cd string, "
-    "district_name string, block_id int, block_cd string, block_name string, cluster_id int, "
-    "cluster_cd string, cluster_name string, village_id int, vill_ward_cd string, village_name string, "
+    "state_id bigint, state_cd string, state_name string, district_id bigint, district_cd string, "
+    "district_name string, block_id bigint, block_cd string, block_name string, cluster_id bigint, "
+    "cluster_cd string, cluster_name string, village_id bigint, vill_ward_cd string, village_name string, "
     "pincode int, address string, email string, "
     "lgd_state_id int, lgd_district_id int, lgd_block_id int, lgd_village_id string, lgd_vill_name string, "
     "lgd_panchayat_id string, lgd_vill_panchayat_name string, "
@@ -55,7 +57,7 @@ SCHOOLS = (
 )
 
 # Landed HTTP attempts (one row per request attempt).
-RESPONSES = "school_id int, endpoint string, attempt int, seq long, http_status int, body string"
+RESPONSES = "school_id bigint, endpoint string, attempt int, seq long, http_status int, body string"
 
 PROPOSAL_SECTIONS = (
     "id long, proposal_id string, section_code string, version int, content string, "

@@ -145,9 +145,16 @@ def ensure_column(df: DataFrame, name: str, dtype: str, default=None) -> DataFra
 BUCKET_COL = "_bucket"
 
 
-def bucket_of(keys: list[str], num_buckets: int) -> Column:
-    """Stable bucket of a key: ``pmod(xxhash64(keys), num_buckets)``."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
+def bucket_of(keys: list[str], num_buckets: int, schema: T.StructType | None = None) -> Column:
+    """Stable bucket of a key: ``pmod(xxhash64(keys), num_buckets)``.
+
+    The hash depends on the value's type (an INT and a BIGINT 7 hash
+    differently), so with ``schema`` the keys are first cast to the table's
+    key types: a batch keyed by INT then finds the rows of a BIGINT table.
+    """
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    cols = [F.col(k).cast(types[k]) if k in types else F.col(k) for k in keys]
+    return F.pmod(F.xxhash64(*cols), F.lit(num_buckets)).cast("int")
 
 
 def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, key: str | list[str],
@@ -155,7 +162,8 @@ def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, ke
     """Rewrite only the key buckets that ``touched_keys`` hit, as ``fn(current)``.
 
     ``fn`` receives the rows of the touched buckets (with the bucket column)
-    and returns the new rows for exactly those buckets (same columns). The
+    and returns the new rows for exactly those buckets (same columns; build
+    the bucket column with ``bucket_of(keys, num_buckets, schema)``). The
     touched bucket ids (at most ``num_buckets`` small ints) are read back to
     prune the scan; the result is checkpointed to the shared checkpoint
     folder (cutting the lineage to the files about to be replaced) and
@@ -163,7 +171,7 @@ def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, ke
     never read or rewritten. Returns the touched bucket ids.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    touched = sorted(r[0] for r in touched_keys.select(bucket_of(keys, num_buckets).alias("b"))
+    touched = sorted(r[0] for r in touched_keys.select(bucket_of(keys, num_buckets, schema).alias("b"))
                      .distinct().collect())
     if not touched:
         return []
@@ -188,7 +196,7 @@ def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: st
     converges to the same table."""
     from civitas.operators.upsert import KEEP, upsert
     keys = [key] if isinstance(key, str) else list(key)
-    b = batch.withColumn(BUCKET_COL, bucket_of(keys, num_buckets))
+    b = batch.withColumn(BUCKET_COL, bucket_of(keys, num_buckets, schema))
     return apply_to_buckets(spark, path, batch, keys,
                             lambda current: upsert(current, b, keys, {**rules, BUCKET_COL: KEEP}, seq=seq),
                             schema, num_buckets)

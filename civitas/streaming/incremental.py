@@ -62,12 +62,12 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
             merged = upsert(current, rows, key, rules, seq=seq)
             write_version(merged, target, version=batch_id + 1)
         if status_path:
-            consumed = rows.agg(F.count(F.lit(1)).cast("int").alias("n"))
+            consumed = rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
             prev = read_as_of(spark, status_path, batch_id, T.StructType([
-                T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.IntegerType()),
+                T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.LongType()),
                 T.StructField("last_updated", T.TimestampNTZType())]))
             base = prev.filter(F.col("job_name") == job).select(F.col("last_offset").alias("n"))
-            row = base.unionByName(consumed).agg(F.sum("n").cast("int").alias("last_offset")).select(
+            row = base.unionByName(consumed).agg(F.sum("n").cast("bigint").alias("last_offset")).select(
                 F.lit(job).alias("job_name"), "last_offset", F.localtimestamp().alias("last_updated"))
             others = prev.filter(F.col("job_name") != job)
             write_version(others.unionByName(row), status_path, version=batch_id + 1)

@@ -180,14 +180,14 @@ def test_enrichment_on_touched_buckets_only(spark, scratch):
         "'pending' as scrape_status", "-1 as total_teachers", "false as has_internet"), SCHOOLS)
     path = f"{scratch}/schools"
     T.apply_to_buckets(spark, path, base, "school_id", lambda cur: base.withColumn(
-        T.BUCKET_COL, T.bucket_of(["school_id"], 8)), schema, num_buckets=8)
+        T.BUCKET_COL, T.bucket_of(["school_id"], 8, schema)), schema, num_buckets=8)
     responses = spark.createDataFrame([_resp(3, "by_year", 1, 404, None), _resp(3, "probe", 1, 404, None)],
                                       "school_id int, endpoint string, attempt int, seq long, http_status int, "
                                       "body string")
     touched = T.apply_to_buckets(
         spark, path, responses, "school_id",
         lambda cur: G.school_enrichment(cur.drop(T.BUCKET_COL), responses, as_of=ts())
-        .withColumn(T.BUCKET_COL, T.bucket_of(["school_id"], 8)), schema, num_buckets=8)
+        .withColumn(T.BUCKET_COL, T.bucket_of(["school_id"], 8, schema)), schema, num_buckets=8)
     assert len(touched) == 1
     table = {r["school_id"]: r["scrape_status"] for r in T.read_buckets(spark, path).collect()}
     assert len(table) == 40 and table[3] == "missing_on_server"
