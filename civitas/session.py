@@ -57,6 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # unset
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name shared storage "
+                               "(checkpoints and scratch tables are written there)")
+        # local runs and tests only: a folder on this machine is the shared storage
         configured = tempfile.mkdtemp(prefix="civitas-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
