@@ -67,17 +67,23 @@ def read_as_of(spark: SparkSession, base: str, version: int,
 
 
 def write_version(df: DataFrame, base: str, version: int | None = None,
-                  partition_by: list[str] | None = None) -> str:
+                  partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
     """Write ``df`` as a new version (next number unless given) and return its path.
 
     Giving ``version`` explicitly (e.g. a stream's batch id) makes a replay
     rewrite the same folder, which keeps the write idempotent.
+    ``partition_by`` lays the files out for partition pruning (the school
+    table by ``state_name``: the work queues filter on it) and ``sort_by``
+    sorts rows inside each task's files (e.g. by ``udise_code``) so Parquet
+    min/max statistics skip row groups for point lookups.
     """
     spark = df.sparkSession
     if version is None:
         vs = list_versions(spark, base)
         version = (vs[-1] + 1) if vs else 1
     path = version_path(base, version)
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

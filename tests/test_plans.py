@@ -105,3 +105,16 @@ def test_no_single_partition_exchange_outside_allowlist(spark):
         if "SinglePartition" in p:
             offenders.append(name)
     assert offenders == []
+
+
+def test_work_queue_prunes_state_partitions(spark, scratch):
+    from civitas.operators.dedupe import work_queue
+    from civitas.sources import tables as T
+    df = spark.createDataFrame([(i, "GOA" if i % 2 else "KERALA", "pending", f"c{i:04d}", None) for i in range(50)],
+                               "school_id long, state_name string, scrape_status string, udise_code string, "
+                               "effective_year int")
+    path = T.write_version(df, f"{scratch}/schools", partition_by=["state_name"], sort_by=["udise_code"])
+    q = work_queue(spark.read.parquet(path), "GOA", "normal", 10)
+    p = plan(q)
+    assert "PartitionFilters: [isnotnull(state_name" in p and "(state_name#" in p
+    assert [r["school_id"] for r in q.collect()] == list(range(1, 20, 2))
