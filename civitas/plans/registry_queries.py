@@ -621,7 +621,7 @@ def q_a5b(spark, d):
 
 
 @register("A6_with_metrics", """
-SELECT count(*) AS "rows", count_if(o_orderstatus='P') AS rejected FROM orders""")
+SELECT count(*) AS "rows", CAST(count_if(o_orderstatus='P') AS BIGINT) AS rejected FROM orders""")
 def q_a6(spark, d):
     o = t(spark, d, "orders").withColumn("__bad", F.col("o_orderstatus") == "P")
     observed, obs = R.with_metrics(o, "orders_load", "__bad")
