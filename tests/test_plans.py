@@ -118,3 +118,31 @@ def test_work_queue_prunes_state_partitions(spark, scratch):
     p = plan(q)
     assert "PartitionFilters: [isnotnull(state_name" in p and "(state_name#" in p
     assert [r["school_id"] for r in q.collect()] == list(range(1, 20, 2))
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    """A parent key holding a third of the child rows: AQE's skew join splits
+    its partition (thresholds shrunk so the small test data counts as skewed)."""
+    from civitas.operators.joins import expand_hierarchy
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        parents = spark.range(100).select(F.col("id").alias("p"), (F.col("id") * 10).alias("pv"))
+        children = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100).alias("p"), F.col("id").alias("c"))
+        out = expand_hierarchy([(parents, None, "p"), (children, "p", "c")])
+        assert len(out.collect()) == 30000
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
