@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from civitas.functions.cleaning import clean_int, completeness, lookup_code, row_sum, unmask_code
 from civitas.functions.json import initial_status, json_map_set, json_or, truthy_text, variant
 from civitas.operators.audit import fits
-from civitas.operators.dedupe import fold_batch
 from civitas.operators.ids import assign_ids
 from civitas.operators.joins import effective_year, expand_hierarchy
 from civitas.operators.responses import manifest_of, resolve_attempts_wide
