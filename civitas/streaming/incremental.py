@@ -51,6 +51,25 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing)
 
+    apply = batch_writer(spark, target, tschema, key, rules, seq, prepare, status_path, job, num_buckets)
+    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: str | list[str],
+                 rules: Mapping[str, Rule], seq: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 status_path: str | None = None, job: str = "incremental", num_buckets: int | None = None):
+    """The ``foreachBatch`` function of :func:`incremental_upsert`.
+
+    Re-running it with the same ``(batch, batch_id)`` -- what Structured
+    Streaming does after a failure between writing and committing a batch --
+    leaves the table and the status row as one run would.
+    """
+    status_schema = T.StructType([
+        T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.LongType()),
+        T.StructField("last_updated", T.TimestampNTZType())])
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
         if num_buckets:
@@ -63,15 +82,11 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
             write_version(merged, target, version=batch_id + 1)
         if status_path:
             consumed = rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-            prev = read_as_of(spark, status_path, batch_id, T.StructType([
-                T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.LongType()),
-                T.StructField("last_updated", T.TimestampNTZType())]))
+            prev = read_as_of(spark, status_path, batch_id, status_schema)
             base = prev.filter(F.col("job_name") == job).select(F.col("last_offset").alias("n"))
             row = base.unionByName(consumed).agg(F.sum("n").cast("bigint").alias("last_offset")).select(
                 F.lit(job).alias("job_name"), "last_offset", F.localtimestamp().alias("last_updated"))
             others = prev.filter(F.col("job_name") != job)
             write_version(others.unionByName(row), status_path, version=batch_id + 1)
 
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    return apply
