@@ -212,6 +212,14 @@ def state_id(col: Column | str) -> Column:
     return lookup_code(col, STATE_IDS)
 
 
+def state_id_of(name: str) -> int:
+    """P22 for a job parameter: an unknown state is an error before any work."""
+    try:
+        return STATE_IDS[name.upper()]
+    except KeyError:
+        raise ValueError(f"invalid state: {name!r}") from None
+
+
 def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFrame,
                        school_pages: DataFrame) -> DataFrame:
     """S5 + J2 + P12 + P13: school rows from landed hierarchy responses.

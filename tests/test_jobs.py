@@ -201,3 +201,10 @@ def test_sync_status_row(spark):
     row = G.sync_status_row(spark, "lgd_master", resume_offset(None, target, "lgd_master"), consumed,
                             as_of=ts()).first()
     assert (row["job_name"], row["last_offset"]) == ("lgd_master", 2120)
+
+
+def test_state_parameter_fails_fast():
+    import pytest
+    assert G.state_id_of("Kerala") == 132
+    with pytest.raises(ValueError):
+        G.state_id_of("Atlantis")
