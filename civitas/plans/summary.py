@@ -12,20 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civitas.functions.cleaning import total_or_parts
-from civitas.functions.json import strict_flag, variant, vget
-
-
-def _present(v: Column) -> Column:
-    """A document counts when it holds a ``data`` key (even ``data: null``)."""
-    return vget(v, "$.data").isNotNull()
-
-
-def _data_null(v: Column) -> Column:
-    return _present(v) & F.is_variant_null(vget(v, "$.data"))
-
-
-def _int_or(v: Column, path: str, sentinel: int = -1) -> Column:
-    return F.coalesce(F.try_variant_get(v, path, "int"), F.lit(sentinel))
+from civitas.functions.json import strict_flag, variant
 
 
 def extract_summary(df: DataFrame, social: str = "enrollment_social", report: str = "report_card",
@@ -36,44 +23,50 @@ def extract_summary(df: DataFrame, social: str = "enrollment_social", report: st
 
     ``only_when`` limits the parsing to the rows that need a new summary
     (e.g. the schools of this enrichment batch inside the whole table);
-    other rows get NULL summary columns and must keep their stored values.
+    other rows get default summary columns and must keep their stored values.
     """
-    def parse(c: str) -> Column:
-        v = variant(c)
+    def data_of(c: str) -> Column:
+        v = F.variant_get(variant(c), "$.data", "variant")
         return v if only_when is None else F.when(only_when, v)
 
-    # Parse each document once into its own column; every field below reads it.
-    df = df.withColumns({"__vs": parse(social), "__vr": parse(report),
-                         "__vf": parse(facility), "__vp": parse(profile)})
-    s, r, f, p = F.col("__vs"), F.col("__vr"), F.col("__vf"), F.col("__vp")
-    sp, rp, fp, pp = _present(s), _present(r), _present(f), _present(p)
-    base = "$.data.schEnrollmentYearDataTotal"
-    b = _int_or(s, f"{base}.rowBoyTotal")
-    g = _int_or(s, f"{base}.rowGirlTotal")
-    t = _int_or(s, f"{base}.rowTotal")
+    # Each document is parsed once and its "data" object kept as a Variant
+    # column; every field below reads relative to it. A document counts when
+    # it holds a "data" key (SQL NULL = absent; a JSON null is a variant null).
+    df = df.withColumns({"__ds": data_of(social), "__dr": data_of(report),
+                         "__df": data_of(facility), "__dp": data_of(profile)})
+    df = df.withColumn("__dst", F.variant_get(F.col("__ds"), "$.schEnrollmentYearDataTotal", "variant"))
+    s, r, f, p = F.col("__ds"), F.col("__dr"), F.col("__df"), F.col("__dp")
+    sp, rp, fp, pp = s.isNotNull(), r.isNotNull(), f.isNotNull(), p.isNotNull()
+
+    def int_or(v: Column, path: str) -> Column:
+        return F.coalesce(F.try_variant_get(v, path, "int"), F.lit(-1))
+
+    st = F.col("__dst")
+    b, g, t = int_or(st, "$.rowBoyTotal"), int_or(st, "$.rowGirlTotal"), int_or(st, "$.rowTotal")
     students = total_or_parts(t, b, g, stated_sentinel_falls_back=True)
-    mt = _int_or(r, "$.data.totMale")
-    ft = _int_or(r, "$.data.totFemale")
-    tt_raw = F.try_variant_get(r, "$.data.totalTeacher", "int")
-    teachers = total_or_parts(tt_raw, mt, ft, stated_sentinel_falls_back=False)
+    mt, ft = int_or(r, "$.totMale"), int_or(r, "$.totFemale")
+    teachers = total_or_parts(F.try_variant_get(r, "$.totalTeacher", "int"), mt, ft, stated_sentinel_falls_back=False)
 
     def when_present(present: Column, value: Column, default) -> Column:
         return F.when(present, value).otherwise(F.lit(default))
 
+    def data_null(v: Column) -> Column:
+        return F.coalesce(v.isNotNull() & F.is_variant_null(v), F.lit(False))
+
     cols = {
         "total_students": when_present(sp, students, -1).cast("int"),
         "total_boys": when_present(sp, b, -1).cast("int"),
         "total_girls": when_present(sp, g, -1).cast("int"),
         "total_teachers": when_present(rp, teachers, -1).cast("int"),
-        "has_internet": when_present(fp, strict_flag(f, "$.data.internetYn"), False),
-        "has_library": when_present(fp, strict_flag(f, "$.data.libraryYn"), False),
-        "has_playground": when_present(fp, strict_flag(f, "$.data.playgroundYn"), False),
-        "has_electricity": when_present(fp, strict_flag(f, "$.data.electricityYn"), False),
-        "lgd_urban_local_body_id": F.when(pp, F.try_variant_get(p, "$.data.lgdurbanlocalbodyId", "string")),
-        "lgd_urban_local_body_name": F.when(pp, F.try_variant_get(p, "$.data.lgdurbanlocalbodyName", "string")),
-        "lgd_ward_id": F.when(pp, F.try_variant_get(p, "$.data.lgdwardId", "string")),
-        "lgd_ward_name": F.when(pp, F.try_variant_get(p, "$.data.lgdwardName", "string")),
+        "has_internet": when_present(fp, strict_flag(f, "$.internetYn"), False),
+        "has_library": when_present(fp, strict_flag(f, "$.libraryYn"), False),
+        "has_playground": when_present(fp, strict_flag(f, "$.playgroundYn"), False),
+        "has_electricity": when_present(fp, strict_flag(f, "$.electricityYn"), False),
+        "lgd_urban_local_body_id": F.when(pp, F.try_variant_get(p, "$.lgdurbanlocalbodyId", "string")),
+        "lgd_urban_local_body_name": F.when(pp, F.try_variant_get(p, "$.lgdurbanlocalbodyName", "string")),
+        "lgd_ward_id": F.when(pp, F.try_variant_get(p, "$.lgdwardId", "string")),
+        "lgd_ward_name": F.when(pp, F.try_variant_get(p, "$.lgdwardName", "string")),
+        "summary_error": data_null(s) | data_null(r) | data_null(f) | data_null(p),
     }
-    cols["summary_error"] = _data_null(s) | _data_null(r) | _data_null(f) | _data_null(p)
     # one projection (withColumns), not one re-analysed plan per column
-    return df.withColumns(cols).drop("__vs", "__vr", "__vf", "__vp")
+    return df.withColumns(cols).drop("__ds", "__dr", "__df", "__dp", "__dst")
