@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small-in-bytes but CPU-heavy shuffles (JSON parsing, sort-based folds)
+    # keep enough tasks to use every core; large shuffles are still sized
+    # by the advisory partition size, so this only matters for small data.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
