@@ -1,13 +1,17 @@
 """Registered queries of the training-data operators, and the SQL of those SQL can state."""
 
-from . import mixing, sharding, tokens
+from . import decontam, mixing, sharding, simhash, suffix, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_query,
     "op2_token_counts": tokens.op2_query,
+    "op4_decontaminate": decontam.op4_query,
+    "op6_suffix_dedup": suffix.op6_query,
     "op8_sharding": sharding.op8_query,
+    "op10_simhash": simhash.op10_query,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.ORACLE,
+    "op4_decontaminate": decontam.ORACLE,
 }
