@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +41,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def shared(spark: SparkSession, value):
+    """A broadcast of a model of bounded size; call the result inside a task to get it.
+
+    Pickled by value, as the classes need not be importable on executors.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def packed(df: DataFrame, *extra: Column) -> DataFrame:
     """The whole row as one struct column ``row`` plus ``extra`` columns.
 

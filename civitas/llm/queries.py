@@ -1,13 +1,17 @@
 """Registered queries of the training-data operators, and the SQL of those SQL can state."""
 
-from . import decontam, mixing, sharding, simhash, suffix, tokens
+from . import decontam, html, mixing, quality, rules, sharding, simhash, suffix, tokens, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_query,
     "op2_token_counts": tokens.op2_query,
+    "op3_quality": quality.op3_query,
     "op4_decontaminate": decontam.op4_query,
+    "op5_toxicity": toxicity.op5_query,
     "op6_suffix_dedup": suffix.op6_query,
+    "op7_html_text": html.op7_query,
     "op8_sharding": sharding.op8_query,
+    "op9_quality_rules": rules.op9_query,
     "op10_simhash": simhash.op10_query,
 }
 
