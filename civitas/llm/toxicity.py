@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, packed, pin, shared, table, unpacked
+from .common import WHITE, held_out, labelled_sample, packed, pin, shared, table, unpacked
 
 MAX_LABELLED = 20_000       # labelled documents read by the learner
 PREFIXES = range(3, 9)      # lengths of stems
 MIN_SUPPORT, MIN_SHARE = 4, 0.01    # toxic documents that must hold a unit
 MIN_EVIDENCE = 2.5          # lower bound of a unit's log odds
+PARTS = 64                  # files of the pinned sample
 MAX_UNITS = 5_000           # units kept in the lexicon, the best first
 
 # Fixed word lists: English, German, French, Spanish
@@ -244,12 +245,20 @@ def count_units(only: set[str] | None = None):
     return run
 
 
+def min_hash(words) -> F.Column:
+    """The smallest hash of five words in a row: copies and most near copies share it."""
+    return F.when(F.size(words) < 5, F.xxhash64(words)).otherwise(F.array_min(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(5)) - 4), lambda i: F.xxhash64(F.slice(words, i, 5)))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         max_rows: int = MAX_LABELLED) -> Model:
-    """Lexicon and match weights from at most ``max_rows`` labelled documents (equal texts count once)."""
+    """Lexicon and match weights from at most ``max_rows`` labelled documents (copies and near copies count once)."""
     sample = F.broadcast(labelled_sample(labels, label, max_rows))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(sample, "_id")
-    rows = pin(rows.groupBy(F.xxhash64("_text").alias("h"), "_y").agg(F.first("_text").alias("_text")), "toxic-sample")
+    rows = rows.withColumn("_words", F.split(F.coalesce("_text", F.lit("")), WHITE))
+    rows = pin(rows.groupBy(min_hash(F.col("_words")).alias("h"), "_y").agg(
+        F.min_by("_text", F.xxhash64("_text")).alias("_text")).repartition(PARTS), "toxic-sample")
     size = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
     support = max(MIN_SUPPORT, int(MIN_SHARE * n_toxic))
