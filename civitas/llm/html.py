@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, table, unpacked
+from .common import table
 
 # markup whose content is never text
 DROPPED = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title|canvas|audio|video"
@@ -58,6 +58,13 @@ LABELLED = (
     ((15, 0.0, 0, 0, 0, 0), (6, 0.0, 1, 0, 1, 1), (50, 0.0, 1, 0, 0, 1), (10, 0.0, 0, 0, 0, 0), (30, 0.0, 0, 0, 0, 0)),
     # a list of links inside the main element
     ((7, 0.0, 1, 0, 1, 1), (40, 0.2, 1, 0, 0, 1), (9, 1.0, 1, 0, 0, 0), (11, 0.95, 1, 0, 0, 0), (12, 1.0, 1, 0, 0, 0)),
+    # main elements with blocks of any length
+    ((3, 1.0, 0, 1, 0, 0), (8, 0.0, 1, 0, 1, 1), (1, 0.0, 1, 0, 0, 1), (2, 0.0, 1, 0, 0, 1), (3, 0.0, 1, 0, 0, 1), (5, 0.0, 1, 0, 0, 1),
+     (8, 0.0, 1, 0, 0, 1), (13, 0.1, 1, 0, 0, 1), (21, 0.0, 1, 0, 0, 1), (34, 0.2, 1, 0, 0, 1), (55, 0.0, 1, 0, 0, 1), (6, 0.0, 0, 1, 0, 0)),
+    ((12, 0.0, 0, 1, 0, 0), (2, 0.0, 1, 0, 1, 1), (90, 0.0, 1, 0, 0, 1), (2, 0.0, 1, 0, 0, 1), (150, 0.05, 1, 0, 0, 1), (1, 0.0, 1, 0, 1, 1),
+     (30, 0.0, 1, 0, 0, 1), (4, 0.0, 1, 0, 0, 1), (200, 0.0, 1, 0, 0, 1), (9, 0.25, 1, 0, 0, 1), (22, 0.0, 0, 0, 0, 0), (60, 0.0, 0, 0, 0, 0)),
+    ((7, 0.0, 0, 0, 0, 0), (6, 0.0, 1, 0, 1, 1), (5, 0.0, 1, 0, 0, 1), (4, 0.0, 1, 0, 0, 1), (45, 0.0, 1, 0, 0, 1), (3, 0.0, 1, 0, 0, 1),
+     (18, 0.0, 1, 0, 0, 1), (75, 0.0, 1, 0, 0, 1), (14, 0.0, 1, 0, 0, 1), (1, 0.0, 1, 0, 0, 1), (40, 0.0, 0, 0, 0, 0), (5, 0.0, 0, 0, 0, 0)),
     # no main element: long text blocks between link lists
     ((4, 1.0, 0, 0, 0, 0), (3, 1.0, 0, 0, 0, 0), (9, 0.0, 0, 0, 1, 1), (70, 0.0, 0, 0, 0, 1), (50, 0.05, 0, 0, 0, 1), (8, 0.7, 0, 0, 0, 0)),
     ((2, 1.0, 0, 1, 0, 0), (12, 0.0, 0, 0, 1, 1), (30, 0.0, 0, 0, 0, 1), (6, 0.0, 0, 0, 0, 1), (25, 0.0, 0, 0, 0, 1), (14, 0.0, 0, 1, 0, 0)),
@@ -65,6 +72,11 @@ LABELLED = (
     # no main element: unmarked snippets between link lists
     ((4, 1.0, 0, 0, 0, 0), (2, 0.0, 0, 0, 0, 0), (5, 1.0, 0, 0, 0, 0), (50, 0.0, 0, 0, 0, 1), (40, 0.0, 0, 0, 0, 1), (3, 0.9, 0, 0, 0, 0), (6, 0.0, 0, 0, 0, 0)),
     ((3, 1.0, 0, 0, 0, 0), (35, 0.0, 0, 0, 0, 1), (5, 0.0, 0, 0, 0, 1), (33, 0.0, 0, 0, 0, 1), (4, 1.0, 0, 0, 0, 0), (7, 0.0, 0, 0, 0, 0), (5, 1.0, 0, 0, 0, 0)),
+    # no main element: short articles between furniture
+    ((4, 1.0, 0, 1, 0, 0), (1, 0.0, 0, 0, 1, 1), (14, 0.0, 0, 0, 0, 1), (2, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 1, 0, 0)),
+    ((9, 0.0, 0, 1, 0, 0), (4, 0.0, 0, 0, 1, 1), (8, 0.0, 0, 0, 0, 1), (5, 0.0, 0, 0, 0, 1), (12, 0.1, 0, 0, 0, 1), (6, 0.0, 0, 1, 0, 0)),
+    ((3, 0.0, 0, 0, 1, 1), (22, 0.0, 0, 0, 0, 1), (4, 0.0, 0, 0, 0, 1)),
+    ((2, 1.0, 0, 1, 0, 0), (11, 0.0, 0, 0, 0, 1), (9, 0.0, 0, 0, 0, 1), (16, 0.0, 0, 0, 0, 1), (10, 1.0, 0, 1, 0, 0)),
     # no main element: furniture with text
     ((30, 0.0, 0, 1, 0, 0), (10, 0.0, 0, 0, 1, 1), (55, 0.0, 0, 0, 0, 1), (45, 0.0, 0, 1, 0, 0), (6, 0.0, 0, 1, 1, 0)),
     # a page that is one block, and pages of furniture only
@@ -212,10 +224,9 @@ def extract_main_text(pages: DataFrame, *, html: str = "html") -> DataFrame:
     def extract(column):
         return column.map(main_text, na_action=None)
 
-    rows = packed(pages.drop(html), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("_html")) if len(pages.columns) > 1 else \
-        pages.select(F.struct().alias("row"), F.col(f"`{html}`").alias("_html"))
-    rows = rows.withColumn("_text", extract("_html"))
-    return unpacked(rows, text=F.col("_text"), n_chars=F.char_length("_text").cast("long"))
+    others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
+    rows = pages.select(*[F.col(f"`{c}`") for c in others], extract(F.coalesce(F.col(f"`{html}`"), F.lit(""))).alias("text"))
+    return rows.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op7_query(spark, sf_dir):
