@@ -75,14 +75,17 @@ def clean_int(col: ColumnOrName) -> Column:
     """P10: lenient integer ``int(float(x))``; NULL, text, infinity, NaN -> 0.
 
     Decimals are cut toward zero and ``1e3`` reads as 1000. A finite value
-    beyond BIGINT reads as 0 here; range checks against the target type are
-    the job of :func:`civitas.operators.audit.audit_fits`.
+    beyond BIGINT reads as the largest (smallest) BIGINT, so the range check
+    of :func:`civitas.operators.audit.fits` against a smaller type refuses it.
     """
     raw = _c(col).cast("string")
     # the lookbehind regex is costly: only text holding '_' needs it
     s = F.when(raw.contains("_"), F.regexp_replace(raw, r"(?<=\d)_(?=\d)", "")).otherwise(raw)
     numeric = s.rlike(NUMERIC_TEXT)
-    as_long = s.try_cast("double").try_cast("bigint")
+    d = s.try_cast("double")
+    top = F.lit((1 << 63) - 1)
+    as_long = (F.when(F.abs(d) == F.lit(float("inf")), F.lit(0))
+               .when(d >= float(1 << 63), top).when(d < -float(1 << 63), -top).otherwise(d.try_cast("bigint")))
     return F.coalesce(F.when(numeric, as_long), F.lit(0).cast("bigint"))
 
 

@@ -36,6 +36,7 @@ MARKERS = 2                 # rows behind the hashed ones: capitals, repeated se
 CAPITALS, REPEATED = BUCKETS, BUCKETS + 1
 PIECE = 1 << 20             # bytes handled at once; a longer text is cut at a space
 MAX_LABELLED = 20_000       # labelled documents read by the trainer
+TOGETHER = 64               # documents pooled by one matrix product
 HIDDEN, EPOCHS, DECAY, SEED = 16, 400, 1e-4, 11
 THRESHOLD = 0.3
 
@@ -156,13 +157,15 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 def pool(units: Units, vectors: np.ndarray, texts) -> np.ndarray:
     """One row per text: the mean vector of its units and log(1 + units); zeros without units."""
     texts = list(texts)
-    total, count = np.zeros((len(texts), DIM)), np.zeros(len(texts))
+    total, count, n = np.zeros((len(texts), DIM)), np.zeros(len(texts)), BUCKETS + MARKERS
     for docs, owner, unit in units.blocks(texts):
-        if len(unit):
-            first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            which = np.array(docs)[owner[first]]
-            total[which] += np.add.reduceat(vectors[unit], first, axis=0)
-            count[which] += np.diff(np.append(first, len(unit)))
+        at = np.searchsorted(owner, np.arange(0, len(docs) + TOGETHER, TOGETHER))
+        for k, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+            which = docs[k * TOGETHER:(k + 1) * TOGETHER]
+            # how often each document holds each unit, times the vectors
+            held = np.bincount((owner[a:b] - k * TOGETHER) * n + unit[a:b], minlength=len(which) * n).reshape(-1, n)
+            total[which] += held.astype(np.float32) @ vectors
+            count[which] += held.sum(axis=1)
     return np.column_stack((total / np.maximum(count, 1)[:, None], np.log1p(count)))
 
 

@@ -27,22 +27,24 @@ def distinct_on(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column
 
 
 def keep_latest(df: DataFrame, group: str | Sequence[str], order: Sequence[Column], n: int = 5,
-                touched: DataFrame | None = None) -> DataFrame:
+                touched: DataFrame | Column | None = None) -> DataFrame:
     """Keep the newest ``n`` rows per group, pruning only touched groups.
 
-    ``touched`` holds the group columns of newly inserted rows; groups not in
-    it are left as they are (the reference prunes on insert only). Ties in
-    ``order`` must be broken by the caller (e.g. by id desc).
+    ``touched`` holds the group columns of newly inserted rows, or is a
+    condition that marks them in ``df`` (then one scan and one shuffle do);
+    groups not touched are left as they are (rows are pruned on insert only).
+    Ties in ``order`` must be broken by the caller (e.g. by id desc).
     """
     g = _cols(group)
     w = Window.partitionBy(*g).orderBy(*order)
     if touched is None:
         return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
-    keys = touched.select(*g).distinct()
-    hit = df.join(keys, on=g, how="left_semi")
-    rest = df.join(keys, on=g, how="left_anti")
-    pruned = hit.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
-    return pruned.unionByName(rest)
+    if isinstance(touched, Column):
+        marked = df.withColumn("__hit", F.max(F.coalesce(touched, F.lit(False))).over(Window.partitionBy(*g)))
+    else:
+        marked = df.join(touched.select(*g).distinct().withColumn("__hit", F.lit(True)), on=g, how="left")
+    ranked = marked.withColumn("__rn", F.row_number().over(w))
+    return ranked.filter(~F.coalesce("__hit", F.lit(False)) | (F.col("__rn") <= n)).select(*df.columns)
 
 
 def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civitas.operators.dedupe import fold_batch
+from civitas.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,27 @@ def _fold(batch: DataFrame, keys: list[str], rules: Mapping[str, Rule], seq: str
                       first_non_null_cols=fill + ever)
 
 
+def _spread(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """0 for a complete key, else a hash of the row."""
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return F.when(null, F.xxhash64(*[F.col(q(c)) for c in columns])).otherwise(F.lit(0).cast("bigint"))
+
+
+def one_per_key(rows: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """``rows``, failing when a complete key occurs twice (a NULL key part never repeats)."""
+    keys = _keys(key)
+    rest = [c for c in rows.columns if c not in keys]
+    counted = rows.withColumn("__solo", _spread(keys, rows.columns)).groupBy(*keys, "__solo").agg(
+        F.count(F.lit(1)).alias("__n"), *[F.first(F.col(q(c))).alias(c) for c in rest])
+    repeated = (F.col("__n") > 1) & (F.col("__solo") == 0)
+    checked = counted.withColumn("__ok", F.when(repeated, F.raise_error(
+        F.lit(f"repeated key {keys} in a batch without seq"))).otherwise(F.col("__n")))
+    # rows with a NULL key part that are equal in every column come back as often as they came
+    return checked.select(F.explode(F.sequence(F.lit(1), F.col("__ok").cast("int"))), *[F.col(q(c)) for c in rows.columns]).drop("col")
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
            rules: Mapping[str, Rule] | None = None, seq: str | None = None,
            insert: bool = True) -> DataFrame:
@@ -122,10 +144,13 @@ def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
     # column instead of a dozen Column calls each.
     b = b.selectExpr(*[f"{q(c)} AS {q('__n_' + c)}" for c in b.columns], "true AS __b")
     t = target.withColumn("__t", F.lit(True))
-    cond = None
+    # Rows with a NULL key part match nothing; a hash of the whole row joins
+    # their key, so they spread over all partitions instead of meeting in one.
+    t = t.withColumn("__ts", _spread(keys, target.columns))
+    b = b.withColumn("__bs", _spread([f"__n_{k}" for k in keys], b.columns))
+    cond = t["__ts"] == b["__bs"]
     for k in keys:
-        e = t[k] == b[f"__n_{k}"]
-        cond = e if cond is None else cond & e
+        cond = cond & (t[k] == b[f"__n_{k}"])
     j = t.join(b, on=cond, how="full_outer" if insert else "left")
     have_new = set(b.columns)
     in_t, in_b = "__t IS NOT NULL", "__b IS NOT NULL"
@@ -177,12 +202,15 @@ def update_from(target: DataFrame, changes: DataFrame, key: str | Sequence[str],
                 touch_col: str | None = None, as_of=None) -> DataFrame:
     """U5 (+U6): every target row whose key matches (all of them, e.g. all
     years of a school) takes the new values; no inserts. With ``touch_col``
-    the matched rows are stamped with ``as_of``."""
+    the matched rows are stamped with ``as_of``. ``seq`` orders repeated
+    change keys; without it a repeated key is an error."""
     rules: dict[str, Rule] = {c: OVERWRITE for c in set_cols}
     if touch_col:
         rules[touch_col] = stamp(as_of if as_of is not None else F.current_timestamp())
     keys = _keys(key)
     ch = changes.select(*keys, *set_cols, *([seq] if seq else []))
+    if seq is None:
+        ch = one_per_key(ch, keys)
     return upsert(target, ch, keys, rules, seq=seq, insert=False)
 
 
@@ -195,34 +223,73 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
                   seq: str | None = None) -> DataFrame:
     """U4: ``INSERT ... ON CONFLICT DO NOTHING`` against several unique keys.
 
-    The batch is folded first (first row per key wins), then rows clashing
-    with the target on *any* unique key are skipped. Returns target plus
-    the inserted rows (target's columns).
+    As if row after row in ``seq`` order: a row goes in unless one of its
+    unique keys is held by the target or by a batch row that went in before.
+    A unique key with a NULL part never conflicts. With one key a row's fate
+    depends on its key group only; with several, rounds settle the rows that
+    come first in all their groups and drop what clashes with those, each
+    round a table in the shared folder. Returns target plus the inserted rows
+    (target's columns). ``seq`` must be a total order; it may be left out with
+    a single key (any row of a key may go in).
     """
-    from pyspark.sql import Window
-    b = batch
-    for uk in unique_keys:
-        ks = _keys(uk)
-        if seq is not None:
-            w = Window.partitionBy(*ks).orderBy(F.col(seq).asc())
-            b = b.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    uks = [_keys(uk) for uk in unique_keys]
+    if seq is None and len(uks) > 1:
+        raise ValueError("several unique keys need seq: their result depends on the row order")
+    rows = batch
+    for ks in uks:
+        held = target.select(*ks).dropna(how="any").distinct()
+        rows = rows.join(held, on=ks, how="left_anti")
+    cols, dtypes = target.columns, dict(target.dtypes)
+
+    def complete(ks: Sequence[str]) -> Column:
+        c = F.lit(True)
+        for k in ks:
+            c = c & F.col(k).isNotNull()
+        return c
+
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(dtypes[c]).alias(c) for c in cols])
+
+    if len(uks) == 1:
+        ks = uks[0]
+        if seq is None:
+            first = rows.filter(complete(ks)).dropDuplicates(ks)
         else:
-            b = b.dropDuplicates(ks)
-    for uk in unique_keys:
-        ks = _keys(uk)
-        present = target.select(*ks)
-        b = b.join(present, on=ks, how="left_anti")
-    cols = target.columns
-    fill = [F.col(c) if c in b.columns else F.lit(None).cast(dict(target.dtypes)[c]).alias(c) for c in cols]
-    return target.unionByName(b.select(*fill))
+            rest = [c for c in rows.columns if c not in ks]
+            first = rows.filter(complete(ks)).groupBy(*ks).agg(
+                F.min_by(F.struct(*rest), F.col(seq)).alias("__r")).select(*ks, *[F.col(f"__r.{q(c)}").alias(c) for c in rest])
+        free = rows.filter(~complete(ks))
+        return target.unionByName(shaped(first.select(*rows.columns))).unionByName(shaped(free))
+
+    open_rows, result = _stored(rows), target
+    while not open_rows.isEmpty():
+        first = open_rows
+        for ks in uks:
+            least = open_rows.filter(complete(ks)).groupBy(*ks).agg(F.min(seq).alias("__first"))
+            first = first.join(least, on=list(ks), how="left").filter(
+                F.col("__first").isNull() | (F.col("__first") == F.col(seq))).drop("__first")
+        first = _stored(first.select(*open_rows.columns))
+        result = result.unionByName(shaped(first))
+        left = open_rows.join(first.select(seq), on=seq, how="left_anti")
+        for ks in uks:
+            left = left.join(first.select(*ks).dropna(how="any").distinct(), on=list(ks), how="left_anti")
+        open_rows = _stored(left.select(*rows.columns))
+    return result
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """The frame written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, "insert")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def update_where(df: DataFrame, cond: Column, sets: Mapping[str, Column]) -> DataFrame:
-    """``UPDATE df SET col = expr WHERE cond`` for every matching row."""
-    out = df
-    for c, e in sets.items():
-        out = out.withColumn(c, F.when(cond, e).otherwise(F.col(c)))
-    return out
+    """``UPDATE df SET col = expr, ... WHERE cond`` for every matching row.
+
+    All expressions read the row as it was, as in SQL.
+    """
+    return df.withColumns({c: F.when(cond, e).otherwise(F.col(c)) for c, e in sets.items()})
 
 
 def split_rejects(df: DataFrame, rules: Mapping[str, Column],

@@ -43,16 +43,8 @@ def register(name: str, sql: str | None = None):
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table. A scan with fewer splits than the cluster has cores
-    (a small file with one row group is one task) is hash-spread on its key
-    column so the per-row work runs in parallel; a large input already has
-    more splits than cores and is left alone, so at scale this adds no
-    shuffle. Filters and column pruning still reach the scan."""
-    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, df.columns[0])
-    return df
+    """A driver table, as it is."""
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
 def jstr(c: Column) -> Column:
@@ -231,7 +223,7 @@ SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_c
 WHERE rn<=5 OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE {_TOUCHED})""")
 def q_w2(spark, d):
     o = t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    touched = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O"))
+    touched = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
     kept = W.keep_latest(o, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 5, touched)
     return kept.select("o_custkey", "o_orderkey")
 
@@ -275,6 +267,13 @@ def q_w5(spark, d):
     return W.work_queue(_queue_table(spark, d), "5-LOW", "recovery", 100).select("o_orderkey", "scrape_status")
 
 
+@register("W5_recovery_queue_unlimited", f"""
+SELECT o_orderkey, scrape_status FROM ({_QUEUE_SQL}) q
+WHERE scrape_status IN ('pending','partial','success') AND effective_year IS NULL""")
+def q_w5_all(spark, d):
+    return W.work_queue(_queue_table(spark, d), "5-LOW", "recovery", 0).select("o_orderkey", "scrape_status")
+
+
 @register("W4_work_queue_unlimited", f"""
 SELECT o_orderkey, scrape_status FROM ({_QUEUE_SQL}) q WHERE scrape_status IN ('pending','partial')""")
 def q_w4_all(spark, d):
@@ -284,10 +283,10 @@ def q_w4_all(spark, d):
 @register("W6_priority_queue", """
 SELECT c_custkey, CAST(list_position(['BUILDING','MACHINERY','HOUSEHOLD'], c_mktsegment) AS INTEGER) AS priority
 FROM customer WHERE list_position(['BUILDING','MACHINERY','HOUSEHOLD'], c_mktsegment)>0
-ORDER BY priority, c_custkey LIMIT 50""")
+ORDER BY priority, c_custkey""")
 def q_w6(spark, d):
     q = W.priority_queue(t(spark, d, "customer"), ["BUILDING", "MACHINERY", "HOUSEHOLD"], "c_mktsegment",
-                         then=[F.col("c_custkey").asc()], limit=50)
+                         then=[F.col("c_custkey").asc()])
     return q.select("c_custkey", "priority")
 
 
@@ -473,12 +472,13 @@ def q_p21(spark, d):
 
 
 @register("P22_lookup_code", """
-SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 129 WHEN 'MACHINERY' THEN 130 END AS code FROM customer
-WHERE c_mktsegment IN ('BUILDING','MACHINERY')""")
+SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 129 WHEN 'MACHINERY' THEN 130 END AS code,
+  CASE WHEN c_mktsegment NOT IN ('BUILDING','MACHINERY') THEN 'unknown_name' ELSE '' END AS reasons FROM customer""")
 def q_p22(spark, d):
     c = t(spark, d, "customer")
     code = C.lookup_code(F.initcap("c_mktsegment"), {"Building": 129, "machinery": 130})
-    return c.select("c_custkey", code.alias("code")).filter(F.col("code").isNotNull())
+    good, bad = U.split_rejects(c.select("c_custkey", code.alias("code")), {"unknown_name": F.col("code").isNull()})
+    return good.withColumn("reasons", F.lit("")).unionByName(bad)
 
 
 # ---------------------------------------------------------------- joins
@@ -718,6 +718,25 @@ def q_u4(spark, d):
     return U.insert_absent(target, batch, ["c_custkey"], seq="seq")
 
 
+@register("U4_insert_absent_two_keys", """
+WITH tg AS (SELECT 'a' || c_custkey AS userid, 'm' || c_custkey AS email, 0 AS seq FROM customer WHERE c_nationkey<13),
+b AS (SELECT CASE WHEN o_orderstatus='P' THEN NULL ELSE 'a' || o_custkey END AS userid,
+        CASE WHEN o_orderpriority='5-LOW' THEN NULL ELSE 'm' || o_orderkey END AS email, o_orderkey AS seq FROM orders),
+f AS (SELECT b.* FROM b WHERE (userid IS NULL OR userid NOT IN (SELECT userid FROM tg))
+        AND (email IS NULL OR email NOT IN (SELECT email FROM tg)))
+SELECT userid, email FROM tg UNION ALL
+SELECT userid, email FROM f WHERE userid IS NULL OR seq = (SELECT min(seq) FROM f g WHERE g.userid = f.userid)""")
+def q_u4_two(spark, d):
+    """Two nullable unique keys: emails repeat between target and batch only, user ids inside the batch too."""
+    c, o = t(spark, d, "customer"), t(spark, d, "orders")
+    tag = lambda p, col: F.concat(F.lit(p), F.col(col).cast("string"))
+    target = c.filter(F.col("c_nationkey") < 13).select(tag("a", "c_custkey").alias("userid"), tag("m", "c_custkey").alias("email"))
+    batch = o.select(F.when(F.col("o_orderstatus") != "P", tag("a", "o_custkey")).alias("userid"),
+                     F.when(F.col("o_orderpriority") != "5-LOW", tag("m", "o_orderkey")).alias("email"),
+                     F.col("o_orderkey").alias("seq"))
+    return U.insert_absent(target, batch, ["userid", "email"], seq="seq")
+
+
 @register("U5_update_from", """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus='F')
   THEN 0.0 ELSE l_tax END AS tax FROM lineitem""")
@@ -740,21 +759,21 @@ def q_u6(spark, d):
 
 
 @register("U7_update_where", """
-SELECT p_partkey, CASE WHEN p_brand='Brand#2' THEN p_size+1 ELSE p_size END AS p_size FROM part""")
+SELECT p_partkey, CASE WHEN p_brand='Brand#2' THEN 'moved' ELSE p_brand END AS p_brand,
+  CASE WHEN p_brand='Brand#2' THEN p_size+1 ELSE p_size END AS p_size FROM part""")
 def q_u7(spark, d):
     p = t(spark, d, "part").select("p_partkey", "p_brand", "p_size")
-    return U.update_where(p, F.col("p_brand") == "Brand#2", {"p_size": F.col("p_size") + 1}).select("p_partkey", "p_size")
+    return U.update_where(p, F.col("p_brand") == "Brand#2", {"p_brand": F.lit("moved"), "p_size": F.col("p_size") + 1})
 
 
 @register("U8_split_rejects", """
 SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderstatus NOT IN ('F','O') THEN 'status' END,
-  CASE WHEN length(o_orderpriority)>8 THEN 'length' END) AS reasons FROM orders
-WHERE o_orderstatus NOT IN ('F','O') OR length(o_orderpriority)>8""")
+  CASE WHEN length(o_orderpriority)>8 THEN 'length' END) AS reasons FROM orders""")
 def q_u8(spark, d):
     o = t(spark, d, "orders")
-    _, bad = U.split_rejects(o, {"status": ~F.col("o_orderstatus").isin("F", "O"),
-                                 "length": ~K.fits("o_orderpriority", "varchar(8)")})
-    return bad.select("o_orderkey", "reasons")
+    good, bad = U.split_rejects(o, {"status": ~F.col("o_orderstatus").isin("F", "O"),
+                                    "length": ~K.fits("o_orderpriority", "varchar(8)")})
+    return good.select("o_orderkey", F.lit("").alias("reasons")).unionByName(bad.select("o_orderkey", "reasons"))
 
 
 # ---------------------------------------------------------------- audits

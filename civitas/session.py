@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a repeated JSON key keeps its last value, as the source's parsers do
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -61,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # unset
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name shared storage "
                                "(checkpoints and scratch tables are written there)")
         # local runs and tests only: a folder on this machine is the shared storage
