@@ -6,7 +6,7 @@ from civitas.functions.cleaning import (  # noqa: F401
     where_present, with_defaults,
 )
 from civitas.functions.json import (  # noqa: F401
-    classify_response, initial_status, is_missing, json_flag, json_int,
+    classify_response, initial_status, json_flag, json_int,
     json_map_set, json_or, json_struct, json_text, profile_fields, strict_flag,
     text_flag, text_to_int, truthy_text, variant, vget,
 )

@@ -122,11 +122,6 @@ def strict_flag(v: Column, path: str) -> Column:
                       F.lit(False))
 
 
-def is_missing(v: Column, path: str) -> Column:
-    """The key is absent (an explicit JSON null is *not* missing)."""
-    return vget(v, path).isNull()
-
-
 def json_or(v: Column, path: str, default, as_type: str = "int") -> Column:
     """P20: value at path, ``default`` when the key is missing; JSON null stays NULL."""
     x = vget(v, path)
@@ -170,8 +165,12 @@ def truthy_text(v: Column, path: str) -> Column:
         | ((typ != F.lit("STRING")) & (as_num == F.lit(0.0)))
         | (F.to_json(x).isin("[]", "{}"))
     )
+    # a float prints with its point: 560001.0, not 560001
+    is_float = (typ == F.lit("DOUBLE")) | (typ == F.lit("FLOAT")) | typ.startswith("DECIMAL")
+    whole = (as_num == F.floor(as_num)) & (F.abs(as_num) < F.lit(1e16))
     text = (F.when(typ == F.lit("BOOLEAN"), F.lit("True"))
             .when(typ.startswith("ARRAY") | typ.startswith("OBJECT"), F.to_json(x))
+            .when(is_float & whole, F.concat(as_num.try_cast("bigint").cast("string"), F.lit(".0")))
             .otherwise(as_text))
     return F.when(falsy, F.lit(None).cast("string")).otherwise(text)
 
@@ -192,38 +191,29 @@ def classify_response(http_status: ColumnOrName, body: ColumnOrName) -> Column:
             .otherwise(F.lit("bad")))
 
 
-def json_map_set(doc: ColumnOrName, entry_schema: str, field: str,
-                 value_by_key: dict[str, list[str]], default: list[str]) -> Column:
+def json_map_set(doc: ColumnOrName, field: str, value_by_key: dict[str, list[str]], default: list[str]) -> Column:
     """Set ``field`` of every entry of a JSON object of objects.
 
     Keys named in ``value_by_key`` get their list, all others ``default``.
-    ``entry_schema`` is the DDL of one entry (a struct); fields absent from
-    an entry stay absent because ``to_json`` drops nulls.
+    Entries are maps of Variants, so fields nobody names, their types and
+    explicit nulls stay. NULL for text that is no object of objects.
     """
-    parsed = F.from_json(_c(doc), f"map<string, {entry_schema}>")
+    parsed = F.from_json(_c(doc), "map<string, map<string, variant>>")
+
+    def listed(values: list[str]) -> Column:
+        return F.to_variant_object(F.array(*[F.lit(x) for x in values]).cast("array<string>"))
 
     def pick(k: Column) -> Column:
-        expr = F.array(*[F.lit(x) for x in default]).cast("array<string>")
+        expr = listed(default)
         for key, vals in value_by_key.items():
-            expr = F.when(k == F.lit(key), F.array(*[F.lit(x) for x in vals]).cast("array<string>")).otherwise(expr)
+            expr = F.when(k == F.lit(key), listed(vals)).otherwise(expr)
         return expr
 
-    updated = F.transform_values(parsed, lambda k, e: e.withField(field, pick(k)))
-    return F.to_json(updated)
+    def rewritten(k: Column, e: Column) -> Column:
+        others = F.map_filter(e, lambda name, _: name != F.lit(field))
+        return F.when(e.isNotNull(), F.map_concat(others, F.create_map(F.lit(field), pick(k))))
 
-
-def unknown_entry_fields(doc: ColumnOrName, entry_schema: str) -> Column:
-    """Keys used inside the entries of a JSON object of objects that
-    ``entry_schema`` does not name (distinct, sorted). A rewrite through
-    :func:`json_map_set` would drop them, so callers route such rows aside.
-    """
-    from pyspark.sql.types import StructType, _parse_datatype_string
-    known = [f.name for f in _parse_datatype_string(entry_schema).fields] \
-        if isinstance(entry_schema, str) else [f.name for f in StructType(entry_schema).fields]
-    raw = F.from_json(_c(doc), "map<string, string>")
-    keys = F.flatten(F.transform(F.map_values(raw), lambda e: F.coalesce(F.json_object_keys(e),
-                                                                         F.array().cast("array<string>"))))
-    return F.array_sort(F.array_distinct(F.array_except(keys, F.array(*[F.lit(k) for k in known]))))
+    return F.to_json(F.transform_values(parsed, rewritten))
 
 
 def profile_fields(doc: ColumnOrName, fields: dict[str, str], root: str = "data") -> Column:

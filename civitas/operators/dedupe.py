@@ -47,6 +47,9 @@ def keep_latest(df: DataFrame, group: str | Sequence[str], order: Sequence[Colum
     return ranked.filter(~F.coalesce("__hit", F.lit(False)) | (F.col("__rn") <= n)).select(*df.columns)
 
 
+FIXED_WIDTH = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
+
+
 def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
                last_cols: Sequence[str] = (), first_cols: Sequence[str] = (),
                first_non_null_cols: Sequence[str] = ()) -> DataFrame:
@@ -66,21 +69,35 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     # order) joins the grouping key, so one aggregation serves both cases
     # and the input is computed once.
     staged = df.withColumn("__solo", F.when(null_key, F.col(seq)))
-    # One aggregate per column over the same (unique) seq picks every value
-    # from the same row; per-column buffers stay fixed-width for numeric
-    # columns, which lets Spark use a hash aggregate instead of a sort.
+    # Columns of fixed width keep an aggregate each (a hash aggregate); with
+    # text among them the aggregate sorts anyway, and one struct per kind,
+    # picked from the last (or first) row, costs one comparison of seq a row.
     def q(name: str) -> str:
         return "`" + name.replace("`", "``") + "`"
 
     s_ = q(seq)
+
+    def struct_of(cols: Sequence[str]) -> str:
+        return f"struct({', '.join(q(c) for c in cols)})"
+
+    types = dict(df.dtypes)
+    fixed = all(types[c].startswith(FIXED_WIDTH) for c in (*last_cols, *first_cols))
     aggs: list[Column] = []
-    aggs += [F.expr(f"max_by({q(c)}, {s_}) AS {q(c)}") for c in last_cols]
-    aggs += [F.expr(f"min_by({q(c)}, {s_}) AS {q(c)}") for c in first_cols]
+    if fixed:
+        aggs += [F.expr(f"max_by({q(c)}, {s_}) AS {q(c)}") for c in last_cols]
+        aggs += [F.expr(f"min_by({q(c)}, {s_}) AS {q(c)}") for c in first_cols]
+    elif last_cols:
+        aggs.append(F.expr(f"max_by({struct_of(last_cols)}, {s_}) AS __last"))
+    if first_cols and not fixed:
+        aggs.append(F.expr(f"min_by({struct_of(first_cols)}, {s_}) AS __first"))
     aggs += [F.expr(f"min_by({q(c)}, CASE WHEN {q(c)} IS NOT NULL THEN {s_} END) AS {q(c)}")
              for c in first_non_null_cols]
     aggs.append(F.expr(f"max({s_}) AS {s_}"))
     folded = staged.groupBy(*k, "__solo").agg(*aggs)
-    return folded.select(*k, *last_cols, *first_cols, *first_non_null_cols, seq)
+    if fixed:
+        return folded.select(*k, *last_cols, *first_cols, *first_non_null_cols, seq)
+    return folded.selectExpr(*[q(c) for c in k], *[f"__last.{q(c)} AS {q(c)}" for c in last_cols],
+                             *[f"__first.{q(c)} AS {q(c)}" for c in first_cols], *[q(c) for c in first_non_null_cols], s_)
 
 
 # Scrape statuses the enrichment work queues select.

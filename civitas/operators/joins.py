@@ -8,7 +8,7 @@ broadcast behind a proven size bound however the inputs grow.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,23 +91,56 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str | Sequence[str],
 
 def cascade_delete(doomed_keys: DataFrame, key: str,
                    children: Sequence[tuple[DataFrame, str, str | None]]) -> list[DataFrame]:
-    """Remove parents and, level by level, the children that reference them.
+    """J4 along a chain ``[(df, fk, own_key), ...]``: the surviving frame of every level.
 
-    ``doomed_keys`` holds one column ``key`` (the deleted parent keys).
-    ``children`` is a chain ``[(df, fk, own_key), ...]``: each level's rows
-    whose ``fk`` is doomed go, and their ``own_key`` values doom the next
-    level. Returns the surviving frame of every level. Doomed keys pass
-    between levels as a distinct key set (a semi join), never as rows.
+    Each level's rows whose ``fk`` is doomed go, and their ``own_key`` values
+    doom the next level (see :func:`cascade_tree` for any other shape).
     """
-    survivors: list[DataFrame] = []
-    doomed = doomed_keys.select(F.col(key).alias("__doomed")).distinct()
-    for df, fk, own_key in children:
-        keep = df.join(doomed, on=df[fk] == doomed["__doomed"], how="left_anti")
-        survivors.append(keep)
-        if own_key is not None:
-            gone = df.join(doomed, on=df[fk] == doomed["__doomed"], how="left_semi")
-            doomed = gone.select(F.col(own_key).alias("__doomed")).distinct()
-    return survivors
+    tables = {"0": doomed_keys}
+    links, up, up_key = [], "0", key
+    for i, (df, fk, own_key) in enumerate(children, 1):
+        tables[str(i)] = df
+        links.append((str(i), fk, up, up_key))
+        up, up_key = str(i), own_key
+    kept = cascade_tree(tables, links, "0", doomed_keys.select(key), key)
+    return [kept[str(i)] for i in range(1, len(children) + 1)]
+
+
+def cascade_tree(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str, str, str]],
+                 root: str, doomed_keys: DataFrame, key: str) -> dict[str, DataFrame]:
+    """Delete rows of ``root`` by key, and everything that references them.
+
+    ``links`` are ``(child, fk, parent, parent_key)``; a parent may have many
+    children and a child many parents (links must not form a circle). A child
+    row goes if any of its references is to a deleted row; a NULL reference
+    is to none. Returns the surviving rows of every table, the root's too.
+    Between tables only distinct keys move (semi and anti joins).
+    """
+    order, waiting = [root], [x for x in tables if x != root]
+    while waiting:
+        ready = [x for x in waiting if all(p in order for c, _, p, _ in links if c == x)]
+        if not ready:
+            raise ValueError("the links form a circle")
+        order += ready
+        waiting = [x for x in waiting if x not in ready]
+    doomed = {root: [(key, doomed_keys.select(F.col(key).alias("__d")).distinct())]}
+    gone, kept = {}, {}
+    for name in order:
+        df = tables[name]
+        hits = doomed.get(name, []) + [
+            (fk, gone[p].select(F.col(pk).alias("__d")).distinct()) for c, fk, p, pk in links if c == name and p in gone]
+        survivors = df
+        marked = df
+        for i, (col, keys) in enumerate(hits):
+            survivors = survivors.join(keys, survivors[col] == keys["__d"], "left_anti")
+            marked = marked.join(keys.withColumnRenamed("__d", f"__d{i}"), marked[col] == F.col(f"__d{i}"), "left")
+        kept[name] = survivors
+        if any(p == name for _, _, p, _ in links):
+            any_hit = F.lit(False)
+            for i in range(len(hits)):
+                any_hit = any_hit | F.col(f"__d{i}").isNotNull()
+            gone[name] = marked.filter(any_hit).select(*df.columns)
+    return kept
 
 
 def resolve_effective_year(schools: DataFrame, primary: DataFrame, probe: DataFrame,

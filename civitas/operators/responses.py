@@ -21,14 +21,15 @@ from civitas.functions.json import classify_response
 def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempts: int = 2,
                      stop_on_503: bool = True, attempt_col: str = "attempt",
                      status_col: str = "http_status", body_col: str = "body",
-                     outcome: str = "valid") -> DataFrame:
+                     outcome: str = "valid", seq_col: str = "seq") -> DataFrame:
     """A5: one resolved row per key: ``code`` (200/503/404) and ``body``.
 
     Attempts beyond ``max_attempts`` never happened. With ``outcome='valid'``
     an attempt succeeds when P16 says 'ok' and a 503 met before any success
     ends the tries with 503 (enrichment). With ``outcome='http200'`` the first
-    HTTP 200 wins whatever its body (discovery) and 503 is just a failure.
-    Nothing decisive -> 404 with NULL body.
+    HTTP 200 with a JSON body wins (discovery; a body that is no JSON is tried
+    again) and 503 is just a failure. Nothing decisive -> 404 with NULL body.
+    If there is a fetch round ``seq_col``, the latest round of a key counts.
     """
     keys = [key] if isinstance(key, str) else list(key)
     r = responses.filter(F.col(attempt_col) <= F.lit(max_attempts))
@@ -37,18 +38,15 @@ def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempt
         is_ok = cls == F.lit("ok")
         is_stop = (cls == F.lit("retry")) if stop_on_503 else F.lit(False)
     elif outcome == "http200":
-        is_ok = F.col(status_col) == F.lit(200)
+        is_ok = (F.col(status_col) == F.lit(200)) & F.try_parse_json(F.col(body_col)).isNotNull()
         is_stop = F.lit(False)
     else:
         raise ValueError(f"outcome must be 'valid' or 'http200', not {outcome!r}")
     code = F.when(is_ok, F.lit(200)).when(is_stop, F.lit(503))
-    # One partial aggregation: the earliest decisive attempt per key; rows
-    # that decide nothing carry a NULL ordering and are skipped by min_by.
-    staged = r.select(*keys, F.col(attempt_col), code.alias("__code"),
-                      F.when(is_ok, F.col(body_col)).alias("__body"))
-    first = staged.groupBy(*keys).agg(
-        F.min_by(F.struct("__code", "__body"),
-                 F.when(F.col("__code").isNotNull(), F.col(attempt_col))).alias("__first"))
+    # One partial aggregation: in the latest round the earliest decisive attempt.
+    staged = r.select(*keys, code.alias("__code"), F.when(is_ok, F.col(body_col)).alias("__body"),
+                      _precedence(r, seq_col, attempt_col, code).alias("__order"))
+    first = staged.groupBy(*keys).agg(F.max_by(F.struct("__code", "__body"), "__order").alias("__first"))
     return first.select(*keys,
                         F.coalesce(F.col("__first.__code"), F.lit(404)).cast("int").alias("code"),
                         F.col("__first.__body").alias("body"))
@@ -56,7 +54,7 @@ def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempt
 
 def resolve_attempts_wide(responses: DataFrame, key: str | Sequence[str], names: Sequence[str],
                           name_col: str = "endpoint", max_attempts: int = 2, attempt_col: str = "attempt",
-                          status_col: str = "http_status", body_col: str = "body") -> DataFrame:
+                          status_col: str = "http_status", body_col: str = "body", seq_col: str = "seq") -> DataFrame:
     """A5 for a fixed list of endpoints in one pass: one row per key with
     ``<name>_code`` and ``<name>_body`` per endpoint.
 
@@ -69,13 +67,12 @@ def resolve_attempts_wide(responses: DataFrame, key: str | Sequence[str], names:
     r = responses.filter(F.col(attempt_col) <= F.lit(max_attempts))
     cls = classify_response(status_col, body_col)
     code = F.when(cls == F.lit("ok"), F.lit(200)).when(cls == F.lit("retry"), F.lit(503))
-    staged = r.select(*keys, F.col(name_col).alias("__name"), F.col(attempt_col).alias("__attempt"),
+    staged = r.select(*keys, F.col(name_col).alias("__name"), _precedence(r, seq_col, attempt_col, code).alias("__order"),
                       code.alias("__code"), F.when(cls == F.lit("ok"), F.col(body_col)).alias("__body"))
     aggs = []
     for n in names:
         mine = F.col("__name") == F.lit(n)
-        aggs.append(F.min_by(F.struct("__code", "__body"),
-                             F.when(mine & F.col("__code").isNotNull(), F.col("__attempt"))).alias(f"__r_{n}"))
+        aggs.append(F.max_by(F.struct("__code", "__body"), F.when(mine, F.col("__order"))).alias(f"__r_{n}"))
         aggs.append(F.max(mine).alias(f"__seen_{n}"))
     wide = staged.filter(F.col("__name").isin(*names)).groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys]
@@ -86,6 +83,12 @@ def resolve_attempts_wide(responses: DataFrame, key: str | Sequence[str], names:
     return wide.select(*out)
 
 
+def _precedence(responses: DataFrame, seq_col: str, attempt_col: str, code: Column) -> Column:
+    """Order of attempts, the deciding one last: latest round, decisive before not, earliest attempt."""
+    rnd = F.col(seq_col).cast("bigint") if seq_col in responses.columns else F.lit(0).cast("bigint")
+    return F.struct(rnd, code.isNotNull(), -F.col(attempt_col))
+
+
 def manifest_of(entries: Sequence[tuple[str, Column]]) -> Column:
     """A4 on one row: JSON object name -> code of the entries whose code is
     not NULL, keys in the given order (pass them sorted)."""

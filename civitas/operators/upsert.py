@@ -80,6 +80,11 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def fold_for(batch: DataFrame, key: str | Sequence[str], rules: Mapping[str, Rule], seq: str) -> DataFrame:
+    """The batch as :func:`upsert` folds it under ``rules``: one row per key."""
+    return _fold(batch, _keys(key), rules, seq)
+
+
 def _fold(batch: DataFrame, keys: list[str], rules: Mapping[str, Rule], seq: str | None) -> DataFrame:
     """Fold the batch per key; sticky columns also carry an 'ever held value' flag."""
     data_cols = [c for c in batch.columns if c not in keys and c != seq]

@@ -1,8 +1,9 @@
 """End-to-end registry jobs (G1-G5, G7-G9) composed from the operators.
 
 Every job is ``inputs -> DataFrames``: it returns the new table (and the
-rejects) lazily; writing it as a new version is the caller's step (see
-:mod:`civitas.sources.tables`). ``as_of`` pins load-time stamps so results
+rejects); writing it as a new version is the caller's step (see
+:mod:`civitas.sources.tables`). Jobs that number new rows (G1, G7) store the
+folded batch and run the numbering while they are built; the others only plan. ``as_of`` pins load-time stamps so results
 are reproducible; it defaults to ``current_timestamp()``. Jobs returning
 ``(table, rejects)`` take ``checkpoint_batch=True`` when the caller writes
 both: the parsed batch is then materialised once instead of twice.
@@ -18,12 +19,16 @@ from pyspark.sql import functions as F
 from civitas.functions.cleaning import clean_int, completeness, lookup_code, row_sum, unmask_code
 from civitas.functions.json import initial_status, json_map_set, json_or, truthy_text, variant
 from civitas.operators.audit import fits
+from civitas.operators.dedupe import work_queue
 from civitas.operators.ids import assign_ids
 from civitas.operators.joins import effective_year, expand_hierarchy
 from civitas.operators.responses import manifest_of, resolve_attempts_wide
-from civitas.operators.upsert import KEEP, OVERWRITE, custom, insert_absent, split_rejects, stamp, sticky, upsert
+from civitas.operators.upsert import (KEEP, OVERWRITE, custom, fold_for, insert_absent, split_rejects, stamp, sticky,
+                                      upsert)
 from civitas.plans.summary import extract_summary
 from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER
+from civitas.session import scratch_path
+from civitas.sources.envelope import split_bodies
 
 
 LGD_MASTER_DDL = LGD_MASTER
@@ -67,8 +72,12 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     Names and pincode are overwritten by the last record of a code, the three
     parent codes are kept from the first insert, ``last_updated`` restamped.
     A record without a code (or longer than 50) is rejected alone instead of
-    failing its page. New rows get ids after the current maximum.
+    failing its page, a page that is no JSON as a page (``invalid_body``).
+    New rows get ids after the current maximum. The records are parsed and
+    folded once, into a stored batch of one row per code; numbering and
+    upsert read that batch.
     """
+    pages, bad_pages = split_bodies(pages)
     recs = geography_records(pages, page_col)
     good, rejects = split_rejects(recs, {
         "village_code_null": F.col("village_code").isNull(),
@@ -77,8 +86,25 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     as_of_col = _as_of(as_of)
     rules = {c: OVERWRITE for c in ("village_name", "subdistrict_name", "district_name", "state_name", "pincode")}
     rules["last_updated"] = stamp(as_of_col)
-    merged = upsert(target, good.withColumn("last_updated", as_of_col), "village_code", rules, seq="seq")
-    return number_new_rows(merged, target, good, "village_code", "id"), rejects
+    folded = stored(fold_for(good, "village_code", rules, "seq").drop("seq"), "g1-batch")
+    numbered = numbered_keys(folded, target, "village_code", "id")
+    batch = folded.join(numbered, "village_code", "left").withColumn("last_updated", as_of_col)
+    table = upsert(target, batch, "village_code", rules)
+    return table, rejects.unionByName(bad_pages.select(page_col, "body", "reasons"), allowMissingColumns=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered_keys(batch: DataFrame, target: DataFrame, key: str, id_col: str) -> DataFrame:
+    """(key, id) of the batch's keys that the target lacks, numbered after ``MAX(id)``."""
+    new_keys = batch.select(key).filter(F.col(key).isNotNull()).distinct().join(target.select(key), key, "left_anti")
+    ids = assign_ids(new_keys, target, id_col, [key])
+    return ids.select(key, F.col(id_col).cast(dict(target.dtypes)[id_col]).alias(id_col))
 
 
 def number_new_rows(merged: DataFrame, target: DataFrame, batch: DataFrame, key: str, id_col: str) -> DataFrame:
@@ -89,9 +115,7 @@ def number_new_rows(merged: DataFrame, target: DataFrame, batch: DataFrame, key:
     batch-sized; the ids reach the table through one join on the key the
     upsert already partitioned by.
     """
-    new_keys = (batch.select(key).filter(F.col(key).isNotNull()).distinct()
-                .join(target.select(key), key, "left_anti"))
-    numbered = assign_ids(new_keys, target, f"__new_{id_col}", [key], existing_col=id_col)
+    numbered = numbered_keys(batch, target, key, id_col).withColumnRenamed(id_col, f"__new_{id_col}")
     out = merged.join(numbered, key, "left")
     return out.withColumn(id_col, F.coalesce(F.col(id_col), F.col(f"__new_{id_col}")).cast(
         dict(target.dtypes)[id_col])).select(*target.columns)
@@ -202,6 +226,7 @@ SCHOOL_FIELDS = {
     "is_operational_2021_to_22": ("isOperational2021To22", "int"),
     "is_operational_2022_to_23": ("isOperational2022To23", "int"),
 }
+# Columns a later discovery run overwrites.
 DISCOVERY_OVERWRITE = ("udise_code", "school_name", "school_status", "status_name", "last_modified",
                        "is_operational_2018_to_19", "is_operational_2019_to_20", "is_operational_2020_to_21",
                        "is_operational_2021_to_22", "is_operational_2022_to_23")
@@ -227,7 +252,13 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
     Inputs are landed bodies keyed by their request parent:
     ``districts(state_id, body)`` with ``data[]``, ``blocks(district_id, body)``,
     ``clusters(block_id, body)`` with ``data[]`` and
-    ``school_pages(cluster_id, page, body)`` with ``data.content[]``.
+    ``school_pages(cluster_id, page, body)`` with ``data.content[]``. Bodies
+    that are no JSON give no rows here and are listed by
+    :func:`discovery_rejects`.
+
+    ``seq`` is the request order (district, block, cluster, page, record);
+    ``unreadable`` names the fields whose value is present but not of the
+    column's type.
     """
     from civitas.sources.envelope import explode_records
     d = explode_records(districts, "body", "$.data", {"h_district_id": ("districtId", "bigint"),
@@ -237,12 +268,14 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
     c = explode_records(clusters, "body", "$.data", {"h_cluster_id": ("clusterId", "bigint"),
                                                      "h_cluster_name": "clusterName"},
                         keep=["block_id"]).withColumnRenamed("block_id", "p_block_id")
+    at = F.col("record_index")
     levels = [
-        (d.select("state_id", "h_district_id", "h_district_name"), None, "h_district_id"),
-        (b.select("p_district_id", "h_block_id", "h_block_name"), "p_district_id", "h_block_id"),
-        (c.select("p_block_id", "h_cluster_id", "h_cluster_name"), "p_block_id", "h_cluster_id"),
+        (d.select("state_id", "h_district_id", "h_district_name", at.alias("i_district")), None, "h_district_id"),
+        (b.select("p_district_id", "h_block_id", "h_block_name", at.alias("i_block")), "p_district_id", "h_block_id"),
+        (c.select("p_block_id", "h_cluster_id", "h_cluster_name", at.alias("i_cluster")), "p_block_id", "h_cluster_id"),
     ]
-    hier = expand_hierarchy(levels).select("h_cluster_id", "h_block_name", "h_cluster_name")
+    hier = expand_hierarchy(levels).select("h_cluster_id", "h_block_name", "h_cluster_name",
+                                           "i_district", "i_block", "i_cluster")
     s = explode_records(school_pages.withColumnRenamed("cluster_id", "req_cluster_id"), "body",
                         "$.data.content", dict(SCHOOL_FIELDS), keep=["req_cluster_id", "page"])
     joined = s.join(hier, s["req_cluster_id"] == hier["h_cluster_id"], "inner")
@@ -255,28 +288,55 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
         st["school_status"].alias("school_status"), st["status_name"].alias("status_name"),
         st["scrape_status"].alias("scrape_status"),
         F.col("h_block_name").alias("block_name"), F.col("h_cluster_name").alias("cluster_name"),
-        (F.col("req_cluster_id").cast("bigint") * F.lit(1 << 40) + F.col("page").cast("bigint") * F.lit(1 << 20)
-         + F.col("record_index")).alias("seq"))
+        F.struct("i_district", "i_block", "i_cluster", F.col("req_cluster_id").cast("bigint").alias("cluster"),
+                 F.col("page").cast("bigint").alias("page"), "record_index").alias("seq"),
+        unreadable_fields("record", SCHOOL_FIELDS).alias("unreadable"))
+
+
+def unreadable_fields(record: str, fields: Mapping[str, tuple[str, str] | str]) -> Column:
+    """Comma list of the typed fields whose JSON value is present, not null, and not of the type."""
+    # written over the field's own Variant, not as the expression of the typed
+    # column: Catalyst would try every mix of column and expression in the filter
+    tests = []
+    for name, spec in fields.items():
+        if not isinstance(spec, str) and spec[1] != "string":
+            x = f"variant_get({record}, '$.{spec[0]}', 'variant')"
+            tests.append(f"CASE WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) "
+                         f"AND try_variant_get({x}, '$', '{spec[1]}') IS NULL THEN '{name}' END")
+    return F.expr(f"concat_ws(',', {', '.join(tests)})") if tests else F.lit("")
+
+
+def discovery_rejects(**landed: DataFrame) -> DataFrame:
+    """(level, body, reasons) of the landed bodies that are no JSON; ``landed`` is level -> frame."""
+    out = None
+    for level, df in landed.items():
+        bad = split_bodies(df)[1].select(F.lit(level).alias("level"), "body", "reasons")
+        out = bad if out is None else out.unionByName(bad)
+    return out
 
 
-def school_discovery(target: DataFrame, schools: DataFrame,
+def school_discovery(target: DataFrame, schools: DataFrame, as_of=None,
                      checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """Upsert discovered schools on (school_id, year_id) -> ``(table, rejects)``.
 
     Rows without an unmasked code are skipped (reported in rejects).
     ``effective_year`` keeps the stored value unless NULL; a stored
     ``success`` status is sticky; ten columns overwrite; the rest is
-    insert-only.
+    insert-only, ``last_scraped_at`` with the load time. A row with a value
+    that its column cannot hold is rejected (``unreadable``).
     """
+    if "unreadable" not in schools.columns:
+        schools = schools.withColumn("unreadable", F.lit(""))
     good, rejects = split_rejects(schools, {
         "school_id_null": F.col("school_id").isNull(),
         "no_code": F.col("udise_code").isNull(),
         "code_length": ~fits("udise_code", "varchar(11)"),
+        "unreadable": F.col("unreadable") != F.lit(""),
     }, checkpoint=checkpoint_batch)
     rules = {c: OVERWRITE for c in DISCOVERY_OVERWRITE}
     rules["scrape_status"] = sticky("success")
     rules["effective_year"] = custom(lambda old, new: F.coalesce(old, new))
-    batch = good.withColumn("effective_year", F.lit(None).cast("int"))
+    batch = good.withColumn("effective_year", F.lit(None).cast("int")).withColumn("last_scraped_at", _as_of(as_of))
     return upsert(target, batch, ["school_id", "year_id"], rules, seq="seq"), rejects
 
 
@@ -289,6 +349,23 @@ PRIMARY_ENDPOINT = "by_year"
 PROBE_ENDPOINT = "probe"
 
 
+def enrichment_queue(schools: DataFrame, state: str | None, mode: str = "normal", limit: int | None = None) -> DataFrame:
+    """W4/W5 as the job's input: the schools to request now (see :func:`civitas.operators.dedupe.work_queue`)."""
+    return work_queue(schools, state, mode, limit)
+
+
+def enrichment_rejects(responses: DataFrame, max_attempts: int = 2) -> DataFrame:
+    """(school_id, body, reasons): schools whose primary document has ``"data": null``; they stay as they are."""
+    w = resolve_attempts_wide(responses, "school_id", [PRIMARY_ENDPOINT], max_attempts=max_attempts)
+    body = F.col(f"{PRIMARY_ENDPOINT}_body")
+    return w.filter((F.col(f"{PRIMARY_ENDPOINT}_code") == 200) & _null_data(variant(body))).select(
+        "school_id", body.alias("body"), F.lit("primary_data_null").alias("reasons"))
+
+
+def _null_data(doc: Column) -> Column:
+    return F.coalesce(F.is_variant_null(F.variant_get(doc, "$.data", "variant")), F.lit(False))
+
+
 def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
                       max_attempts: int = 2) -> DataFrame:
     """Resolve landed responses and fold them into the school table.
@@ -300,13 +377,17 @@ def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
     each valid fragment in its column (a miss keeps the stored document;
     ``basic_info`` becomes ``{}``), A4 writes the manifest, G6 the summary,
     P17 the status. U5 applies it to every row of the school (all years).
-    Only schools present in ``responses`` change.
+    Only schools present in ``responses`` change, and of those not the ones
+    whose primary document has null data (:func:`enrichment_rejects`). With
+    several fetch rounds (``seq``) the latest round of an endpoint counts.
     """
     now = _as_of(as_of)
     names = [PRIMARY_ENDPOINT, PROBE_ENDPOINT, *FRAGMENT_ENDPOINTS]
     # One keyed aggregation resolves every endpoint of a school (A5); year,
     # documents and manifest are then expressions on that one row.
     w = resolve_attempts_wide(responses, "school_id", names, max_attempts=max_attempts)
+    w = w.filter(~((F.coalesce(F.col(f"{PRIMARY_ENDPOINT}_code"), F.lit(404)) == 200)
+                   & _null_data(variant(f"{PRIMARY_ENDPOINT}_body"))))
     p_code, q_code = F.col(f"{PRIMARY_ENDPOINT}_code"), F.col(f"{PROBE_ENDPOINT}_code")
     p_year = json_or(variant(f"{PRIMARY_ENDPOINT}_body"), "$.data.yearId", CURRENT_YEAR_ID)
     eff, missing_flag = effective_year(p_code, p_year, q_code, CURRENT_YEAR_ID, FALLBACK_YEAR_ID)
@@ -350,6 +431,7 @@ def school_enrichment(target: DataFrame, responses: DataFrame, as_of=None,
     return merged.select(*[(final[c] if c in final else F.col(c)).cast(dtypes[c]).alias(c) for c in target.columns])
 
 
+# The summary columns of the school table.
 SUMMARY_COLUMNS = ("total_students", "total_boys", "total_girls", "total_teachers", "has_internet",
                    "has_library", "has_playground", "has_electricity", "lgd_urban_local_body_id",
                    "lgd_urban_local_body_name", "lgd_ward_id", "lgd_ward_name")
@@ -373,21 +455,18 @@ def seed_reference(target: DataFrame, seeds: DataFrame, key: str = "name", id_co
 
 # ------------------------------------------------------ G8 config migration
 
-def migrate_config(blueprints: DataFrame, entry_schema: str, field: str = "math_dependencies",
+def migrate_config(blueprints: DataFrame, field: str = "math_dependencies",
                    value_by_key: Mapping[str, list[str]] | None = None,
                    default: Sequence[str] = (), config_col: str = "sections_config",
                    where: Column | None = None) -> DataFrame:
     """G8 (U7 + P19): rewrite one field in every section of the default blueprint(s).
 
-    A row whose sections hold a field ``entry_schema`` does not name is left
-    unchanged (rewriting it would drop that field); find such rows with
-    :func:`civitas.functions.json.unknown_entry_fields`.
+    Every other field of a section stays, explicit nulls included. A
+    configuration that is no object of objects is left as it is.
     """
-    from civitas.functions.json import unknown_entry_fields
     from civitas.operators.upsert import update_where
     cond = where if where is not None else F.coalesce(F.col("is_default"), F.lit(False))
-    cond = cond & (F.size(unknown_entry_fields(config_col, entry_schema)) == 0)
-    new = json_map_set(config_col, entry_schema, field, dict(value_by_key or {}), list(default))
+    new = F.coalesce(json_map_set(config_col, field, dict(value_by_key or {}), list(default)), F.col(config_col))
     return update_where(blueprints, cond, {config_col: new})
 
 

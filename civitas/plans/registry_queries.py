@@ -354,13 +354,13 @@ def q_p9(spark, d):
 
 @register("P10_clean_int", """
 SELECT c_custkey, CAST(CASE WHEN c_nationkey IN (0,4,8,12,16) THEN 0 WHEN c_nationkey IN (20,24) THEN 1000
-  ELSE trunc(c_acctbal) END AS BIGINT) AS n FROM customer""")
+  WHEN c_nationkey=2 THEN 9223372036854775807 ELSE CAST(trunc(c_acctbal) AS BIGINT) END AS BIGINT) AS n FROM customer""")
 def q_p10(spark, d):
     c = t(spark, d, "customer")
     text = (F.when(F.col("c_nationkey") == 0, "n/a").when(F.col("c_nationkey") == 4, "1d")
             .when(F.col("c_nationkey") == 8, "nan").when(F.col("c_nationkey") == 12, "")
             .when(F.col("c_nationkey") == 16, "Infinity").when(F.col("c_nationkey") == 20, "1_000")
-            .when(F.col("c_nationkey") == 24, " 1e3 ").otherwise(F.col("c_acctbal").cast("string")))
+            .when(F.col("c_nationkey") == 2, "1e30").when(F.col("c_nationkey") == 24, " 1e3 ").otherwise(F.col("c_acctbal").cast("string")))
     return c.select("c_custkey", C.clean_int(text).alias("n"))
 
 
@@ -402,12 +402,13 @@ def q_p13(spark, d):
 
 
 @register("P14_truthy_text", """
-SELECT c_custkey, CASE c_custkey%3 WHEN 0 THEN NULL WHEN 1 THEN '0' ELSE CAST(c_custkey+1 AS VARCHAR) END AS t
-FROM customer""")
+SELECT c_custkey, CASE c_custkey%4 WHEN 0 THEN NULL WHEN 1 THEN '0' WHEN 2 THEN CAST(c_custkey+1 AS VARCHAR) || '.0'
+  ELSE CAST(c_custkey+1 AS VARCHAR) END AS t FROM customer""")
 def q_p14(spark, d):
     c = t(spark, d, "customer")
-    m = F.col("c_custkey") % 3
+    m = F.col("c_custkey") % 4
     doc = (F.when(m == 0, F.lit('{"pincode": 0}')).when(m == 1, F.lit('{"pincode": "0"}'))
+           .when(m == 2, F.concat(F.lit('{"pincode": '), (F.col("c_custkey") + 1).cast("string"), F.lit(".0}")))
            .otherwise(F.concat(F.lit('{"pincode": '), (F.col("c_custkey") + 1).cast("string"), F.lit("}"))))
     return c.select("c_custkey", J.truthy_text(J.variant(doc), "$.pincode").alias("t"))
 
@@ -532,6 +533,29 @@ def q_j4(spark, d):
     return lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("J4_cascade_tree", """
+WITH c AS (SELECT c_custkey FROM customer WHERE c_nationkey<>0),
+o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM c)),
+s AS (SELECT s_suppkey FROM supplier WHERE s_nationkey<>0),
+l AS (SELECT 1 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM o) AND l_suppkey IN (SELECT s_suppkey FROM s))
+SELECT 'nation' AS tab, count(*)::BIGINT AS n FROM nation WHERE n_nationkey<>0 UNION ALL SELECT 'customer', count(*)::BIGINT FROM c
+UNION ALL SELECT 'orders', count(*)::BIGINT FROM o UNION ALL SELECT 'supplier', count(*)::BIGINT FROM s
+UNION ALL SELECT 'lineitem', count(*)::BIGINT FROM l""")
+def q_j4_tree(spark, d):
+    """One parent with two children (customer, supplier) and one child with two parents (lineitem)."""
+    tables = {n: t(spark, d, n) for n in ("nation", "customer", "supplier", "orders", "lineitem")}
+    links = [("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+             ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+             ("lineitem", "l_suppkey", "supplier", "s_suppkey")]
+    doomed = tables["nation"].filter("n_nationkey = 0").select("n_nationkey")
+    kept = JN.cascade_tree(tables, links, "nation", doomed, "n_nationkey")
+    out = None
+    for name, df in kept.items():
+        n = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tab"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 @register("J5_effective_year", """
 SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'F' THEN (CASE WHEN o_orderpriority='1-URGENT' THEN 10 ELSE 12 END)
   WHEN 'O' THEN 11 ELSE 12 END AS INTEGER) AS y, (o_orderstatus='P') AS missing FROM orders""")
@@ -608,6 +632,7 @@ def _attempts(spark, d) -> DataFrame:
     status = F.when(F.col("event_type") == "error", 503).when(F.col("event_type").isin("purchase", "click"), 200) \
               .otherwise(404)
     body = (F.when(F.col("event_type") == "purchase", F.lit('{"status": true, "data": {"v": 1}}'))
+            .when((F.col("event_type") == "click") & (F.col("event_id") % 2 == 0), F.lit("not json"))
             .when(F.col("event_type") == "click", F.lit('{"status": "true"}')))
     return e.select((F.col("event_id") / 3).cast("bigint").alias("req"),
                     ((F.col("event_id") % 3) + 1).cast("int").alias("attempt"),
@@ -623,7 +648,7 @@ def q_a5(spark, d):
 
 
 @register("A5_resolve_attempts_http200", """
-SELECT event_id//3 AS req, CAST(CASE WHEN bool_or(event_type IN ('purchase','click')) THEN 200 ELSE 404 END
+SELECT event_id//3 AS req, CAST(CASE WHEN bool_or(event_type='purchase' OR (event_type='click' AND event_id%2=1)) THEN 200 ELSE 404 END
   AS INTEGER) AS code FROM events GROUP BY 1""")
 def q_a5b(spark, d):
     return R.resolve_attempts(_attempts(spark, d), "req", max_attempts=3, outcome="http200").select("req", "code")
@@ -880,13 +905,16 @@ def _zip_partition(batches):
 
 
 @register("S3_csv_named", """
-SELECT s_suppkey, s_name, CAST(NULL AS VARCHAR) AS s_missing FROM supplier""")
+SELECT s_suppkey, s_name, CASE WHEN s_suppkey%2=0 THEN 'extra' END AS s_sometimes, CAST(NULL AS VARCHAR) AS s_missing FROM supplier""")
 def q_s3(spark, d):
     from civitas.sources.csv import read_csv_named, write_csv
     s = t(spark, d, "supplier")
     path = scratch_path(spark, "s3")
-    write_csv(s.select("s_acctbal", "s_name", "s_suppkey"), path)
-    return read_csv_named(spark, path, {"s_suppkey": "bigint", "s_name": "string", "s_missing": "string"})
+    # files of one folder whose headers differ in order and in columns
+    write_csv(s.filter("s_suppkey % 2 = 1").select("s_acctbal", "s_name", "s_suppkey"), f"{path}/a")
+    write_csv(s.filter("s_suppkey % 2 = 0").select("s_suppkey", F.lit("extra").alias("s_sometimes"), "s_name"), f"{path}/b")
+    return read_csv_named(spark, f"{path}/*", {"s_suppkey": "bigint", "s_name": "string", "s_sometimes": "string",
+                                               "s_missing": "string"})
 
 
 def _records_pages(spark, d, nested: bool) -> DataFrame:
@@ -898,20 +926,40 @@ def _records_pages(spark, d, nested: bool) -> DataFrame:
     return pages.select("page", F.to_json(env).alias("body"))
 
 
-@register("S4_explode_records", "SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderpriority AS name FROM orders")
+def _faulty(pages: DataFrame, first_key: str) -> DataFrame:
+    """Landed pages with faults: every fifth repeats its first key (the last value counts), every fifth is cut off."""
+    kind = F.col("page") % 5
+    doubled = F.concat(F.lit('{"' + first_key + '": [], '), F.expr("substr(body, 2)"))
+    return pages.withColumn("body", F.when(kind == 1, doubled).when(kind == 2, F.expr("substr(body, 1, length(body) - 3)"))
+                            .otherwise(F.col("body")))
+
+
+def _with_bad_pages(good: DataFrame, bad: DataFrame) -> DataFrame:
+    rejected = bad.select(F.lit(None).cast(dict(good.dtypes)["code"]).alias("code"), F.col("page").cast("string").alias("name"), "reasons")
+    return good.withColumn("reasons", F.lit("")).unionByName(rejected)
+
+
+_BAD_PAGES = "SELECT DISTINCT o_orderkey//100 AS page FROM orders WHERE (o_orderkey//100)%5=2"
+
+
+@register("S4_explode_records", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<>2
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), 'invalid_body' FROM ({_BAD_PAGES}) x""")
 def q_s4(spark, d):
-    from civitas.sources.envelope import explode_records
-    pages = _records_pages(spark, d, nested=False)
-    return explode_records(pages, "body", "$.records", {"code": "villageCode", "name": "villageNameEnglish"}) \
-        .select("code", "name")
+    from civitas.sources.envelope import explode_records, split_bodies
+    pages, bad = split_bodies(_faulty(_records_pages(spark, d, nested=False), "records"))
+    good = explode_records(pages, "body", "$.records", {"code": "villageCode", "name": "villageNameEnglish"})
+    return _with_bad_pages(good.select("code", "name"), bad)
 
 
-@register("S5_explode_nested", "SELECT o_orderkey AS code, o_orderpriority AS name FROM orders")
+@register("S5_explode_nested", f"""
+SELECT o_orderkey AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<>2
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), 'invalid_body' FROM ({_BAD_PAGES}) x""")
 def q_s5(spark, d):
-    from civitas.sources.envelope import explode_records
-    pages = _records_pages(spark, d, nested=True)
-    return explode_records(pages, "body", "$.data.content", {"code": ("villageCode", "bigint"),
-                                                             "name": "villageNameEnglish"}).select("code", "name")
+    from civitas.sources.envelope import explode_records, split_bodies
+    pages, bad = split_bodies(_faulty(_records_pages(spark, d, nested=True), "data"))
+    good = explode_records(pages, "body", "$.data.content", {"code": ("villageCode", "bigint"), "name": "villageNameEnglish"})
+    return _with_bad_pages(good.select("code", "name"), bad)
 
 
 @register("S6_append_table", "SELECT c_custkey, CAST(2 AS BIGINT) AS n FROM customer")
@@ -946,38 +994,51 @@ def q_s9(spark, d):
 
 
 @register("S7_incremental_equals_batch", """
-SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY 1""")
+SELECT coalesce(k, c_custkey) AS o_custkey, coalesce(price, -c_acctbal) AS price
+FROM (SELECT o_custkey AS k, arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY 1) x
+FULL OUTER JOIN (SELECT * FROM customer WHERE c_nationkey<13) c ON c_custkey=k""")
 def q_s7(spark, d):
-    from civitas.sources.tables import read_latest
+    """Three streams with a fresh checkpoint each, one after the other, into a table that already holds data."""
+    from civitas.sources.tables import read_latest, write_version
     from civitas.streaming.incremental import incremental_upsert
     base = scratch_path(spark, "s7")
+    c = t(spark, d, "customer").filter("c_nationkey < 13")
+    write_version(c.select(F.col("c_custkey").alias("o_custkey"), F.lit(0.0).alias("price")), f"{base}/target")
+    write_version(c.select(F.col("c_custkey").alias("o_custkey"), (-F.col("c_acctbal")).alias("price")), f"{base}/target")
     o = t(spark, d, "orders").select("o_custkey", "o_totalprice", "o_orderkey")
-    # Land three batches in key order (cut at approximate terciles, two
-    # scalars): pages arrive in order, so the stream's "later wins" equals
-    # the batch "largest order key wins".
+    # Landed in key order (cut at approximate terciles, two scalars): the
+    # stream's "later wins" then equals the batch's "largest order key wins".
     q1, q2 = o.approxQuantile("o_orderkey", [1 / 3, 2 / 3], 0.01)
     cuts = [F.col("o_orderkey") < q1, (F.col("o_orderkey") >= q1) & (F.col("o_orderkey") < q2),
             F.col("o_orderkey") >= q2]
     for i, cond in enumerate(cuts):
         o.filter(cond).write.mode("overwrite").json(f"{base}/landing/part-{i}")
-    incremental_upsert(
-        spark, f"{base}/landing/*", "o_custkey long, o_totalprice double, o_orderkey long",
-        f"{base}/target", "o_custkey long, price double", f"{base}/checkpoint", "o_custkey",
-        {"price": U.OVERWRITE}, seq="o_orderkey",
-        prepare=lambda b: b.select("o_custkey", F.col("o_totalprice").alias("price"), "o_orderkey"),
-        status_path=f"{base}/status", job="orders", max_files_per_trigger=8)
+        incremental_upsert(
+            spark, f"{base}/landing/part-{i}", "o_custkey long, o_totalprice double, o_orderkey long",
+            f"{base}/target", "o_custkey long, price double", f"{base}/checkpoint-{i}", "o_custkey",
+            {"price": U.OVERWRITE}, seq="o_orderkey",
+            prepare=lambda b: b.select("o_custkey", F.col("o_totalprice").alias("price"), "o_orderkey"),
+            status_path=f"{base}/status", job="orders", max_files_per_trigger=8)
     return read_latest(spark, f"{base}/target")
 
 
 # ------------------------------------------------------------------ jobs
 
-@register("G1_geography_sync", """
-SELECT village_code, village_name, district_code, pincode FROM (
-  SELECT CAST(o_custkey AS VARCHAR) AS village_code,
-    (arg_max([o_orderpriority], o_orderkey))[1] AS village_name,
-    (arg_min([o_orderstatus], o_orderkey))[1] AS district_code,
+@register("G1_geography_sync", f"""
+WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS code, * FROM orders WHERE (o_orderkey//100)%5<>2),
+f AS (SELECT code, (arg_max([o_orderpriority], o_orderkey))[1] AS name, (arg_min([o_orderstatus], o_orderkey))[1] AS district,
     (arg_max([CASE WHEN o_orderkey%7=0 THEN NULL ELSE CAST(o_orderkey%7 AS VARCHAR) END], o_orderkey))[1] AS pincode
-  FROM orders GROUP BY o_custkey) x""")
+  FROM r GROUP BY code),
+tg AS (SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS code, c_name AS name, 'T' AS district, '000' AS pincode
+  FROM customer WHERE c_nationkey<13),
+nw AS (SELECT code, (SELECT max(id) FROM tg) + row_number() OVER (ORDER BY code) AS id FROM f
+  WHERE code NOT IN (SELECT code FROM tg))
+SELECT coalesce(tg.code, f.code) AS village_code, coalesce(f.name, tg.name) AS village_name,
+  CASE WHEN tg.code IS NOT NULL THEN tg.district ELSE f.district END AS district_code,
+  CASE WHEN f.code IS NOT NULL THEN f.pincode ELSE tg.pincode END AS pincode,
+  CAST(coalesce(tg.id, nw.id) AS INTEGER) AS id, (f.code IS NOT NULL) AS restamped, '' AS reasons
+FROM tg FULL OUTER JOIN f ON tg.code=f.code LEFT JOIN nw ON nw.code=f.code
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), NULL, NULL, NULL, NULL, 'invalid_body' FROM ({_BAD_PAGES}) x""")
 def q_g1(spark, d):
     o = t(spark, d, "orders")
     pin = F.when(F.col("o_orderkey") % 7 == 0, F.lit(0)).otherwise((F.col("o_orderkey") % 7).cast("int"))
@@ -989,9 +1050,17 @@ def q_g1(spark, d):
     pages = (o.groupBy((F.col("o_orderkey") / 100).cast("bigint").alias("page"))
              .agg(F.array_sort(F.collect_list(rec)).alias("rs"))
              .select("page", F.to_json(F.struct(F.col("rs.r").alias("records"))).alias("body")))
-    empty = spark.createDataFrame([], G.LGD_MASTER_DDL)
-    table, _ = G.geography_sync(empty, pages, as_of=_ts(_T1))
-    return table.select("village_code", "village_name", "district_code", "pincode")
+    target = conform(spark, t(spark, d, "customer").filter("c_nationkey < 13").select(
+        F.col("c_custkey").alias("id"), F.col("c_custkey").cast("string").alias("village_code"),
+        F.col("c_name").alias("village_name"), F.lit("T").alias("district_code"), F.lit("000").alias("pincode"),
+        _ts(_T1).alias("last_updated")), G.LGD_MASTER_DDL)
+    table, rejects = G.geography_sync(target, _faulty(pages, "records"), as_of=_ts(_T2))
+    loaded = table.select("village_code", "village_name", "district_code", "pincode", F.col("id").cast("int").alias("id"),
+                          (F.col("last_updated") == _ts(_T2)).alias("restamped"), F.lit("").alias("reasons"))
+    none = lambda kind, n: F.lit(None).cast(kind).alias(n)
+    return loaded.unionByName(rejects.select(
+        "village_code", F.col("page").cast("string").alias("village_name"), none("string", "district_code"),
+        none("string", "pincode"), none("int", "id"), none("boolean", "restamped"), "reasons"))
 
 
 @register("G2_district_load", """
@@ -1047,25 +1116,26 @@ def q_g7(spark, d):
 
 
 _SECTIONS = ("SOLUTION", "COSTS", "RISKS")
-_ENTRY = "struct<id: bigint, label: string, math_dependencies: array<string>>"
+_ENTRY = "struct<id: bigint, label: string, unnamed: struct<deep: array<int>>, math_dependencies: array<string>>"
 
 
 def _config_docs(spark, d) -> DataFrame:
+    """Configurations whose sections hold a nested field and an explicit null that no rule names."""
     o = t(spark, d, "orders")
-    entries = []
-    for name in _SECTIONS:
-        deps = F.array(F.lit("OLD")) if name == "COSTS" else F.lit(None).cast("array<string>")
-        entries += [F.lit(name), F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("label"),
-                                          deps.alias("math_dependencies"))]
-    return o.select("o_orderkey", (F.col("o_orderstatus") == "F").alias("is_default"),
-                    F.to_json(F.create_map(*entries)).alias("sections_config"))
+    old = {"COSTS": '["OLD"]'}
+    section = lambda n: F.concat(
+        F.lit(f'"{n}": {{"id": '), F.col("o_orderkey").cast("string"), F.lit(', "label": '), jstr(F.col("o_orderpriority")),
+        F.lit(', "empty": null, "unnamed": {"deep": [1, 2]}' + (f', "math_dependencies": {old[n]}' if n in old else "") + "}"))
+    doc = F.concat(F.lit("{"), F.concat_ws(", ", *[section(n) for n in _SECTIONS]), F.lit("}"))
+    return o.select("o_orderkey", (F.col("o_orderstatus") == "F").alias("is_default"), doc.alias("sections_config"))
 
 
 def _explode_config(df: DataFrame) -> DataFrame:
     m = F.from_json("sections_config", f"map<string, {_ENTRY}>")
-    ex = df.select("o_orderkey", F.explode(m).alias("section", "e"))
-    return ex.select("o_orderkey", "section", F.array_join("e.math_dependencies", ",").alias("deps"),
-                     F.col("e.id").alias("id"))
+    ex = df.select("o_orderkey", "sections_config", F.explode(m).alias("section", "e"))
+    return ex.select("o_orderkey", "section", F.array_join("e.math_dependencies", ",").alias("deps"), F.col("e.id").alias("id"),
+                     F.array_join("e.unnamed.deep", "+").alias("deep"),
+                     F.col("sections_config").contains('"empty":').alias("null_kept"))
 
 
 def _config_sql(where_default: bool) -> str:
@@ -1074,7 +1144,7 @@ def _config_sql(where_default: bool) -> str:
         old = "'OLD'" if name == "COSTS" else "NULL"
         new = "'SOLUTION,BENEFICIARIES'" if name == "COSTS" else "''"
         deps = f"CASE WHEN o_orderstatus='F' THEN {new} ELSE {old} END" if where_default else new
-        parts.append(f"SELECT o_orderkey, '{name}' AS section, {deps} AS deps, o_orderkey AS id FROM orders")
+        parts.append(f"SELECT o_orderkey, '{name}' AS section, {deps} AS deps, o_orderkey AS id, '1+2' AS deep, true AS null_kept FROM orders")
     return " UNION ALL ".join(parts)
 
 
@@ -1082,13 +1152,13 @@ def _config_sql(where_default: bool) -> str:
 def q_p19(spark, d):
     docs = _config_docs(spark, d)
     docs = docs.withColumn("sections_config", J.json_map_set(
-        "sections_config", _ENTRY, "math_dependencies", {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, []))
+        "sections_config", "math_dependencies", {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, []))
     return _explode_config(docs)
 
 
 @register("G8_config_migration", _config_sql(True))
 def q_g8(spark, d):
-    migrated = G.migrate_config(_config_docs(spark, d), _ENTRY, "math_dependencies",
+    migrated = G.migrate_config(_config_docs(spark, d), "math_dependencies",
                                 {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, [])
     return _explode_config(migrated)
 
@@ -1106,17 +1176,21 @@ def _masked(orderkey: Column) -> Column:
 
 
 @register("G4_school_discovery", """
+WITH o AS (SELECT *, (o_orderstatus='F' AND o_orderpriority='1-URGENT') AS stored, (o_orderkey%11=0) AS malformed FROM orders)
 SELECT o_orderkey AS school_id,
-  CAST(c_nationkey AS VARCHAR) || right(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 5) AS udise_code,
-  CASE WHEN NOT (o_orderstatus='F' AND o_orderpriority='1-URGENT') THEN c_name END AS block_name,
-  CASE WHEN NOT (o_orderstatus='F' AND o_orderpriority='1-URGENT') THEN 'C-' || CAST(c_custkey AS VARCHAR) END
-    AS cluster_name,
-  CASE WHEN o_orderstatus='F' AND o_orderpriority='1-URGENT' THEN 'success'
-       WHEN o_orderstatus='O' THEN 'closed_registry' ELSE 'pending' END AS scrape_status,
-  CASE WHEN o_orderstatus='F' AND o_orderpriority='1-URGENT' THEN 11 END AS effective_year,
-  CASE o_orderstatus WHEN 'O' THEN 1 ELSE 0 END AS school_status,
-  CASE WHEN o_orderstatus='P' THEN 'Unknown' ELSE o_orderpriority END AS status_name
-FROM orders JOIN customer ON c_custkey=o_custkey""")
+  CASE WHEN stored AND malformed THEN '2912****' ELSE CAST(c_nationkey AS VARCHAR) END
+    || right(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 5) AS udise_code,
+  CASE WHEN NOT stored THEN c_name END AS block_name,
+  CASE WHEN NOT stored THEN 'C-' || CAST(c_custkey AS VARCHAR) END AS cluster_name,
+  CASE WHEN stored THEN 'success' WHEN o_orderstatus='O' THEN 'closed_registry' ELSE 'pending' END AS scrape_status,
+  CASE WHEN stored THEN 11 END AS effective_year,
+  CASE WHEN malformed THEN NULL WHEN o_orderstatus='O' THEN 1 ELSE 0 END AS school_status,
+  CASE WHEN malformed THEN NULL WHEN o_orderstatus='P' THEN 'Unknown' ELSE o_orderpriority END AS status_name,
+  NOT stored AS loaded_now, '' AS reasons
+FROM o JOIN customer ON c_custkey=o_custkey WHERE stored OR NOT malformed
+UNION ALL
+SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) || right(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 5), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  'unreadable' FROM o JOIN customer ON c_custkey=o_custkey WHERE malformed""")
 def q_g4(spark, d):
     from civitas.schemas import SCHOOLS
     n, c, o = t(spark, d, "nation"), t(spark, d, "customer"), t(spark, d, "orders")
@@ -1128,8 +1202,10 @@ def q_g4(spark, d):
               .agg(F.collect_list(F.struct(F.col("c_custkey").alias("blockId"),
                                            F.col("c_name").alias("blockName"))).alias("data"))
               .select("district_id", F.to_json(F.struct("data")).alias("body")))
+    # cluster ids far beyond 2^24: an order key built by shifting them would overflow
+    cluster = lambda key: F.col(key).cast("bigint") + F.lit(9_000_000_000)
     clusters = c.select(F.col("c_custkey").alias("block_id"), F.to_json(F.struct(F.array(F.struct(
-        F.col("c_custkey").alias("clusterId"),
+        cluster("c_custkey").alias("clusterId"),
         F.concat(F.lit("C-"), F.col("c_custkey").cast("string")).alias("clusterName"))).alias("data"))).alias("body"))
     oc = o.join(c.select("c_custkey", "c_nationkey"), o["o_custkey"] == c["c_custkey"])
     status = F.when(F.col("o_orderstatus") == "F", F.lit(0)).when(F.col("o_orderstatus") == "O", F.lit(1))
@@ -1137,11 +1213,12 @@ def q_g4(spark, d):
                    F.col("o_orderpriority").alias("schoolName"), status.alias("schoolStatus"),
                    F.col("o_orderpriority").alias("schoolStatusName"),
                    F.col("c_nationkey").cast("string").alias("blockCd"), F.col("o_custkey").alias("blockId"),
-                   F.col("o_custkey").alias("clusterId"), F.lit("S").alias("stateName"))
+                   cluster("o_custkey").alias("clusterId"), F.lit("S").alias("stateName"),
+                   F.when(F.col("o_orderkey") % 11 == 0, F.lit("abc")).otherwise(F.lit("560001")).alias("pincode"))
     # JSON drops null fields, so status P records have no schoolStatus / name at all
     rec_json = F.when(F.col("o_orderstatus") == "P", F.to_json(rec.dropFields("schoolStatus", "schoolStatusName"))) \
                 .otherwise(F.to_json(rec))
-    pages = (oc.groupBy(F.col("o_custkey").alias("cluster_id"), (F.col("o_orderkey") / 50).cast("bigint").alias("page"))
+    pages = (oc.groupBy(cluster("o_custkey").alias("cluster_id"), (F.col("o_orderkey") / 50).cast("bigint").alias("page"))
              .agg(F.collect_list(rec_json).alias("recs"))
              .select("cluster_id", "page",
                      F.concat(F.lit('{"data": {"content": ['), F.array_join("recs", ","), F.lit("]}}")).alias("body")))
@@ -1151,9 +1228,12 @@ def q_g4(spark, d):
         _masked(F.col("o_orderkey")).alias("udise_code"), F.lit("success").alias("scrape_status"),
         F.lit(11).alias("effective_year")), SCHOOLS)
     schools = G.discovered_schools(districts, blocks, clusters, pages)
-    table, _ = G.school_discovery(target, schools)
-    return table.select(F.col("school_id"), "udise_code", "block_name", "cluster_name", "scrape_status",
-                        "effective_year", "school_status", "status_name")
+    table, rejects = G.school_discovery(target, schools, as_of=_ts(_T1))
+    shown = ["school_id", "udise_code", "block_name", "cluster_name", "scrape_status", "effective_year", "school_status", "status_name"]
+    loaded = table.select(*shown, F.col("last_scraped_at").isNotNull().alias("loaded_now"), F.lit("").alias("reasons"))
+    refused = rejects.select("school_id", "udise_code", *[F.lit(None).cast(dict(loaded.dtypes)[c]).alias(c) for c in shown[2:]],
+                             F.lit(None).cast("boolean").alias("loaded_now"), "reasons")
+    return loaded.unionByName(refused)
 
 
 def _enrichment_inputs(spark, d):
@@ -1253,7 +1333,8 @@ def q_s7b(spark, d):
 
 
 @register("S1_csv_positional_rejects", """
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source FROM documents WHERE doc_id%10<>0""")
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id%10<>0 THEN lang END AS lang,
+  CASE WHEN doc_id%10<>0 THEN source END AS source, (doc_id%10=0) AS rejected FROM documents""")
 def q_s1_rejects(spark, d):
     """Rows with a wrong field count go to rejects; the rest loads by position."""
     from civitas.sources.csv import read_csv_positional
@@ -1266,7 +1347,9 @@ def q_s1_rejects(spark, d):
     docs.select(line.alias("value")).write.mode("overwrite").text(f"{path}/rows")
     good, bad = read_csv_positional(spark, f"{path}/rows", ["doc_id", "lang", "source"], on_bad="reject",
                                     header=False)
-    return good
+    shown = bad.select(F.split("_corrupt_record", ",")[0].alias("doc_id"), F.lit(None).cast("string").alias("lang"),
+                       F.lit(None).cast("string").alias("source"), F.lit(True).alias("rejected"))
+    return good.withColumn("rejected", F.lit(False)).unionByName(shown)
 
 
 @register("U1_upsert_buckets", """

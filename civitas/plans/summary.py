@@ -18,8 +18,9 @@ from civitas.functions.json import strict_flag, variant
 def extract_summary(df: DataFrame, social: str = "enrollment_social", report: str = "report_card",
                     facility: str = "facility_data", profile: str = "profile_data",
                     only_when: Column | None = None) -> DataFrame:
-    """Add the 12 summary columns and ``summary_error`` (a document whose
-    ``data`` is null, which the row-at-a-time extractor could not read).
+    """Add the 12 summary columns and ``summary_error``: what the
+    row-at-a-time extractor could not read -- a document whose ``data`` is
+    null, a null total object, a count that is present but no integer.
 
     ``only_when`` limits the parsing to the rows that need a new summary
     (e.g. the schools of this enrichment batch inside the whole table);
@@ -53,6 +54,16 @@ def extract_summary(df: DataFrame, social: str = "enrollment_social", report: st
     def data_null(v: Column) -> Column:
         return F.coalesce(v.isNotNull() & F.is_variant_null(v), F.lit(False))
 
+    def bad_count(v: Column, path: str) -> Column:
+        x = F.variant_get(v, path, "variant")
+        return F.coalesce(x.isNotNull() & ~F.is_variant_null(x)
+                          & ((F.schema_of_variant(x) == F.lit("STRING")) | F.try_variant_get(x, "$", "int").isNull()), F.lit(False))
+
+    bad_counts = data_null(st)
+    for v, path in ((st, "$.rowBoyTotal"), (st, "$.rowGirlTotal"), (st, "$.rowTotal"),
+                    (r, "$.totMale"), (r, "$.totFemale"), (r, "$.totalTeacher")):
+        bad_counts = bad_counts | bad_count(v, path)
+
     cols = {
         "total_students": when_present(sp, students, -1).cast("int"),
         "total_boys": when_present(sp, b, -1).cast("int"),
@@ -66,7 +77,7 @@ def extract_summary(df: DataFrame, social: str = "enrollment_social", report: st
         "lgd_urban_local_body_name": F.when(pp, F.try_variant_get(p, "$.lgdurbanlocalbodyName", "string")),
         "lgd_ward_id": F.when(pp, F.try_variant_get(p, "$.lgdwardId", "string")),
         "lgd_ward_name": F.when(pp, F.try_variant_get(p, "$.lgdwardName", "string")),
-        "summary_error": data_null(s) | data_null(r) | data_null(f) | data_null(p),
+        "summary_error": data_null(s) | data_null(r) | data_null(f) | data_null(p) | bad_counts,
     }
     # one projection (withColumns), not one re-analysed plan per column
     return df.withColumns(cols).drop("__ds", "__dr", "__df", "__dp", "__dst")

@@ -38,7 +38,10 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
     fields = [T.StructField(c, T.StringType(), True) for c in columns]
     reader = (spark.read.option("header", header).option("enforceSchema", True)
               .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-              .option("emptyValue", EMPTY_MARK).option("nullValue", ""))
+              .option("emptyValue", EMPTY_MARK).option("nullValue", "")
+              # whole rows are parsed even if few columns are asked for: a row
+              # of the wrong length is found whichever columns a query reads
+              .option("columnPruning", False))
     if on_bad == "fail":
         df = reader.option("mode", "FAILFAST").schema(T.StructType(fields)).csv(path)
         return _unmark(df, columns)
@@ -47,11 +50,10 @@ def read_csv_positional(spark: SparkSession, path: str | Sequence[str], columns:
         df = (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
               .schema(schema).csv(path))
         # Spark refuses a query that reads only the corrupt column of a raw
-        # CSV scan; checkpointing the parsed frame avoids the restriction and
-        # gives both outputs one parse.
-        df = df.checkpoint(eager=True)
-        good = _unmark(df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), columns)
-        bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+        # CSV scan: a data column (always readable) is read beside it.
+        always = F.length(F.coalesce(F.col(columns[0]), F.lit(""))) >= 0
+        good = _unmark(df.filter(F.col(CORRUPT).isNull() & always).drop(CORRUPT), columns)
+        bad = df.filter(F.col(CORRUPT).isNotNull() & always).select(CORRUPT)
         return good, bad
     raise ValueError(f"on_bad must be 'fail' or 'reject', not {on_bad!r}")
 
@@ -69,10 +71,26 @@ def select_named(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
 
 
 def read_csv_named(spark: SparkSession, path: str | Sequence[str], wanted: Mapping[str, str]) -> DataFrame:
-    """S3: CSV matched by header **name**; missing columns -> NULL, extras ignored."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
-    return select_named(df, wanted)
+    """S3: CSV matched by header **name**; missing columns -> NULL, extras ignored.
+
+    Files may differ in header: they are read per distinct header line and
+    united by name. Only one short row per file (its header) is looked at on
+    the driver.
+    """
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for r in first.collect():
+        by_header.setdefault(r["header"], []).append(r["file"])
+    out = None
+    for _, files in sorted(by_header.items()):
+        df = (spark.read.option("header", True).option("inferSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", True).csv(sorted(files)))
+        part = select_named(df, wanted)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in wanted.items()))
+    return out
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:

@@ -15,6 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def split_bodies(df: DataFrame, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(readable, rejects)``: a body that is NULL or no JSON is rejected, reason ``invalid_body``.
+
+    A repeated key is no fault: its last value counts
+    (``spark.sql.variant.allowDuplicateKeys``).
+    """
+    readable = F.try_parse_json(F.col(body_col)).isNotNull()
+    return df.filter(readable), df.filter(~readable).withColumn("reasons", F.lit("invalid_body"))
+
+
 def explode_records(df: DataFrame, body_col: str, path: str = "$.records",
                     fields: Mapping[str, tuple[str, str] | str] | None = None,
                     keep: Sequence[str] = ()) -> DataFrame:
@@ -23,8 +33,8 @@ def explode_records(df: DataFrame, body_col: str, path: str = "$.records",
     ``fields`` maps output column -> JSON key (read as string) or
     ``(json_key, spark_type)``. Output columns: ``keep``, ``record_index``
     (position in the page), ``record`` (the record as Variant) and the
-    fields. An absent, null or empty array yields no rows; an invalid body
-    yields none either (reject such bodies upstream with P16).
+    fields. An absent, null or empty array yields no rows. An invalid body
+    yields none either: take those out first with :func:`split_bodies`.
     """
     arr = F.try_variant_get(F.try_parse_json(F.col(body_col)), path, "array<variant>")
     exploded = df.select(*keep, F.posexplode(arr).alias("record_index", "record"))

@@ -9,12 +9,15 @@ failed or repeated job leaves older versions intact, so a re-run is safe.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _VERSION = re.compile(r"^v(\d{9})$")
+_BATCH = "_batch-"          # marker inside a version folder: the stream batch that wrote it
+_BUCKETS = "_num_buckets-"  # marker inside a bucketed table: its number of buckets
 
 
 def _fs(spark: SparkSession, path: str):
@@ -91,6 +94,44 @@ def write_version(df: DataFrame, base: str, version: int | None = None,
     return path
 
 
+def version_of_batch(spark: SparkSession, base: str, batch: str) -> int | None:
+    """The complete version that the stream batch ``batch`` (an id) wrote, if any."""
+    fs, _, jvm = _fs(spark, base)
+    for v in reversed(list_versions(spark, base)):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(version_path(base, v), _BATCH + batch)):
+            return v
+    return None
+
+
+def write_batch_version(df: DataFrame, base: str, batch: str) -> int:
+    """Write ``df`` as the next version, made by the stream batch ``batch``.
+
+    The files and the batch's marker are written to a staging folder that is
+    renamed into place: a version appears whole and marked, or not at all, and
+    no existing version is touched. Needs a store that renames folders.
+    """
+    spark = df.sparkSession
+    vs = list_versions(spark, base)
+    n = (vs[-1] + 1) if vs else 1
+    staging = f"{base.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    df.write.parquet(staging)
+    fs, _, jvm = _fs(spark, base)
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs.create(Path(staging, _BATCH + batch)).close()
+    if not fs.rename(Path(staging), Path(version_path(base, n))):
+        raise RuntimeError(f"could not move {staging} to {version_path(base, n)}")
+    return n
+
+
+def retire_versions(spark: SparkSession, base: str, keep: int) -> list[int]:
+    """Delete all complete versions but the newest ``keep`` (at least one); returns the deleted numbers."""
+    fs, _, jvm = _fs(spark, base)
+    old = list_versions(spark, base)[:-max(1, keep)]
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(base, v)), True)
+    return old
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Append without de-duplication (a re-run duplicates the rows)."""
     df.write.mode("append").parquet(path)
@@ -183,7 +224,8 @@ def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, ke
         return []
     full = T.StructType([*schema.fields, T.StructField(BUCKET_COL, T.IntegerType())])
     fs, p, jvm = _fs(spark, path)
-    if fs.exists(p):
+    check_buckets(spark, path, num_buckets)
+    if any(st.isDirectory() for st in fs.listStatus(p)):
         current = spark.read.schema(full).parquet(path).filter(F.col(BUCKET_COL).isin(touched))
     else:
         current = spark.createDataFrame([], full)
@@ -193,6 +235,17 @@ def apply_to_buckets(spark: SparkSession, path: str, touched_keys: DataFrame, ke
     return touched
 
 
+def check_buckets(spark: SparkSession, path: str, num_buckets: int) -> None:
+    """Record the table's number of buckets; fail if it was made with another one."""
+    fs, p, jvm = _fs(spark, path)
+    if fs.exists(p):
+        known = {st.getPath().getName() for st in fs.listStatus(p) if st.getPath().getName().startswith(_BUCKETS)}
+        if known and known != {f"{_BUCKETS}{num_buckets}"}:
+            raise ValueError(f"{path} has {sorted(known)[0][len(_BUCKETS):]} buckets, not {num_buckets}")
+    fs.mkdirs(p)
+    fs.create(jvm.org.apache.hadoop.fs.Path(p, f"{_BUCKETS}{num_buckets}"), True).close()
+
+
 def merge_into_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str | list[str],
                        rules: dict, schema: T.StructType, seq: str | None = None,
                        num_buckets: int = 256) -> list[int]:

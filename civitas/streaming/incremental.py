@@ -2,17 +2,20 @@
 
 Landed pages arrive as files in a landing folder. A Structured Streaming
 file source tracks which files were consumed in its checkpoint (the
-persisted offset); each micro-batch is folded and upserted into the target
-(``foreachBatch``) and written as a new table version named after the
-batch id, so a batch replayed after a failure rewrites the same version:
-the sink is idempotent and rows and offset commit together. The
-``sync_status``-like progress row is written next to it.
+persisted offset); each micro-batch is folded and upserted into the newest
+version of the target (``foreachBatch``) and becomes the next version. A
+version carries the identity of the batch that wrote it (stream and batch
+id), so a batch replayed after a failure is recognised and not applied
+again, and no version is ever overwritten: the target may hold data before
+the stream starts, and a stream with a new checkpoint goes on from there.
+The ``sync_status``-like progress row is versioned the same way.
 ``trigger(availableNow=True)`` drains what has landed and stops, which is
 the reference's "stop on a short or empty page".
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civitas.operators.upsert import Rule, upsert
-from civitas.sources.tables import merge_into_buckets, read_as_of, write_version
+from civitas.sources.tables import merge_into_buckets, read_latest, version_of_batch, write_batch_version
 
 
 def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.StructType | str,
@@ -39,8 +42,11 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
     With ``num_buckets`` the target is one Parquet table partitioned by key
     bucket and each micro-batch rewrites only the buckets it touches
     (:func:`civitas.sources.tables.merge_into_buckets`) -- the mode for a
-    large table fed small batches. Without it every batch writes a full new
-    version named after the batch id.
+    large table fed small batches; the number of buckets is stored with the
+    table. Without it every batch writes a full new version
+    (:func:`civitas.sources.tables.retire_versions` drops old ones). Rows with a
+    NULL key part match nothing and would come in again with every replay:
+    they are refused (:func:`batch_writer`).
     """
     schema = landing_schema if isinstance(landing_schema, T.StructType) else \
         T._parse_datatype_string(landing_schema)
@@ -51,42 +57,51 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing)
 
-    apply = batch_writer(spark, target, tschema, key, rules, seq, prepare, status_path, job, num_buckets)
+    apply = batch_writer(spark, target, tschema, key, rules, seq, prepare, status_path, job, num_buckets,
+                         stream_id=lambda: stream_identity(spark, checkpoint))
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id Structured Streaming stored in the checkpoint: another one for every new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: str | list[str],
                  rules: Mapping[str, Rule], seq: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
-                 status_path: str | None = None, job: str = "incremental", num_buckets: int | None = None):
+                 status_path: str | None = None, job: str = "incremental", num_buckets: int | None = None,
+                 stream_id: Callable[[], str] = lambda: "stream"):
     """The ``foreachBatch`` function of :func:`incremental_upsert`.
 
     Re-running it with the same ``(batch, batch_id)`` -- what Structured
     Streaming does after a failure between writing and committing a batch --
-    leaves the table and the status row as one run would.
+    leaves the table and the status row as one run would. A row with a NULL
+    key part fails the batch.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     status_schema = T.StructType([
         T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.LongType()),
         T.StructField("last_updated", T.TimestampNTZType())])
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        me = f"{stream_id()}-{batch_id}"
         rows = prepare(batch) if prepare else batch
+        rows = rows.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(rows.schema[k].dataType))
+                                 for k in keys})
         if num_buckets:
             merge_into_buckets(spark, target, rows, key, dict(rules), tschema, seq=seq, num_buckets=num_buckets)
-        else:
-            # Read the version this batch builds on (not the newest): a
-            # replayed batch then recomputes exactly the same result.
-            current = read_as_of(spark, target, batch_id, tschema)
-            merged = upsert(current, rows, key, rules, seq=seq)
-            write_version(merged, target, version=batch_id + 1)
-        if status_path:
+        elif version_of_batch(spark, target, me) is None:
+            merged = upsert(read_latest(spark, target, tschema), rows, key, rules, seq=seq)
+            write_batch_version(merged, target, me)
+        if status_path and version_of_batch(spark, status_path, me) is None:
             consumed = rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-            prev = read_as_of(spark, status_path, batch_id, status_schema)
+            prev = read_latest(spark, status_path, status_schema)
             base = prev.filter(F.col("job_name") == job).select(F.col("last_offset").alias("n"))
             row = base.unionByName(consumed).agg(F.sum("n").cast("bigint").alias("last_offset")).select(
                 F.lit(job).alias("job_name"), "last_offset", F.localtimestamp().alias("last_updated"))
             others = prev.filter(F.col("job_name") != job)
-            write_version(others.unionByName(row), status_path, version=batch_id + 1)
+            write_batch_version(others.unionByName(row), status_path, me)
 
     return apply

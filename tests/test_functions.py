@@ -1,5 +1,7 @@
 """Column functions on literal frames holding the edge rows of each rule."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,11 +104,25 @@ def test_json_or_missing_vs_null(spark):
 def test_json_map_set_keeps_absent_fields(spark):
     doc = '{"A": {"model": "m", "math_dependencies": ["x"]}, "COSTS_BUDGETS": {"model": "n", "flag": true}}'
     df = col(spark, [doc])
-    out = df.select(J.json_map_set("x", "struct<model: string, flag: boolean, math_dependencies: array<string>>",
-                                   "math_dependencies", {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, []))
-    got = out.first()[0]
-    assert got == ('{"A":{"model":"m","math_dependencies":[]},"COSTS_BUDGETS":{"model":"n","flag":true,'
-                   '"math_dependencies":["SOLUTION_DESIGN","BENEFICIARIES"]}}')
+    out = df.select(J.json_map_set("x", "math_dependencies", {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, []))
+    assert json.loads(out.first()[0]) == {
+        "A": {"model": "m", "math_dependencies": []},
+        "COSTS_BUDGETS": {"model": "n", "flag": True, "math_dependencies": ["SOLUTION_DESIGN", "BENEFICIARIES"]}}
+
+
+def test_json_map_set_keeps_unnamed_fields_and_nulls(spark):
+    doc = '{"A": {"deep": {"x": [1, 2.5]}, "empty": null, "deps": 3}, "B": {}}'
+    got = col(spark, [doc, None, "[1]", "{"]).select(J.json_map_set("x", "deps", {"B": ["z"]}, [])).collect()
+    assert json.loads(got[0][0]) == {"A": {"deep": {"x": [1, 2.5]}, "empty": None, "deps": []}, "B": {"deps": ["z"]}}
+    assert [r[0] for r in got[1:]] == [None, None, None]
+
+
+def test_floats_keep_their_point_and_large_counts_saturate(spark):
+    docs = ['{"p": 560001.0}', '{"p": 560001}', '{"p": 1.5}', '{"p": 0.0}', '{"p": "560001.0"}']
+    got = [r[0] for r in col(spark, docs).select(J.truthy_text(J.variant("x"), "$.p")).collect()]
+    assert got == ["560001.0", "560001", "1.5", None, "560001.0"]
+    big = col(spark, ["1e30", "-1e30", "1e999", "9e18"]).select(C.clean_int("x").alias("n"))
+    assert [r[0] for r in big.collect()] == [2**63 - 1, -(2**63 - 1), 0, 9 * 10**18]
 
 
 def test_with_defaults_only_absent(spark):

@@ -158,18 +158,52 @@ def test_seed_and_migrate(spark):
     cfg = json.dumps({"A": {"model": "m", "math_dependencies": ["x"]}, "COSTS_BUDGETS": {"model": "n"}})
     bp = spark.createDataFrame([(1, True, cfg), (2, False, cfg)], "id int, is_default boolean, sections_config string")
     out = {r["id"]: json.loads(r["sections_config"]) for r in G.migrate_config(
-        bp, "struct<model: string, math_dependencies: array<string>>", "math_dependencies",
-        {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, []).collect()}
+        bp, "math_dependencies", {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, []).collect()}
     assert out[1] == {"A": {"model": "m", "math_dependencies": []},
                       "COSTS_BUDGETS": {"model": "n", "math_dependencies": ["SOLUTION_DESIGN", "BENEFICIARIES"]}}
     assert out[2] == json.loads(cfg)
     odd = json.dumps({"A": {"model": "m", "prompt_method": "p"}})
     bp2 = spark.createDataFrame([(3, True, odd)], "id int, is_default boolean, sections_config string")
-    from civitas.functions.json import unknown_entry_fields
-    schema = "struct<model: string, math_dependencies: array<string>>"
-    assert bp2.select(unknown_entry_fields("sections_config", schema)).first()[0] == ["prompt_method"]
-    kept = G.migrate_config(bp2, schema, "math_dependencies", {}, []).first()["sections_config"]
-    assert json.loads(kept) == json.loads(odd)              # not rewritten: nothing is lost
+    kept = G.migrate_config(bp2, "math_dependencies", {}, []).first()["sections_config"]
+    assert json.loads(kept) == {"A": {"model": "m", "prompt_method": "p", "math_dependencies": []}}
+
+
+def test_bad_pages_are_rejected_alone(spark):
+    target = spark.createDataFrame([], LGD_MASTER)
+    pages = spark.createDataFrame([
+        (0, '{"records": [], "records": [{"villageCode": "A"}]}'), (1, page([{"villageCode": "B"}, {"villageCode": "C"}])),
+        (2, '{"records": [{"villageCode": "D"'), (3, None)], "page int, body string")
+    table, rejects = G.geography_sync(target, pages, as_of=ts())
+    assert sorted((r["village_code"], r["id"]) for r in table.collect()) == [("A", 1), ("B", 2), ("C", 3)]
+    assert sorted((r["page"], r["reasons"]) for r in rejects.collect()) == [(2, "invalid_body"), (3, "invalid_body")]
+
+
+def test_null_primary_document_leaves_the_school(spark):
+    target = conformed(spark, [(1, 12, "pending"), (2, 12, "pending")])
+    responses = spark.createDataFrame([
+        _resp(1, "by_year", 1, 200, {"status": True, "data": None}), _resp(1, "report_card", 1, 200, {"status": True, "data": {}}),
+        _resp(2, "by_year", 1, 200, {"status": True, "data": {"yearId": 10}}),
+        (2, "by_year", 1, 1, 200, json.dumps({"status": True, "data": {"yearId": 11}}))],
+        "school_id long, endpoint string, attempt int, seq long, http_status int, body string")
+    out = {r["school_id"]: r for r in G.school_enrichment(target, responses, as_of=ts()).collect()}
+    assert (out[1]["scrape_status"], out[1]["effective_year"], out[1]["enrichment_manifest"]) == ("pending", None, None)
+    assert out[2]["effective_year"] == 11                    # the later fetch round counts
+    assert [tuple(r)[0::2] for r in G.enrichment_rejects(responses).collect()] == [(1, "primary_data_null")]
+
+
+def conformed(spark, rows):
+    from civitas.plans.registry_queries import conform
+    from civitas.schemas import SCHOOLS
+    return conform(spark, spark.createDataFrame(rows, "school_id long, year_id int, scrape_status string"), SCHOOLS)
+
+
+def test_summary_of_unreadable_counts(spark):
+    from civitas.plans.summary import extract_summary
+    docs = [('{"data": {"schEnrollmentYearDataTotal": null}}',), ('{"data": {"schEnrollmentYearDataTotal": {"rowTotal": "many"}}}',),
+            ('{"data": {"schEnrollmentYearDataTotal": {"rowTotal": 5}}}',), ('{"data": {"schEnrollmentYearDataTotal": {"rowTotal": null}}}',)]
+    df = spark.createDataFrame(docs, "enrollment_social string").selectExpr(
+        "*", *[f"CAST(NULL AS STRING) AS {c}" for c in ("report_card", "facility_data", "profile_data")])
+    assert [r["summary_error"] for r in extract_summary(df).collect()] == [True, True, False, False]
 
 
 def test_enrichment_on_touched_buckets_only(spark, scratch):

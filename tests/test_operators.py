@@ -203,3 +203,52 @@ def test_split_rejects_checkpointed(spark):
     good, bad = U.split_rejects(df, {"key_null": F.col("k").isNull()}, checkpoint=True)
     assert "ExistingRDD" in good._jdf.queryExecution().executedPlan().toString()
     assert rows(good, "k") == [(1,)] and rows(bad, "reasons") == [("key_null",)]
+
+
+def test_insert_absent_with_nullable_keys(spark):
+    target = spark.createDataFrame([("u1", "e1")], "userid string, email string")
+    batch = spark.createDataFrame([("u1", "e2", 1), ("u2", "e2", 2), ("u2", "e3", 3), (None, "e4", 4), (None, "e4", 5), (None, None, 6),
+                                   (None, None, 7), ("u3", "e3", 8), ("u3", None, 9)], "userid string, email string, seq int")
+    got = rows(U.insert_absent(target, batch, ["userid", "email"], seq="seq"), "userid", "email")
+    # row after row: u1 clashes, (u2,e2) enters, (u2,e3) does not, one e4, both all-NULL rows, (u3,e3) enters
+    assert sorted(map(repr, got)) == sorted(map(repr, [
+        ("u1", "e1"), ("u2", "e2"), (None, "e4"), (None, None), (None, None), ("u3", "e3")]))
+    one = rows(U.insert_absent(target, batch.drop("seq"), ["email"]), "email")
+    assert sorted(map(repr, one)) == sorted(map(repr, [("e1",), ("e2",), ("e3",), ("e4",), (None,), (None,), (None,)]))
+
+
+def test_updates_read_the_old_row_and_repeated_changes_fail(spark):
+    df = spark.createDataFrame([("y", 0)], "status string, flag int")
+    got = U.update_where(df, F.col("status") == "y", {"status": F.lit("x"), "flag": F.lit(1)}).first()
+    assert tuple(got) == ("x", 1)
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="repeated key"):
+        U.update_from(t, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), "k", ["v"]).collect()
+    got = rows(U.update_from(t, spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, v string, s int"), "k", ["v"], seq="s"), "k", "v")
+    assert got == [(1, "y"), (1, "y"), (2, "c")]
+
+
+def test_null_keys_of_both_sides_survive(spark):
+    t = spark.createDataFrame([(None, "t")] * 3 + [(1, "a")], "k int, v string")
+    b = spark.createDataFrame([(None, "b", 1), (None, "b", 2), (1, "z", 3)], "k int, v string, s int")
+    got = sorted(map(repr, rows(U.upsert(t, b, "k", {"v": U.OVERWRITE}, seq="s"), "k", "v")))
+    assert got == sorted(map(repr, [(None, "t")] * 3 + [(None, "b")] * 2 + [(1, "z")]))
+
+
+def test_attempt_rounds_and_unreadable_bodies(spark):
+    ok = lambda n: '{"status": true, "data": {"n": %d}}' % n
+    df = spark.createDataFrame([(1, 1, 0, 200, ok(1)), (1, 1, 1, 200, "not json"), (1, 2, 1, 200, ok(2)), (2, 1, 0, 200, "not json"),
+                                (3, 1, 0, 200, ok(3)), (3, 1, 1, 404, None)], "k int, attempt int, seq long, http_status int, body string")
+    for outcome in ("valid", "http200"):
+        got = rows(R.resolve_attempts(df, "k", outcome=outcome), "k", "code", "body")
+        assert got == [(1, 200, ok(2)), (2, 404, None), (3, 404, None)]
+
+
+def test_cascade_over_a_tree(spark):
+    a = spark.createDataFrame([(1,), (2,)], "id int")
+    b = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "id int, a int")
+    c = spark.createDataFrame([(20, 1), (21, 2)], "id int, a int")
+    e = spark.createDataFrame([(30, 10, 21), (31, 11, 20), (32, 11, 21), (33, None, 21)], "id int, b int, c int")
+    links = [("b", "a", "a", "id"), ("c", "a", "a", "id"), ("e", "b", "b", "id"), ("e", "c", "c", "id")]
+    kept = JN.cascade_tree({"a": a, "b": b, "c": c, "e": e}, links, "a", spark.createDataFrame([(1,)], "id int"), "id")
+    assert {n: sorted(r["id"] for r in df.collect()) for n, df in kept.items()} == {"a": [2], "b": [11, 12], "c": [21], "e": [32, 33]}

@@ -173,3 +173,53 @@ def test_stream_batch_replay_is_idempotent(spark, scratch, num_buckets):
 
     once, twice = run(f"{scratch}/once", False), run(f"{scratch}/twice", True)
     assert once == twice == ([(1, "c"), (2, "b"), (3, "d")], 4)
+
+
+def test_stream_never_overwrites_versions(spark, scratch):
+    """A stream with a new checkpoint goes on from the newest version, whatever its batch ids."""
+    from pyspark.sql import types as TT
+
+    from civitas.streaming.incremental import batch_writer
+    tschema = TT.StructType([TT.StructField("k", TT.LongType()), TT.StructField("v", TT.StringType())])
+    for v in ("x", "y"):
+        T.write_version(spark.createDataFrame([(9, v)], tschema), f"{scratch}/t")
+    b = spark.createDataFrame([(1, "a", 1)], "k long, v string, seq long")
+    for stream in ("one", "two"):
+        w = batch_writer(spark, f"{scratch}/t", tschema, "k", {"v": U.OVERWRITE}, "seq", stream_id=lambda s=stream: s)
+        w(b, 0)
+        w(b, 0)
+    assert T.list_versions(spark, f"{scratch}/t") == [1, 2, 3, 4]
+    assert [tuple(r) for r in spark.read.parquet(T.version_path(f"{scratch}/t", 1)).collect()] == [(9, "x")]
+    assert sorted(tuple(r) for r in T.read_latest(spark, f"{scratch}/t").collect()) == [(1, "a"), (9, "y")]
+    assert T.retire_versions(spark, f"{scratch}/t", 2) == [1, 2] and T.list_versions(spark, f"{scratch}/t") == [3, 4]
+    bad = spark.createDataFrame([(None, "a", 1)], "k long, v string, seq long")
+    with pytest.raises(Exception, match="NULL in key"):
+        w(bad, 1)
+
+
+def test_number_of_buckets_is_kept(spark, scratch):
+    from pyspark.sql import types as TT
+    tschema = TT.StructType([TT.StructField("k", TT.LongType()), TT.StructField("v", TT.StringType())])
+    b = spark.createDataFrame([(i, "a", 1) for i in range(20)], "k long, v string, seq long")
+    T.merge_into_buckets(spark, f"{scratch}/b", b, "k", {"v": U.OVERWRITE}, tschema, seq="seq", num_buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        T.merge_into_buckets(spark, f"{scratch}/b", b, "k", {"v": U.OVERWRITE}, tschema, seq="seq", num_buckets=16)
+    assert T.read_buckets(spark, f"{scratch}/b").count() == 20
+
+
+def test_named_csv_with_differing_headers_and_pruned_rejects(spark, scratch):
+    import os
+
+    from civitas.sources.csv import read_csv_named, read_csv_positional
+    os.makedirs(f"{scratch}/n")
+    for name, text in (("1.csv", "a,b\n1,2\n"), ("2.csv", "b,a\n2,1\n"), ("3.csv", "c,a\nx,7\n")):
+        with open(f"{scratch}/n/{name}", "w") as f:
+            f.write(text)
+    got = sorted(map(repr, (tuple(r) for r in read_csv_named(spark, f"{scratch}/n", {"a": "string", "b": "string"}).collect())))
+    assert got == ["('1', '2')", "('1', '2')", "('7', None)"]
+    with open(f"{scratch}/p.csv", "w") as f:
+        f.write("h1,h2\n1,2\n3\n4,5,6\n7,8\n")
+    good, bad = read_csv_positional(spark, f"{scratch}/p.csv", ["x", "y"], on_bad="reject", multi_line=False)
+    assert sorted(r["x"] for r in good.select("x").collect()) == ["1", "7"] and good.count() == 2 and bad.count() == 2
+    with pytest.raises(Exception):
+        read_csv_positional(spark, f"{scratch}/p.csv", ["x", "y"], multi_line=False).select("x").collect()
