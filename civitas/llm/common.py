@@ -50,6 +50,13 @@ def shared(spark: SparkSession, value):
     return lambda: pickle.loads(sent.value)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in short slices: few texts become Python objects at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def packed(df: DataFrame, *extra: Column) -> DataFrame:
     """The whole row as one struct column ``row`` plus ``extra`` columns.
 

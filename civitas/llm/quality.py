@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, packed, shared, table, unpacked
+from .common import held_out, labelled_sample, packed, shared, slices, table, unpacked
 from .suffix import Names, as_bytes, mix
 
 BUCKETS, DIM, NONZERO, REACH = 4096, 64, 4, 2
@@ -123,7 +123,7 @@ def context_sums(batches):
     units, (places, signs) = Units(), index_vectors()
     n = BUCKETS + MARKERS
     total = np.zeros(n * DIM)
-    for b in batches:
+    for b in slices(batches):
         for _, owner, unit in units.blocks(t.as_py() for t in b.column(0)):
             count = np.bincount(unit, minlength=n)
             for k in range(NONZERO):
@@ -241,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str
 
     def pooled(batches):
         units = Units()
-        for b in batches:
+        for b in slices(batches):
             x = pool(units, sent.value, (t.as_py() for t in b.column(2)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "c", "x"])
 
