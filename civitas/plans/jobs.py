@@ -349,11 +349,6 @@ PRIMARY_ENDPOINT = "by_year"
 PROBE_ENDPOINT = "probe"
 
 
-def enrichment_queue(schools: DataFrame, state: str | None, mode: str = "normal", limit: int | None = None) -> DataFrame:
-    """W4/W5 as the job's input: the schools to request now (see :func:`civitas.operators.dedupe.work_queue`)."""
-    return work_queue(schools, state, mode, limit)
-
-
 def enrichment_rejects(responses: DataFrame, max_attempts: int = 2) -> DataFrame:
     """(school_id, body, reasons): schools whose primary document has ``"data": null``; they stay as they are."""
     w = resolve_attempts_wide(responses, "school_id", [PRIMARY_ENDPOINT], max_attempts=max_attempts)
@@ -437,6 +432,17 @@ SUMMARY_COLUMNS = ("total_students", "total_boys", "total_girls", "total_teacher
                    "lgd_urban_local_body_name", "lgd_ward_id", "lgd_ward_name")
 
 
+def enrich_state(target: DataFrame, responses: DataFrame, state: str | None, mode: str = "normal",
+                 limit: int | None = None, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """G5 for one state's work queue (W4, or W5 with ``mode='recovery'``) -> ``(table, rejects)``.
+
+    Only schools in the queue change; responses of others are left for a later run.
+    """
+    queue = work_queue(target, state, mode, limit).select("school_id").distinct()
+    mine = responses.join(queue, "school_id", "left_semi")
+    return school_enrichment(target, mine, as_of=as_of), enrichment_rejects(mine)
+
+
 # ----------------------------------------------------------- G7 seeding
 
 def seed_reference(target: DataFrame, seeds: DataFrame, key: str = "name", id_col: str = "id",

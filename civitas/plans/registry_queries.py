@@ -1248,8 +1248,9 @@ def _enrichment_inputs(spark, d):
         F.lit(False).alias("has_electricity")), SCHOOLS)
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
     ok = lambda data: F.to_json(F.struct(F.lit(True).alias("status"), data.alias("data")))
-    att = lambda ep, a, code, body: F.struct(F.lit(ep).alias("endpoint"), F.lit(a).alias("attempt"),
-                                              code.alias("http_status"), body.alias("body"))
+    att = lambda ep, a, code, body, rnd=1: F.struct(
+        F.lit(ep).alias("endpoint"), F.lit(a).alias("attempt"), F.lit(rnd).cast("long").alias("seq"),
+        code.alias("http_status"), body.alias("body"))
     none = F.lit(None).cast("string")
     year_doc = ok(F.struct(F.lit(12).alias("yearId")))
     resolved = st != "P"
@@ -1260,39 +1261,67 @@ def _enrichment_inputs(spark, d):
         att("by_year", 2, F.when(st == "F", 200).otherwise(404),
             F.when(st == "F", ok(F.struct(F.lit(1).alias("unused")))).otherwise(none)),
         att("probe", 1, F.when(st == "O", 200).otherwise(404), F.when(st == "O", ok(F.struct())).otherwise(none)),
+        # a second fetch round: its document replaces the first round's
+        att("report_card", 1, F.when(resolved, 200).otherwise(404), ok(F.struct(F.lit(900).alias("totalTeacher"))), 0),
+        att("social_1", 1, F.when(resolved & (pr != "3-MEDIUM"), 200).otherwise(404), ok(F.struct(F.struct(
+            (F.col("o_custkey") % 7).alias("rowBoyTotal"), (F.col("o_orderkey") % 5).alias("rowGirlTotal"))
+            .alias("schEnrollmentYearDataTotal")))),
         att("report_card", 1, F.when(resolved, 200).otherwise(404), ok(F.struct(
             (F.col("o_custkey") % 10).alias("totMale"), (F.col("o_orderkey") % 10).alias("totFemale")))),
         att("facility_data", 1, F.when(resolved, 200).otherwise(404), ok(F.struct(
-            F.when(F.col("o_totalprice") > 100000, F.lit(1)).otherwise(F.lit(2)).alias("internetYn")))),
+            F.when(F.col("o_totalprice") > 100000, F.lit(1)).otherwise(F.lit(2)).alias("internetYn"),
+            F.when(F.col("o_custkey") % 2 == 0, F.lit(1)).otherwise(F.lit(2)).alias("libraryYn"),
+            (F.col("o_custkey") % 3).alias("playgroundYn"), F.lit("1").alias("electricityYn")))),
         att("profile_data", 1, F.when(resolved & (pr != "5-LOW"), 200).otherwise(404),
-            ok(F.struct(F.col("o_custkey").alias("lgdwardId")))),
+            ok(F.struct(F.col("o_custkey").alias("lgdwardId"), F.lit("W").alias("lgdwardName"),
+                        F.col("o_orderkey").alias("lgdurbanlocalbodyId"), F.lit("U").alias("lgdurbanlocalbodyName")))),
     )
     responses = (o.select(F.col("o_orderkey").alias("school_id"), "o_orderstatus",
                           F.explode(entries).alias("r"))
                  # a school the registry has not got (status P) yields no fragment requests
                  .filter((F.col("o_orderstatus") != "P") | F.col("r.endpoint").isin("by_year", "probe"))
-                 .select("school_id", "r.endpoint", "r.attempt", F.lit(0).cast("long").alias("seq"),
-                         "r.http_status", "r.body"))
+                 .select("school_id", "r.endpoint", "r.attempt", "r.seq", "r.http_status", "r.body"))
     return target, responses
 
 
-@register("G5_school_enrichment", """
-SELECT o_orderkey AS school_id,
-  CASE o_orderstatus WHEN 'F' THEN 12 WHEN 'O' THEN 11 END AS effective_year,
-  CASE o_orderstatus WHEN 'O' THEN 11 ELSE 12 END AS year_id,
-  CASE WHEN o_orderstatus='P' THEN 'missing_on_server' WHEN o_orderpriority<>'5-LOW' THEN 'success'
+def _g5_sql(touched: str) -> str:
+    """What G5 makes of :func:`_enrichment_inputs`; rows outside ``touched`` keep their stored values."""
+    done, known = f"(({touched}) AND o_orderstatus<>'P')", f"(({touched}) AND o_orderstatus<>'P' AND o_orderpriority<>'5-LOW')"
+    social = f"({done} AND o_orderpriority<>'3-MEDIUM')"
+    return f"""
+SELECT o_orderkey AS school_id, CASE WHEN NOT ({touched}) THEN NULL WHEN o_orderstatus='F' THEN 12 WHEN o_orderstatus='O' THEN 11 END AS effective_year,
+  CASE WHEN ({touched}) AND o_orderstatus='O' THEN 11 ELSE 12 END AS year_id,
+  CASE WHEN NOT ({touched}) THEN 'pending' WHEN o_orderstatus='P' THEN 'missing_on_server' WHEN o_orderpriority<>'5-LOW' THEN 'success'
        ELSE 'partial' END AS scrape_status,
-  CAST(CASE WHEN o_orderstatus='P' THEN -1 ELSE o_custkey%10 + o_orderkey%10 END AS INTEGER) AS total_teachers,
-  (o_orderstatus<>'P' AND o_totalprice>100000) AS has_internet,
-  CASE WHEN o_orderstatus<>'P' THEN '{"basic_info":200,"facility_data":200,"profile_data":' ||
-    CASE WHEN o_orderpriority<>'5-LOW' THEN '200' ELSE '404' END || ',"report_card":200}' END AS enrichment_manifest,
-  CASE WHEN o_orderstatus<>'P' AND o_orderpriority<>'5-LOW' THEN CAST(o_custkey AS VARCHAR) END AS lgd_ward_id
-FROM orders""")
+  CAST(CASE WHEN {done} THEN o_custkey%10 + o_orderkey%10 ELSE -1 END AS INTEGER) AS total_teachers,
+  CAST(CASE WHEN {social} THEN o_custkey%7 ELSE -1 END AS INTEGER) AS total_boys,
+  CAST(CASE WHEN {social} THEN o_orderkey%5 ELSE -1 END AS INTEGER) AS total_girls,
+  CAST(CASE WHEN {social} THEN o_custkey%7 + o_orderkey%5 ELSE -1 END AS INTEGER) AS total_students,
+  ({done} AND o_totalprice>100000) AS has_internet, ({done} AND o_custkey%2=0) AS has_library,
+  ({done} AND o_custkey%3=1) AS has_playground, false AS has_electricity,
+  CASE WHEN {done} THEN '{{"basic_info":200,"facility_data":200,"profile_data":' ||
+    CASE WHEN o_orderpriority<>'5-LOW' THEN '200' ELSE '404' END || ',"report_card":200,"social_1":' ||
+    CASE WHEN o_orderpriority<>'3-MEDIUM' THEN '200' ELSE '404' END || '}}' END AS enrichment_manifest,
+  CASE WHEN {known} THEN CAST(o_custkey AS VARCHAR) END AS lgd_ward_id, CASE WHEN {known} THEN 'W' END AS lgd_ward_name,
+  CASE WHEN {known} THEN CAST(o_orderkey AS VARCHAR) END AS lgd_urban_local_body_id,
+  CASE WHEN {known} THEN 'U' END AS lgd_urban_local_body_name
+FROM orders"""
+
+
+_G5_SHOWN = ("school_id", "effective_year", "year_id", "scrape_status", "enrichment_manifest", *G.SUMMARY_COLUMNS)
+
+
+@register("G5_school_enrichment", _g5_sql("true"))
 def q_g5(spark, d):
     target, responses = _enrichment_inputs(spark, d)
-    out = G.school_enrichment(target, responses, as_of=_ts(_T1))
-    return out.select("school_id", "effective_year", "year_id", "scrape_status", "total_teachers", "has_internet",
-                      "enrichment_manifest", "lgd_ward_id")
+    return G.school_enrichment(target, responses, as_of=_ts(_T1)).select(*_G5_SHOWN)
+
+
+@register("G5_enrich_state", _g5_sql("o_orderpriority='5-LOW'"))
+def q_g5_state(spark, d):
+    target, responses = _enrichment_inputs(spark, d)
+    table, _ = G.enrich_state(target, responses, "5-LOW", as_of=_ts(_T1))
+    return table.select(*_G5_SHOWN)
 
 
 @register("G9_run_loads", _AMENITIES_SQL)
