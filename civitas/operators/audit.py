@@ -8,7 +8,8 @@ count, so it runs in one pass (plus one shuffle for keyed checks).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,3 +87,46 @@ def audit(findings: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@dataclass(frozen=True)
+class RuleSet:
+    """Declared constraints of a set of tables; each entry names its table first.
+
+    ``not_null``: (table, columns); ``unique``: (table, key columns, SQL
+    condition or None); ``references``: (table, column, parent, parent
+    column); ``allowed``: (table, column, values); ``types``: (table, column,
+    declared type).
+    """
+    not_null: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    unique: tuple[tuple[str, tuple[str, ...], str | None], ...] = ()
+    references: tuple[tuple[str, str, str, str], ...] = ()
+    allowed: tuple[tuple[str, str, tuple], ...] = ()
+    types: tuple[tuple[str, str, str], ...] = ()
+
+
+def audit_tables(tables: Mapping[str, DataFrame], rules: RuleSet) -> DataFrame:
+    """Every violation of the rules as ``(rule, detail)``, the rule named ``kind:table.column``.
+
+    Rules on tables that are not given are left out. An empty rule set gives
+    an empty report.
+    """
+    found: list[tuple[DataFrame, str]] = []
+    for t, cols in rules.not_null:
+        if t in tables:
+            found += [(audit_not_null(tables[t], [c]).drop("column"), f"not_null:{t}.{c}") for c in cols]
+    for t, key, where in rules.unique:
+        if t in tables:
+            found.append((audit_unique(tables[t], key, F.expr(where) if where else None), f"unique:{t}.{'+'.join(key)}"))
+    for t, c, parent, pk in rules.references:
+        if t in tables and parent in tables:
+            found.append((audit_reference(tables[t], tables[parent], c, pk), f"reference:{t}.{c}"))
+    for t, c, values in rules.allowed:
+        if t in tables:
+            found.append((audit_in(tables[t], c, values), f"allowed:{t}.{c}"))
+    for t, c, kind in rules.types:
+        if t in tables:
+            found.append((audit_fits(tables[t], c, kind), f"type:{t}.{c}"))
+    if not found:
+        return next(iter(tables.values())).limit(0).select(F.lit("").alias("rule"), F.lit("").alias("detail"))
+    return audit(found)

@@ -143,6 +143,26 @@ DISTRICT_HEADERS = {
 DISTRICT_SOURCE_FILE = "NDAP_9307_source_data.csv"
 
 
+def district_rows(spark: SparkSession, path: str, member_like: str = "9307_source_data.csv") -> DataFrame:
+    """The district statistics under ``path``, zip archives (``*.zip``) or plain CSV files.
+
+    ``line_no`` is the pair (file, line): a total order over several files, in
+    which the later file wins where a district repeats.
+    """
+    if path.rstrip("/").endswith(".zip"):
+        from civitas.sources.zipped import read_zip_member_csv
+        rows = read_zip_member_csv(spark, path, member_like, DISTRICT_HEADERS)
+    else:
+        from civitas.sources.csv import read_csv_named
+        rows = read_csv_named(spark, path, DISTRICT_HEADERS, positions=True)
+    return in_file_order(rows)
+
+
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """``source_path`` and ``line_no`` as one ordering column ``line_no``."""
+    return rows.withColumn("line_no", F.struct("source_path", "line_no")).drop("source_path", "member")
+
+
 def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_of=None,
                   source_file: str = DISTRICT_SOURCE_FILE,
                   checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -850,6 +850,32 @@ def q_kreport(spark, d):
     return rep.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("K_audit_tables", """
+SELECT 'not_null:orders.o_custkey' AS rule, count(*)::BIGINT AS n FROM orders WHERE o_orderstatus='P'
+UNION ALL SELECT 'unique:lineitem.l_orderkey+l_linenumber', count(*)::BIGINT FROM
+  (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*)>1) x
+UNION ALL SELECT 'unique:orders.o_custkey', count(*)::BIGINT FROM (SELECT 1 FROM orders WHERE o_orderstatus='F' GROUP BY o_custkey HAVING count(*)>1) x
+UNION ALL SELECT 'reference:orders.o_custkey', count(*)::BIGINT FROM orders JOIN customer ON c_custkey=o_custkey
+  WHERE o_orderstatus<>'P' AND c_nationkey=0
+UNION ALL SELECT 'reference:lineitem.l_orderkey', count(*)::BIGINT FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'allowed:orders.o_orderstatus', count(*)::BIGINT FROM orders WHERE o_orderstatus='P'
+UNION ALL SELECT 'type:customer.c_name', count(*)::BIGINT FROM customer WHERE length(c_name)>17 AND c_nationkey<>0""")
+def q_kset(spark, d):
+    """A declared rule set over four tables, with NULLs, orphans and repeated keys in them."""
+    tables = {"customer": t(spark, d, "customer").filter("c_nationkey <> 0"), "lineitem": t(spark, d, "lineitem"),
+              "orders": t(spark, d, "orders").withColumn("o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")))}
+    rules = K.RuleSet(
+        not_null=(("orders", ("o_custkey",)), ("absent_table", ("x",))),
+        unique=(("lineitem", ("l_orderkey", "l_linenumber"), None), ("orders", ("o_custkey",), "o_orderstatus = 'F'")),
+        references=(("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey")),
+        allowed=(("orders", "o_orderstatus", ("F", "O")),), types=(("customer", "c_name", "varchar(17)"),))
+    report = K.audit_tables(tables, rules).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([(f"{k}",) for k in (
+        "not_null:orders.o_custkey", "unique:lineitem.l_orderkey+l_linenumber", "unique:orders.o_custkey", "reference:orders.o_custkey",
+        "reference:lineitem.l_orderkey", "allowed:orders.o_orderstatus", "type:customer.c_name")], "rule string")
+    return names.join(report, "rule", "left").select("rule", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
 # ------------------------------------------------------- sources / sinks
 
 @register("S1_csv_positional", """
@@ -878,7 +904,7 @@ def q_s2(spark, d):
         F.col("l_linenumber").cast("string").alias("srcDistrictName"),
         F.col("l_quantity").cast("string").alias("Number of SC population"),
         F.col("l_extendedprice").cast("string").alias("Number of ST population"))
-    archives = li.mapInPandas(_zip_partition, "path string, content binary")
+    archives = _archives(li, F.floor(F.col("srcStateName").cast("bigint") / 1000))
     rows = zip_member_csv(archives, "9307_source_data.csv", dict(G.DISTRICT_HEADERS))
     return rows.select(F.col("srcStateName").alias("state_name"), F.col("srcDistrictName").alias("district_name"),
                        C.clean_int(F.col("`Number of SC population`")).alias("sc"),
@@ -886,22 +912,24 @@ def q_s2(spark, d):
                        C.clean_int(F.col("`Number of general population`")).alias("gen"))
 
 
-def _zip_partition(batches):
-    """One zip archive per task: its rows as a CSV member plus a decoy member."""
-    import io
-    import uuid
-    import zipfile
+def _archives(rows: DataFrame, number: Column, order: tuple[str, ...] = ()) -> DataFrame:
+    """(path, content): one zip archive per ``number``, a bounded run of keys; a CSV member beside a decoy."""
+    shown = [c for c in rows.columns if c not in order]
+
+    def pack(key, pdf):
+        import io
+        import zipfile
 
-    import pandas as pd
-    frames = list(batches)
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True)
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("readme.txt", "decoy member")
-        z.writestr("data/NDAP_9307_source_data.csv", pdf.to_csv(index=False))
-    yield pd.DataFrame({"path": [f"archive-{uuid.uuid4().hex}.zip"], "content": [buf.getvalue()]})
+        import pandas as pd
+        if order:
+            pdf = pdf.sort_values(list(order))
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "decoy member")
+            z.writestr("data/NDAP_9307_source_data.csv", pdf[shown].to_csv(index=False))
+        return pd.DataFrame({"path": [f"archive-{key[0]:012d}.zip"], "content": [buf.getvalue()]})
+
+    return rows.groupBy(number.alias("__archive")).applyInPandas(pack, "path string, content binary")
 
 
 @register("S3_csv_named", """
@@ -1063,23 +1091,38 @@ def q_g1(spark, d):
         none("string", "pincode"), none("int", "id"), none("boolean", "restamped"), "reasons"))
 
 
-@register("G2_district_load", """
-SELECT CAST(l_orderkey AS VARCHAR) AS state_name, CAST(l_linenumber AS VARCHAR) AS district_name,
-  CAST(arg_max(CAST(trunc(l_quantity) AS BIGINT)+CAST(trunc(l_extendedprice) AS BIGINT),
-               (l_partkey, l_suppkey, l_extendedprice)) AS INTEGER) AS total_population
-FROM lineitem GROUP BY l_orderkey, l_linenumber""")
+_G2_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+
+
+@register("G2_district_load", f"""
+WITH b AS (SELECT l_returnflag AS s, CAST(l_suppkey AS VARCHAR) AS dist,
+    arg_max(CAST(trunc(l_quantity) AS BIGINT)+CAST(trunc(l_extendedprice) AS BIGINT), ({', '.join(_G2_ORDER)})) AS total
+  FROM lineitem WHERE l_linenumber<>7 GROUP BY 1, 2),
+tg AS (SELECT 'N' AS s, CAST(s_suppkey AS VARCHAR) AS dist FROM supplier)
+SELECT coalesce(b.s, tg.s) AS state_name, coalesce(b.dist, tg.dist) AS district_name,
+  CAST(coalesce(total, 1) AS INTEGER) AS total_population,
+  CASE WHEN tg.s IS NOT NULL THEN 'orig.csv' ELSE 'NDAP_9307_source_data.csv' END AS source_file, '' AS reasons
+FROM b FULL OUTER JOIN tg ON b.s=tg.s AND b.dist=tg.dist
+UNION ALL SELECT NULL, CAST(l_suppkey AS VARCHAR), CAST(CAST(trunc(l_quantity) AS BIGINT)+CAST(trunc(l_extendedprice) AS BIGINT) AS INTEGER),
+  NULL, 'state_null' FROM lineitem WHERE l_linenumber=7""")
 def q_g2(spark, d):
-    li = t(spark, d, "lineitem")
-    rows = li.select(
-        F.col("l_orderkey").cast("string").alias("srcStateName"),
-        F.col("l_linenumber").cast("string").alias("srcDistrictName"), F.lit("2024").alias("srcYear"),
+    """Several archives in which districts repeat, onto a table with rows; a row without state is rejected."""
+    from civitas.sources.zipped import zip_member_csv
+    li = t(spark, d, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("srcStateName"),
+        F.col("l_suppkey").cast("string").alias("srcDistrictName"), F.lit("2024").alias("srcYear"),
         F.col("l_quantity").cast("string").alias("Number of SC population"),
-        F.col("l_extendedprice").cast("string").alias("Number of ST population"),
-        F.lit(None).cast("string").alias("Number of general population"),
-        F.struct("l_partkey", "l_suppkey", "l_extendedprice").alias("line_no"))
-    empty = spark.createDataFrame([], G.DISTRICT_DEMOGRAPHICS_DDL)
-    table, _ = G.district_load(empty, rows, seq="line_no", as_of=_ts(_T1))
-    return table.select("state_name", "district_name", "total_population")
+        F.col("l_extendedprice").cast("string").alias("Number of ST population"), *_G2_ORDER)
+    archives = _archives(li, F.floor(F.col("l_orderkey") / 1000), _G2_ORDER)
+    rows = G.in_file_order(zip_member_csv(archives, "9307_source_data.csv", dict(G.DISTRICT_HEADERS)))
+    target = conform(spark, t(spark, d, "supplier").select(
+        F.lit("N").alias("state_name"), F.col("s_suppkey").cast("string").alias("district_name"), F.lit("2024").alias("year_code"),
+        F.lit(1).alias("total_population"), F.lit("orig.csv").alias("source_file")), G.DISTRICT_DEMOGRAPHICS_DDL)
+    table, rejects = G.district_load(target, rows, as_of=_ts(_T1))
+    shown = ["state_name", "district_name", "total_population"]
+    return table.select(*shown, "source_file", F.lit("").alias("reasons")).unionByName(rejects.select(
+        "state_name", "district_name", F.col("total_population").cast("int").alias("total_population"),
+        F.lit(None).cast("string").alias("source_file"), "reasons"))
 
 
 def _summary_docs(spark, d) -> DataFrame:

@@ -70,13 +70,16 @@ def select_named(df: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
                        for n, t in wanted.items()])
 
 
-def read_csv_named(spark: SparkSession, path: str | Sequence[str], wanted: Mapping[str, str]) -> DataFrame:
+def read_csv_named(spark: SparkSession, path: str | Sequence[str], wanted: Mapping[str, str],
+                   positions: bool = False) -> DataFrame:
     """S3: CSV matched by header **name**; missing columns -> NULL, extras ignored.
 
     Files may differ in header: they are read per distinct header line and
     united by name. Only one short row per file (its header) is looked at on
-    the driver.
+    the driver. ``positions`` adds ``source_path`` and ``line_no``, which grows
+    along the file (a file with quoted newlines is read by one task).
     """
+    place = {"source_path": F.col("_metadata.file_path"), "line_no": F.monotonically_increasing_id()} if positions else {}
     lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "value")
     first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
     by_header: dict[str, list[str]] = {}
@@ -86,10 +89,13 @@ def read_csv_named(spark: SparkSession, path: str | Sequence[str], wanted: Mappi
     for _, files in sorted(by_header.items()):
         df = (spark.read.option("header", True).option("inferSchema", False)
               .option("quote", '"').option("escape", '"').option("multiLine", True).csv(sorted(files)))
-        part = select_named(df, wanted)
+        present = set(df.columns)
+        part = df.select(*[c.alias(n) for n, c in place.items()],
+                         *[(F.col(f"`{n}`").cast(t) if n in present else F.lit(None).cast(t)).alias(n) for n, t in wanted.items()])
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in wanted.items()))
+        kinds = {**({"source_path": "string", "line_no": "bigint"} if positions else {}), **wanted}
+        out = spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in kinds.items()))
     return out
 
 

@@ -242,3 +242,26 @@ def test_state_parameter_fails_fast():
     assert G.state_id_of("Kerala") == 132
     with pytest.raises(ValueError):
         G.state_id_of("Atlantis")
+
+
+def test_district_rows_from_csv_files(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/d")
+    head = "srcStateName,srcDistrictName,srcYear,Number of SC population,Number of ST population,Number of general population\n"
+    for name, body in (("1.csv", "Goa,North,2021,1,1,1\nGoa,North,2021,2,2,2\nGoa,South,2021,5,0,0\n"), ("2.csv", "Goa,North,2021,3,3,3\n")):
+        with open(f"{scratch}/d/{name}", "w") as f:
+            f.write(head + body)
+    table, rejects = G.district_load(spark.createDataFrame([], DISTRICT_DEMOGRAPHICS), G.district_rows(spark, f"{scratch}/d"), as_of=ts())
+    got = {r["district_name"]: r["total_population"] for r in table.collect()}
+    assert got == {"North": 9, "South": 5} and rejects.count() == 0
+
+
+def test_enrich_state_changes_its_queue_only(spark):
+    target = conformed(spark, [(1, 12, "pending"), (2, 12, "success"), (3, 12, "pending")])
+    target = target.withColumn("state_name", F.when(F.col("school_id") == 3, "KERALA").otherwise("GOA"))
+    ok = {"status": True, "data": {"yearId": 12}}
+    responses = spark.createDataFrame([_resp(i, e, 1, 200, ok) for i in (1, 2, 3) for e in ("by_year", "report_card", "profile_data")],
+                                      "school_id long, endpoint string, attempt int, seq long, http_status int, body string")
+    table, rejects = G.enrich_state(target, responses, "GOA", as_of=ts())
+    got = {r["school_id"]: (r["scrape_status"], r["enrichment_manifest"] is not None) for r in table.collect()}
+    assert got == {1: ("success", True), 2: ("success", False), 3: ("pending", False)} and rejects.count() == 0
