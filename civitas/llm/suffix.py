@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, table
+from .common import pin, slices, table
 
 GRAM = 16           # bytes per anchor hash
 WINDOW = 128        # window starts that share an anchor at most
@@ -113,7 +113,7 @@ def shared_names(length: int):
     """Task function: the round-1 names of a shard with their counts (2 stands for more)."""
     def run(batches):
         names = Names()
-        for b in batches:
+        for b in slices(batches):
             found = [g for t in b.column(1) for _, _, g, _ in document_runs(names, as_bytes(t.as_py()), length)]
             if found:
                 name, n = np.unique(np.concatenate(found), return_counts=True)
@@ -125,7 +125,7 @@ def open_runs(length: int):
     """Task function: every start run with its two names."""
     def run(batches):
         names = Names()
-        for b in batches:
+        for b in slices(batches):
             cols = [[], [], [], [], []]
             for place, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for s, e, g, l in document_runs(names, as_bytes(t.as_py()), length):
@@ -140,7 +140,7 @@ def start_names(length: int, with_place: bool):
     """Task function: names of the 400 bytes at every start of the runs marked OPEN or WITNESS."""
     def run(batches):
         names = Names()
-        for b in batches:
+        for b in slices(batches):
             place_col, at_col, name_col = [], [], []
             for place, t, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 runs = [r for r in runs if r["kind"] != REPEAT and not (with_place and r["kind"] == WITNESS)]
@@ -182,7 +182,7 @@ def removed_spans(runs: list[dict], starts: list[int] | None, length: int) -> np
 def cut_documents(length: int):
     """Task function: what is removed from each document, and the digest of what stays."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for place, t, runs, starts in zip(b.column(0).to_pylist(), b.column(1), *(b.column(i).to_pylist() for i in (2, 3)), strict=True):
                 data, spans = as_bytes(t.as_py()), removed_spans(runs, starts, length)
@@ -219,6 +219,7 @@ def repeated_spans(docs: DataFrame, *, length: int = 400, text: str = "text") ->
     # round 2
     whole = runs.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "s")).alias("first")).filter("n >= 2").select(
         F.col("l").alias("l2"), "first")
+    whole = pin(whole, "round2-names")  # the join below then shuffles a scan, whose hot names Spark splits
     marked = runs.join(whole, F.col("l") == F.col("l2"), "left")
     marked = pin(marked.select("place", "s", "e", "g", F.when(F.col("l2").isNull(), OPEN).when(
         F.col("first") == F.struct("place", "s"), WITNESS).otherwise(REPEAT).alias("kind")), "round2")
