@@ -24,7 +24,9 @@ from .common import table
 DROPPED = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title|canvas|audio|video"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{DROPPED})\b[^>]*(?:(?<=/)>|>(?:.*?)(?:</(?P=raw)\s*>|\Z))|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S | re.I)
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)"
+    # attributes: a quoted value may hold ">"; a quote that never closes or stands elsewhere is a character like others
+    r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S | re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr img input picture source".split())
 MAIN = frozenset(("article", "main"))
