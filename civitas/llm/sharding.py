@@ -116,13 +116,14 @@ def assign_shards(rows: DataFrame, n_shards: int, seed: int = SEED, group_size:
 
 
 def shard_rows(rows: DataFrame, n_shards: int = 24, *, seed: int = SEED, group_size: int = 256,
-               block_rows: int = 4096, layout: bool = True) -> DataFrame:
+               block_rows: int = 4096, layout_rows: int = 1024, layout: bool = True) -> DataFrame:
     """Every row with its ``shard`` (0 to n_shards - 1) and ``slot`` (0 upward, without gaps).
 
     ``rows`` must be a scan of files, columns added or dropped but not
     filtered, joined or sorted: its row places are then the same each time it
     is read. Shard sizes differ by at most one row. With ``layout`` the rows
-    are also moved so that a shard's rows stand together in slot order.
+    are also moved so that runs of ``layout_rows`` slots of a shard stand
+    together, in slot order.
 
     Defined cases: NULLs, empty texts and repeated rows are rows like any
     other; an empty table gives no rows; columns called shard or slot are
@@ -131,7 +132,7 @@ def shard_rows(rows: DataFrame, n_shards: int = 24, *, seed: int = SEED, group_s
     where = assign_shards(rows, n_shards, seed, group_size, block_rows)
     out = packed(rows, F.monotonically_increasing_id().alias("place")).join(where, "place")
     if layout:
-        out = (out.repartition("shard", F.floor(F.col("slot") / block_rows))
+        out = (out.repartition("shard", F.floor(F.col("slot") / layout_rows))
                .sortWithinPartitions("shard", "slot"))
     return unpacked(out, shard=F.col("shard"), slot=F.col("slot"))
 
