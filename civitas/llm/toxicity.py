@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, held_out, labelled_sample, packed, pin, shared, table, unpacked
+from .common import WHITE, held_out, labelled_sample, packed, pin, shared, slices, table, unpacked
 
 MAX_LABELLED = 20_000       # labelled documents read by the learner
 PREFIXES = range(3, 9)      # lengths of stems
@@ -236,7 +236,7 @@ def count_units(only: set[str] | None = None):
     """Task function: in how many of the task's documents a unit stands; ``only`` restricts the units."""
     def run(batches):
         count = Counter()
-        for b in batches:
+        for b in slices(batches):
             for t in b.column(0):
                 u = units_of(t.as_py())
                 count.update(u if only is None else u & only)
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str
 
     def features(batches):
         scorer = Scorer(lexicon)
-        for b in batches:
+        for b in slices(batches):
             x = [scorer.features(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
