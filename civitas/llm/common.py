@@ -50,6 +50,15 @@ def shared(spark: SparkSession, value):
     return lambda: pickle.loads(sent.value)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows from here on in this session.
+
+    The default of 10,000 is made for short rows; whole texts would fill tens
+    of megabytes a task, in the JVM and again in Python.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in short slices: few texts become Python objects at a time."""
     for b in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import short_batches, table
 
 # markup whose content is never text
 DROPPED = "script|style|noscript|template|svg|math|iframe|object|select|textarea|button|title|canvas|audio|video"
@@ -226,6 +226,7 @@ def extract_main_text(pages: DataFrame, *, html: str = "html") -> DataFrame:
     def extract(column):
         return column.map(main_text, na_action=None)
 
+    short_batches(pages.sparkSession)
     others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     rows = pages.select(*[F.col(f"`{c}`") for c in others], extract(F.coalesce(F.col(f"`{html}`"), F.lit(""))).alias("text"))
     return rows.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, packed, shared, slices, table, unpacked
+from .common import held_out, labelled_sample, packed, shared, short_batches, slices, table, unpacked
 from .suffix import Names, as_bytes, mix
 
 BUCKETS, DIM, NONZERO, REACH = 4096, 64, 4, 2
@@ -143,6 +143,7 @@ def context_sums(batches):
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Normalised context vectors from all of ``docs``: BUCKETS + MARKERS rows of DIM numbers."""
+    short_batches(docs.sparkSession)
     cols = [f"c{j}" for j in range(DIM)]
     sums = (docs.select(F.col(f"`{text}`").alias("text"))
             .mapInArrow(context_sums, "row long, " + ", ".join(f"{c} long" for c in cols))
@@ -261,6 +262,7 @@ def with_score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFram
     equal texts score alike; an empty table gives no rows; without labels
     every score is 0.5; an input column called score is replaced.
     """
+    short_batches(docs.sparkSession)
     sent = shared(docs.sparkSession, model)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

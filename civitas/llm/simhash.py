@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, slices, table
+from .common import pin, short_batches, slices, table
 
 TILE = 512
 LANES = 8192    # members compared at once
@@ -63,6 +63,7 @@ def majority(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", ngram: int = 3) -> DataFrame:
     """(place, doc_id, fp): ``place`` is the row's monotonically_increasing_id, fp a signed 64-bit integer."""
+    short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

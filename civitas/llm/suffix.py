@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, slices, table
+from .common import pin, short_batches, slices, table
 
 GRAM = 16           # bytes per anchor hash
 WINDOW = 128        # window starts that share an anchor at most
@@ -211,6 +211,7 @@ def repeated_spans(docs: DataFrame, *, length: int = 400, text: str = "text") ->
     ``docs`` is a scan of files (rows are known by their place in it);
     ``spans`` are [from, to) byte offsets.
     """
+    short_batches(docs.sparkSession)
     src = docs.select(F.monotonically_increasing_id().alias("place"), F.col(f"`{text}`").alias("text"))
     # round 1
     names = pin(repeated(src.mapInArrow(shared_names(length), "name long, n byte")), "round1")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pin, slices, table
+from .common import pin, short_batches, slices, table
 
 RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pre-tokenisation pattern of this vocabulary
@@ -36,6 +36,7 @@ def length_histogram(docs: DataFrame, *, text: str = "text", ranks_file: str = R
     variable. Each task counts its own documents by length first, so the
     shuffle carries at most one row per task and distinct length.
     """
+    short_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     with open(ranks_file, "rb") as f:
         ranks = sc.broadcast(f.read())

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, held_out, labelled_sample, packed, pin, shared, slices, table, unpacked
+from .common import WHITE, held_out, labelled_sample, packed, pin, shared, short_batches, slices, table, unpacked
 
 MAX_LABELLED = 20_000       # labelled documents read by the learner
 PREFIXES = range(3, 9)      # lengths of stems
@@ -254,6 +254,7 @@ def min_hash(words) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         max_rows: int = MAX_LABELLED) -> Model:
     """Lexicon and match weights from at most ``max_rows`` labelled documents (copies and near copies count once)."""
+    short_batches(docs.sparkSession)
     sample = F.broadcast(labelled_sample(labels, label, max_rows))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(sample, "_id")
     rows = rows.withColumn("_words", F.split(F.coalesce("_text", F.lit("")), WHITE))
@@ -291,6 +292,7 @@ def with_score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFram
     rows; without labels the lexicon is empty and only threats can match; an
     input column called score is replaced.
     """
+    short_batches(docs.sparkSession)
     sent = shared(docs.sparkSession, model)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
