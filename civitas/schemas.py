@@ -20,12 +20,6 @@ LGD_MASTER = (
 
 SYNC_STATUS = "job_name string, last_offset bigint, last_updated timestamp_ntz"
 
-VILLAGE_DEMOGRAPHICS = (
-    "id int, village_id int, lgd_code string, total_population int, households int, "
-    "sc_population int, st_population int, general_population int, source string, status string, "
-    "source_as_of_date date, fetched_at timestamp, created_at timestamp"
-)
-
 DISTRICT_DEMOGRAPHICS = (
     "state_name string, district_name string, year_code string, total_population int, "
     "sc_population int, st_population int, general_population int, source_file string, "
@@ -56,14 +50,6 @@ SCHOOLS = (
     "lgd_urban_local_body_id string, lgd_urban_local_body_name string, lgd_ward_id string, lgd_ward_name string"
 )
 
-# Landed HTTP attempts (one row per request attempt).
-RESPONSES = "school_id bigint, endpoint string, attempt int, seq long, http_status int, body string"
-
-PROPOSAL_SECTIONS = (
-    "id long, proposal_id string, section_code string, version int, content string, "
-    "is_active boolean, temperature decimal(3,2), top_p decimal(3,2), created_at timestamp"
-)
-
 # Endpoint -> school-table column for the nine fragments.
 FRAGMENT_COLUMNS = {
     "basic_info": "basic_info",

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civitas.operators.upsert import Rule, upsert
+from civitas.schemas import SYNC_STATUS
 from civitas.sources.tables import merge_into_buckets, read_latest, version_of_batch, write_batch_version
 
 
@@ -81,9 +82,7 @@ def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: s
     key part fails the batch.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    status_schema = T.StructType([
-        T.StructField("job_name", T.StringType()), T.StructField("last_offset", T.LongType()),
-        T.StructField("last_updated", T.TimestampNTZType())])
+    status_schema = T._parse_datatype_string(SYNC_STATUS)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         me = f"{stream_id()}-{batch_id}"
