@@ -14,7 +14,6 @@ import re
 from functools import cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -236,7 +236,10 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "quality",
         max_rows: int = MAX_LABELLED) -> Model:
-    """Word vectors from all documents, the network from a bounded sample of the labelled ones."""
+    """Word vectors from all documents, the network from a bounded sample of the labelled ones.
+
+    If labelled ids repeat in ``docs``, at most 2 * max_rows documents are read.
+    """
     vectors = word_vectors(docs, text)
     sent = docs.sparkSession.sparkContext.broadcast(vectors)
 

@@ -144,7 +144,10 @@ def rule_number(rules: list[list[Condition]]) -> Column:
 
 def fit_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "quality",
               max_rows: int = MAX_LABELLED) -> list[list[Condition]]:
-    """Learn the list from at most ``max_rows`` labelled rows (the sample is small enough to be broadcast)."""
+    """Learn the list from at most ``max_rows`` labelled rows (the sample is small enough to be broadcast).
+
+    If labelled ids repeat in ``docs``, at most 2 * max_rows documents are read.
+    """
     sample = F.broadcast(labelled_sample(labels, label, max_rows))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(sample, "_id")
     got = with_statistics(rows, "_text").select("_y", *[F.col(f).cast("double") for f in FEATURES]).orderBy("_id").limit(2 * max_rows).collect()
