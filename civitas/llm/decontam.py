@@ -22,19 +22,19 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, packed, pin, table
 
-# the contract's words of a text whose A-Z are folded, A-Z itself added for texts that are not folded yet
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# what separates words: the contract's separators without A-Z, as texts are cut before they are folded
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHINGLE = 3
 BROADCAST_ROWS = 2_000_000  # shingle tables up to this size are broadcast (about 100 MB), larger ones shuffled
 
 
 def words_of(text) -> F.Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), 0)
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BETWEEN), "")
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A pinned table, marked for broadcast only if it was counted to be small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def item_windows(items: DataFrame, width: int, id_col: str, text: str) -> DataFrame:
@@ -72,8 +72,9 @@ def shingle_positions(docs: DataFrame, shingles: DataFrame, lengths: list[int],
                    | ((F.col("pos") == -1) & (F.col("k") == lengths[0])))
     cut = F.array_join(F.slice("words", F.greatest(F.col("pos"), F.lit(0)) + 1, F.col("k")), " ")
     key = F.when(F.col("pos") < 0, F.xxhash64("th")).otherwise(F.xxhash64(F.lower(cut)))
-    found = at.withColumn("h", key).join(shingles, F.col("h") == F.col("sh_h"), "left").filter(
-        (F.col("pos") < 0) | (ascii_lower(cut) == F.col("shingle")))
+    # the exact comparison is the dear part: only rows that met a shingle reach it
+    same = F.col("shingle").isNotNull() & (ascii_lower(cut) == F.col("shingle"))
+    found = at.withColumn("h", key).join(shingles, F.col("h") == F.col("sh_h"), "left").filter((F.col("pos") < 0) | same)
     return found.select("doc_id", "th", "n_words", "pos", F.when(F.col("pos") >= 0, F.col("shingle")).alias("shingle"))
 
 
