@@ -152,6 +152,9 @@ def star_links(fps: np.ndarray, group: np.ndarray, radius: int, skip: int = 0) -
                 np.minimum.at(label, label[u], m)
                 np.minimum.at(label, label[v], m)
                 label[:] = label[label]
+            # the links are forgotten: from here on every label must be the root itself
+            while not (label == label[label]).all():
+                label[:] = label[label]
             a.clear(), b.clear()
             held = 0
 
@@ -167,8 +170,6 @@ def star_links(fps: np.ndarray, group: np.ndarray, radius: int, skip: int = 0) -
             if held > 4 * LANES:
                 settle()
     settle()
-    while not (label == label[label]).all():
-        label[:] = label[label]
     moved = np.flatnonzero(label != np.arange(len(x)))
     return x[moved], x[label[moved]]
 

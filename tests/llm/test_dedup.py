@@ -151,6 +151,21 @@ def test_lanes_and_counters():
             assert [int(m[w]) for w in want] == [link.get(int(y), int(y)) for y in m]
 
 
+def test_links_settled_in_many_batches(monkeypatch):
+    """No link is lost when the links met so far are settled after each shift.
+
+    A chain w - x - r - v - p - q of neighbours that differ in one bit: v-p and x-r are met first, then r-v and
+    p-q in one batch (which leaves x two steps from its root), then x-w.
+    """
+    monkeypatch.setattr(simhash, "LANES", 0)
+    rng = random.Random(7)
+    x = np.array([rng.getrandbits(64) for _ in range(28)], np.uint64)
+    for k, at in enumerate((0, 27, 24, 14, 12, 2)):
+        x[at] = (1 << k) - 1
+    u, v = simhash.star_links(x, np.zeros(len(x), np.int64), 1)
+    assert {int(a): int(b) for a, b in zip(u, v, strict=True)} == {(1 << k) - 1: 0 for k in range(1, 6)}
+
+
 def test_keep_one_and_edges(spark, scratch):
     docs = documents(spark, scratch, near_texts())
     kept = simhash.keep_one(with_clashes(docs, "fp", "row"))
