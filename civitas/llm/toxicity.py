@@ -189,14 +189,16 @@ class Scorer:
         out = np.zeros(len(CLASSES) + 3)
         lower = (text or "").lower()
         strongest = total = 0.0
-        at = -1
+        start = stop = after = 0    # the clause read last, and where the next one starts
+        borders = CLAUSE.finditer(lower)
         for end, length in self.finder.iter(lower):
             first = end - length + 1
-            if first < at or (first and lower[first - 1].isalnum()):
+            if first < stop or (first and lower[first - 1].isalnum()):
                 continue  # in a clause already read, or inside a word
-            start = max((m.end() for m in CLAUSE.finditer(lower, max(0, first - 2000), first)), default=max(0, first - 2000))
-            stop = next((m.start() for m in CLAUSE.finditer(lower, end + 1, end + 2001)), min(len(lower), end + 2001))
-            start, at = max(start, at, 0), stop
+            # hits come in the order of their ends and hold no border, so the borders are passed once
+            while stop <= first:
+                border = next(borders, None)
+                start, stop, after = after, *(border.span() if border else (len(lower), len(lower)))
             read = [self.symbol(w) for w in WORD.findall(lower, start, stop)]
             clause = 0.0
             for i, kind, targeted, negated, reported in clause_matches([s for s, _ in read], self.grammar):

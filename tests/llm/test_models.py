@@ -149,6 +149,24 @@ def test_grammar_classes():
     assert toxicity.clause_matches([o, t], g) == []
 
 
+def test_long_clauses_are_read_whole():
+    scorer = toxicity.Scorer(toxicity.Lexicon({"blorg$": 2.0, "ass$": 3.0}))
+
+    def classes(text):
+        return {c: x for c, x in zip(toxicity.CLASSES, np.expm1(scorer.features(text)), strict=False) if x > 1e-9}
+    filler = "amber birch cedar " * 400     # 7,200 characters
+    assert classes(f"First. he said {filler}you blorg {filler}") == {("insult", 1, 0, 1): pytest.approx(2.0)}
+    assert classes(f"you blorg {filler}that") == {("insult", 1, 0, 0): pytest.approx(2.0)}
+    # an insult anywhere in the clause counts once, and no stump of a word counts
+    assert classes("blorg " + "x" * 1992 + " blorg " + filler + "blorg") == {("insult", 0, 0, 0): pytest.approx(6.0)}
+    for n in range(1985, 2005):
+        assert classes("blorg" + " " * n + "class " + filler) == {("insult", 0, 0, 0): pytest.approx(2.0)}
+        assert classes("class" + " " * n + "blorg " + filler) == {("insult", 0, 0, 0): pytest.approx(2.0)}
+    # borders at the ends, runs of borders, a report in another clause
+    assert classes("...he said! you blorg") == {("insult", 1, 0, 0): pytest.approx(2.0)}
+    assert classes(";blorg.!\n not a blorg;") == {("insult", 0, 0, 0): pytest.approx(2.0), ("insult", 0, 1, 0): pytest.approx(2.0)}
+
+
 def test_lexicon_chooses_stem_or_word():
     toxic = {"fool$": 90, "foo": 95, "fool": 90, "gru": 80, "grun": 80, "grunk": 80, "grunka$": 30, "grunkb$": 30, "the$": 95, "rare$": 4}
     clean = {"foo": 60, "the$": 900}
