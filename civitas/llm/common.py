@@ -31,6 +31,28 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_places(docs: DataFrame) -> Column:
+    """A number for every row of a file scan, fixed by its file and its position in it.
+
+    However Spark cuts the files into partitions, each job over them sees the
+    same numbers. The low bits hold the position, the others a hash of the
+    file's path whose seed is chosen so that no two files share it.
+    """
+    meta = docs.metadataColumn("_metadata")
+    path, row = meta["file_path"], meta["row_index"]
+    files = pin(docs.select(path.alias("path"), row.alias("row")).groupBy("path").agg(F.max("row").alias("last")), "files")
+    n, last = files.agg(F.count(F.lit(1)), F.max("last")).first()
+    bits = max(1, (last or 0).bit_length())
+
+    def hashed(seed, path):
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), path), bits + 1)
+
+    for seed in range(64):
+        if files.agg(F.countDistinct(hashed(seed, F.col("path")))).first()[0] == n:
+            return F.shiftleft(hashed(seed, path), bits).bitwiseOR(row)
+    raise ValueError(f"{n} files of up to {last + 1} rows have no distinct places of 63 bits")
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(col, UPPER, UPPER.lower())

@@ -1,18 +1,18 @@
 """Uniform shuffle into shards of exact size by a hypergeometric communication matrix.
 
-1. Count the rows of every scan partition.
-2. Draw the matrix partition x shard: how many rows each partition sends to
-   each shard, given that every shard takes an exact number. Drawn in two
-   levels -- partition groups on the driver, partitions inside a group in
-   tasks -- so the driver holds one short row per ``group_size`` partitions.
-3. Permute each partition locally (order by a seeded hash of the place) and
-   cut the permuted rows by the partition's row of the matrix.
+1. Count the rows of every piece of a file (512 positions in a row).
+2. Draw the matrix piece x shard: how many rows each piece sends to each
+   shard, given that every shard takes an exact number. Drawn in two levels
+   -- groups of pieces on the driver, pieces inside a group in tasks -- so
+   the driver holds one short row per ``group_size`` pieces.
+3. Permute each piece locally (order by a seeded hash of the place) and cut
+   the permuted rows by the piece's row of the matrix.
 4. Exchange, and permute each shard again: rows fall into hash blocks, are
    numbered inside the block, and blocks are laid one after the other.
 
-Rows are told apart by their place (partition and position) in the scan of
-immutable files, which every re-run of a lost task reproduces; contents play
-no part, so equal rows or one hot key cannot overload a partition or shard.
+Rows are told apart by their place (file and position in it), which every job
+over the immutable files reproduces however Spark cuts them; contents play no
+part, so equal rows or one hot key cannot overload a piece or shard.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, pin, table, unpacked
+from .common import packed, pin, row_places, table, unpacked
 
 SEED = 2024
+PIECE_BITS = 9      # places that differ in these low bits only are one piece
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -70,10 +71,11 @@ def shard_sizes(total: int, n_shards: int) -> list[int]:
 
 
 def communication_matrix(counts: DataFrame, n_shards: int, seed: int, group_size: int) -> DataFrame:
-    """(p, cut): for each partition the running totals of its row of the matrix."""
+    """(p, cut): for each piece the running totals of its row of the matrix."""
     spark = counts.sparkSession
-    counts = pin(counts.withColumn("g", F.floor(F.col("p") / group_size).cast("long")), "shard-counts")
-    groups = counts.groupBy("g").agg(F.sum("n").alias("n")).orderBy("g").collect()  # one row per group_size partitions
+    n_groups = max(1, math.ceil(counts.count() / group_size))
+    counts = pin(counts.withColumn("g", F.pmod(F.xxhash64(F.lit(seed), "p"), F.lit(n_groups))), "shard-counts")
+    groups = counts.groupBy("g").agg(F.sum("n").alias("n")).orderBy("g").collect()  # one row per group_size pieces
     room, rng, quotas = shard_sizes(sum(r["n"] for r in groups), n_shards), np.random.default_rng(seed), []
     for r in groups:
         take = draw_row(rng, room, r["n"])
@@ -91,14 +93,14 @@ def communication_matrix(counts: DataFrame, n_shards: int, seed: int, group_size
             cuts.append(np.cumsum(take).tolist())
         return pd.DataFrame({"p": pdf["p"].to_numpy(), "cut": cuts})
 
-    return counts.join(quota, "g").groupBy("g").applyInPandas(within, "p int, cut array<long>")
+    return counts.join(quota, "g").groupBy("g").applyInPandas(within, "p long, cut array<long>")
 
 
-def assign_shards(rows: DataFrame, n_shards: int, seed: int = SEED, group_size: int = 256,
+def assign_shards(places: DataFrame, n_shards: int, seed: int = SEED, group_size: int = 256,
                   block_rows: int = 4096) -> DataFrame:
-    """(place, shard, slot) for every row of a file scan; ``place`` is its monotonically_increasing_id."""
-    places = rows.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("place"))
-    counts = pin(places.groupBy("p").agg(F.count(F.lit(1)).alias("n")), "shard-partitions")
+    """(place, shard, slot) for every row of ``places``, the places of a file scan."""
+    places = places.select(F.shiftright("place", PIECE_BITS).alias("p"), "place")
+    counts = pin(places.groupBy("p").agg(F.count(F.lit(1)).alias("n")), "shard-pieces")
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
     cuts = pin(communication_matrix(counts, n_shards, seed, group_size), "shard-matrix")
     local = Window.partitionBy("p").orderBy(F.xxhash64(F.lit(seed), "place"), "place")
@@ -129,8 +131,9 @@ def shard_rows(rows: DataFrame, n_shards: int = 24, *, seed: int = SEED, group_s
     other; an empty table gives no rows; columns called shard or slot are
     replaced.
     """
-    where = assign_shards(rows, n_shards, seed, group_size, block_rows)
-    out = packed(rows, F.monotonically_increasing_id().alias("place")).join(where, "place")
+    place = row_places(rows).alias("place")
+    where = assign_shards(rows.select(place), n_shards, seed, group_size, block_rows)
+    out = packed(rows, place).join(where, "place")
     if layout:
         out = (out.repartition("shard", F.floor(F.col("slot") / layout_rows))
                .sortWithinPartitions("shard", "slot"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, short_batches, slices, table
+from .common import pin, row_places, short_batches, slices, table
 
 TILE = 512
 LANES = 8192    # members compared at once
@@ -61,8 +61,8 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", ngram: int = 3) -> DataFrame:
-    """(place, doc_id, fp): ``place`` is the row's monotonically_increasing_id, fp a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, place: Column, *, text: str = "text", id_col: str = "doc_id", ngram: int = 3) -> DataFrame:
+    """(place, doc_id, fp): ``place`` as in row_places, fp a signed 64-bit integer."""
     short_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(np.array(fp, np.uint64).view(np.int64))], names=["place", "doc_id", "fp"])
 
-    return docs.select(F.monotonically_increasing_id().alias("place"), F.col(f"`{id_col}`").alias("doc_id"),
+    return docs.select(place.alias("place"), F.col(f"`{id_col}`").alias("doc_id"),
                        F.col(f"`{text}`").alias("text")).mapInArrow(run, f"place long, doc_id {kind}, fp long")
 
 
@@ -255,7 +255,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, ngram: int = 3, radius: int = 3, text: str = "text",
-                    id_col: str = "doc_id") -> DataFrame:
+                    id_col: str = "doc_id", place: Column | None = None) -> DataFrame:
     """(place, doc_id, fp, component_id) for every row of a file scan.
 
     component_id is the smallest id of all rows whose fingerprints are linked,
@@ -266,7 +266,8 @@ def near_duplicates(docs: DataFrame, *, ngram: int = 3, radius: int = 3, text: s
     other (then its component_id is NULL); an empty table gives no rows; other
     columns of ``docs`` are not read.
     """
-    rows = pin(fingerprints(docs, text=text, id_col=id_col, ngram=ngram), "fingerprints")
+    place = row_places(docs) if place is None else place
+    rows = pin(fingerprints(docs, place, text=text, id_col=id_col, ngram=ngram), "fingerprints")
     nodes = pin(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = connected_components(links_between(nodes, radius))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
@@ -278,11 +279,12 @@ def near_duplicates(docs: DataFrame, *, ngram: int = 3, radius: int = 3, text: s
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` (a file scan) with one row of every component: the smallest id, then the first row."""
-    found = near_duplicates(docs, **settings)
+    """``docs`` (a file scan) with one row of every component: the smallest id, then the lowest place."""
+    place = row_places(docs)
+    found = near_duplicates(docs, place=place, **settings)
     rank = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("place").alias("place"))
     kept = found.groupBy("root").agg(F.min(rank).alias("best")).select(F.col("best.place").alias("_place"))
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_place"))
+    rows = docs.select(F.struct("*").alias("row"), place.alias("_place"))
     return rows.join(kept, "_place", "left_semi").select("row.*")
 
 

@@ -26,10 +26,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pin, short_batches, slices, table
+from .common import pin, row_places, short_batches, slices, table
 
 GRAM = 16           # bytes per anchor hash
 WINDOW = 128        # window starts that share an anchor at most
@@ -205,14 +205,14 @@ def repeated(named: DataFrame) -> DataFrame:
     return named.groupBy("name").agg(F.sum("n").alias("n")).filter("n >= 2").select("name")
 
 
-def repeated_spans(docs: DataFrame, *, length: int = 400, text: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, place: Column, *, length: int = 400, text: str = "text") -> DataFrame:
     """(place, n_removed, spans, kept_sha256) of the documents that share anything.
 
-    ``docs`` is a scan of files (rows are known by their place in it);
+    ``docs`` is a scan of files (rows are known by their ``place`` in them);
     ``spans`` are [from, to) byte offsets.
     """
     short_batches(docs.sparkSession)
-    src = docs.select(F.monotonically_increasing_id().alias("place"), F.col(f"`{text}`").alias("text"))
+    src = docs.select(place.alias("place"), F.col(f"`{text}`").alias("text"))
     # round 1
     names = pin(repeated(src.mapInArrow(shared_names(length), "name long, n byte")), "round1")
     runs = src.mapInArrow(open_runs(length), "place long, s long, e long, g long, l long")
@@ -250,9 +250,10 @@ def dedup_repeats(docs: DataFrame, *, length: int = 400, text: str = "text", id_
     rows; other columns are not read.
     """
     raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    base = docs.select(F.monotonically_increasing_id().alias("place"), F.col(f"`{id_col}`").alias("doc_id"),
+    place = row_places(docs)
+    base = docs.select(place.alias("place"), F.col(f"`{id_col}`").alias("doc_id"),
                        F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole"))
-    cut = pin(repeated_spans(docs, length=length, text=text), "cut")
+    cut = pin(repeated_spans(docs, place, length=length, text=text), "cut")
     return base.join(cut, "place", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("spans", F.array().cast("array<array<long>>")).alias("spans"),

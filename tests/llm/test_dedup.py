@@ -166,6 +166,16 @@ def test_links_settled_in_many_batches(monkeypatch):
     assert {int(a): int(b) for a, b in zip(u, v, strict=True)} == {(1 << k) - 1: 0 for k in range(1, 6)}
 
 
+def test_rows_keep_their_places_when_scans_are_cut_anew(spark, scratch, recut):
+    docs = documents(spark, scratch, near_texts(), files=5)
+    rows = docs.collect()
+    recut(simhash, suffix)
+    want = set(components([r["doc_id"] for r in rows], [fingerprint(r["text"]) for r in rows], 3))
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted(want)
+    texts = [t for t in near_texts() if len(t or "") < 10_000]
+    assert cut(spark, scratch + "-c", texts) == sorted(brute_cut(texts, 400))
+
+
 def test_keep_one_and_edges(spark, scratch):
     docs = documents(spark, scratch, near_texts())
     kept = simhash.keep_one(with_clashes(docs, "fp", "row"))

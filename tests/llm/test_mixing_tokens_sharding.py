@@ -120,6 +120,14 @@ def test_exact_sizes_and_slots(spark, scratch, n, shards, files):
     assert Counter(r["doc_id"] for r in rows) == Counter(i % 50 for i in range(n))
 
 
+def test_no_row_is_lost_when_scans_are_cut_anew(spark, scratch, recut):
+    docs = table_of(spark, scratch, [(i, "t", "en", "s", 1) for i in range(1000)], files=7)
+    recut(sharding)
+    rows = sharding.shard_rows(docs, 24, group_size=2, block_rows=8).collect()
+    check_shards(rows, 1000, 24)
+    assert sorted(r["doc_id"] for r in rows) == list(range(1000))
+
+
 def test_sharding_is_repeatable_and_keeps_awkward_rows(spark, scratch):
     docs = documents(spark, scratch, awkward_texts())
     a, b = (sorted(map(repr, sharding.shard_rows(docs, 4).collect())) for _ in range(2))
