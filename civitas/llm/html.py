@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -39,6 +40,13 @@ FURNITURE_WORD = re.compile(
     r"signup|login|popup|modal|overlay|related|recommend\w*|share|sharing|social|breadcrumbs?|pag(?:er|ination)|"
     r"comments?|commentlist|replies|reply|respond|discussion|disqus|feedback|copyright|legal|tags?|toolbar|search)(?:$|[^a-z])", re.I)
 HEADER_WORD = re.compile(r"(?:^|[^a-z])(?:header|masthead|topbar)(?:$|[^a-z])", re.I)
+# tokens that tell of a page's state or filing, not of what the element is: "has-sidebar", "tag-news", "comments-open", "page-with-banner"
+STATE_TOKEN = re.compile(r"(?:has|with|without|no|not|is|hide|hides|show|shows|tag|category|cat|format|type|status|js)[-_]+.*", re.I)
+STATE_TAIL = re.compile(r"[-_]+(?:has|with|without|no)[-_].*|.*[-_](?:open|opened|closed|enabled|disabled|on|off|visible|hidden)$", re.I)
+# names that no layout wrapper has; their elements stay furniture whatever they hold
+NEVER_TEXT = re.compile(
+    r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|"
+    r"comments?|commentlist|replies|reply|respond|discussion|disqus)(?:$|[^a-z])", re.I)
 COMMENT_WORD = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|replies|reply)(?:$|[^a-z])", re.I)
 MAIN_WORD = re.compile(r"(?:^|[^a-z])(?:article|articlebody|story|main|(?:post|entry|article|story)[-_]?(?:body|content|text))(?:$|[^a-z])", re.I)
 
@@ -129,37 +137,137 @@ def verdict(tree, row: np.ndarray) -> int:
     return tree
 
 
+OUTSIDE = ("", False, False, None, False, False)
+
+
 def attribute_values(attrs: str) -> list[str]:
     return [next(filter(None, m.groups()[1:]), "") for m in ATTRIBUTE.finditer(attrs)]
 
 
-def is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
-    """Menus, headers, sidebars, notices, adverts, forms and comments; an article's own header is text."""
-    if tag in ("body", *MAIN) and not any(COMMENT_WORD.search(v) for v in attribute_values(attrs)):
+def named_parts(attrs: str) -> list[str]:
+    """The tokens of class, id and role, those of a state left out or cut off."""
+    out = []
+    for value in attribute_values(attrs):
+        out.extend(STATE_TAIL.sub("", t) for t in value.split() if not STATE_TOKEN.fullmatch(t))
+    return [t for t in out if t]
+
+
+def is_comment(attrs: str) -> bool:
+    return any(COMMENT_WORD.search(t) for t in named_parts(attrs))
+
+
+def furniture_by_tag(tag: str, in_main: bool) -> bool:
+    """Menus, headers, asides and forms; an article's own header is text."""
+    return tag in FURNITURE_TAGS and not (tag == "header" and in_main)
+
+
+def furniture_by_name(tag: str, attrs: str, in_main: bool) -> bool:
+    """Sidebars, notices, adverts and comments by their class, id or role."""
+    if tag in ("body", *MAIN) and not is_comment(attrs):
         return False
-    if tag in FURNITURE_TAGS and not (tag == "header" and in_main):
-        return True
-    return any(FURNITURE_WORD.search(v) or (not in_main and HEADER_WORD.search(v)) for v in attribute_values(attrs))
+    return any(FURNITURE_WORD.search(t) or (not in_main and HEADER_WORD.search(t)) for t in named_parts(attrs))
 
 
 def is_main(attrs: str) -> bool:
     return any(MAIN_WORD.search(v) for v in attribute_values(attrs))
 
 
+@dataclass
+class Mark:
+    """An element that is furniture by its name, and what stands in it."""
+    outer: int | None   # the mark around it
+    depth: int
+    bare: bool          # its name is a word of furniture and nothing else
+    firm: bool          # its name is never that of a layout wrapper
+    words: int = 0      # unlinked words outside elements that are furniture by their tag
+    main: bool = False  # a main element stands in it
+    article: bool = False   # text of an article element stands in it
+    opens: bool = False     # without it, text of a main element or class would be free
+
+
 def flat_blocks(page: str) -> list[tuple]:
-    """(words, link share, main, furniture, heading, text) of each block in page order."""
-    blocks, parts, linked = [], [], []
-    stack: list[tuple[str, bool, bool]] = []  # container, main, furniture
-    links, heading, own, at = 0, False, False, 0
+    """(words, link share, main, furniture, heading, text) of each block in page order.
+
+    A name makes an element furniture only if the article is not inside it:
+    layout wrappers are named after what stands beside the article, too.
+    """
+    blocks, marks, held = marked_blocks(page, frozenset())
+    wrappers = layout_wrappers(blocks, marks, held) if marks else frozenset()
+    return marked_blocks(page, wrappers)[0] if wrappers else blocks
+
+
+def layout_wrappers(blocks: list[tuple], marks: dict[int, Mark], held: list[tuple]) -> frozenset[int]:
+    """The marks of elements that hold the article, from the outermost inwards.
+
+    These hold a main element; or, where no main block stands free of marks,
+    they hold the most words of their depth and an article or over half of the
+    page's unlinked words. An element named by a bare word of furniture, such
+    as "sidebar", must hold the article or all there is.
+    """
+    total = loose = 0   # unlinked words of the page, and those outside marks
+    free = False        # a main block stands outside marks
+    for block, (hard, within, main, in_article) in zip(blocks, held, strict=True):
+        n = 0 if hard else round(block[0] * (1 - block[1]))
+        total += n
+        if within is None:
+            loose, free = loose + n, free or bool(n and main)
+        elif n:
+            mark = marks[within]
+            mark.words += n
+            mark.article, mark.opens = mark.article or in_article, mark.opens or main
+    levels: dict[int, list[int]] = {}
+    for k in reversed(marks):  # inner marks first
+        mark = marks[k]
+        levels.setdefault(mark.depth, []).append(k)
+        if mark.outer is not None:
+            around = marks[mark.outer]
+            around.words, around.article, around.main = around.words + mark.words, around.article or mark.article, around.main or mark.main
+    out: set[int] = set()
+    for depth in sorted(levels):
+        reached = [k for k in reversed(levels[depth]) if marks[k].outer is None or marks[k].outer in out]
+        chosen = [k for k in reached if marks[k].main]
+        rest = [k for k in reached if not marks[k].main and not marks[k].firm]
+        if rest and not chosen and not free:
+            k = max(rest, key=lambda k: marks[k].words)
+            if marks[k].words and (marks[k].article or (not loose if marks[k].bare else 2 * marks[k].words > total)):
+                chosen = [k]
+        if not chosen:
+            break
+        out.update(chosen)
+        free = free or any(marks[k].opens for k in chosen)
+        inner = {j for j in levels.get(depth + 1, ()) if marks[j].outer in out}
+        loose += sum(marks[k].words for k in chosen) - sum(marks[j].words for j in inner)
+    return frozenset(out)
+
+
+def marked_blocks(page: str, wrappers: frozenset[int]) -> tuple[list[tuple], dict[int, Mark], list[tuple]]:
+    """The blocks; the elements marked by name, known by their place in the page, but for ``wrappers``; and of each
+    block: furniture by a tag, the innermost mark, in a main element or class whatever the marks, in an article."""
+    blocks, parts, linked, held = [], [], [], []
+    marks: dict[int, Mark] = {}
+    # container, main, furniture by tag, innermost mark, main whatever the marks, in an article
+    stack: list[tuple[str, bool, bool, int | None, bool, bool]] = []
+    links, heading, own, at = 0, False, (False, None), 0
 
     def flush():
         words = entities.unescape("".join(parts)).split()
         if words:
             n = len(entities.unescape("".join(linked)).split())
-            main, furniture = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            blocks.append((len(words), min(1.0, n / len(words)), int(main), int(furniture or own), int(heading), " ".join(words)))
+            _, main, hard, within, any_main, in_article = stack[-1] if stack else OUTSIDE
+            hard, within = hard or own[0], within if own[1] is None else own[1]
+            blocks.append((len(words), min(1.0, n / len(words)), int(main), int(hard or within is not None), int(heading), " ".join(words)))
+            held.append((hard, within, any_main, in_article))
         parts.clear(), linked.clear()
 
+    def mark(tag, attrs, main, outer, place):
+        """The innermost mark within the element."""
+        if place in wrappers or not furniture_by_name(tag, attrs, main):
+            return outer
+        names = [t for t in named_parts(attrs) if FURNITURE_WORD.search(t) or HEADER_WORD.search(t)]
+        marks[place] = Mark(outer, 0 if outer is None else marks[outer].depth + 1, any(t.isalpha() for t in names),
+                            any(NEVER_TEXT.search(t) for t in names))
+        return place
+
     def text(s):
         if s:
             parts.append(s)
@@ -181,7 +289,7 @@ def flat_blocks(page: str) -> list[tuple]:
             text(" ")
             continue
         flush()
-        own = False
+        own = (False, None)
         if m["end"]:
             heading = False if re.fullmatch("h[1-6]", tag) else heading
             links = 0
@@ -190,19 +298,25 @@ def flat_blocks(page: str) -> list[tuple]:
                 if at_depth is not None:
                     del stack[at_depth:]
         elif tag in CONTAINERS:
-            main, furniture = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            furniture = furniture or is_furniture(tag, m["attrs"], main)
-            stack.append((tag, main or tag in MAIN or (not furniture and is_main(m["attrs"])), furniture))
+            _, main, hard, outer, any_main, in_article = stack[-1] if stack else OUTSIDE
+            hard = hard or furniture_by_tag(tag, main)
+            within = mark(tag, m["attrs"], main, outer, m.start())
+            if tag == "main" and within is not None and within == outer and not hard:
+                marks[within].main = True
+            named_main = not hard and is_main(m["attrs"])
+            stack.append((tag, main or tag in MAIN or (named_main and within is None), hard, within, any_main or tag in MAIN or named_main,
+                          in_article or (tag == "article" and within == outer)))
             heading = False
         else:
-            main = bool(stack and stack[-1][1])
-            own = is_furniture(tag, m["attrs"], main)  # a paragraph or list entry marked by itself
+            _, main, _, outer, _, _ = stack[-1] if stack else OUTSIDE
+            # a paragraph or list entry marked by itself
+            own = (furniture_by_tag(tag, main), mark(tag, m["attrs"], main, outer, m.start()))
             heading = re.fullmatch("h[1-6]", tag) is not None
     tail = page[at:]
     cut = tail.rfind("<")
     text(tail if cut < 0 or not re.match(r"</?[a-zA-Z!]", tail[cut:]) else tail[:cut])  # a tag cut off by the end of the page
     flush()
-    return blocks
+    return blocks, marks, held
 
 
 def main_text(page: str | None) -> str:

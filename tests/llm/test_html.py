@@ -27,6 +27,29 @@ def test_page_without_main_element():
     assert html.main_text(page) == "Hello Some words that make a paragraph long enough to be text. Short one."
 
 
+def test_layout_wrappers_are_not_furniture():
+    body = "<h1>The title</h1><p>A paragraph of the article that is long enough to be text.</p><p>And one more of them.</p>"
+    text = "The title A paragraph of the article that is long enough to be text. And one more of them."
+    side = '<div class="sidebar"><p>Text beside the article.</p></div>'
+    for wrapper in ('div class="page has-sidebar"', 'div id="wrap" class="content-sidebar"', 'div class="post tag-news"',
+                    'section class="no-comments"', 'div class="page-with-banner"', 'div class="post comments-open"', 'div class="layout sidebar"'):
+        end = wrapper.split()[0]
+        for inner in (body, f"<article>{body}</article>", f"<main>{body}</main>", f'<div class="content">{body}</div>'):
+            assert html.main_text(f"<body><{wrapper}>{inner}{side}</{end}><footer>the end</footer></body>") == text, wrapper
+    # a wrapper does not lose a short article to a long sidebar
+    assert html.main_text(f'<div class="content-sidebar"><article>{body}</article><div class="sidebar">{"<p>many words</p>" * 40}</div></div>') == text
+
+
+def test_furniture_by_name_beside_the_article():
+    body = "<article><h1>The title</h1><p>A short article.</p></article>"
+    for name in ("ad", "ad-box", "sidebar", "related-posts", "cookie-notice", "comments", "post-comments", "share tag-news"):
+        for inner in ("<p>long text in it</p>" * 30, "<article><p>long text in it</p></article>" * 30):
+            assert html.main_text(f'{body}<div class="{name}">{inner}</div>') == "The title A short article.", name
+    comments = '<div class="comments">' + "<p>a long comment on it</p>" * 30 + "</div>"
+    assert html.main_text(f'<div class="post"><h2>Hello</h2><p>Some words that make a paragraph.</p></div>{comments}') == "Hello Some words that make a paragraph."
+    assert html.main_text('<div class="ad"><p>Buy now, and buy all of it!</p></div>') == ""
+
+
 def test_cut_and_odd_markup():
     cases = {None: "", "": "", "plain text": "plain text", "<p>cut <b": "cut", "<article><p>a</p><p>b &am": "a b &am",
              "<article><p>a<script>x</p>": "a", "<article>1 < 2 and 3 > 2</article>": "1 < 2 and 3 > 2",
