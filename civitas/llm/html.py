@@ -47,6 +47,14 @@ STATE_TAIL = re.compile(r"[-_]+(?:has|with|without|no)[-_].*|.*[-_](?:open|opene
 NEVER_TEXT = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|"
     r"comments?|commentlist|replies|reply|respond|discussion|disqus)(?:$|[^a-z])", re.I)
+# inside an article a name decides only as a whole token; other names need links to speak with them
+ARTICLE_FURNITURE = re.compile(
+    r"ads?|advert|advertisement|adsense|ad[-_](?:box|slot|unit|banner|break)|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|sidebar|widget|"
+    r"cookies?(?:[-_](?:notice|banner|consent|bar))?|consent|gdpr|notices?|newsletter(?:[-_](?:box|form|signup))?|subscribe|sign[-_]?up|login|popup|"
+    r"modal|overlay|related(?:[-_](?:posts?|articles?|stories|links))?|recommend(?:ed|ations)|shar(?:e|ing)(?:[-_](?:bar|buttons?|links|icons))?|"
+    r"social(?:[-_](?:bar|buttons?|links|icons|media))?|breadcrumbs?|pager|pagination|(?:\w+[-_])?comments?(?:[-_]\w+)?|commentlist|replies|reply|respond|"
+    r"disqus(?:[-_]\w+)?|toolbar|footer|copyright", re.I)
+LINKED = 0.5        # link share from which a name of furniture counts inside an article
 COMMENT_WORD = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|replies|reply)(?:$|[^a-z])", re.I)
 MAIN_WORD = re.compile(r"(?:^|[^a-z])(?:article|articlebody|story|main|(?:post|entry|article|story)[-_]?(?:body|content|text))(?:$|[^a-z])", re.I)
 
@@ -65,8 +73,8 @@ LABELLED = (
     ((9, 0.0, 1, 0, 1, 1), (70, 0.0, 1, 0, 0, 1), (12, 1.0, 1, 1, 0, 0), (30, 0.0, 1, 1, 0, 0), (4, 0.0, 1, 1, 1, 0), (55, 0.0, 1, 1, 0, 0)),
     # unmarked text outside the main element
     ((15, 0.0, 0, 0, 0, 0), (6, 0.0, 1, 0, 1, 1), (50, 0.0, 1, 0, 0, 1), (10, 0.0, 0, 0, 0, 0), (30, 0.0, 0, 0, 0, 0)),
-    # a list of links inside the main element
-    ((7, 0.0, 1, 0, 1, 1), (40, 0.2, 1, 0, 0, 1), (9, 1.0, 1, 0, 0, 0), (11, 0.95, 1, 0, 0, 0), (12, 1.0, 1, 0, 0, 0)),
+    # paragraphs and lists of links inside the main element
+    ((7, 0.0, 1, 0, 1, 1), (40, 0.2, 1, 0, 0, 1), (9, 1.0, 1, 0, 0, 1), (11, 0.95, 1, 0, 0, 1), (12, 1.0, 1, 0, 0, 1)),
     # main elements with blocks of any length
     ((3, 1.0, 0, 1, 0, 0), (8, 0.0, 1, 0, 1, 1), (1, 0.0, 1, 0, 0, 1), (2, 0.0, 1, 0, 0, 1), (3, 0.0, 1, 0, 0, 1), (5, 0.0, 1, 0, 0, 1),
      (8, 0.0, 1, 0, 0, 1), (13, 0.1, 1, 0, 0, 1), (21, 0.0, 1, 0, 0, 1), (34, 0.2, 1, 0, 0, 1), (55, 0.0, 1, 0, 0, 1), (6, 0.0, 0, 1, 0, 0)),
@@ -97,10 +105,13 @@ LABELLED = (
 
 
 def neighbours(blocks: list[tuple]) -> np.ndarray:
-    """Feature rows of a page's blocks (words, links, main, furniture, heading)."""
+    """Feature rows of a page's blocks (words, links, main, furniture, heading).
+
+    At the edges of a page a block is its own neighbour: nothing there tells
+    an article that ends the page from one with furniture behind it.
+    """
     b = np.array([x[:5] for x in blocks], float).reshape(-1, 5)
-    edge = np.zeros((1, 2))
-    before, after = np.vstack((edge, b[:-1, :2])), np.vstack((b[1:, :2], edge))
+    before, after = np.vstack((b[:1, :2], b[:-1, :2])), np.vstack((b[1:, :2], b[-1:, :2]))
     some = np.full(len(b), b[:, 2].max(initial=0))
     return np.column_stack((b[:, 0], b[:, 1], before, after, b[:, 2], some, b[:, 3], b[:, 4]))
 
@@ -124,10 +135,20 @@ def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 6):
     return k, cut, grow_tree(x[low], y[low], depth - 1), grow_tree(x[~low], y[~low], depth - 1)
 
 
+def cut_pages(pages=LABELLED) -> list[list[tuple]]:
+    """Every labelled page as it is, and cut off before its first and behind its last block of text, and both."""
+    out = []
+    for page in pages:
+        text = [i for i, b in enumerate(page) if b[5]] or [0, len(page) - 1]
+        for first, last in {(0, len(page) - 1), (text[0], len(page) - 1), (0, text[-1]), (text[0], text[-1])}:
+            out.append(list(page[first:last + 1]))
+    return sorted(out)
+
+
 @cache
 def trained_tree():
-    x = np.vstack([neighbours(list(page)) for page in LABELLED])
-    return grow_tree(x, np.array([b[5] for page in LABELLED for b in page]))
+    pages = cut_pages()
+    return grow_tree(np.vstack([neighbours(page) for page in pages]), np.array([b[5] for page in pages for b in page]))
 
 
 def verdict(tree, row: np.ndarray) -> int:
@@ -137,7 +158,7 @@ def verdict(tree, row: np.ndarray) -> int:
     return tree
 
 
-OUTSIDE = ("", False, False, None, False, False)
+OUTSIDE = ("", False, False, None, False, False, False)
 
 
 def attribute_values(attrs: str) -> list[str]:
@@ -161,11 +182,18 @@ def furniture_by_tag(tag: str, in_main: bool) -> bool:
     return tag in FURNITURE_TAGS and not (tag == "header" and in_main)
 
 
+def hinted(attrs: str) -> bool:
+    """A word of furniture stands somewhere in class, id or role."""
+    return any(FURNITURE_WORD.search(t) for t in named_parts(attrs))
+
+
 def furniture_by_name(tag: str, attrs: str, in_main: bool) -> bool:
     """Sidebars, notices, adverts and comments by their class, id or role."""
     if tag in ("body", *MAIN) and not is_comment(attrs):
         return False
-    return any(FURNITURE_WORD.search(t) or (not in_main and HEADER_WORD.search(t)) for t in named_parts(attrs))
+    if in_main:     # "related-work" and "share-price" are titles of sections there
+        return any(ARTICLE_FURNITURE.fullmatch(t) for t in named_parts(attrs))
+    return any(FURNITURE_WORD.search(t) or HEADER_WORD.search(t) for t in named_parts(attrs))
 
 
 def is_main(attrs: str) -> bool:
@@ -245,16 +273,18 @@ def marked_blocks(page: str, wrappers: frozenset[int]) -> tuple[list[tuple], dic
     block: furniture by a tag, the innermost mark, in a main element or class whatever the marks, in an article."""
     blocks, parts, linked, held = [], [], [], []
     marks: dict[int, Mark] = {}
-    # container, main, furniture by tag, innermost mark, main whatever the marks, in an article
-    stack: list[tuple[str, bool, bool, int | None, bool, bool]] = []
-    links, heading, own, at = 0, False, (False, None), 0
+    # container, main, furniture by tag, innermost mark, main whatever the marks, in an article, name of furniture in an article
+    stack: list[tuple[str, bool, bool, int | None, bool, bool, bool]] = []
+    opened: dict[str, int] = {}
+    links, heading, own, at = 0, False, (False, None, False), 0
 
     def flush():
         words = entities.unescape("".join(parts)).split()
         if words:
             n = len(entities.unescape("".join(linked)).split())
-            _, main, hard, within, any_main, in_article = stack[-1] if stack else OUTSIDE
+            _, main, hard, within, any_main, in_article, hint = stack[-1] if stack else OUTSIDE
             hard, within = hard or own[0], within if own[1] is None else own[1]
+            hard = hard or ((hint or own[2]) and n >= LINKED * len(words))
             blocks.append((len(words), min(1.0, n / len(words)), int(main), int(hard or within is not None), int(heading), " ".join(words)))
             held.append((hard, within, any_main, in_article))
         parts.clear(), linked.clear()
@@ -289,28 +319,31 @@ def marked_blocks(page: str, wrappers: frozenset[int]) -> tuple[list[tuple], dic
             text(" ")
             continue
         flush()
-        own = (False, None)
+        own = (False, None, False)
         if m["end"]:
             heading = False if re.fullmatch("h[1-6]", tag) else heading
             links = 0
-            if tag in CONTAINERS:
-                at_depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at_depth is not None:
-                    del stack[at_depth:]
+            if opened.get(tag):     # it ends with all that was left open in it
+                while True:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == tag:
+                        break
         elif tag in CONTAINERS:
-            _, main, hard, outer, any_main, in_article = stack[-1] if stack else OUTSIDE
+            _, main, hard, outer, any_main, in_article, hint = stack[-1] if stack else OUTSIDE
             hard = hard or furniture_by_tag(tag, main)
             within = mark(tag, m["attrs"], main, outer, m.start())
             if tag == "main" and within is not None and within == outer and not hard:
                 marks[within].main = True
             named_main = not hard and is_main(m["attrs"])
             stack.append((tag, main or tag in MAIN or (named_main and within is None), hard, within, any_main or tag in MAIN or named_main,
-                          in_article or (tag == "article" and within == outer)))
+                          in_article or (tag == "article" and within == outer), hint or (main and hinted(m["attrs"]))))
+            opened[tag] = opened.get(tag, 0) + 1
             heading = False
         else:
-            _, main, _, outer, _, _ = stack[-1] if stack else OUTSIDE
+            _, main, _, outer, _, _, _ = stack[-1] if stack else OUTSIDE
             # a paragraph or list entry marked by itself
-            own = (furniture_by_tag(tag, main), mark(tag, m["attrs"], main, outer, m.start()))
+            own = (furniture_by_tag(tag, main), mark(tag, m["attrs"], main, outer, m.start()), main and hinted(m["attrs"]))
             heading = re.fullmatch("h[1-6]", tag) is not None
     tail = page[at:]
     cut = tail.rfind("<")
