@@ -1,13 +1,13 @@
 """Removal of every byte that a repeated 400-byte string covers.
 
-Each task holds the suffixes of its own documents as a shard table; shard
-tables are merged by refining the interleave of all suffixes in rounds of
-growing prefix length. A round gives every suffix still open the name of its
-prefix (a 64-bit polynomial hash, so equal prefixes share one interval of the
-merged order), adds up the intervals of all shards, and settles what it can:
-an interval of one suffix is unique, an interval of two or more at full
-length is a repeat. Settled suffixes take no part in later rounds; nothing is
-ever sorted again as a whole, and no byte position is named unless open.
+What is built here: repeated strings are found by counting 64-bit names
+(polynomial hashes) of byte strings at selected starts, in rounds that name
+ever more of the starts still open. No Burrows-Wheeler transform, merged
+suffix order or common-prefix array is made; README.md says why, with
+figures. Like a merge of shard transforms it adds up, over all tasks, how many
+suffixes share a prefix, settles those that are unique or repeated at full
+length, and never sorts all suffixes again. Equal names stand for equal
+strings: no bytes are compared after it.
 
 Round 1, sampled suffixes: of the window starts that select the same anchor
 (leftmost minimal 16-byte hash within 128 starts) only the anchor's suffix is
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import pin, row_places, short_batches, slices, table
 
+OUT_ROWS = 1 << 16  # rows of an Arrow batch that a task hands on
 GRAM = 16           # bytes per anchor hash
 WINDOW = 128        # window starts that share an anchor at most
 CHUNK = 1 << 19     # window starts handled at once
@@ -94,21 +95,33 @@ def as_bytes(text: str | None) -> np.ndarray:
 
 
 def document_runs(names: Names, data: np.ndarray, length: int):
-    """(s, e, g, l) of one document: start runs, name of their shared bytes, name of all their bytes."""
-    out = []
+    """(s, e, g, l) of one document, chunk by chunk: start runs, name of their shared bytes, name of all their bytes."""
     for c, part in chunks(data, length):
         names.load(part)
         s, e, a = anchor_runs(names, len(part) - length + 1)
         g = names.of(a, a + length - WINDOW + 1)
         l = names.of(s, e - 1 + length) ^ mix((e - s).astype(np.uint64))
-        out.append((s + c, e + c, g, l))
-    return out
+        yield s + c, e + c, g, l
 
 
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def handed_on(found, names: list[str]):
+    """Arrow batches of some OUT_ROWS rows each out of (equally long columns, ...) of any length."""
+    held, n = [], 0
+    for columns in found:
+        for i in range(0, len(columns[0]), OUT_ROWS):
+            held.append([c[i:i + OUT_ROWS] for c in columns])
+            n += len(held[-1][0])
+            if n >= OUT_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
+                held, n = [], 0
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
+
+
 def shared_names(length: int):
     """Task function: the round-1 names of a shard with their counts (2 stands for more)."""
     def run(batches):
@@ -123,46 +136,44 @@ def shared_names(length: int):
 
 def open_runs(length: int):
     """Task function: every start run with its two names."""
-    def run(batches):
+    def found(batches):
         names = Names()
         for b in slices(batches):
-            cols = [[], [], [], [], []]
             for place, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for s, e, g, l in document_runs(names, as_bytes(t.as_py()), length):
-                    for col, x in zip(cols, (np.full(len(s), place, np.int64), s, e, g.view(np.int64), l.view(np.int64)), strict=True):
-                        col.append(x)
-            if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names=["place", "s", "e", "g", "l"])
+                    yield np.full(len(s), place, np.int64), s, e, g.view(np.int64), l.view(np.int64)
+
+    def run(batches):
+        yield from handed_on(found(batches), ["place", "s", "e", "g", "l"])
     return run
 
 
 def start_names(length: int, with_place: bool):
     """Task function: names of the 400 bytes at every start of the runs marked OPEN or WITNESS."""
-    def run(batches):
+    def found(batches):
         names = Names()
         for b in slices(batches):
-            place_col, at_col, name_col = [], [], []
             for place, t, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 runs = [r for r in runs if r["kind"] != REPEAT and not (with_place and r["kind"] == WITNESS)]
                 if not runs:
                     continue
-                starts = np.sort(np.concatenate([np.arange(r["s"], r["e"]) for r in runs]))
+                first, last = (np.array([r[k] for r in runs], np.int64) for k in ("s", "e"))
                 data = as_bytes(t.as_py())
                 for c, part in chunks(data, length):
-                    p = starts[np.searchsorted(starts, c):np.searchsorted(starts, c + CHUNK)] - c
-                    if len(p):
+                    a, z = np.maximum(first - c, 0), np.minimum(last - c, CHUNK)
+                    mine = [np.arange(x, y) for x, y in zip(a, z, strict=True) if x < y]
+                    if mine:
+                        p = np.sort(np.concatenate(mine))
                         names.load(part)
-                        name_col.append(names.of(p, p + length))
-                        at_col.append(p + c)
-                        place_col.append(np.full(len(p), place, np.int64))
-            if name_col:
-                name = np.concatenate(name_col)
-                if with_place:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(place_col)), pa.array(np.concatenate(at_col)), signed(name)],
-                                                     names=["place", "p", "name"])
-                else:
-                    name, n = np.unique(name, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([signed(name), pa.array(np.minimum(n, 2).astype(np.int8))], names=["name", "n"])
+                        yield np.full(len(p), place, np.int64), p + c, names.of(p, p + length).view(np.int64)
+
+    def run(batches):
+        for b in handed_on(found(batches), ["place", "p", "name"]):
+            if with_place:
+                yield b
+            else:
+                name, n = np.unique(b.column(2).to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.minimum(n, 2).astype(np.int8))], names=["name", "n"])
     return run
 
 
@@ -247,7 +258,8 @@ def dedup_repeats(docs: DataFrame, *, length: int = 400, text: str = "text", id_
     the same document or another, covers it; matches never cross documents.
     Defined cases: NULL is empty; a text shorter than ``length`` loses
     nothing; repeated rows are each other's repeats; an empty table gives no
-    rows; other columns are not read.
+    rows; other columns are not read; very long texts are read whole, CHUNK
+    starts at a time.
     """
     raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     place = row_places(docs)
