@@ -27,8 +27,8 @@ from civitas.operators.upsert import (KEEP, OVERWRITE, custom, fold_for, insert_
                                       upsert)
 from civitas.plans.summary import extract_summary
 from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER
-from civitas.session import scratch_path
 from civitas.sources.envelope import split_bodies
+from civitas.sources.records import stored
 
 
 LGD_MASTER_DDL = LGD_MASTER
@@ -93,13 +93,6 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     return table, rejects.unionByName(bad_pages.select(page_col, "body", "reasons"), allowMissingColumns=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared scratch folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def numbered_keys(batch: DataFrame, target: DataFrame, key: str, id_col: str) -> DataFrame:
     """(key, id) of the batch's keys that the target lacks, numbered after ``MAX(id)``."""
     new_keys = batch.select(key).filter(F.col(key).isNotNull()).distinct().join(target.select(key), key, "left_anti")
@@ -199,11 +192,15 @@ def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_o
 # ----------------------------------------------------------- G3 amenities
 
 def amenities_load(spark: SparkSession, csv_path: str, columns: Sequence[str], raw_path: str) -> DataFrame:
-    """Positional CSV -> append to the raw table -> amenities view over it."""
+    """Positional CSV -> append to the raw table -> amenities view over it.
+
+    A file is read by many tasks, newlines inside quotes included. ``columns``
+    are all column names of the file in their order.
+    """
     from civitas.plans.views import view_village_amenities
     from civitas.sources.csv import read_csv_positional
     from civitas.sources.tables import append_table
-    append_table(read_csv_positional(spark, csv_path, columns), raw_path)
+    append_table(read_csv_positional(spark, csv_path, columns, split=True), raw_path)
     return view_village_amenities(spark.read.parquet(raw_path))
 
 

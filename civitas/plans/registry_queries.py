@@ -898,38 +898,45 @@ SELECT CAST(l_orderkey AS VARCHAR) AS state_name, CAST(l_linenumber AS VARCHAR)
   CAST(trunc(l_quantity) AS BIGINT) AS sc, CAST(trunc(l_extendedprice) AS BIGINT) AS st, CAST(0 AS BIGINT) AS gen
 FROM lineitem""")
 def q_s2(spark, d):
-    from civitas.sources.zipped import zip_member_csv
+    from civitas.sources.zipped import read_zip_member_csv
     li = t(spark, d, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("srcStateName"),
         F.col("l_linenumber").cast("string").alias("srcDistrictName"),
         F.col("l_quantity").cast("string").alias("Number of SC population"),
         F.col("l_extendedprice").cast("string").alias("Number of ST population"))
-    archives = _archives(li, F.floor(F.col("srcStateName").cast("bigint") / 1000))
-    rows = zip_member_csv(archives, "9307_source_data.csv", dict(G.DISTRICT_HEADERS))
+    path = _land_archives(li, F.floor(F.col("srcStateName").cast("bigint") / 1000))
+    rows = read_zip_member_csv(spark, path, "9307_source_data.csv", dict(G.DISTRICT_HEADERS), glob="*")
     return rows.select(F.col("srcStateName").alias("state_name"), F.col("srcDistrictName").alias("district_name"),
                        C.clean_int(F.col("`Number of SC population`")).alias("sc"),
                        C.clean_int(F.col("`Number of ST population`")).alias("st"),
                        C.clean_int(F.col("`Number of general population`")).alias("gen"))
 
 
-def _archives(rows: DataFrame, number: Column, order: tuple[str, ...] = ()) -> DataFrame:
-    """(path, content): one zip archive per ``number``, a bounded run of keys; a CSV member beside a decoy."""
+def _land_archives(rows: DataFrame, number: Column, order: tuple[str, ...] = ()) -> str:
+    """A folder of zip archives, one per ``number`` (a bounded run of keys): a CSV member beside a decoy."""
     shown = [c for c in rows.columns if c not in order]
 
-    def pack(key, pdf):
+    @F.pandas_udf("binary")
+    def zipped(texts):
         import io
         import zipfile
 
-        import pandas as pd
-        if order:
-            pdf = pdf.sort_values(list(order))
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("readme.txt", "decoy member")
-            z.writestr("data/NDAP_9307_source_data.csv", pdf[shown].to_csv(index=False))
-        return pd.DataFrame({"path": [f"archive-{key[0]:012d}.zip"], "content": [buf.getvalue()]})
+        def pack(text):
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("readme.txt", "decoy member")
+                z.writestr("data/NDAP_9307_source_data.csv", text)
+            return buf.getvalue()
+        return texts.map(pack)
 
-    return rows.groupBy(number.alias("__archive")).applyInPandas(pack, "path string, content binary")
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in shown])
+    lines = rows.groupBy(number.alias("archive")).agg(F.sort_array(F.collect_list(F.struct(*order, line.alias("line")))).alias("lines"))
+    text = F.concat_ws("\n", F.lit(",".join(shown)), F.col("lines.line"))
+    path = scratch_path(rows.sparkSession, "archives")
+    # the text writer writes the bytes as they are: one archive per file, in folders that sort like their numbers
+    named = lines.select(F.lpad(F.col("archive").cast("string"), 15, "0").alias("archive"), zipped(text).cast("string").alias("value"))
+    named.write.option("maxRecordsPerFile", 1).partitionBy("archive").text(path)
+    return path
 
 
 @register("S3_csv_named", """
@@ -1107,14 +1114,15 @@ UNION ALL SELECT NULL, CAST(l_suppkey AS VARCHAR), CAST(CAST(trunc(l_quantity) A
   NULL, 'state_null' FROM lineitem WHERE l_linenumber=7""")
 def q_g2(spark, d):
     """Several archives in which districts repeat, onto a table with rows; a row without state is rejected."""
-    from civitas.sources.zipped import zip_member_csv
+    from civitas.sources.zipped import read_zip_member_csv
     li = t(spark, d, "lineitem").select(
         F.when(F.col("l_linenumber") != 7, F.col("l_returnflag")).alias("srcStateName"),
         F.col("l_suppkey").cast("string").alias("srcDistrictName"), F.lit("2024").alias("srcYear"),
         F.col("l_quantity").cast("string").alias("Number of SC population"),
         F.col("l_extendedprice").cast("string").alias("Number of ST population"), *_G2_ORDER)
-    archives = _archives(li, F.floor(F.col("l_orderkey") / 1000), _G2_ORDER)
-    rows = G.in_file_order(zip_member_csv(archives, "9307_source_data.csv", dict(G.DISTRICT_HEADERS)))
+    path = _land_archives(li, F.floor(F.col("l_orderkey") / 1000), _G2_ORDER)
+    rows = G.stored(read_zip_member_csv(spark, path, "9307_source_data.csv", dict(G.DISTRICT_HEADERS), glob="*"), "g2-rows")
+    rows = G.in_file_order(rows)
     target = conform(spark, t(spark, d, "supplier").select(
         F.lit("N").alias("state_name"), F.col("s_suppkey").cast("string").alias("district_name"), F.lit("2024").alias("year_code"),
         F.lit(1).alias("total_population"), F.lit("orig.csv").alias("source_file")), G.DISTRICT_DEMOGRAPHICS_DDL)
@@ -1439,3 +1447,23 @@ def q_u1_buckets(spark, d):
     merge_into_buckets(spark, path, batch, "c_custkey", {"bal": U.OVERWRITE, "seg": U.KEEP}, target.schema,
                        num_buckets=32)
     return read_buckets(spark, path)
+
+
+@register("S1_csv_split_positional", """
+WITH f AS (SELECT doc_id, text, doc_id%10=0 AS bad FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN NOT bad THEN text||chr(10)||'"'||coalesce(lang, '')||'",' END AS text,
+  CASE WHEN NOT bad THEN source END AS source, bad AS rejected FROM (SELECT f.*, lang, source FROM f JOIN documents USING (doc_id))""")
+def q_s1_split(spark, d):
+    """One file with newlines, quotes and commas inside quotes, read in ranges by many tasks; bad rows in the rejects."""
+    from civitas.sources.csv import read_csv_positional
+    docs = t(spark, d, "documents")
+    q = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    text = F.concat(F.col("text"), F.lit('\n"'), F.coalesce("lang", F.lit("")), F.lit('",'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), q(text), q(F.col("source")))
+    line = F.when(F.col("doc_id") % 10 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
+    path = scratch_path(spark, "s1s")
+    docs.select(line.alias("value")).write.text(path)
+    good, bad = read_csv_positional(spark, path, ["doc_id", "text", "source"], on_bad="reject", header=False, split=True)
+    none = F.lit(None).cast("string")
+    shown = bad.select(F.split("_corrupt_record", ",")[0].alias("doc_id"), none.alias("text"), none.alias("source"), F.lit(True).alias("rejected"))
+    return good.withColumn("rejected", F.lit(False)).unionByName(shown)

@@ -11,6 +11,8 @@ from civitas.operators import upsert as U
 from civitas.sources import csv as S
 from civitas.sources import tables as T
 from civitas.sources.envelope import explode_records
+from civitas.sources import zipped
+from civitas.sources.records import NOTED
 from civitas.sources.zipped import read_zip_member_csv
 
 
@@ -67,6 +69,84 @@ def test_zip_without_member_fails(spark, scratch):
         read_zip_member_csv(spark, scratch, "9307_source_data.csv", {"a": "string"}).collect()
 
 
+def test_zip_members_of_any_form(spark, scratch):
+    """Stored and deflated members, a streamed archive with late sizes, decoys before and behind, blanks in the path."""
+    text = "srcYear,srcStateName\n" + "".join(f'{i},"state\n{i}, ""x"""\n' for i in range(5000)) + "NA,nan\n"
+    os.makedirs(f"{scratch}/with blank")
+
+    class Unseekable(io.RawIOBase):
+        def __init__(self):
+            self.data = bytearray()
+
+        def writable(self):
+            return True
+
+        def write(self, b):
+            self.data += b
+            return len(b)
+
+    for kind in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        out = Unseekable()
+        with zipfile.ZipFile(f"{scratch}/with blank/plain-{kind}.zip", "w", kind) as z, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as late:
+            for archive in (z, late):
+                archive.writestr("decoy.txt", os.urandom(3000))
+                archive.writestr("a/9307_source_data.csv", text)
+                archive.writestr("b/9307_source_data.csv", "second member")
+        with open(f"{scratch}/with blank/late-{kind}.zip", "wb") as f:
+            f.write(out.data)
+    got = read_zip_member_csv(spark, f"{scratch}/with blank", "9307_source_data.csv", {"srcStateName": "string", "srcYear": "int"})
+    assert got.select("source_path").distinct().count() == 4 and {r["member"] for r in got.select("member").distinct().collect()} == {"a/9307_source_data.csv"}
+    one = got.filter(got["source_path"].contains("late-8")).orderBy("line_no").collect()
+    assert [(r["srcStateName"], r["srcYear"]) for r in one] == [(f'state\n{i}, "x"', i) for i in range(5000)] + [(None, None)]
+    assert got.count() == 4 * 5001
+
+
+def test_zip_staging_goes_on_after_a_broken_run(spark, scratch):
+    """A run that fails leaves nothing that is read; the next stages what is missing, and only that."""
+    wanted, like = {"a": "string"}, "9307_source_data.csv"
+    _zip(f"{scratch}/in/one.zip", {like: "a\n1\n2\n"})
+    read = lambda: sorted(r["a"] for r in read_zip_member_csv(spark, f"{scratch}/in", like, wanted, stage=f"{scratch}/stage").collect())
+    assert read() == ["1", "2"]
+    _zip(f"{scratch}/in/two.zip", {like: "a\n" + "".join(f"{os.urandom(20).hex()}\n" for _ in range(3000))})
+    with open(f"{scratch}/in/two.zip", "rb") as f:
+        whole = f.read()
+    for damaged in (whole[:len(whole) // 2], whole[:2000] + bytes([whole[2000] ^ 1]) + whole[2001:]):
+        with open(f"{scratch}/in/two.zip", "wb") as f:
+            f.write(damaged)
+        with pytest.raises(Exception):
+            read()
+    spark.createDataFrame([("one", 0, 0, "half a line", 0, 0, 0, 0, 0, 0)], NOTED).write.parquet(f"{scratch}/stage/lines/half-written")
+    _zip(f"{scratch}/in/two.zip", {like: "a\n3\n"})
+    assert read() == ["1", "2", "3"]
+    runs = spark.read.parquet(f"{scratch}/stage/complete").groupBy("run").count().collect()
+    assert sorted(r["count"] for r in runs) == [1, 1]
+    assert read() == ["1", "2", "3"] and spark.read.parquet(f"{scratch}/stage/complete").count() == 2
+
+
+def test_inflating_holds_a_chunk_at_a_time(monkeypatch):
+    """However long archive and member are, bytes are handed on in bounded chunks."""
+    monkeypatch.setattr(zipped, "CHUNK", 1000)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("x.csv", b"a,b\n" * 300_000)
+    data, held = buf.getvalue(), []
+    found = zipped.first_member((data[i:i + 50] for i in range(0, len(data), 50)), "x.csv", "t")
+    assert next(found) == "x.csv"
+    n = sum(held.append(len(chunk)) or len(chunk) for chunk in found)
+    assert n == 1_200_000 and max(held) <= 1000
+
+
+def test_named_csv_rules(spark, scratch):
+    """Blanks in the path, repeated names, quoted newlines, short and long rows, missing markers."""
+    os.makedirs(f"{scratch}/in dir")
+    with open(f"{scratch}/in dir/f 1.csv", "w", newline="") as f:
+        f.write('\ufeffa,a,"b, c"\r\n1,2,"x\r\ny"\r\n\r\nNA,3\r\nnull,"",z,more\r\n"nan",4,None\r\n')
+    got = S.read_csv_named(spark, f"{scratch}/in dir", {"a": "string", "b, c": "string", "d": "int"}, positions=True).orderBy("line_no").collect()
+    assert [tuple(r)[2:] for r in got] == [("1", "x\ny", None), (None, None, None), (None, "z", None), (None, None, None)]
+    kept = S.read_csv_named(spark, f"{scratch}/in dir", {"a": "string"}, missing=("",)).collect()
+    assert sorted(r["a"] for r in kept) == ["1", "NA", "nan", "null"]
+
+
 def test_explode_records_edges(spark):
     df = spark.createDataFrame([(1, '{"records": [{"villageCode": "V1", "pincode": 0}, {"villageCode": "V2"}]}'),
                                 (2, '{"records": []}'), (3, '{"records": null}'), (4, '{}'), (5, "bad json")],
