@@ -102,6 +102,24 @@ def variant(doc: ColumnOrName) -> Column:
     return F.try_parse_json(_c(doc))
 
 
+# A body wrapped as the first entry of an array that ends with a mark: whatever follows the body's one value makes the
+# array invalid, longer, or end without the mark. The parser by itself stops behind the first value.
+_MARK = "civitas end of body"
+DOCUMENT = "$[0]"
+
+
+def wrapped_document(body: ColumnOrName) -> Column:
+    """Variant array of the body's JSON value, at :data:`DOCUMENT`, and a mark; see :func:`is_document`."""
+    return F.try_parse_json(F.concat(F.lit("["), _c(body), F.lit(f',"{_MARK}"]')))
+
+
+def is_document(wrapped: ColumnOrName) -> Column:
+    """The wrapped body is exactly one JSON value (two-valued: NULL and broken bodies are not)."""
+    w = _c(wrapped)
+    return F.coalesce((F.try_variant_get(w, "$[1]", "string") == F.lit(_MARK))
+                      & F.variant_get(w, "$[2]", "variant").isNull(), F.lit(False))
+
+
 def vget(v: Column, path: str) -> Column:
     """Sub-variant at ``path``: SQL NULL when missing, variant null when JSON null."""
     return F.variant_get(v, path, "variant")
@@ -178,16 +196,22 @@ def truthy_text(v: Column, path: str) -> Column:
 def classify_response(http_status: ColumnOrName, body: ColumnOrName) -> Column:
     """503 -> 'retry'; 200 whose JSON ``status`` is boolean true -> 'ok'; else 'bad'.
 
-    ``from_json`` into ``struct<status: boolean>`` reads only that field and
-    accepts only a JSON ``true``/``false`` token for it: the string
-    ``"true"``, a number, an array document or invalid text all give NULL,
-    and a repeated key keeps the last value, as the source's parser does.
+    The body must be exactly one JSON value: single quotes, text behind the
+    closing bracket and other broken JSON are 'bad', as are the string
+    ``"true"``, a number or an array document. A repeated key keeps the last
+    value, as the source's parser does.
     """
-    st = F.from_json(_c(body), "struct<status: boolean>").getField("status")
-    ok = F.coalesce(st, F.lit(False))
+    # the body and a mark as the two entries of an array: from_json reads the one field it needs and skips the rest
+    both = F.from_json(F.concat(F.lit("["), _c(body), F.lit(f',{{"mark":"{_MARK}"}}]')),
+                       "array<struct<status: boolean, mark: string>>", {"allowSingleQuotes": "false"})
+
+    def is_ok(x: Column) -> Column:
+        return (F.size(x) == F.lit(2)) & (F.get(x, F.lit(1)).getField("mark") == F.lit(_MARK)) & F.get(x, F.lit(0)).getField("status")
+
+    ok = F.get(F.transform(F.array(both), is_ok), F.lit(0))     # bound to a lambda variable: parsed once
     code = _c(http_status)
     return (F.when(code == F.lit(503), F.lit("retry"))
-            .when((code == F.lit(200)) & ok, F.lit("ok"))
+            .when((code == F.lit(200)) & F.coalesce(ok, F.lit(False)), F.lit("ok"))
             .otherwise(F.lit("bad")))
 
 

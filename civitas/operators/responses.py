@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from civitas.functions.json import classify_response
+from civitas.functions.json import classify_response, is_document, wrapped_document
 
 
 def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempts: int = 2,
@@ -38,7 +38,7 @@ def resolve_attempts(responses: DataFrame, key: str | Sequence[str], max_attempt
         is_ok = cls == F.lit("ok")
         is_stop = (cls == F.lit("retry")) if stop_on_503 else F.lit(False)
     elif outcome == "http200":
-        is_ok = (F.col(status_col) == F.lit(200)) & F.try_parse_json(F.col(body_col)).isNotNull()
+        is_ok = (F.col(status_col) == F.lit(200)) & is_document(wrapped_document(body_col))
         is_stop = F.lit(False)
     else:
         raise ValueError(f"outcome must be 'valid' or 'http200', not {outcome!r}")

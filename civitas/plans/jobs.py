@@ -27,7 +27,7 @@ from civitas.operators.upsert import (KEEP, OVERWRITE, custom, fold_for, insert_
                                       upsert)
 from civitas.plans.summary import extract_summary
 from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER
-from civitas.sources.envelope import split_bodies
+from civitas.sources.envelope import parse_bodies, parsed_records, rejected_bodies
 from civitas.sources.records import stored
 
 
@@ -56,10 +56,14 @@ LGD_FIELDS = {
 }
 
 
-def geography_records(pages: DataFrame, page_col: str = "page", body_col: str = "body") -> DataFrame:
-    """S4 + P14: one row per record of landed ``{"records": [...]}`` pages, with ``seq``."""
-    from civitas.sources.envelope import explode_records
-    recs = explode_records(pages, body_col, "$.records", dict(LGD_FIELDS), keep=[page_col])
+def geography_bodies(pages: DataFrame, page_col: str = "page", body_col: str = "body") -> DataFrame:
+    """The landed pages parsed once and stored: records or reasons (``page_null``, ``invalid_body``, ``records_not_array``)."""
+    return stored(parse_bodies(pages, body_col, "$.records", {"page_null": F.col(page_col).isNull()}), "g1-bodies")
+
+
+def geography_records(parsed: DataFrame, page_col: str = "page") -> DataFrame:
+    """S4 + P14: one row per record of :func:`geography_bodies`, with ``seq``."""
+    recs = parsed_records(parsed, dict(LGD_FIELDS), keep=[page_col])
     return recs.select(
         *LGD_FIELDS.keys(), truthy_text(F.col("record"), "$.pincode").alias("pincode"),
         (F.col(page_col).cast("bigint") * F.lit(1 << 32) + F.col("record_index")).alias("seq"))
@@ -72,13 +76,14 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     Names and pincode are overwritten by the last record of a code, the three
     parent codes are kept from the first insert, ``last_updated`` restamped.
     A record without a code (or longer than 50) is rejected alone instead of
-    failing its page, a page that is no JSON as a page (``invalid_body``).
-    New rows get ids after the current maximum. The records are parsed and
-    folded once, into a stored batch of one row per code; numbering and
-    upsert read that batch.
+    failing its page; a page without a number, that is no JSON or whose
+    ``records`` is no array is rejected as a page. New rows get ids after the
+    current maximum. Pages are parsed once and stored, the records folded
+    once, into a stored batch of one row per code; numbering and upsert read
+    that batch.
     """
-    pages, bad_pages = split_bodies(pages)
-    recs = geography_records(pages, page_col)
+    parsed = geography_bodies(pages, page_col)
+    recs = geography_records(parsed, page_col)
     good, rejects = split_rejects(recs, {
         "village_code_null": F.col("village_code").isNull(),
         "village_code_length": ~fits("village_code", "varchar(50)"),
@@ -90,7 +95,7 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     numbered = numbered_keys(folded, target, "village_code", "id")
     batch = folded.join(numbered, "village_code", "left").withColumn("last_updated", as_of_col)
     table = upsert(target, batch, "village_code", rules)
-    return table, rejects.unionByName(bad_pages.select(page_col, "body", "reasons"), allowMissingColumns=True)
+    return table, rejects.unionByName(rejected_bodies(parsed).select(page_col, "body", "reasons"), allowMissingColumns=True)
 
 
 def numbered_keys(batch: DataFrame, target: DataFrame, key: str, id_col: str) -> DataFrame:
@@ -263,41 +268,49 @@ def state_id_of(name: str) -> int:
 
 
 def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFrame,
-                       school_pages: DataFrame) -> DataFrame:
-    """S5 + J2 + P12 + P13: school rows from landed hierarchy responses.
+                       school_pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S5 + J2 + P12 + P13: school rows and rejects from landed hierarchy responses.
 
     Inputs are landed bodies keyed by their request parent:
     ``districts(state_id, body)`` with ``data[]``, ``blocks(district_id, body)``,
     ``clusters(block_id, body)`` with ``data[]`` and
-    ``school_pages(cluster_id, page, body)`` with ``data.content[]``. Bodies
-    that are no JSON give no rows here and are listed by
-    :func:`discovery_rejects`.
-
-    ``seq`` is the request order (district, block, cluster, page, record);
-    ``unreadable`` names the fields whose value is present but not of the
-    column's type.
+    ``school_pages(cluster_id, page, body)`` with ``data.content[]``.
+
+    Every body is parsed once, all levels in one stored frame; the school rows
+    are stored too, so that good rows and rejects read them and each input is
+    read once. ``seq`` is the request order (district, block, cluster, page,
+    record); ``unreadable`` names the fields whose value is present but not of
+    the column's type. Rejects ``(level, parent_id, page, body, reasons)``:
+    bodies that are no JSON (``invalid_body``) or hold no array
+    (``records_not_array``), pages whose cluster no block lists
+    (``cluster_unknown``).
     """
-    from civitas.sources.envelope import explode_records
-    d = explode_records(districts, "body", "$.data", {"h_district_id": ("districtId", "bigint"),
-                                                      "h_district_name": "districtName"}, keep=["state_id"])
-    b = explode_records(blocks, "body", "$.data", {"h_block_id": ("blockId", "bigint"), "h_block_name": "blockName"},
-                        keep=["district_id"]).withColumnRenamed("district_id", "p_district_id")
-    c = explode_records(clusters, "body", "$.data", {"h_cluster_id": ("clusterId", "bigint"),
-                                                     "h_cluster_name": "clusterName"},
-                        keep=["block_id"]).withColumnRenamed("block_id", "p_block_id")
-    at = F.col("record_index")
-    levels = [
-        (d.select("state_id", "h_district_id", "h_district_name", at.alias("i_district")), None, "h_district_id"),
-        (b.select("p_district_id", "h_block_id", "h_block_name", at.alias("i_block")), "p_district_id", "h_block_id"),
-        (c.select("p_block_id", "h_cluster_id", "h_cluster_name", at.alias("i_cluster")), "p_block_id", "h_cluster_id"),
-    ]
+    landed = {"district": (districts, "state_id", "$.data"), "block": (blocks, "district_id", "$.data"),
+              "cluster": (clusters, "block_id", "$.data"), "school": (school_pages, "cluster_id", "$.data.content")}
+    bodies = None
+    for level, (df, parent, path) in landed.items():
+        page = F.col("page") if level == "school" else F.lit(None)
+        part = parse_bodies(df.select(F.lit(level).alias("level"), F.col(parent).cast("bigint").alias("parent_id"),
+                                      page.cast("bigint").alias("page"), "body"), "body", path)
+        bodies = part if bodies is None else bodies.unionByName(part)
+    bodies = stored(bodies, "g4-bodies")
+
+    def level_rows(level: str, child: str) -> DataFrame:
+        rows = parsed_records(bodies.filter(F.col("level") == level), {f"h_{level}_id": (f"{level}Id", "bigint"), f"h_{level}_name": f"{level}Name"},
+                              keep=["parent_id"])
+        return rows.select(F.col("parent_id").alias(child), f"h_{level}_id", f"h_{level}_name", F.col("record_index").alias(f"i_{level}"))
+
+    levels = [(level_rows("district", "state_id"), None, "h_district_id"), (level_rows("block", "p_district_id"), "p_district_id", "h_block_id"),
+              (level_rows("cluster", "p_block_id"), "p_block_id", "h_cluster_id")]
     hier = expand_hierarchy(levels).select("h_cluster_id", "h_block_name", "h_cluster_name",
                                            "i_district", "i_block", "i_cluster")
-    s = explode_records(school_pages.withColumnRenamed("cluster_id", "req_cluster_id"), "body",
-                        "$.data.content", dict(SCHOOL_FIELDS), keep=["req_cluster_id", "page"])
-    joined = s.join(hier, s["req_cluster_id"] == hier["h_cluster_id"], "inner")
+    pages = bodies.filter("level = 'school' AND reasons = ''")
+    joined = pages.join(hier, F.col("parent_id") == F.col("h_cluster_id"))     # pages, before their records are exploded
+    place = F.struct("i_district", "i_block", "i_cluster", F.col("parent_id").alias("cluster"), "page", "record_index")
+    rows = parsed_records(joined, dict(SCHOOL_FIELDS),
+                          keep=["parent_id", "page", "h_block_name", "h_cluster_name", "i_district", "i_block", "i_cluster"])
     st = initial_status(F.col("record"))
-    return joined.select(
+    schools = rows.select(
         *[F.col(k) for k in SCHOOL_FIELDS],
         F.lit(CURRENT_YEAR_ID).alias("year_id"),
         unmask_code(F.try_variant_get("record", "$.udiseschCode", "string"),
@@ -305,9 +318,11 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
         st["school_status"].alias("school_status"), st["status_name"].alias("status_name"),
         st["scrape_status"].alias("scrape_status"),
         F.col("h_block_name").alias("block_name"), F.col("h_cluster_name").alias("cluster_name"),
-        F.struct("i_district", "i_block", "i_cluster", F.col("req_cluster_id").cast("bigint").alias("cluster"),
-                 F.col("page").cast("bigint").alias("page"), "record_index").alias("seq"),
-        unreadable_fields("record", SCHOOL_FIELDS).alias("unreadable"))
+        place.alias("seq"), unreadable_fields("record", SCHOOL_FIELDS).alias("unreadable"))
+    known = hier.select(F.col("h_cluster_id").alias("parent_id")).distinct()
+    unlisted = pages.join(known, "parent_id", "left_anti").withColumn("reasons", F.lit("cluster_unknown"))
+    shown = ["level", "parent_id", "page", "body", "reasons"]
+    return stored(schools, "g4-schools"), rejected_bodies(bodies).select(*shown).unionByName(unlisted.select(*shown))
 
 
 def unreadable_fields(record: str, fields: Mapping[str, tuple[str, str] | str]) -> Column:
@@ -323,15 +338,6 @@ def unreadable_fields(record: str, fields: Mapping[str, tuple[str, str] | str])
     return F.expr(f"concat_ws(',', {', '.join(tests)})") if tests else F.lit("")
 
 
-def discovery_rejects(**landed: DataFrame) -> DataFrame:
-    """(level, body, reasons) of the landed bodies that are no JSON; ``landed`` is level -> frame."""
-    out = None
-    for level, df in landed.items():
-        bad = split_bodies(df)[1].select(F.lit(level).alias("level"), "body", "reasons")
-        out = bad if out is None else out.unionByName(bad)
-    return out
-
-
 def school_discovery(target: DataFrame, schools: DataFrame, as_of=None,
                      checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """Upsert discovered schools on (school_id, year_id) -> ``(table, rejects)``.

@@ -962,11 +962,14 @@ def _records_pages(spark, d, nested: bool) -> DataFrame:
 
 
 def _faulty(pages: DataFrame, first_key: str) -> DataFrame:
-    """Landed pages with faults: every fifth repeats its first key (the last value counts), every fifth is cut off."""
+    """Landed pages with faults: of five, one repeats its first key (the last value counts), one is cut off, one has text
+    behind its end, and one holds an object where the array should be."""
     kind = F.col("page") % 5
     doubled = F.concat(F.lit('{"' + first_key + '": [], '), F.expr("substr(body, 2)"))
+    no_array = F.replace(F.replace("body", F.lit("[{"), F.lit('{"0": {')), F.lit("}]"), F.lit("}}"))
+    no_array = F.replace(no_array, F.lit("},{"), F.lit('}, "1": {'))
     return pages.withColumn("body", F.when(kind == 1, doubled).when(kind == 2, F.expr("substr(body, 1, length(body) - 3)"))
-                            .otherwise(F.col("body")))
+                            .when(kind == 3, no_array).when(kind == 4, F.concat("body", F.lit("] x"))).otherwise(F.col("body")))
 
 
 def _with_bad_pages(good: DataFrame, bad: DataFrame) -> DataFrame:
@@ -974,27 +977,28 @@ def _with_bad_pages(good: DataFrame, bad: DataFrame) -> DataFrame:
     return good.withColumn("reasons", F.lit("")).unionByName(rejected)
 
 
-_BAD_PAGES = "SELECT DISTINCT o_orderkey//100 AS page FROM orders WHERE (o_orderkey//100)%5=2"
+_BAD_PAGES = """SELECT DISTINCT o_orderkey//100 AS page, CASE WHEN (o_orderkey//100)%5=3 THEN 'records_not_array' ELSE 'invalid_body' END AS why
+  FROM orders WHERE (o_orderkey//100)%5>=2"""
 
 
 @register("S4_explode_records", f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<>2
-UNION ALL SELECT NULL, CAST(page AS VARCHAR), 'invalid_body' FROM ({_BAD_PAGES}) x""")
+SELECT CAST(o_orderkey AS VARCHAR) AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<2
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), why FROM ({_BAD_PAGES}) x""")
 def q_s4(spark, d):
-    from civitas.sources.envelope import explode_records, split_bodies
-    pages, bad = split_bodies(_faulty(_records_pages(spark, d, nested=False), "records"))
-    good = explode_records(pages, "body", "$.records", {"code": "villageCode", "name": "villageNameEnglish"})
-    return _with_bad_pages(good.select("code", "name"), bad)
+    from civitas.sources.envelope import parse_bodies, parsed_records, rejected_bodies
+    parsed = G.stored(parse_bodies(_faulty(_records_pages(spark, d, nested=False), "records"), "body", "$.records"), "s4")
+    good = parsed_records(parsed, {"code": "villageCode", "name": "villageNameEnglish"})
+    return _with_bad_pages(good.select("code", "name"), rejected_bodies(parsed))
 
 
 @register("S5_explode_nested", f"""
-SELECT o_orderkey AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<>2
-UNION ALL SELECT NULL, CAST(page AS VARCHAR), 'invalid_body' FROM ({_BAD_PAGES}) x""")
+SELECT o_orderkey AS code, o_orderpriority AS name, '' AS reasons FROM orders WHERE (o_orderkey//100)%5<2
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), why FROM ({_BAD_PAGES}) x""")
 def q_s5(spark, d):
-    from civitas.sources.envelope import explode_records, split_bodies
-    pages, bad = split_bodies(_faulty(_records_pages(spark, d, nested=True), "data"))
-    good = explode_records(pages, "body", "$.data.content", {"code": ("villageCode", "bigint"), "name": "villageNameEnglish"})
-    return _with_bad_pages(good.select("code", "name"), bad)
+    from civitas.sources.envelope import parse_bodies, parsed_records, rejected_bodies
+    parsed = G.stored(parse_bodies(_faulty(_records_pages(spark, d, nested=True), "data"), "body", "$.data.content"), "s5")
+    good = parsed_records(parsed, {"code": ("villageCode", "bigint"), "name": "villageNameEnglish"})
+    return _with_bad_pages(good.select("code", "name"), rejected_bodies(parsed))
 
 
 @register("S6_append_table", "SELECT c_custkey, CAST(2 AS BIGINT) AS n FROM customer")
@@ -1060,7 +1064,7 @@ def q_s7(spark, d):
 # ------------------------------------------------------------------ jobs
 
 @register("G1_geography_sync", f"""
-WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS code, * FROM orders WHERE (o_orderkey//100)%5<>2),
+WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS code, * FROM orders WHERE (o_orderkey//100)%5<2 AND (o_orderkey//100)%25<>0),
 f AS (SELECT code, (arg_max([o_orderpriority], o_orderkey))[1] AS name, (arg_min([o_orderstatus], o_orderkey))[1] AS district,
     (arg_max([CASE WHEN o_orderkey%7=0 THEN NULL ELSE CAST(o_orderkey%7 AS VARCHAR) END], o_orderkey))[1] AS pincode
   FROM r GROUP BY code),
@@ -1073,7 +1077,8 @@ SELECT coalesce(tg.code, f.code) AS village_code, coalesce(f.name, tg.name) AS v
   CASE WHEN f.code IS NOT NULL THEN f.pincode ELSE tg.pincode END AS pincode,
   CAST(coalesce(tg.id, nw.id) AS INTEGER) AS id, (f.code IS NOT NULL) AS restamped, '' AS reasons
 FROM tg FULL OUTER JOIN f ON tg.code=f.code LEFT JOIN nw ON nw.code=f.code
-UNION ALL SELECT NULL, CAST(page AS VARCHAR), NULL, NULL, NULL, NULL, 'invalid_body' FROM ({_BAD_PAGES}) x""")
+UNION ALL SELECT NULL, CAST(page AS VARCHAR), NULL, NULL, NULL, NULL, why FROM ({_BAD_PAGES}) x
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'page_null' FROM (SELECT DISTINCT o_orderkey//100 AS page FROM orders) x WHERE page%25=0""")
 def q_g1(spark, d):
     o = t(spark, d, "orders")
     pin = F.when(F.col("o_orderkey") % 7 == 0, F.lit(0)).otherwise((F.col("o_orderkey") % 7).cast("int"))
@@ -1089,7 +1094,9 @@ def q_g1(spark, d):
         F.col("c_custkey").alias("id"), F.col("c_custkey").cast("string").alias("village_code"),
         F.col("c_name").alias("village_name"), F.lit("T").alias("district_code"), F.lit("000").alias("pincode"),
         _ts(_T1).alias("last_updated")), G.LGD_MASTER_DDL)
-    table, rejects = G.geography_sync(target, _faulty(pages, "records"), as_of=_ts(_T2))
+    # every twenty-fifth page lost its number
+    pages = _faulty(pages, "records").withColumn("page", F.when(F.col("page") % 25 != 0, F.col("page")))
+    table, rejects = G.geography_sync(target, pages, as_of=_ts(_T2))
     loaded = table.select("village_code", "village_name", "district_code", "pincode", F.col("id").cast("int").alias("id"),
                           (F.col("last_updated") == _ts(_T2)).alias("restamped"), F.lit("").alias("reasons"))
     none = lambda kind, n: F.lit(None).cast(kind).alias(n)
@@ -1241,7 +1248,11 @@ SELECT o_orderkey AS school_id,
 FROM o JOIN customer ON c_custkey=o_custkey WHERE stored OR NOT malformed
 UNION ALL
 SELECT o_orderkey, CAST(c_nationkey AS VARCHAR) || right(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 5), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-  'unreadable' FROM o JOIN customer ON c_custkey=o_custkey WHERE malformed""")
+  'unreadable' FROM o JOIN customer ON c_custkey=o_custkey WHERE malformed
+UNION ALL
+SELECT o_custkey + 9000000000, CAST(o_orderkey//50 AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN (o_orderkey//50)%50=0 THEN 'cluster_unknown' ELSE 'records_not_array' END
+FROM o JOIN customer ON c_custkey=o_custkey WHERE (o_orderkey//50)%50<2 GROUP BY o_custkey, o_orderkey//50""")
 def q_g4(spark, d):
     from civitas.schemas import SCHOOLS
     n, c, o = t(spark, d, "nation"), t(spark, d, "customer"), t(spark, d, "orders")
@@ -1278,13 +1289,17 @@ def q_g4(spark, d):
         F.col("o_orderkey").alias("school_id"), F.lit(12).alias("year_id"),
         _masked(F.col("o_orderkey")).alias("udise_code"), F.lit("success").alias("scrape_status"),
         F.lit(11).alias("effective_year")), SCHOOLS)
-    schools = G.discovered_schools(districts, blocks, clusters, pages)
+    # the same pages again under clusters that no block lists, and one in fifty without an array
+    strays = pages.filter("page % 50 = 0").select((-F.col("cluster_id")).alias("cluster_id"), "page", "body")
+    broken = pages.filter("page % 50 = 1").select("cluster_id", "page", F.lit('{"data": {"content": "none"}}').alias("body"))
+    schools, unread = G.discovered_schools(districts, blocks, clusters, pages.unionByName(strays).unionByName(broken))
     table, rejects = G.school_discovery(target, schools, as_of=_ts(_T1))
     shown = ["school_id", "udise_code", "block_name", "cluster_name", "scrape_status", "effective_year", "school_status", "status_name"]
     loaded = table.select(*shown, F.col("last_scraped_at").isNotNull().alias("loaded_now"), F.lit("").alias("reasons"))
     refused = rejects.select("school_id", "udise_code", *[F.lit(None).cast(dict(loaded.dtypes)[c]).alias(c) for c in shown[2:]],
                              F.lit(None).cast("boolean").alias("loaded_now"), "reasons")
-    return loaded.unionByName(refused)
+    pages_out = unread.select(F.abs("parent_id").alias("school_id"), F.col("page").cast("string").alias("udise_code"), "reasons")
+    return loaded.unionByName(refused).unionByName(pages_out, allowMissingColumns=True)
 
 
 def _enrichment_inputs(spark, d):

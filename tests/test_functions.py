@@ -146,3 +146,13 @@ def test_view_on_bad(spark):
         V.view_digital_infrastructure(df).collect()
     r = V.view_digital_infrastructure(df, on_bad="null").first()
     assert r["laptop_count"] is None and r["has_internet"] is None
+
+
+def test_exactly_one_json_value(spark):
+    """P16 and the envelopes take a body that is one JSON value and nothing else."""
+    bodies = ['{"status":true}', ' {"status":true}\n', '{"status":false,"status":true}', "{'status':true}", '{"status":true}trailing', '{"status":true}]',
+              '{"status":true}]}', '{"status":true},{"status":true}', '{"status":true} {}', '{"status":"true"}', '{"status":1}', '[{"status":true}]',
+              '{"status":null}', "", "true", None]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+    got = {r["i"]: r["c"] for r in df.select("i", J.classify_response(F.lit(200), "body").alias("c")).collect()}
+    assert [got[i] for i in range(len(bodies))] == ["ok"] * 3 + ["bad"] * (len(bodies) - 3)

@@ -27,7 +27,8 @@ def test_geography_sync(spark):
                   {"villageCode": None, "villageNameEnglish": "bad"}])),
         (1, page([{"villageCode": "V2", "villageNameEnglish": "b", "districtCode": "D3", "pincode": 560001},
                   {"villageCode": "V3", "villageNameEnglish": "c", "pincode": ""}])),
-        (2, page([]))], "page int, body string")
+        (2, page([])), (None, page([{"villageCode": "V9", "villageNameEnglish": "lost"}])),
+        (3, '{"records": {"villageCode": "V8"}}'), (4, page([{"villageCode": "V7"}]) + "]")], "page int, body string")
     table, rejects = G.geography_sync(target, pages, as_of=ts())
     got = {r["village_code"]: r for r in table.collect()}
     assert set(got) == {"V1", "V2", "V3"}
@@ -36,7 +37,9 @@ def test_geography_sync(spark):
     assert (got["V2"]["id"], got["V2"]["village_name"], got["V2"]["district_code"]) == (8, "b", "D2")
     assert got["V2"]["pincode"] == "560001"
     assert (got["V3"]["id"], got["V3"]["pincode"]) == (9, None)
-    assert [r["reasons"] for r in rejects.collect()] == ["village_code_null"]
+    assert sorted((r["page"] if r["page"] is not None else -1, r["reasons"]) for r in rejects.filter("body IS NOT NULL").collect()) == [
+        (-1, "page_null"), (3, "records_not_array"), (4, "invalid_body")]
+    assert [r["reasons"] for r in rejects.filter("body IS NULL").collect()] == ["village_code_null"]
 
 
 def test_district_load(spark):
@@ -133,7 +136,12 @@ def test_school_discovery_hierarchy(spark):
     target = conform(spark, spark.createDataFrame([(2, 12, "old", "success", 11)],
                      "school_id int, year_id int, school_name string, scrape_status string, effective_year int"),
                      SCHOOLS)
-    found = G.discovered_schools(districts, blocks, clusters, pages)
+    pages = pages.union(spark.createDataFrame([(999, 0, json.dumps({"data": {"content": schools}})), (100, 1, '{"data": {"content": {}}}'),
+                                               (100, 2, '{"data": [1]}'), (100, 3, "no json"), (100, 4, '{"data": null}')], pages.schema))
+    found, unread = G.discovered_schools(districts, blocks, clusters, pages)
+    assert sorted((r["level"], r["parent_id"], r["page"], r["reasons"]) for r in unread.collect()) == [
+        ("school", 100, 1, "records_not_array"), ("school", 100, 2, "records_not_array"), ("school", 100, 3, "invalid_body"),
+        ("school", 999, 0, "cluster_unknown")]
     table, rejects = G.school_discovery(target, found)
     got = {r["school_id"]: r for r in table.collect()}
     assert set(got) == {1, 2}
