@@ -215,14 +215,22 @@ def classify_response(http_status: ColumnOrName, body: ColumnOrName) -> Column:
             .otherwise(F.lit("bad")))
 
 
+def json_is_object(doc: ColumnOrName) -> Column:
+    """The text is one JSON object (two-valued)."""
+    w = wrapped_document(doc)
+    return is_document(w) & F.try_variant_get(w, DOCUMENT, "map<string, variant>").isNotNull()
+
+
 def json_map_set(doc: ColumnOrName, field: str, value_by_key: dict[str, list[str]], default: list[str]) -> Column:
     """Set ``field`` of every entry of a JSON object of objects.
 
     Keys named in ``value_by_key`` get their list, all others ``default``.
     Entries are maps of Variants, so fields nobody names, their types and
-    explicit nulls stay. NULL for text that is no object of objects.
+    explicit nulls stay. NULL for text that is no object of objects, an
+    entry that is null included.
     """
-    parsed = F.from_json(_c(doc), "map<string, map<string, variant>>")
+    parsed = F.from_json(_c(doc), "map<string, map<string, variant>>", {"allowSingleQuotes": "false"})
+    parsed = F.when(~F.exists(F.map_values(parsed), lambda e: e.isNull()), parsed)
 
     def listed(values: list[str]) -> Column:
         return F.to_variant_object(F.array(*[F.lit(x) for x in values]).cast("array<string>"))
@@ -235,7 +243,7 @@ def json_map_set(doc: ColumnOrName, field: str, value_by_key: dict[str, list[str
 
     def rewritten(k: Column, e: Column) -> Column:
         others = F.map_filter(e, lambda name, _: name != F.lit(field))
-        return F.when(e.isNotNull(), F.map_concat(others, F.create_map(F.lit(field), pick(k))))
+        return F.map_concat(others, F.create_map(F.lit(field), pick(k)))
 
     return F.to_json(F.transform_values(parsed, rewritten))
 

@@ -50,6 +50,13 @@ def keep_latest(df: DataFrame, group: str | Sequence[str], order: Sequence[Colum
 FIXED_WIDTH = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
 
 
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A 64-bit hash of the row's columns that Spark can hash: all but those that hold maps or Variants."""
+    types = dict(df.dtypes)
+    kept = [c for c in columns if "map<" not in types[c] and "variant" not in types[c]]
+    return F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in kept], F.lit(0))
+
+
 def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
                last_cols: Sequence[str] = (), first_cols: Sequence[str] = (),
                first_non_null_cols: Sequence[str] = ()) -> DataFrame:
@@ -58,17 +65,19 @@ def fold_batch(df: DataFrame, key: str | Sequence[str], seq: str,
     Columns in ``last_cols`` come from the last occurrence (by ``seq``),
     ``first_cols`` from the first, ``first_non_null_cols`` from the first
     occurrence where they are not NULL. Rows with a NULL key are passed
-    through unfolded (NULL never matches NULL). Aggregation is partial
-    (map-side), so a hot key is pre-reduced before the shuffle.
+    through unfolded (NULL never matches NULL). A NULL ``seq`` has no place
+    in the order and fails the fold. Aggregation is partial (map-side), so a
+    hot key is pre-reduced before the shuffle.
     """
     k = _cols(key)
+    df = df.withColumn(seq, F.when(F.col(seq).isNull(), F.raise_error(F.lit(f"NULL in {seq}, which orders the batch"))).otherwise(F.col(seq)))
     null_key = F.lit(False)
     for c in k:
         null_key = null_key | F.col(c).isNull()
-    # A row with a NULL key part is its own group: its seq (unique, a total
-    # order) joins the grouping key, so one aggregation serves both cases
-    # and the input is computed once.
-    staged = df.withColumn("__solo", F.when(null_key, F.col(seq)))
+    # A row with a NULL key part is its own group: its seq and a hash of the
+    # row join the grouping key, so one aggregation serves both cases and the
+    # input is computed once.
+    staged = df.withColumn("__solo", F.when(null_key, F.struct(F.col(seq), row_hash(df, df.columns))))
     # Columns of fixed width keep an aggregate each (a hash aggregate); with
     # text among them the aggregate sorts anyway, and one struct per kind,
     # picked from the last (or first) row, costs one comparison of seq a row.

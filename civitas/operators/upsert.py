@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civitas.operators.dedupe import fold_batch
+from civitas.operators.dedupe import fold_batch, row_hash
 from civitas.session import scratch_path
 
 
@@ -106,19 +106,19 @@ def _fold(batch: DataFrame, keys: list[str], rules: Mapping[str, Rule], seq: str
                       first_non_null_cols=fill + ever)
 
 
-def _spread(keys: Sequence[str], columns: Sequence[str]) -> Column:
+def _spread(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Column:
     """0 for a complete key, else a hash of the row."""
     null = F.lit(False)
     for k in keys:
         null = null | F.col(k).isNull()
-    return F.when(null, F.xxhash64(*[F.col(q(c)) for c in columns])).otherwise(F.lit(0).cast("bigint"))
+    return F.when(null, row_hash(df, columns)).otherwise(F.lit(0).cast("bigint"))
 
 
 def one_per_key(rows: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """``rows``, failing when a complete key occurs twice (a NULL key part never repeats)."""
     keys = _keys(key)
     rest = [c for c in rows.columns if c not in keys]
-    counted = rows.withColumn("__solo", _spread(keys, rows.columns)).groupBy(*keys, "__solo").agg(
+    counted = rows.withColumn("__solo", _spread(rows, keys, rows.columns)).groupBy(*keys, "__solo").agg(
         F.count(F.lit(1)).alias("__n"), *[F.first(F.col(q(c))).alias(c) for c in rest])
     repeated = (F.col("__n") > 1) & (F.col("__solo") == 0)
     checked = counted.withColumn("__ok", F.when(repeated, F.raise_error(
@@ -151,8 +151,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str],
     t = target.withColumn("__t", F.lit(True))
     # Rows with a NULL key part match nothing; a hash of the whole row joins
     # their key, so they spread over all partitions instead of meeting in one.
-    t = t.withColumn("__ts", _spread(keys, target.columns))
-    b = b.withColumn("__bs", _spread([f"__n_{k}" for k in keys], b.columns))
+    t = t.withColumn("__ts", _spread(target, keys, target.columns))
+    b = b.withColumn("__bs", _spread(b, [f"__n_{k}" for k in keys], b.columns))
     cond = t["__ts"] == b["__bs"]
     for k in keys:
         cond = cond & (t[k] == b[f"__n_{k}"])
@@ -234,8 +234,9 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
     depends on its key group only; with several, rounds settle the rows that
     come first in all their groups and drop what clashes with those, each
     round a table in the shared folder. Returns target plus the inserted rows
-    (target's columns). ``seq`` must be a total order; it may be left out with
-    a single key (any row of a key may go in).
+    (target's columns). ``seq`` must be a total order: NULL or repeated values
+    of it are refused. It may be left out with a single key (any row of a key
+    may go in).
     """
     uks = [_keys(uk) for uk in unique_keys]
     if seq is None and len(uks) > 1:
@@ -267,6 +268,9 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
         return target.unionByName(shaped(first.select(*rows.columns))).unionByName(shaped(free))
 
     open_rows, result = _stored(rows), target
+    unordered = open_rows.groupBy(seq).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(seq).isNull())
+    if not unordered.isEmpty():     # such rows would wait for each other for ever
+        raise ValueError(f"{seq} is NULL or repeated: it must order the batch")
     while not open_rows.isEmpty():
         first = open_rows
         for ks in uks:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civitas.functions.cleaning import clean_int, completeness, lookup_code, row_sum, unmask_code
-from civitas.functions.json import initial_status, json_map_set, json_or, truthy_text, variant
+from civitas.functions.json import initial_status, json_is_object, json_map_set, json_or, truthy_text, variant
 from civitas.operators.audit import fits
 from civitas.operators.dedupe import work_queue
 from civitas.operators.ids import assign_ids
@@ -487,16 +487,20 @@ def seed_reference(target: DataFrame, seeds: DataFrame, key: str = "name", id_co
 def migrate_config(blueprints: DataFrame, field: str = "math_dependencies",
                    value_by_key: Mapping[str, list[str]] | None = None,
                    default: Sequence[str] = (), config_col: str = "sections_config",
-                   where: Column | None = None) -> DataFrame:
-    """G8 (U7 + P19): rewrite one field in every section of the default blueprint(s).
+                   where: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """G8 (U7 + P19): rewrite one field in every section of the default blueprint(s) -> ``(table, rejects)``.
 
     Every other field of a section stays, explicit nulls included. A
-    configuration that is no object of objects is left as it is.
+    configuration that is no JSON object (``config_not_object``) or holds an
+    entry that is none (``entry_not_object``) is left as it is, whole, and
+    listed in the rejects.
     """
     from civitas.operators.upsert import update_where
     cond = where if where is not None else F.coalesce(F.col("is_default"), F.lit(False))
-    new = F.coalesce(json_map_set(config_col, field, dict(value_by_key or {}), list(default)), F.col(config_col))
-    return update_where(blueprints, cond, {config_col: new})
+    new = json_map_set(config_col, field, dict(value_by_key or {}), list(default))
+    table = update_where(blueprints, cond, {config_col: F.coalesce(new, F.col(config_col))})
+    reason = F.when(json_is_object(config_col), F.lit("entry_not_object")).otherwise(F.lit("config_not_object"))
+    return table, blueprints.filter(cond & new.isNull()).withColumn("reasons", reason)
 
 
 # ------------------------------------------------------------ G9 run loads

@@ -1214,11 +1214,19 @@ def q_p19(spark, d):
     return _explode_config(docs)
 
 
-@register("G8_config_migration", _config_sql(True))
+@register("G8_config_migration", _config_sql(True).replace("true AS null_kept", "true AS null_kept, '' AS reasons") + """
+ UNION ALL SELECT -o_orderkey, NULL, NULL, NULL, NULL, NULL, CASE WHEN o_orderkey%14=0 THEN 'entry_not_object' ELSE 'config_not_object' END
+ FROM orders WHERE o_orderstatus='F' AND o_orderkey%7=0""")
 def q_g8(spark, d):
-    migrated = G.migrate_config(_config_docs(spark, d), "math_dependencies",
-                                {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, [])
-    return _explode_config(migrated)
+    """Default configurations migrate; a copy of every seventh whose entry is a text, or that is cut off, is rejected."""
+    docs = _config_docs(spark, d)
+    text = F.concat(F.expr("substr(sections_config, 1, length(sections_config) - 1)"), F.lit(', "odd": "text"}'))
+    cut = F.expr("substr(sections_config, 1, length(sections_config) - 1)")
+    odd = docs.filter("o_orderkey % 7 = 0").select((-F.col("o_orderkey")).alias("o_orderkey"), "is_default",
+                                                   F.when(F.col("o_orderkey") % 14 == 0, text).otherwise(cut).alias("sections_config"))
+    migrated, rejects = G.migrate_config(docs.unionByName(odd), "math_dependencies", {"COSTS": ["SOLUTION", "BENEFICIARIES"]}, [])
+    shown = _explode_config(migrated.filter("o_orderkey >= 0")).withColumn("reasons", F.lit(""))
+    return shown.unionByName(rejects.select("o_orderkey", "reasons"), allowMissingColumns=True)
 
 
 def conform(spark: SparkSession, df: DataFrame, ddl: str) -> DataFrame:

@@ -166,16 +166,27 @@ def test_seed_and_migrate(spark):
     cfg = json.dumps({"A": {"model": "m", "math_dependencies": ["x"]}, "COSTS_BUDGETS": {"model": "n"}})
     bp = spark.createDataFrame([(1, True, cfg), (2, False, cfg)], "id int, is_default boolean, sections_config string")
     out = {r["id"]: json.loads(r["sections_config"]) for r in G.migrate_config(
-        bp, "math_dependencies", {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, []).collect()}
+        bp, "math_dependencies", {"COSTS_BUDGETS": ["SOLUTION_DESIGN", "BENEFICIARIES"]}, [])[0].collect()}
     assert out[1] == {"A": {"model": "m", "math_dependencies": []},
                       "COSTS_BUDGETS": {"model": "n", "math_dependencies": ["SOLUTION_DESIGN", "BENEFICIARIES"]}}
     assert out[2] == json.loads(cfg)
     odd = json.dumps({"A": {"model": "m", "prompt_method": "p"}})
     bp2 = spark.createDataFrame([(3, True, odd)], "id int, is_default boolean, sections_config string")
-    kept = G.migrate_config(bp2, "math_dependencies", {}, []).first()["sections_config"]
+    kept = G.migrate_config(bp2, "math_dependencies", {}, [])[0].first()["sections_config"]
     assert json.loads(kept) == {"A": {"model": "m", "prompt_method": "p", "math_dependencies": []}}
 
 
+def test_configurations_that_cannot_be_migrated(spark):
+    bad = ['{"A":{"x":1},"B":"text"}', '{"A":{"x":1},"B":null}', "[1]", "no json", None]
+    bp = spark.createDataFrame([(i, True, c) for i, c in enumerate([*bad, "{}", '{"A":{}}'])] + [(9, False, "no json")],
+                               "id int, is_default boolean, sections_config string")
+    table, rejects = G.migrate_config(bp, "deps", {}, [])
+    got = {r["id"]: r["sections_config"] for r in table.collect()}
+    assert [got[i] for i in range(5)] == bad and got[9] == "no json" and got[5] == "{}" and json.loads(got[6]) == {"A": {"deps": []}}
+    assert sorted((r["id"], r["reasons"]) for r in rejects.collect()) == [
+        (0, "entry_not_object"), (1, "entry_not_object"), (2, "config_not_object"), (3, "config_not_object"), (4, "config_not_object")]
+
+
 def test_bad_pages_are_rejected_alone(spark):
     target = spark.createDataFrame([], LGD_MASTER)
     pages = spark.createDataFrame([

@@ -252,3 +252,25 @@ def test_cascade_over_a_tree(spark):
     links = [("b", "a", "a", "id"), ("c", "a", "a", "id"), ("e", "b", "b", "id"), ("e", "c", "c", "id")]
     kept = JN.cascade_tree({"a": a, "b": b, "c": c, "e": e}, links, "a", spark.createDataFrame([(1,)], "id int"), "id")
     assert {n: sorted(r["id"] for r in df.collect()) for n, df in kept.items()} == {"a": [2], "b": [11, 12], "c": [21], "e": [32, 33]}
+
+
+def test_null_seq_is_refused(spark):
+    """A NULL seq has no place in the order: an error, no lost value and no endless loop."""
+    rows = spark.createDataFrame([("k", None, "a"), (None, None, "b")], "k string, seq int, v string")
+    with pytest.raises(Exception, match="NULL in seq"):
+        W.fold_batch(rows, "k", "seq", last_cols=["v"]).collect()
+    two = spark.createDataFrame([(None, None, None), (None, None, None)], "a string, b string, seq int")
+    target = spark.createDataFrame([], "a string, b string")
+    with pytest.raises(ValueError, match="seq"):
+        U.insert_absent(target, two, ["a", "b"], seq="seq")
+    with pytest.raises(ValueError, match="seq"):
+        U.insert_absent(target, spark.createDataFrame([("x", "y", 1), ("z", "w", 1)], "a string, b string, seq int"), ["a", "b"], seq="seq")
+
+
+def test_upsert_beside_maps_and_null_keys(spark):
+    """A MAP column cannot be hashed: rows with a NULL key part still come through, each by itself."""
+    schema = "k string, m map<string,int>, v string"
+    target = spark.createDataFrame([("a", {"x": 1}, "old"), (None, {"x": 2}, "n1"), (None, None, "n2")], schema)
+    batch = spark.createDataFrame([("a", {"y": 1}, "new", 1), (None, {"z": 3}, "n3", 2), (None, {"z": 3}, "n4", 2)], schema + ", seq int")
+    out = U.upsert(target, batch, "k", {"v": U.OVERWRITE}, seq="seq")
+    assert sorted((r["k"] or "", r["v"]) for r in out.collect()) == [("", "n1"), ("", "n2"), ("", "n3"), ("", "n4"), ("a", "new")]
