@@ -20,13 +20,13 @@ from civitas.functions.cleaning import clean_int, completeness, lookup_code, row
 from civitas.functions.json import initial_status, json_is_object, json_map_set, json_or, truthy_text, variant
 from civitas.operators.audit import fits
 from civitas.operators.dedupe import work_queue
-from civitas.operators.ids import assign_ids
+from civitas.operators.ids import assign_ids, resume_offset
 from civitas.operators.joins import effective_year, expand_hierarchy
 from civitas.operators.responses import manifest_of, resolve_attempts_wide
 from civitas.operators.upsert import (KEEP, OVERWRITE, custom, fold_for, insert_absent, split_rejects, stamp, sticky,
                                       upsert)
 from civitas.plans.summary import extract_summary
-from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER
+from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER, SYNC_STATUS
 from civitas.sources.envelope import parse_bodies, parsed_records, rejected_bodies
 from civitas.sources.records import stored
 
@@ -82,7 +82,12 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     once, into a stored batch of one row per code; numbering and upsert read
     that batch.
     """
-    parsed = geography_bodies(pages, page_col)
+    return sync_parsed(target, geography_bodies(pages, page_col), as_of, page_col, checkpoint_batch)
+
+
+def sync_parsed(target: DataFrame, parsed: DataFrame, as_of=None, page_col: str = "page",
+                checkpoint_batch: bool = False) -> tuple[DataFrame, DataFrame]:
+    """:func:`geography_sync` of pages that are parsed already."""
     recs = geography_records(parsed, page_col)
     good, rejects = split_rejects(recs, {
         "village_code_null": F.col("village_code").isNull(),
@@ -98,6 +103,64 @@ def geography_sync(target: DataFrame, pages: DataFrame, as_of=None,
     return table, rejects.unionByName(rejected_bodies(parsed).select(page_col, "body", "reasons"), allowMissingColumns=True)
 
 
+def contiguous_prefix(pages: DataFrame, start: int, limit: int) -> tuple[int, int, str]:
+    """(pages to apply, offset behind them, state) of landed pages ``(offset, ok, n)``, one row per offset.
+
+    Page by page from ``start``: a full page leads to the one ``limit``
+    records on; a short one is the last, an empty one not even that
+    (``complete``); an unreadable one is asked for again (``restart``); a page
+    that has not landed is waited for (``waiting``). Decided by aggregates and
+    one anti join over page numbers, whatever their number.
+    """
+    at = (F.col("offset") - F.lit(start)) / F.lit(limit)
+    here = pages.filter((F.col("offset") >= start) & ((F.col("offset") - start) % limit == 0)).select(at.cast("bigint").alias("i"), "ok", "n")
+    full = F.col("ok") & (F.col("n") >= limit)
+    wanted = here.filter(full).select((F.col("i") + 1).alias("i")).unionByName(pages.sparkSession.range(1).select(F.col("id").alias("i")))
+    missing = wanted.join(here, "i", "left_anti").agg(F.min("i")).first()[0]
+    stop = here.filter(~full).agg(F.min(F.struct("i", "ok", "n"))).first()[0]
+    if stop is None or (missing is not None and missing <= stop["i"]):
+        end, state = missing, "waiting"
+    elif not stop["ok"]:
+        end, state = stop["i"], "restart"
+    else:
+        end, state = stop["i"] + (stop["n"] > 0), "complete"
+    consumed = here.filter(F.col("i") < end).agg(F.sum("n")).first()[0] or 0
+    return end, start + consumed, state
+
+
+def geography_increment(spark: SparkSession, base: str, landed: DataFrame, job: str = "lgd_master", limit: int = 1000,
+                        as_of=None) -> tuple[DataFrame, DataFrame]:
+    """G1 with offset and stop rule: the unbroken run of landed pages goes into the table at ``base`` -> ``(progress, rejects)``.
+
+    ``landed``: ``offset, body`` and optionally ``seq`` (landing order), one
+    row per landed response; of several for an offset the last readable one
+    counts. The job goes on at its committed offset, or at the table's count
+    cut down to whole pages (A1), applies :func:`contiguous_prefix` and commits
+    rows and offset together; what lies behind a gap waits for a later run. A
+    run with nothing to apply writes nothing, so a replay changes nothing.
+    ``progress``: ``job_name, start_offset, last_offset, pages, state``.
+    """
+    from civitas.sources.tables import read_latest, read_progress, write_batch_version
+    schema = {n: spark.createDataFrame([], ddl).schema for n, ddl in (("table", LGD_MASTER), ("status", SYNC_STATUS))}
+    target, status = read_latest(spark, base, schema["table"]), read_progress(spark, base, schema["status"])
+    start = resume_offset(status, target, job, limit).first()["offset"]
+    rows = landed if "seq" in landed.columns else landed.withColumn("seq", F.lit(0))
+    rows = rows.filter(F.col("offset").isNull() | (F.col("offset") >= start)).withColumn("page", F.floor(F.col("offset") / limit))
+    parsed = stored(parse_bodies(rows, "body", "$.records", {"offset_null": F.col("offset").isNull()}), "g1-bodies")
+    decided = parsed.filter("offset IS NOT NULL").groupBy("offset").agg(
+        F.max(F.struct((F.col("reasons") == "").alias("ok"), "seq", F.coalesce(F.size("records"), F.lit(0)).alias("n"))).alias("b"))
+    decided = stored(decided.select("offset", "b.*"), "g1-pages")
+    pages, last, state = contiguous_prefix(decided, start, limit)
+    applied = decided.filter((F.col("offset") < start + pages * limit) & ((F.col("offset") - start) % limit == 0)).select("offset", "seq")
+    table, rejects = sync_parsed(target, parsed.join(applied, ["offset", "seq"], "left_semi").drop("seq"), as_of)
+    if pages:
+        row = spark.range(1).select(F.lit(job).alias("job_name"), F.lit(last).cast("bigint").alias("last_offset"), _as_of(as_of).alias("last_updated"))
+        write_batch_version(table, base, f"{job}-{start}-{last}", status.filter(F.col("job_name") != job).unionByName(row))
+    progress = spark.createDataFrame([(job, start, last, pages, state)], "job_name string, start_offset long, last_offset long, pages long, state string")
+    unread = rejected_bodies(parsed).select("page", "body", "reasons")
+    return progress, rejects.filter("body IS NULL").unionByName(unread, allowMissingColumns=True)
+
+
 def numbered_keys(batch: DataFrame, target: DataFrame, key: str, id_col: str) -> DataFrame:
     """(key, id) of the batch's keys that the target lacks, numbered after ``MAX(id)``."""
     new_keys = batch.select(key).filter(F.col(key).isNotNull()).distinct().join(target.select(key), key, "left_anti")

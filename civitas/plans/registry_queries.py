@@ -1105,6 +1105,43 @@ def q_g1(spark, d):
         none("string", "pincode"), none("int", "id"), none("boolean", "restamped"), "reasons"))
 
 
+@register("G1_geography_increment", """
+WITH p AS (SELECT count(*)//100 AS n FROM orders), lim AS (SELECT (n//3)*100 AS gap, ((2*n)//3)*100 + 37 AS done FROM p),
+f AS (SELECT CAST(o_custkey AS VARCHAR) AS code, arg_max(o_orderpriority, o_orderkey) AS name, arg_min(o_orderstatus, o_orderkey) AS district
+  FROM orders, lim WHERE o_orderkey < done GROUP BY 1)
+SELECT code, name, district, CAST(NULL AS BIGINT) AS last_offset FROM f
+UNION ALL SELECT 'run 1', 'waiting', NULL, gap FROM lim UNION ALL SELECT 'run 2', 'complete', NULL, done FROM lim
+UNION ALL SELECT 'run 3', 'waiting', NULL, done FROM lim UNION ALL SELECT 'committed', 'lgd_master', NULL, done FROM lim""")
+def q_g1_increment(spark, d):
+    """Pages of 100 with a gap; a second run closes it and ends at a short page; a third replays both and changes nothing."""
+    from civitas.schemas import SYNC_STATUS
+    from civitas.sources.tables import read_latest, read_progress
+    o = t(spark, d, "orders")
+    page = F.floor(F.col("o_orderkey") / 100)
+    n = F.lit(o.count() // 100)
+    short = (page != F.floor(2 * n / 3)) | (F.col("o_orderkey") % 100 < 37)
+    rec = F.struct(F.col("o_orderkey").alias("k"), F.struct(
+        F.col("o_custkey").cast("string").alias("villageCode"), F.col("o_orderpriority").alias("villageNameEnglish"),
+        F.col("o_orderstatus").alias("districtCode")).alias("r"))
+    landed = (o.filter(short).groupBy((page * 100).cast("bigint").alias("offset")).agg(F.array_sort(F.collect_list(rec)).alias("rs"))
+              .select("offset", F.to_json(F.struct(F.col("rs.r").alias("records"))).alias("body"), F.lit(1).alias("seq")))
+    landed = G.stored(landed, "landed")
+    # the page of the gap landed broken at first, and so did the first page, which landed again
+    gap = F.floor(n / 3) * 100
+    broken = landed.withColumn("body", F.substring("body", 1, 20)).withColumn("seq", F.lit(0))
+    first = landed.filter(F.col("offset") != gap).unionByName(broken.filter("offset = 0"))
+    base, runs = scratch_path(spark, "g1-table"), None
+    for i, pages in enumerate((first, landed, landed), 1):
+        done, _ = G.geography_increment(spark, base, pages, limit=100, as_of=_ts(_T1))
+        row = done.select(F.lit(f"run {i}").alias("code"), F.col("state").alias("name"), F.lit(None).cast("string").alias("district"), "last_offset")
+        runs = row if runs is None else runs.unionByName(row)
+    status = read_progress(spark, base, spark.createDataFrame([], SYNC_STATUS).schema).select(
+        F.lit("committed").alias("code"), F.col("job_name").alias("name"), F.lit(None).cast("string").alias("district"), "last_offset")
+    table = read_latest(spark, base).select(F.col("village_code").alias("code"), F.col("village_name").alias("name"),
+                                            F.col("district_code").alias("district"), F.lit(None).cast("bigint").alias("last_offset"))
+    return table.unionByName(runs).unionByName(status)
+
+
 _G2_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
 
 

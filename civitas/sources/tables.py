@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 _VERSION = re.compile(r"^v(\d{9})$")
 _BATCH = "_batch-"          # marker inside a version folder: the stream batch that wrote it
+_PROGRESS = "_progress"     # folder inside a version: the offsets it was committed with
 _BUCKETS = "_num_buckets-"  # marker inside a bucketed table: its number of buckets
 
 
@@ -103,12 +104,13 @@ def version_of_batch(spark: SparkSession, base: str, batch: str) -> int | None:
     return None
 
 
-def write_batch_version(df: DataFrame, base: str, batch: str) -> int:
-    """Write ``df`` as the next version, made by the stream batch ``batch``.
+def write_batch_version(df: DataFrame, base: str, batch: str, progress: DataFrame | None = None) -> int:
+    """Write ``df`` as the next version, made by the batch ``batch``, with the progress rows that go with it.
 
-    The files and the batch's marker are written to a staging folder that is
-    renamed into place: a version appears whole and marked, or not at all, and
-    no existing version is touched. Needs a store that renames folders.
+    Files, progress and the batch's marker are written to a staging folder
+    that is renamed into place: rows and offset appear together, whole and
+    marked, or not at all, and no existing version is touched. Needs a store
+    that renames folders.
     """
     spark = df.sparkSession
     vs = list_versions(spark, base)
@@ -116,13 +118,29 @@ def write_batch_version(df: DataFrame, base: str, batch: str) -> int:
     staging = f"{base.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     df.write.parquet(staging)
     fs, _, jvm = _fs(spark, base)
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs.create(Path(staging, _BATCH + batch)).close()
-    if not fs.rename(Path(staging), Path(version_path(base, n))):
-        raise RuntimeError(f"could not move {staging} to {version_path(base, n)}")
+    fs.create(jvm.org.apache.hadoop.fs.Path(staging, _BATCH + batch)).close()
+    if progress is not None:
+        progress.write.parquet(f"{staging}/{_PROGRESS}")
+    _publish(spark, staging, version_path(base, n))
     return n
 
 
+def _publish(spark: SparkSession, staging: str, path: str) -> None:
+    fs, _, jvm = _fs(spark, path)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)):
+        raise RuntimeError(f"could not move {staging} to {path}")
+
+
+def read_progress(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The progress rows of the newest version that holds some; readers of the table do not see them."""
+    fs, _, jvm = _fs(spark, base)
+    for v in reversed(list_versions(spark, base)):
+        path = f"{version_path(base, v)}/{_PROGRESS}"
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+            return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def retire_versions(spark: SparkSession, base: str, keep: int) -> list[int]:
     """Delete all complete versions but the newest ``keep`` (at least one); returns the deleted numbers."""
     fs, _, jvm = _fs(spark, base)

@@ -8,7 +8,8 @@ version carries the identity of the batch that wrote it (stream and batch
 id), so a batch replayed after a failure is recognised and not applied
 again, and no version is ever overwritten: the target may hold data before
 the stream starts, and a stream with a new checkpoint goes on from there.
-The ``sync_status``-like progress row is versioned the same way.
+The ``sync_status``-like progress row is part of the version it belongs to:
+one rename makes rows and offset visible together.
 ``trigger(availableNow=True)`` drains what has landed and stops, which is
 the reference's "stop on a short or empty page".
 """
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from civitas.operators.upsert import Rule, upsert
 from civitas.schemas import SYNC_STATUS
-from civitas.sources.tables import merge_into_buckets, read_latest, version_of_batch, write_batch_version
+from civitas.sources.tables import merge_into_buckets, read_latest, read_progress, version_of_batch, write_batch_version
 
 
 def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.StructType | str,
@@ -44,7 +45,7 @@ def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.Stru
     bucket and each micro-batch rewrites only the buckets it touches
     (:func:`civitas.sources.tables.merge_into_buckets`) -- the mode for a
     large table fed small batches; the number of buckets is stored with the
-    table. Without it every batch writes a full new version
+    table; rows and progress are two commits there. Without it every batch writes a full new version
     (:func:`civitas.sources.tables.retire_versions` drops old ones). Rows with a
     NULL key part match nothing and would come in again with every replay:
     they are refused (:func:`batch_writer`).
@@ -84,6 +85,14 @@ def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: s
     keys = [key] if isinstance(key, str) else list(key)
     status_schema = T._parse_datatype_string(SYNC_STATUS)
 
+    def advanced(prev: DataFrame, rows: DataFrame) -> DataFrame:
+        """Progress after the batch: the job's offset plus the rows it consumed; other jobs' rows stay."""
+        consumed = rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+        base = prev.filter(F.col("job_name") == job).select(F.col("last_offset").alias("n"))
+        row = base.unionByName(consumed).agg(F.sum("n").cast("bigint").alias("last_offset")).select(
+            F.lit(job).alias("job_name"), "last_offset", F.localtimestamp().alias("last_updated"))
+        return prev.filter(F.col("job_name") != job).unionByName(row)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         me = f"{stream_id()}-{batch_id}"
         rows = prepare(batch) if prepare else batch
@@ -91,16 +100,13 @@ def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: s
                                  for k in keys})
         if num_buckets:
             merge_into_buckets(spark, target, rows, key, dict(rules), tschema, seq=seq, num_buckets=num_buckets)
-        elif version_of_batch(spark, target, me) is None:
+            if status_path and version_of_batch(spark, status_path, me) is None:
+                write_batch_version(advanced(read_latest(spark, status_path, status_schema), rows), status_path, me)
+            return
+        if version_of_batch(spark, target, me) is None:
             merged = upsert(read_latest(spark, target, tschema), rows, key, rules, seq=seq)
-            write_batch_version(merged, target, me)
-        if status_path and version_of_batch(spark, status_path, me) is None:
-            consumed = rows.agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-            prev = read_latest(spark, status_path, status_schema)
-            base = prev.filter(F.col("job_name") == job).select(F.col("last_offset").alias("n"))
-            row = base.unionByName(consumed).agg(F.sum("n").cast("bigint").alias("last_offset")).select(
-                F.lit(job).alias("job_name"), "last_offset", F.localtimestamp().alias("last_updated"))
-            others = prev.filter(F.col("job_name") != job)
-            write_batch_version(others.unionByName(row), status_path, me)
+            write_batch_version(merged, target, me, advanced(read_progress(spark, target, status_schema), rows))
+        if status_path and version_of_batch(spark, status_path, me) is None:    # a copy of what is committed
+            write_batch_version(read_progress(spark, target, status_schema), status_path, me)
 
     return apply

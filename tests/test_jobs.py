@@ -284,3 +284,57 @@ def test_enrich_state_changes_its_queue_only(spark):
     table, rejects = G.enrich_state(target, responses, "GOA", as_of=ts())
     got = {r["school_id"]: (r["scrape_status"], r["enrichment_manifest"] is not None) for r in table.collect()}
     assert got == {1: ("success", True), 2: ("success", False), 3: ("pending", False)} and rejects.count() == 0
+
+
+def _landed(spark, pages):
+    return spark.createDataFrame([(o, b if isinstance(b, str) else page([{"villageCode": c, "villageNameEnglish": n} for c, n in b]), s)
+                                  for o, b, s in pages], "offset long, body string, seq int")
+
+
+def test_geography_increment(spark, scratch):
+    """Only the unbroken run of pages moves the offset; gaps, broken, short and empty pages stop it; a replay changes nothing."""
+    from civitas.sources.tables import list_versions, read_latest, read_progress
+    status = spark.createDataFrame([], "job_name string, last_offset bigint, last_updated timestamp_ntz").schema
+
+    def run(*pages):
+        progress, rejects = G.geography_increment(spark, scratch, _landed(spark, pages), limit=2, as_of=ts())
+        p = progress.first()
+        assert p["pages"] == 0 or [r["last_offset"] for r in read_progress(spark, scratch, status).collect()] == [p["last_offset"]]
+        return p["last_offset"], p["state"], sorted(r["reasons"] for r in rejects.collect())
+
+    two = lambda a, b: [(a, a.lower()), (b, b.lower())]
+    codes = lambda: sorted((r["village_code"], r["village_name"], r["id"]) for r in read_latest(spark, scratch).collect())
+    assert run((2, two("C", "D"), 1)) == (0, "waiting", [])                       # the first page is missing
+    assert list_versions(spark, scratch) == []
+    assert run((0, "{broken", 1), (2, two("C", "D"), 1)) == (0, "restart", ["invalid_body"])
+    assert run((0, "{broken", 2), (0, two("A", "B"), 1), (4, two("E", "F"), 1), (None, two("X", "Y"), 1)) == (
+        2, "waiting", ["invalid_body", "offset_null"])                            # page 2 is missing, 4 waits
+    assert codes() == [("A", "a", 1), ("B", "b", 2)]
+    landed = [(0, two("A", "B"), 1), (2, two("C", "A"), 1), (2, two("C", "A"), 1), (4, [("E", "e")], 1), (6, two("G", "H"), 1)]
+    assert run(*landed) == (5, "complete", [])                                    # a short page is the last
+    assert codes() == [("A", "a", 1), ("B", "b", 2), ("C", "c", 3), ("E", "e", 4)]
+    before = list_versions(spark, scratch)
+    assert run(*landed) == (5, "waiting", []) and list_versions(spark, scratch) == before
+    assert run(*landed, (5, [], 1)) == (5, "complete", []) and list_versions(spark, scratch) == before
+    assert run((5, two("B", "I"), 1), (7, [], 1)) == (7, "complete", [])
+
+
+def test_rows_and_offset_are_one_commit(spark, scratch, monkeypatch):
+    """A failure before the rename leaves neither rows nor offset, and the next run does both."""
+    import pytest
+
+    from civitas.sources import tables
+    pages = [(0, [("A", "a"), ("B", "b")], 1), (2, [("C", "c")], 1)]
+    status = spark.createDataFrame([], "job_name string, last_offset bigint, last_updated timestamp_ntz").schema
+    publish = tables._publish
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_publish", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        G.geography_increment(spark, scratch, _landed(spark, pages), limit=2)
+    assert tables.list_versions(spark, scratch) == [] and tables.read_progress(spark, scratch, status).count() == 0
+    monkeypatch.setattr(tables, "_publish", publish)
+    assert G.geography_increment(spark, scratch, _landed(spark, pages), limit=2)[0].first()["last_offset"] == 3
+    assert tables.read_latest(spark, scratch).count() == 3 and tables.read_progress(spark, scratch, status).first()["last_offset"] == 3
