@@ -27,6 +27,7 @@ from .common import packed, pin, shared, short_batches, slices, table, unpacked
 FEATURES = 2048     # n-grams a language adds to the vocabulary
 SAMPLE = 512        # documents of a language that are clustered
 CENTROIDS = 4       # of a language
+SPREAD = 64         # parts of a language's documents that are cut down to the sample's size first
 ROUNDS = 12         # of the clustering at most
 BATCH = 1 << 19     # characters counted at once
 LEXICON = 1 << 20   # distinct n-grams a task holds before it hands its counts on
@@ -294,8 +295,10 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", id_col: str
         return pa.table({"lang": pa.array([key[0].as_py()] * len(out), pa.string()), "number": pa.array([x[0] for x in out], pa.list_(pa.int32())),
                          "weight": pa.array([x[1] for x in out], pa.list_(pa.float64())), "radius": pa.array([x[2] for x in out], pa.float64())})
 
-    first = Window.partitionBy("lang").orderBy("h")
-    picked = rows.select("lang", "h").distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
+    # the smallest hashes of each of SPREAD parts, then of all: no task sees more than SPREAD x sample rows of a language at the end
+    picked = rows.select("lang", "h", F.pmod("h", F.lit(SPREAD)).alias("part")).distinct()
+    for group in (("lang", "part"), ("lang",)):
+        picked = picked.withColumn("r", F.row_number().over(Window.partitionBy(*group).orderBy("h"))).filter(F.col("r") <= sample)
     picked = F.broadcast(pin(picked.select(F.col("lang").alias("l"), F.col("h").alias("k")), "language-sample"))  # at most `sample` rows a language
     of_sample = rows.join(picked, (F.col("lang") == F.col("l")) & (F.col("h") == F.col("k"))).select("lang", "h", "text")
     one = Window.partitionBy("lang", "h").orderBy("text")

@@ -9,6 +9,7 @@ beyond it, what truncation to it keeps, and which quantile it is.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -20,6 +21,7 @@ from .common import pin, short_batches, slices, table
 RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pre-tokenisation pattern of this vocabulary
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+RUN = 1 << 16   # white space in a row from which it is encoded by itself: the pattern's look-ahead dies of a million
 SPAN = 1024     # lengths per block of the two-level suffix sums
 
 
@@ -29,9 +31,30 @@ def encoder(ranks: bytes):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
+def long_runs(run: int = RUN) -> re.Pattern:
+    """Runs of at least ``run`` characters that the pattern takes for white space."""
+    return re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % run)
+
+
+def count_tokens(enc, runs: re.Pattern, text: str) -> int:
+    """Length of the encoded text.
+
+    A long run of white space is one piece of the pattern: the whole run at
+    the text's end, else all but its last character, which goes with what
+    follows. Cut there, the parts encode as the whole would.
+    """
+    n = at = 0
+    for m in runs.finditer(text):
+        n += len(enc.encode_ordinary(text[at:m.start()]))
+        at = m.end() if m.end() == len(text) else m.end() - 1
+        n += len(enc._encode_single_piece(text[m.start():at].encode()))
+    return n + len(enc.encode_ordinary(text[at:]))
+
+
 def length_histogram(docs: DataFrame, *, text: str = "text", ranks_file: str = RANKS_FILE) -> DataFrame:
     """(length, n_docs): documents by number of tokens; NULL and empty texts have length 0.
 
+    Texts of any length are encoded whole, runs of any one character included.
     The vocabulary (under 1 MB, read on the driver) travels as a broadcast
     variable. Each task counts its own documents by length first, so the
     shuffle carries at most one row per task and distinct length.
@@ -42,9 +65,9 @@ def length_histogram(docs: DataFrame, *, text: str = "text", ranks_file: str = R
         ranks = sc.broadcast(f.read())
 
     def lengths(batches):
-        enc = encoder(ranks.value)
+        enc, runs = encoder(ranks.value), long_runs()
         for b in slices(batches):
-            n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(0).to_pylist()]
+            n = [count_tokens(enc, runs, t) if t else 0 for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["length"])
 
     return (docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(lengths, "length long")

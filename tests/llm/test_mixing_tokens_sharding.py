@@ -163,3 +163,20 @@ def test_matrix_draws():
     big = [sharding.hypergeometric(rng, 3 * 10 ** 9, 10 ** 9, 10 ** 6) for _ in range(2000)]
     assert abs(np.mean(big) - 750_000) < 5 * math.sqrt(187_500 / 2000)
     assert 0.8 < np.var(big) / 187_453 < 1.2
+
+
+def test_long_runs_encode_as_the_whole():
+    import random
+    with open(tokens.RANKS_FILE, "rb") as f:
+        enc = tokens.encoder(f.read())
+    rng = random.Random(3)
+    short = tokens.long_runs(3)
+    for _ in range(400):
+        text = "".join(rng.choice(["a", "Bc", " ", "  ", "    ", "\n\n\n", "\t \t ", "\u3000" * 4, "!?", "12", "'s", "\x1c" * 4, "é"]) for _ in range(rng.randint(0, 12)))
+        assert tokens.count_tokens(enc, short, text) == len(enc.encode_ordinary(text)), repr(text)
+    for kind in (" ", "a", "!", "\n", "é"):
+        for text in (kind * 2_000_000, "x" + kind * 2_000_000 + "y", kind * 150_000 + "z " + kind * 150_000):
+            n = tokens.count_tokens(enc, tokens.long_runs(), text)
+            assert n > 10_000
+            if len(text) < 400_000:
+                assert n == len(enc.encode_ordinary(text))
