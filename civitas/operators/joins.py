@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civitas.session import scratch_path
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -114,7 +116,11 @@ def cascade_tree(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str
     children and a child many parents (links must not form a circle). A child
     row goes if any of its references is to a deleted row; a NULL reference
     is to none. Returns the surviving rows of every table, the root's too.
-    Between tables only distinct keys move (semi and anti joins).
+
+    Every row is marked once, by one join per reference with the distinct
+    deleted keys. A table that others reference is stored with its marks, and
+    its survivors and deleted keys are read from there; one that nothing
+    references is not stored, its survivors come from anti joins.
     """
     order, waiting = [root], [x for x in tables if x != root]
     while waiting:
@@ -123,26 +129,34 @@ def cascade_tree(tables: Mapping[str, DataFrame], links: Sequence[tuple[str, str
             raise ValueError("the links form a circle")
         order += ready
         waiting = [x for x in waiting if x not in ready]
-    doomed = {root: [(key, doomed_keys.select(F.col(key).alias("__d")).distinct())]}
     gone, kept = {}, {}
     for name in order:
         df = tables[name]
-        hits = doomed.get(name, []) + [
-            (fk, gone[p].select(F.col(pk).alias("__d")).distinct()) for c, fk, p, pk in links if c == name and p in gone]
-        survivors = df
-        marked = df
-        for i, (col, keys) in enumerate(hits):
-            survivors = survivors.join(keys, survivors[col] == keys["__d"], "left_anti")
-            marked = marked.join(keys.withColumnRenamed("__d", f"__d{i}"), marked[col] == F.col(f"__d{i}"), "left")
-        kept[name] = survivors
-        if any(p == name for _, _, p, _ in links):
-            any_hit = F.lit(False)
-            for i in range(len(hits)):
-                any_hit = any_hit | F.col(f"__d{i}").isNotNull()
-            gone[name] = marked.filter(any_hit).select(*df.columns)
+        hits = [(key, doomed_keys, key)] if name == root else []
+        hits += [(fk, gone[p], pk) for c, fk, p, pk in links if c == name]
+        keys = [(fk, k.select(F.col(pk).alias(f"__d{i}")).distinct()) for i, (fk, k, pk) in enumerate(hits)]
+        if not any(p == name for _, _, p, _ in links):
+            for i, (fk, k) in enumerate(keys):
+                df = df.join(k, df[fk] == k[f"__d{i}"], "left_anti")
+            kept[name] = df
+            continue
+        hit, marked = F.lit(False), df
+        for i, (fk, k) in enumerate(keys):
+            marked = marked.join(k, marked[fk] == k[f"__d{i}"], "left")
+            hit = hit | F.col(f"__d{i}").isNotNull()
+        marked = _stored(marked.select(*[F.col(f"`{c}`") for c in df.columns], hit.alias("__gone")))
+        kept[name] = marked.filter("NOT __gone").drop("__gone")
+        gone[name] = marked.filter("__gone")
     return kept
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """The frame written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, "marked")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def resolve_effective_year(schools: DataFrame, primary: DataFrame, probe: DataFrame,
                            key: str = "school_id", current_year: int = 12,
                            fallback_year: int = 11) -> DataFrame:

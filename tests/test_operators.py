@@ -274,3 +274,18 @@ def test_upsert_beside_maps_and_null_keys(spark):
     batch = spark.createDataFrame([("a", {"y": 1}, "new", 1), (None, {"z": 3}, "n3", 2), (None, {"z": 3}, "n4", 2)], schema + ", seq int")
     out = U.upsert(target, batch, "k", {"v": U.OVERWRITE}, seq="seq")
     assert sorted((r["k"] or "", r["v"]) for r in out.collect()) == [("", "n1"), ("", "n2"), ("", "n3"), ("", "n4"), ("a", "new")]
+
+
+def test_audit_tables_reads_a_table_once(spark, scratch):
+    """All row rules of a table in one scan, all its unique keys in another; the report equals the single audits'."""
+    rows = [(i, None if i % 5 == 0 else f"n{i % 7}", "abc" * (i % 4), i % 3) for i in range(60)]
+    spark.createDataFrame(rows, "id int, name string, code string, kind int").write.parquet(scratch)
+    df = spark.read.parquet(scratch)
+    rules = K.RuleSet(not_null=(("t", ("name", "id")),), unique=(("t", ("name", "kind"), None), ("t", ("code",), "kind = 1")),
+                      allowed=(("t", "kind", (0, 1)),), types=(("t", "code", "varchar(5)"),))
+    report = K.audit_tables({"t": df}, rules)
+    single = K.audit([(K.audit_not_null(df, ["name"]).drop("column"), "not_null:t.name"), (K.audit_in(df, "kind", (0, 1)), "allowed:t.kind"),
+                      (K.audit_fits(df, "code", "varchar(5)"), "type:t.code"), (K.audit_unique(df, ("name", "kind")), "unique:t.name+kind"),
+                      (K.audit_unique(df, "code", F.expr("kind = 1")), "unique:t.code")])
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, single.collect()))
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
