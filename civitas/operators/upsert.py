@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ class Rule:
     fn: Callable[[Column, Column], Column] | None = None
 
 
+GROUP_ROWS = 200_000    # rows of a component that one task settles: their keys only, some 100 bytes a row
 OVERWRITE = Rule("overwrite")       # EXCLUDED.col on conflict; from the last batch row
 KEEP = Rule("keep")                 # insert-only: set on insert, never updated
 FILL = Rule("fill")                 # keep old unless NULL: coalesce(old, new)
@@ -231,9 +233,11 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
     As if row after row in ``seq`` order: a row goes in unless one of its
     unique keys is held by the target or by a batch row that went in before.
     A unique key with a NULL part never conflicts. With one key a row's fate
-    depends on its key group only; with several, rounds settle the rows that
-    come first in all their groups and drop what clashes with those, each
-    round a table in the shared folder. Returns target plus the inserted rows
+    depends on its key group only. With several, rows that share keys, directly
+    or through others, form a component: one of at most GROUP_ROWS rows is
+    settled by one task in row order, a larger one by rounds that take the rows
+    which come first at all their keys and drop what clashes with them; each
+    round is a table in the shared folder. Returns target plus the inserted rows
     (target's columns). ``seq`` must be a total order: NULL or repeated values
     of it are refused. It may be left out with a single key (any row of a key
     may go in).
@@ -267,23 +271,62 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
         free = rows.filter(~complete(ks))
         return target.unionByName(shaped(first.select(*rows.columns))).unionByName(shaped(free))
 
-    open_rows, result = _stored(rows), target
-    unordered = open_rows.groupBy(seq).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(seq).isNull())
+    rows = _stored(rows)
+    unordered = rows.groupBy(seq).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(seq).isNull())
     if not unordered.isEmpty():     # such rows would wait for each other for ever
         raise ValueError(f"{seq} is NULL or repeated: it must order the batch")
+    texts = [F.when(complete(ks), F.concat(F.lit(f"{i}:"), F.to_json(F.struct(*ks)))) for i, ks in enumerate(uks)]
+    keyed = _stored(rows.select(F.col(seq).alias("u"), F.filter(F.array(*texts), lambda k: k.isNotNull()).alias("keys")))
+    group = connected(keyed.select("u", F.explode("keys").alias("k")))
+    size = _stored(group.groupBy("group").agg(F.count(F.lit(1)).alias("n")))
+    sized = _stored(keyed.join(group.join(size, "group"), "u"))
+    u_type = keyed.schema["u"].dataType.simpleString()
+
+    def settle(batch):
+        found = sorted(zip(batch["u"].to_pylist(), batch["keys"].to_pylist(), strict=True))
+        held, went_in = set(), []
+        for u, keys in found:
+            if held.isdisjoint(keys):
+                held.update(keys)
+                went_in.append(u)
+        return pa.table({"u": pa.array(went_in, batch.schema.field("u").type)})
+
+    small = sized.filter(F.col("n") <= GROUP_ROWS).select("u", "keys", "group").groupBy("group").applyInArrow(settle, f"u {u_type}")
+    inserted = small.unionByName(keyed.filter(F.size("keys") == 0).select("u"))
+    open_rows = _stored(sized.filter(F.col("n") > GROUP_ROWS).select("u", F.explode("keys").alias("k")))
     while not open_rows.isEmpty():
-        first = open_rows
-        for ks in uks:
-            least = open_rows.filter(complete(ks)).groupBy(*ks).agg(F.min(seq).alias("__first"))
-            first = first.join(least, on=list(ks), how="left").filter(
-                F.col("__first").isNull() | (F.col("__first") == F.col(seq))).drop("__first")
-        first = _stored(first.select(*open_rows.columns))
-        result = result.unionByName(shaped(first))
-        left = open_rows.join(first.select(seq), on=seq, how="left_anti")
-        for ks in uks:
-            left = left.join(first.select(*ks).dropna(how="any").distinct(), on=list(ks), how="left_anti")
-        open_rows = _stored(left.select(*rows.columns))
-    return result
+        firsts = open_rows.groupBy("k").agg(F.min("u").alias("first"))
+        first = open_rows.join(firsts, "k").groupBy("u").agg(F.min(F.col("u") == F.col("first")).alias("ok")).filter("ok").select("u")
+        first = _stored(first)
+        inserted = inserted.unionByName(first)
+        taken = open_rows.join(first, "u", "left_semi").select("k").distinct()
+        clash = open_rows.join(taken, "k", "left_semi").select("u").distinct()
+        open_rows = _stored(open_rows.join(clash, "u", "left_anti"))
+    went_in = _stored(inserted).withColumnRenamed("u", seq)
+    return target.unionByName(shaped(rows.join(went_in, seq, "left_semi")))
+
+
+def connected(member: DataFrame) -> DataFrame:
+    """``(u, group)`` of rows ``u`` that share keys ``k``, directly or through others; ``group`` is the smallest ``u``.
+
+    Every round a row offers the smallest grandparent label met at its keys to
+    itself and to its parent, and takes its grandparent's: the trees of labels
+    shrink by a factor each round, chains included. Only labels move, and every
+    round's labels are stored.
+    """
+    member = _stored(member.distinct())
+    labels = _stored(member.select("u", F.col("u").alias("f"), F.col("u").alias("g")).distinct())
+    while True:
+        at_key = member.join(labels.select("u", "g"), "u").groupBy("k").agg(F.min("g").alias("m"))
+        offered = _stored(labels.join(member.join(at_key, "k").groupBy("u").agg(F.min("m").alias("m")), "u"))
+        hooks = offered.groupBy(F.col("f").alias("r")).agg(F.min("m").alias("h"))
+        moved = offered.join(hooks, F.col("u") == F.col("r"), "left")
+        moved = _stored(moved.select("u", F.least("f", "m", "g", F.coalesce("h", "f")).alias("f"), F.col("g").alias("old")))
+        parents = moved.select(F.col("u").alias("p"), F.col("f").alias("g"))
+        labels = _stored(moved.join(parents, F.col("f") == F.col("p")).select("u", "f", "g", "old"))
+        if labels.filter("g <> old OR f <> g").isEmpty():
+            return labels.select("u", F.col("g").alias("group"))
+        labels = labels.drop("old")
 
 
 def _stored(df: DataFrame) -> DataFrame:

@@ -289,3 +289,36 @@ def test_audit_tables_reads_a_table_once(spark, scratch):
                       (K.audit_unique(df, "code", F.expr("kind = 1")), "unique:t.code")])
     assert sorted(map(tuple, report.collect())) == sorted(map(tuple, single.collect()))
     assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def greedy(rows, held=((), ())):
+    """(a, b, seq) rows in seq order; what goes in under two unique keys."""
+    a_held, b_held, out = set(held[0]), set(held[1]), []
+    for a, b, seq in sorted(rows, key=lambda r: r[2]):
+        if (a is None or a not in a_held) and (b is None or b not in b_held):
+            a_held.add(a)
+            b_held.add(b)
+            out.append(seq)
+    return out
+
+
+@pytest.mark.parametrize("group_rows", [200_000, 3])
+def test_insert_absent_by_components(spark, monkeypatch, group_rows):
+    import random
+    monkeypatch.setattr(U, "GROUP_ROWS", group_rows)
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(40)]), rng.choice([None, *range(60)]), s) for s in rng.sample(range(1000), 120)]
+    rows += [(7, None, 1000 + i) for i in range(60)]        # a hot key
+    target = spark.createDataFrame([(1, 1, -1), (None, 2, -2)], "a int, b int, seq int")
+    out = U.insert_absent(target, spark.createDataFrame(rows, "a int, b int, seq int"), ["a", "b"], seq="seq")
+    assert sorted(r["seq"] for r in out.collect()) == sorted([-1, -2, *greedy(rows, ((1,), (1, 2)))])
+
+
+def test_insert_absent_on_a_long_chain(spark, monkeypatch):
+    """10,000 rows, each sharing one key with the row before and the other with the next: few rounds, whatever its length."""
+    rows = [((s + 1) // 2, s // 2, s) for s in range(10_000)]
+    stored, tables = U._stored, []
+    monkeypatch.setattr(U, "_stored", lambda df: tables.append(1) or stored(df))
+    out = U.insert_absent(spark.createDataFrame([], "a int, b int, seq int"), spark.createDataFrame(rows, "a int, b int, seq int"), ["a", "b"], seq="seq")
+    assert sorted(r["seq"] for r in out.collect()) == greedy(rows)
+    assert len(tables) < 60
