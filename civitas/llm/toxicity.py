@@ -25,17 +25,17 @@ from itertools import product
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WHITE, held_out, labelled_sample, packed, pin, shared, short_batches, slices, table, unpacked
 
 MAX_LABELLED = 20_000       # labelled documents read by the learner
 PREFIXES = range(3, 9)      # lengths of stems
-MIN_SUPPORT, MIN_SHARE = 4, 0.01    # toxic documents that must hold a unit
+MIN_SUPPORT = 4             # toxic documents that must hold a unit
+ALIKE = 0.8                 # share of common five-word windows from which two sampled texts count once
 MIN_EVIDENCE = 2.5          # lower bound of a unit's log odds
 PARTS = 64                  # files of the pinned sample
-MAX_UNITS = 5_000           # units kept in the lexicon, the best first
 
 # Fixed word lists: English, German, French, Spanish
 TARGET = frozenset("you your yours yourself u ya he she they him her them du dich dir dein deine ihr euch euer sie ihnen "
@@ -159,9 +159,7 @@ def learn_lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_
                 if n < len(u):
                     m, o = telling.get(u[:n], (0, -np.inf))
                     telling[u[:n]] = (max(m, toxic[u]), max(o, weights[u]))
-    kept = {u: w for u, w in kept.items() if not any(n < len(u.rstrip("$")) and u[:n] in kept for n in PREFIXES)}
-    best = sorted(kept, key=lambda u: (-toxic[u], u))[:MAX_UNITS]
-    return Lexicon({u: kept[u] for u in best})
+    return Lexicon({u: w for u, w in sorted(kept.items()) if not any(n < len(u.rstrip("$")) and u[:n] in kept for n in PREFIXES)})
 
 
 # ---- scoring
@@ -247,30 +245,45 @@ def count_units(only: set[str] | None = None):
     return run
 
 
-def min_hash(words) -> F.Column:
-    """The smallest hash of five words in a row: copies and most near copies share it."""
-    return F.when(F.size(words) < 5, F.xxhash64(words)).otherwise(F.array_min(F.transform(
+def windows_of(words: Column) -> Column:
+    """The distinct hashes of five words in a row, of the whole text if it has fewer."""
+    return F.when(F.size(words) < 5, F.array(F.xxhash64(words))).otherwise(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(5)) - 4), lambda i: F.xxhash64(F.slice(words, i, 5)))))
 
 
+def once_each(rows: DataFrame) -> DataFrame:
+    """(_y, _text) of sampled documents: equal texts once, and those that share their smallest window hash and at
+    least ALIKE of their windows with the one that stands for that hash once too."""
+    rows = rows.select("_y", F.coalesce("_text", F.lit("")).alias("_text"))
+    rows = rows.groupBy("_y", F.xxhash64("_text").alias("t")).agg(F.min("_text").alias("_text"))
+    # the words as a column of their own: split inside the windows' lambda they would be split for each window
+    rows = rows.withColumn("words", F.split("_text", WHITE)).withColumn("w", windows_of(F.col("words"))).drop("words")
+    rows = pin(rows.withColumn("h", F.array_min("w")), "toxic-windows")
+    stands = rows.groupBy("_y", "h").agg(F.min_by(F.struct("t", "w"), "t").alias("s"))
+    common = F.size(F.array_intersect("w", "s.w"))
+    alike = common >= ALIKE * (F.size("w") + F.size("s.w") - common)
+    return rows.join(stands, ["_y", "h"]).filter((F.col("t") == F.col("s.t")) | ~alike).select("_y", "_text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         max_rows: int = MAX_LABELLED) -> Model:
-    """Lexicon and match weights from at most ``max_rows`` labelled documents (copies and near copies count once)."""
+    """Lexicon and match weights from at most ``max_rows`` labelled documents (copies and near copies count once).
+
+    The sample bounds the units, too. If labelled ids repeat in ``docs`` with
+    other texts, at most 2 * max_rows documents come to the driver as features.
+    """
     short_batches(docs.sparkSession)
     sample = F.broadcast(labelled_sample(labels, label, max_rows))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text}`").alias("_text")).join(sample, "_id")
-    rows = rows.withColumn("_words", F.split(F.coalesce("_text", F.lit("")), WHITE))
-    rows = pin(rows.groupBy(min_hash(F.col("_words")).alias("h"), "_y").agg(
-        F.min_by("_text", F.xxhash64("_text")).alias("_text")).repartition(PARTS), "toxic-sample")
+    rows = pin(once_each(rows).repartition(PARTS), "toxic-sample")
     size = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
-    support = max(MIN_SUPPORT, int(MIN_SHARE * n_toxic))
 
     def totals(y, task):
         return rows.filter(F.col("_y") == y).select("_text").mapInArrow(task, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
     # each document of the bounded sample supports a bounded number of units
-    toxic = {r["unit"]: r["n"] for r in totals(1, count_units()).filter(F.col("n") >= support).collect()} if n_toxic else {}
+    toxic = {r["unit"]: r["n"] for r in totals(1, count_units()).filter(F.col("n") >= MIN_SUPPORT).collect()} if n_toxic else {}
     sent = docs.sparkSession.sparkContext.broadcast(set(toxic))
     clean = {r["unit"]: r["n"] for r in totals(0, lambda batches: count_units(sent.value)(batches)).collect()} if toxic else {}
     lexicon = learn_lexicon(toxic, clean, n_toxic, n_clean)
@@ -281,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str
             x = [scorer.features(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
-    got = sorted(rows.select("_y", "_text").mapInArrow(features, "y int, x array<double>").collect(), key=lambda r: (r["y"], r["x"]))
+    got = sorted(rows.select("_y", "_text").mapInArrow(features, "y int, x array<double>").limit(2 * max_rows).collect(), key=lambda r: (r["y"], r["x"]))
     x = np.array([r["x"] for r in got], float).reshape(-1, len(CLASSES) + 3)
     return Model(lexicon, logistic(x, np.array([r["y"] == 1 for r in got], float)))
 

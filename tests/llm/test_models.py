@@ -209,3 +209,18 @@ def test_learner_and_expression_agree(spark):
     got = [r["n"] for r in df.coalesce(1).select(rules.rule_number(learned).alias("n")).collect()]
     want = [next((k for k, rule in enumerate(learned, 1) if rules.matches(rule, x[i:i + 1])[0]), 0) for i in range(len(x))]
     assert sorted(got) == sorted(want) and np.mean((np.array(want) > 0) == bad) > 0.95
+
+
+def test_sampled_copies_count_once(spark):
+    """Equal texts and texts with 0.8 of their windows in common count once; one that shares only its smallest window does not."""
+    from tests.llm.helpers import prose
+    base = prose(100, 3)
+    near = base + " one more word"
+    half = " ".join(base.split()[:50]) + " " + prose(60, 9)
+    rows = [(1, base), (1, base), (1, near), (1, half), (0, base), (1, None), (1, "")]
+    got = sorted((r["_y"], len(r["_text"])) for r in toxicity.once_each(spark.createDataFrame(rows, "_y int, _text string")).collect())
+    assert len(got) in (5, 4) and [g for g in got if g[0] == 0] == [(0, len(base))]
+    assert (1, len(half)) in got and got.count((1, 0)) == 1
+    assert ((1, len(base)) in got) + ((1, len(near)) in got) in (1, 2)
+    many = spark.createDataFrame([(1, base + f" x{i}") for i in range(30)], "_y int, _text string")
+    assert toxicity.once_each(many).count() <= 3     # apart only where the last window is the smallest
