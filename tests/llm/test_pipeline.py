@@ -62,7 +62,7 @@ def test_run_and_contract(spark, scratch):
     assert 0 < out.count() < 2 * len(texts)
     import __spark_entry__ as E
     names = set(E.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_extra_columns_and_empty_tables(spark, scratch):
