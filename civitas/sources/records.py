@@ -127,10 +127,10 @@ def note_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in NOTED.split(", ")])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The frame written to the shared scratch folder and read back: its size is known to the joins behind it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -141,7 +141,7 @@ def noted_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     so ranges are cut once, however the cluster changes.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    return stored(lines.select("_metadata.file_path", "_metadata.file_block_start", "value").mapInArrow(note_lines, NOTED), "csv-lines")
+    return stored(lines.select("_metadata.file_path", "_metadata.file_block_start", "value").mapInArrow(note_lines, NOTED), "csv-lines", "zstd")
 
 
 def _blank() -> Column:

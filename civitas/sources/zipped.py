@@ -189,7 +189,7 @@ def stage_members(spark: SparkSession, path: str, member_like: str, stage: str,
             F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("piece"))
         streams = bytes_of.repartition("path").sortWithinPartitions("path", "start", "at").select("path", "piece")
-        streams.mapInArrow(lambda batches: note_lines(member_lines(batches, member_like)), NOTED).write.parquet(f"{stage}/lines/{run}")
+        streams.mapInArrow(lambda batches: note_lines(member_lines(batches, member_like)), NOTED).write.option("compression", "zstd").parquet(f"{stage}/lines/{run}")
         spark.createDataFrame([(*r, member_like, run) for r in todo], LISTED).coalesce(1).write.mode("append").parquet(f"{stage}/complete")
     complete = _complete(spark, stage).filter(F.col("member_like") == member_like)
     runs = [r["run"] for r in complete.join(listing, ["path", "length", "modificationTime"], "left_semi").select("run").distinct().collect()]
