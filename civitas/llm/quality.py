@@ -34,7 +34,7 @@ from .suffix import Names, as_bytes, mix
 BUCKETS, DIM, NONZERO, REACH = 4096, 64, 4, 2
 MARKERS = 2                 # rows behind the hashed ones: capitals, repeated sequence
 CAPITALS, REPEATED = BUCKETS, BUCKETS + 1
-PIECE = 1 << 20             # bytes handled at once; a longer text is cut at a space
+PIECE = 1 << 20             # bytes handled at once; a longer text is cut between units
 MAX_LABELLED = 20_000       # labelled documents read by the trainer
 TOGETHER = 64               # documents pooled by one matrix product
 HIDDEN, EPOCHS, DECAY, SEED = 16, 400, 1e-4, 11
@@ -59,6 +59,28 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.integers(0, 2, (n, NONZERO)) * 2 - 1
 
 
+class Past:
+    """What a piece of a long text must know of the pieces before it."""
+
+    def __init__(self):
+        self.names, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.runs = []          # names of the three-unit sequences seen: sorted arrays of falling size
+
+    def seen(self, three: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(three), bool)
+        for run in self.runs:
+            at = np.minimum(np.searchsorted(run, three), len(run) - 1)
+            out |= run[at] == three
+        return out
+
+    def add(self, names: np.ndarray, rows: np.ndarray, three: np.ndarray) -> None:
+        self.names, self.rows = names[-2:], rows[-REACH:]
+        if len(three):
+            self.runs.append(np.unique(three))
+        while len(self.runs) > 1 and len(self.runs[-2]) <= 2 * len(self.runs[-1]):
+            self.runs[-2:] = [np.union1d(*self.runs[-2:])]
+
+
 class Units:
     """Unit rows of documents, a block of documents at a time."""
 
@@ -68,14 +90,25 @@ class Units:
 
     def blocks(self, texts):
         """(documents, document of each unit, unit rows) for blocks of about PIECE bytes."""
+        for docs, owner, unit, lead in self.windows(texts):
+            yield docs, owner[lead:], unit[lead:]
+
+    def windows(self, texts):
+        """(documents, document of each unit, unit rows, lead) for blocks of about PIECE bytes.
+
+        The first ``lead`` units stood at the end of the same text's piece
+        before; they are context of the others.
+        """
         held, size = [], 0
         for d, t in enumerate(texts):
             data = as_bytes(t)
-            while len(data) > PIECE:
-                white = np.flatnonzero(self.kind[data[:PIECE]] == 0)
-                cut = int(white[-1]) + 1 if len(white) else PIECE
-                yield self.block([(d, data[:cut])])
-                data = data[cut:]
+            if len(data) > PIECE:
+                past = Past()
+                while len(data):
+                    cut = self.border(data)
+                    yield self.block([(d, data[:cut])], past)
+                    data = data[cut:]
+                continue
             if size + len(data) > PIECE and held:
                 yield self.block(held)
                 held, size = [], 0
@@ -84,12 +117,27 @@ class Units:
         if held:
             yield self.block(held)
 
-    def block(self, docs):
+    def key(self, data: np.ndarray) -> np.ndarray:
+        """Equal for neighbours of one unit."""
+        kind = self.kind[data]
+        return kind.astype(np.int16) + np.where(kind == 2, data.astype(np.int16) * 4, 0)
+
+    def border(self, data: np.ndarray) -> int:
+        """The last border of units in PIECE bytes, or in more where one unit is longer."""
+        n = PIECE
+        while n < len(data):
+            key = self.key(data[:n + 1])
+            change = np.flatnonzero(key[1:] != key[:-1])
+            if len(change):
+                return int(change[-1]) + 1
+            n *= 2
+        return len(data)
+
+    def block(self, docs, past: Past | None = None):
         space = np.array([0x20], np.uint8)
         data = np.concatenate([x for _, part in docs for x in (part, space)])
         ends = np.cumsum([len(part) + 1 for _, part in docs])
-        kind = self.kind[data]
-        key = kind.astype(np.int16) + np.where(kind == 2, data.astype(np.int16) * 4, 0)
+        kind, key = self.kind[data], self.key(data)
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         stop = np.append(start[1:], len(data))
         real = kind[start] != 0
@@ -101,21 +149,32 @@ class Units:
         length = stop - start
         capitals = (kind[start] == 1) & (length > 1) & ((upper[stop] - upper[start]) * 2 > length)
         rows = (name >> np.uint64(64 - 12)).astype(np.int64)
-        # a sequence of three units that stood earlier in the same document
-        repeated = np.zeros(len(rows), bool)
-        if len(rows) > 2:
-            three = mix(name[:-2] ^ mix(name[1:-1] ^ mix(name[2:] ^ mix(doc[:-2].astype(np.uint64) + np.uint64(1)))))
-            same_doc = doc[:-2] == doc[2:]
+        # a sequence of three units that stood earlier in the same document, an earlier piece of it included
+        before = past.names if past else name[:0]
+        all_names, all_docs = np.concatenate((before, name)), np.concatenate((np.zeros(len(before), doc.dtype), doc))
+        repeated = np.zeros(len(all_names), bool)
+        three = name[:0]
+        if len(all_names) > 2:
+            three = mix(all_names[:-2] ^ mix(all_names[1:-1] ^ mix(all_names[2:] ^ mix(all_docs[:-2].astype(np.uint64) + np.uint64(1)))))
+            same_doc = all_docs[:-2] == all_docs[2:]
             order = np.argsort(three, kind="stable")
             again = np.zeros(len(three), bool)
             again[order[1:]] = three[order[1:]] == three[order[:-1]]
+            if past:
+                again |= past.seen(three)
             repeated[2:] = again & same_doc
+        repeated = repeated[len(before):]
         place = np.arange(len(rows)) * 3
         at = np.concatenate((place, place[capitals] + 1, place[repeated] + 2))
         order = np.argsort(at, kind="stable")
         unit = np.concatenate((rows, np.full(capitals.sum(), CAPITALS), np.full(repeated.sum(), REPEATED)))[order]
         owner = np.concatenate((doc, doc[capitals], doc[repeated]))[order]
-        return [d for d, _ in docs], owner, unit
+        lead = 0
+        if past:
+            lead, unit = len(past.rows), np.concatenate((past.rows, unit))
+            owner = np.concatenate((np.zeros(lead, owner.dtype), owner))
+            past.add(all_names, unit, three)
+        return [d for d, _ in docs], owner, unit, lead
 
 
 def context_sums(batches):
@@ -124,12 +183,13 @@ def context_sums(batches):
     n = BUCKETS + MARKERS
     total = np.zeros(n * DIM)
     for b in slices(batches):
-        for _, owner, unit in units.blocks(t.as_py() for t in b.column(0)):
-            count = np.bincount(unit, minlength=n)
+        for _, owner, unit, lead in units.windows(t.as_py() for t in b.column(0)):
+            count = np.bincount(unit[lead:], minlength=n)
             for k in range(NONZERO):
                 total += np.bincount(np.arange(n) * DIM + places[:, k], weights=count * signs[:, k], minlength=n * DIM)
             for reach in range(1, REACH + 1):
                 near = owner[reach:] == owner[:-reach]
+                near[:max(0, lead - reach)] = False     # counted with the piece before
                 a, c = unit[:-reach][near], unit[reach:][near]
                 for here, there in ((a, c), (c, a)):
                     for k in range(NONZERO):
@@ -262,6 +322,8 @@ def with_score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFram
     """``docs`` with ``score``, the calibrated probability of label 1.
 
     Defined cases: NULL and empty texts score as a document without units;
+    a text above PIECE bytes is read in pieces that know the sequences and the
+    last units before them, as one text (8 bytes a unit are held);
     equal texts score alike; an empty table gives no rows; without labels
     every score is 0.5; an input column called score is replaced.
     """

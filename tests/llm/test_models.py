@@ -124,6 +124,60 @@ def test_units_and_pieces(monkeypatch):
     assert cut == [u for u in flat([long])[0] if u < quality.BUCKETS]
 
 
+def plain_units(text):
+    """Rows of a text, one unit after the other, with markers: brute force."""
+    units, out, names, met = quality.Units(), [], [], set()
+    for word in [m.group() for m in re.finditer(r"[0-9A-Za-z\x80-\U0010ffff]+|([^\s0-9A-Za-z])\1*", text)]:
+        (_, _, row), = units.blocks([word.lower()])
+        out.append(int(row[0]))
+        names.append(word.lower())
+        if word.isalnum() and len(word) > 1 and sum("A" <= c <= "Z" for c in word) * 2 > len(word):
+            out.append(quality.CAPITALS)
+        if len(names) > 2:
+            three = tuple(names[-3:])
+            if three in met:
+                out.append(quality.REPEATED)
+            met.add(three)
+    return out
+
+
+def long_text():
+    """Repeats over far distances, capitals, signs, and units longer than a piece."""
+    w = prose(900, 7).split()
+    w[40:40] = ["LOUD", "!!!!", "a&b"]
+    w[300:300] = ["x" * 700, "#" * 600]
+    return " ".join([*w, *w[:200]]) + " " * 800 + "the end" + "y" * 300
+
+
+@pytest.mark.parametrize("piece", [64, 257, 4096, 1 << 20])
+def test_pieces_read_as_one_text(monkeypatch, piece):
+    text, reach, n = long_text(), quality.REACH, quality.BUCKETS + quality.MARKERS
+    monkeypatch.setattr(quality, "PIECE", piece)
+    units = plain_units(text)
+    assert quality.REPEATED in units and quality.CAPITALS in units
+    got = [int(u) for _, _, part in quality.Units().blocks([text]) for u in part]
+    assert got == units
+    # context sums and pooled vectors by plain loops
+    import pyarrow as pa
+    places, signs = quality.index_vectors()
+    index = np.zeros((n, quality.DIM), int)
+    for k in range(quality.NONZERO):
+        np.add.at(index, (np.arange(n), places[:, k]), signs[:, k])
+    sums = np.zeros((n, quality.DIM), int)
+    for i, u in enumerate(units):
+        for j in range(max(0, i - reach), min(len(units), i + reach + 1)):
+            sums[u] += index[units[j]]
+    out = np.zeros_like(sums)
+    for b in quality.context_sums([pa.record_batch({"text": pa.array([text], pa.string())})]):
+        for r in b.to_pylist():
+            out[r["row"]] = [r[f"c{j}"] for j in range(quality.DIM)]
+    assert (out == sums).all()
+    vectors = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    x = quality.pool(quality.Units(), vectors.astype(np.float32), [None, text, "", "one"])
+    assert np.allclose(x[1], [*np.mean([vectors[u] for u in units], axis=0), np.log1p(len(units))], atol=1e-5)
+    assert not x[0].any() and not x[2].any()
+
+
 def test_context_sums_add_up_over_splits():
     import pyarrow as pa
     texts = [prose(50, i) for i in range(6)] + [None, ""]
