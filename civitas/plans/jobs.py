@@ -136,11 +136,11 @@ def geography_increment(spark: SparkSession, base: str, landed: DataFrame, job:
     row per landed response; of several for an offset the last readable one
     counts. The job goes on at its committed offset, or at the table's count
     cut down to whole pages (A1), applies :func:`contiguous_prefix` and commits
-    rows and offset together; what lies behind a gap waits for a later run. A
+    rows, offset and counters (A6) together; what lies behind a gap waits for a later run. A
     run with nothing to apply writes nothing, so a replay changes nothing.
     ``progress``: ``job_name, start_offset, last_offset, pages, state``.
     """
-    from civitas.sources.tables import read_latest, read_progress, write_batch_version
+    from civitas.sources.tables import commit_run, read_latest, read_progress
     schema = {n: spark.createDataFrame([], ddl).schema for n, ddl in (("table", LGD_MASTER), ("status", SYNC_STATUS))}
     target, status = read_latest(spark, base, schema["table"]), read_progress(spark, base, schema["status"])
     start = resume_offset(status, target, job, limit).first()["offset"]
@@ -153,12 +153,14 @@ def geography_increment(spark: SparkSession, base: str, landed: DataFrame, job:
     pages, last, state = contiguous_prefix(decided, start, limit)
     applied = decided.filter((F.col("offset") < start + pages * limit) & ((F.col("offset") - start) % limit == 0)).select("offset", "seq")
     table, rejects = sync_parsed(target, parsed.join(applied, ["offset", "seq"], "left_semi").drop("seq"), as_of)
+    rejects = stored(rejects.filter("body IS NULL"), "g1-rejects")
     if pages:
         row = spark.range(1).select(F.lit(job).alias("job_name"), F.lit(last).cast("bigint").alias("last_offset"), _as_of(as_of).alias("last_updated"))
-        write_batch_version(table, base, f"{job}-{start}-{last}", status.filter(F.col("job_name") != job).unionByName(row))
+        commit_run(table, base, f"{job}-{start}-{last}", job, read=last - start, rejects=rejects,
+                   progress=status.filter(F.col("job_name") != job).unionByName(row))
     progress = spark.createDataFrame([(job, start, last, pages, state)], "job_name string, start_offset long, last_offset long, pages long, state string")
     unread = rejected_bodies(parsed).select("page", "body", "reasons")
-    return progress, rejects.filter("body IS NULL").unionByName(unread, allowMissingColumns=True)
+    return progress, rejects.unionByName(unread, allowMissingColumns=True)
 
 
 def numbered_keys(batch: DataFrame, target: DataFrame, key: str, id_col: str) -> DataFrame:

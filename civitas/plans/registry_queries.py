@@ -664,6 +664,31 @@ def q_a6(spark, d):
     return spark.createDataFrame([(int(m["rows"]), int(m["rejected"]))], "rows long, rejected long")
 
 
+@register("A6_committed_counters", """
+WITH o AS (SELECT o_custkey AS k, o_orderkey % 3 AS run, o_orderstatus='P' AS bad FROM orders),
+s AS (SELECT count(*) AS n, count(DISTINCT k) AS keys FROM (SELECT l_suppkey AS k FROM lineitem))
+SELECT 'orders' AS job_name, CAST(3 AS BIGINT) AS runs, count(*) AS rows_read, CAST(count_if(bad) AS BIGINT) AS rows_rejected,
+  count(DISTINCT k) FILTER (WHERE NOT bad) AS rows_added FROM o
+UNION ALL SELECT 'suppliers', 1, n, 0, keys FROM s
+UNION ALL SELECT 'rows', NULL, NULL, NULL, (SELECT count(DISTINCT k) FROM o WHERE NOT bad) + keys FROM s""")
+def q_a6_committed(spark, d):
+    """Three runs of one job and one of another into a table, each run twice: replays leave rows and counters as they are."""
+    from civitas.sources.tables import commit_run, read_counters, read_latest
+    base = scratch_path(spark, "a6")
+    schema = spark.createDataFrame([], "kind string, k long, v double").schema
+    o = t(spark, d, "orders").select(F.lit("o").alias("kind"), F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"),
+                                     (F.col("o_orderstatus") == "P").alias("bad"), F.col("o_orderkey").alias("seq"))
+    parts = [("orders", f"orders-{i}", o.filter(F.col("seq") % 3 == i)) for i in range(3)]
+    li = t(spark, d, "lineitem").select(F.lit("s").alias("kind"), F.col("l_suppkey").alias("k"), F.col("l_extendedprice").alias("v"),
+                                        F.lit(False).alias("bad"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"))
+    for job, run, rows in [*parts, ("suppliers", "suppliers-0", li)]:
+        for _ in range(2):
+            merged = U.upsert(read_latest(spark, base, schema), rows.filter(~F.col("bad")).drop("bad"), ["kind", "k"], {"v": U.OVERWRITE}, seq="seq")
+            commit_run(merged, base, run, job, read=rows, rejects=rows.filter("bad"))
+    total = read_latest(spark, base).agg(F.count(F.lit(1)).alias("rows_added")).withColumn("job_name", F.lit("rows"))
+    return read_counters(spark, base).unionByName(total, allowMissingColumns=True)
+
+
 # -------------------------------------------------------------- upserts
 
 def _ts(text: str) -> Column:

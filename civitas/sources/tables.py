@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,11 @@ from pyspark.sql import types as T
 _VERSION = re.compile(r"^v(\d{9})$")
 _BATCH = "_batch-"          # marker inside a version folder: the stream batch that wrote it
 _PROGRESS = "_progress"     # folder inside a version: the offsets it was committed with
+_COUNTERS = "_counters"     # folder inside a version: the counters of all runs committed up to it
 _BUCKETS = "_num_buckets-"  # marker inside a bucketed table: its number of buckets
 
+RUN_COUNTERS = "job_name string, runs bigint, rows_read bigint, rows_rejected bigint, rows_added bigint"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -104,13 +108,14 @@ def version_of_batch(spark: SparkSession, base: str, batch: str) -> int | None:
     return None
 
 
-def write_batch_version(df: DataFrame, base: str, batch: str, progress: DataFrame | None = None) -> int:
-    """Write ``df`` as the next version, made by the batch ``batch``, with the progress rows that go with it.
+def write_batch_version(df: DataFrame, base: str, batch: str, progress: DataFrame | None = None,
+                        counters: Callable[[int], DataFrame] | None = None) -> int:
+    """Write ``df`` as the next version, made by the batch ``batch``, with the progress and counters that go with it.
 
-    Files, progress and the batch's marker are written to a staging folder
-    that is renamed into place: rows and offset appear together, whole and
-    marked, or not at all, and no existing version is touched. Needs a store
-    that renames folders.
+    Files, progress, counters (of the number of rows written) and the batch's
+    marker are written to a staging folder that is renamed into place: rows,
+    offset and counters appear together, whole and marked, or not at all, and
+    no existing version is touched. Needs a store that renames folders.
     """
     spark = df.sparkSession
     vs = list_versions(spark, base)
@@ -121,6 +126,8 @@ def write_batch_version(df: DataFrame, base: str, batch: str, progress: DataFram
     fs.create(jvm.org.apache.hadoop.fs.Path(staging, _BATCH + batch)).close()
     if progress is not None:
         progress.write.parquet(f"{staging}/{_PROGRESS}")
+    if counters is not None:
+        counters(spark.read.schema(df.schema).parquet(staging).count()).write.parquet(f"{staging}/{_COUNTERS}")
     _publish(spark, staging, version_path(base, n))
     return n
 
@@ -133,14 +140,52 @@ def _publish(spark: SparkSession, staging: str, path: str) -> None:
 
 def read_progress(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """The progress rows of the newest version that holds some; readers of the table do not see them."""
+    return _newest_with(spark, base, _PROGRESS, schema)
+
+
+def read_counters(spark: SparkSession, base: str) -> DataFrame:
+    """The counters committed with the table at ``base``, one row per job (see :func:`commit_run`)."""
+    return _newest_with(spark, base, _COUNTERS, T._parse_datatype_string(RUN_COUNTERS))
+
+
+def _newest_with(spark: SparkSession, base: str, folder: str, schema: T.StructType) -> DataFrame:
     fs, _, jvm = _fs(spark, base)
     for v in reversed(list_versions(spark, base)):
-        path = f"{version_path(base, v)}/{_PROGRESS}"
+        path = f"{version_path(base, v)}/{folder}"
         if fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
             return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
+def commit_run(table: DataFrame, base: str, run: str, job: str, read: DataFrame | int = 0,
+               rejects: DataFrame | int = 0, progress: DataFrame | None = None) -> bool:
+    """Commit ``table`` as the next version together with the job's counters, once per run -> committed now?
+
+    ``read`` and ``rejects`` are the rows the run read and rejected (a stored
+    frame, or its number of rows). A job's counters add up over its runs:
+    ``runs, rows_read, rows_rejected, rows_added`` (rows of the new version less
+    those of the one before, counted in the files themselves). A run that is
+    committed already changes neither table nor counters; one that fails before
+    the rename leaves none of both; a task that Spark repeats counts once, as
+    nothing is counted while rows are written. Other jobs' rows are kept.
+    """
+    spark = table.sparkSession
+    if version_of_batch(spark, base, run) is not None:
+        return False
+    before, old = latest_version_path(spark, base), read_counters(spark, base)
+
+    def rows(x: DataFrame | int) -> int:
+        return x if isinstance(x, int) else x.count()
+
+    def counters(written: int) -> DataFrame:
+        added = written - (spark.read.schema(table.schema).parquet(before).count() if before else 0)
+        now = spark.createDataFrame([(job, 1, rows(read), rows(rejects), added)], old.schema)
+        return old.unionByName(now).groupBy("job_name").agg(*[F.sum(c).alias(c) for c in old.columns[1:]])
+
+    write_batch_version(table, base, run, progress, counters)
+    return True
+
+
 def retire_versions(spark: SparkSession, base: str, keep: int) -> list[int]:
     """Delete all complete versions but the newest ``keep`` (at least one); returns the deleted numbers."""
     fs, _, jvm = _fs(spark, base)

@@ -8,8 +8,9 @@ version carries the identity of the batch that wrote it (stream and batch
 id), so a batch replayed after a failure is recognised and not applied
 again, and no version is ever overwritten: the target may hold data before
 the stream starts, and a stream with a new checkpoint goes on from there.
-The ``sync_status``-like progress row is part of the version it belongs to:
-one rename makes rows and offset visible together.
+The ``sync_status``-like progress row and the job's counters are part of the
+version they belong to: one rename makes rows, offset and counters visible
+together, and a replayed batch counts once.
 ``trigger(availableNow=True)`` drains what has landed and stops, which is
 the reference's "stop on a short or empty page".
 """
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from civitas.operators.upsert import Rule, upsert
 from civitas.schemas import SYNC_STATUS
-from civitas.sources.tables import merge_into_buckets, read_latest, read_progress, version_of_batch, write_batch_version
+from civitas.sources.tables import commit_run, merge_into_buckets, read_latest, read_progress, version_of_batch, write_batch_version
 
 
 def incremental_upsert(spark: SparkSession, landing: str, landing_schema: T.StructType | str,
@@ -105,7 +106,7 @@ def batch_writer(spark: SparkSession, target: str, tschema: T.StructType, key: s
             return
         if version_of_batch(spark, target, me) is None:
             merged = upsert(read_latest(spark, target, tschema), rows, key, rules, seq=seq)
-            write_batch_version(merged, target, me, advanced(read_progress(spark, target, status_schema), rows))
+            commit_run(merged, target, me, job, read=rows, progress=advanced(read_progress(spark, target, status_schema), rows))
         if status_path and version_of_batch(spark, status_path, me) is None:    # a copy of what is committed
             write_batch_version(read_progress(spark, target, status_schema), status_path, me)
 

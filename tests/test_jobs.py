@@ -317,6 +317,8 @@ def test_geography_increment(spark, scratch):
     assert run(*landed) == (5, "waiting", []) and list_versions(spark, scratch) == before
     assert run(*landed, (5, [], 1)) == (5, "complete", []) and list_versions(spark, scratch) == before
     assert run((5, two("B", "I"), 1), (7, [], 1)) == (7, "complete", [])
+    from civitas.sources.tables import read_counters
+    assert [tuple(r) for r in read_counters(spark, scratch).collect()] == [("lgd_master", 3, 7, 0, 5)]
 
 
 def test_rows_and_offset_are_one_commit(spark, scratch, monkeypatch):

@@ -255,6 +255,38 @@ def test_stream_batch_replay_is_idempotent(spark, scratch, num_buckets):
     assert once == twice == ([(1, "c"), (2, "b"), (3, "d")], 4)
 
 
+def test_counters_are_committed_with_their_rows(spark, scratch, monkeypatch):
+    """Replays count once, failures not at all, jobs apart; the stream's counters come with its versions."""
+    from pyspark.sql import types as TT
+
+    from civitas.streaming.incremental import batch_writer
+    t, base = spark.createDataFrame([(1,), (2,)], "k long"), f"{scratch}/c"
+    got = lambda path: sorted(tuple(r) for r in T.read_counters(spark, path).collect())
+    assert got(base) == []
+    assert T.commit_run(t, base, "r1", "a", read=t, rejects=1) and not T.commit_run(t, base, "r1", "a", read=t, rejects=1)
+    assert got(base) == [("a", 1, 2, 1, 2)]
+    publish = T._publish
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(T, "_publish", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        T.commit_run(t.limit(1), base, "r2", "a", read=t)
+    monkeypatch.setattr(T, "_publish", publish)
+    assert got(base) == [("a", 1, 2, 1, 2)] and T.read_latest(spark, base).count() == 2
+    assert T.commit_run(t.limit(1), base, "r2", "a", read=t)        # rows that went count as negative
+    assert T.commit_run(t.limit(0), base, "r3", "b")                # an empty version
+    assert got(base) == [("a", 2, 4, 1, 1), ("b", 1, 0, 0, -1)]
+    T.write_version(t, base)                                        # a version without counters hides none
+    assert got(base) == [("a", 2, 4, 1, 1), ("b", 1, 0, 0, -1)]
+    tschema = TT.StructType([TT.StructField("k", TT.LongType()), TT.StructField("v", TT.StringType())])
+    w = batch_writer(spark, f"{scratch}/s", tschema, "k", {"v": U.OVERWRITE}, "seq", job="j")
+    for batch_id, rows in ((0, [(1, "a", 1), (1, "b", 2)]), (1, [(2, "c", 3)]), (1, [(2, "c", 3)])):
+        w(spark.createDataFrame(rows, "k long, v string, seq long"), batch_id)
+    assert got(f"{scratch}/s") == [("j", 2, 3, 0, 2)]
+
+
 def test_stream_never_overwrites_versions(spark, scratch):
     """A stream with a new checkpoint goes on from the newest version, whatever its batch ids."""
     from pyspark.sql import types as TT
