@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -233,14 +235,16 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
     As if row after row in ``seq`` order: a row goes in unless one of its
     unique keys is held by the target or by a batch row that went in before.
     A unique key with a NULL part never conflicts. With one key a row's fate
-    depends on its key group only. With several, rows that share keys, directly
-    or through others, form a component: one of at most GROUP_ROWS rows is
-    settled by one task in row order, a larger one by rounds that take the rows
-    which come first at all their keys and drop what clashes with them; each
-    round is a table in the shared folder. Returns target plus the inserted rows
-    (target's columns). ``seq`` must be a total order: NULL or repeated values
-    of it are refused. It may be left out with a single key (any row of a key
-    may go in).
+    depends on its key group only. With several, the rows that come first at
+    all their keys go in at once, and what shares a key with them is out. Only
+    rows all of whose repeated keys come first in a row still undecided stay
+    open. Open rows that share keys, directly or through others, form a
+    component: those of at most GROUP_ROWS rows are settled in row order,
+    many to a task, a larger one by rounds that take the rows which come first
+    at all their keys and drop what clashes with them; each round is a table in
+    the shared folder. Returns target plus the inserted rows (target's
+    columns). ``seq`` must be a total order: NULL or repeated values of it are
+    refused. It may be left out with a single key (any row of a key may go in).
     """
     uks = [_keys(uk) for uk in unique_keys]
     if seq is None and len(uks) > 1:
@@ -248,7 +252,7 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
     rows = batch
     for ks in uks:
         held = target.select(*ks).dropna(how="any").distinct()
-        rows = rows.join(held, on=ks, how="left_anti")
+        rows = _at_key(rows, held, ks, "left_anti")
     cols, dtypes = target.columns, dict(target.dtypes)
 
     def complete(ks: Sequence[str]) -> Column:
@@ -275,24 +279,42 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
     unordered = rows.groupBy(seq).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col(seq).isNull())
     if not unordered.isEmpty():     # such rows would wait for each other for ever
         raise ValueError(f"{seq} is NULL or repeated: it must order the batch")
-    texts = [F.when(complete(ks), F.concat(F.lit(f"{i}:"), F.to_json(F.struct(*ks)))) for i, ks in enumerate(uks)]
+    marked, first_at = rows, [f"__first_{i}" for i in range(len(uks))]     # NULL where no other row has the key
+    for ks, name in zip(uks, first_at, strict=True):
+        repeated = rows.filter(complete(ks)).groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min(seq).alias(name))
+        marked = _at_key(marked, _stored(repeated.filter("__n > 1").drop("__n")), ks, "left")
+    firsts = [F.coalesce(F.col(name), F.col(seq)) for name in first_at]
+    marked = _stored(marked.withColumn("__in", reduce(and_, [f == F.col(seq) for f in firsts])))
+    waiting = marked.filter("NOT __in")
+    blocked = _stored(waiting.filter(reduce(or_, [F.col(name) == F.col(seq) for name in first_at])).select(F.col(seq).alias("__b")))
+    at_once = target.unionByName(shaped(marked.filter("__in")))
+    if blocked.isEmpty():           # every first went in: whoever waits clashes with one
+        return at_once
+    for f, name in zip(firsts, first_at, strict=True):
+        waiting = waiting.join(blocked, f == F.col("__b"), "left").filter(F.col(name).isNull() | F.col("__b").isNotNull()).drop("__b")
+    rows = _stored(waiting)
+    texts = [F.when(F.col(name).isNotNull(), F.concat(F.lit(f"{i}:"), F.to_json(F.struct(*ks))))
+             for i, (ks, name) in enumerate(zip(uks, first_at, strict=True))]
     keyed = _stored(rows.select(F.col(seq).alias("u"), F.filter(F.array(*texts), lambda k: k.isNotNull()).alias("keys")))
     group = connected(keyed.select("u", F.explode("keys").alias("k")))
     size = _stored(group.groupBy("group").agg(F.count(F.lit(1)).alias("n")))
     sized = _stored(keyed.join(group.join(size, "group"), "u"))
     u_type = keyed.schema["u"].dataType.simpleString()
 
-    def settle(batch):
-        found = sorted(zip(batch["u"].to_pylist(), batch["keys"].to_pylist(), strict=True))
-        held, went_in = set(), []
-        for u, keys in found:
-            if held.isdisjoint(keys):
-                held.update(keys)
-                went_in.append(u)
-        return pa.table({"u": pa.array(went_in, batch.schema.field("u").type)})
-
-    small = sized.filter(F.col("n") <= GROUP_ROWS).select("u", "keys", "group").groupBy("group").applyInArrow(settle, f"u {u_type}")
-    inserted = small.unionByName(keyed.filter(F.size("keys") == 0).select("u"))
+    def settle(batches):
+        group, held = None, set()
+        for b in batches:
+            went_in = []
+            for g, u, keys in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if g != group:
+                    group, held = g, set()
+                if held.isdisjoint(keys):
+                    held.update(keys)
+                    went_in.append(u)
+            yield pa.RecordBatch.from_arrays([pa.array(went_in, b.schema.field("u").type)], names=["u"])
+
+    small = sized.filter(F.col("n") <= GROUP_ROWS).select("group", "u", "keys").repartition("group").sortWithinPartitions("group", "u")
+    inserted = small.mapInArrow(settle, f"u {u_type}")
     open_rows = _stored(sized.filter(F.col("n") > GROUP_ROWS).select("u", F.explode("keys").alias("k")))
     while not open_rows.isEmpty():
         firsts = open_rows.groupBy("k").agg(F.min("u").alias("first"))
@@ -303,7 +325,15 @@ def insert_absent(target: DataFrame, batch: DataFrame, unique_keys: Sequence[str
         clash = open_rows.join(taken, "k", "left_semi").select("u").distinct()
         open_rows = _stored(open_rows.join(clash, "u", "left_anti"))
     went_in = _stored(inserted).withColumnRenamed("u", seq)
-    return target.unionByName(shaped(rows.join(went_in, seq, "left_semi")))
+    return at_once.unionByName(shaped(rows.join(went_in, seq, "left_semi")))
+
+
+def _at_key(rows: DataFrame, keys: DataFrame, ks: Sequence[str], how: str) -> DataFrame:
+    """``rows`` joined with ``keys`` (complete ones) on ``ks``; rows with a NULL key part match nothing and spread over all tasks."""
+    spread = rows.withColumn("__spread", _spread(rows, ks, rows.columns))
+    joined = spread.join(keys.withColumn("__spread", F.lit(0).cast("bigint")), [*ks, "__spread"], how)
+    found = [] if how == "left_anti" else [c for c in keys.columns if c not in ks]
+    return joined.select(*[F.col(q(c)) for c in (*rows.columns, *found)])
 
 
 def connected(member: DataFrame) -> DataFrame:

@@ -322,3 +322,19 @@ def test_insert_absent_on_a_long_chain(spark, monkeypatch):
     out = U.insert_absent(spark.createDataFrame([], "a int, b int, seq int"), spark.createDataFrame(rows, "a int, b int, seq int"), ["a", "b"], seq="seq")
     assert sorted(r["seq"] for r in out.collect()) == greedy(rows)
     assert len(tables) < 60
+
+
+def test_insert_absent_without_crossing_keys_needs_no_components(spark, monkeypatch):
+    """Rows whose keys repeat at one of them only: whoever comes first goes in, and no components are sought."""
+    monkeypatch.setattr(U, "connected", lambda member: pytest.fail("components sought"))
+    rows = [(i % 30 if i % 4 else None, i, i) for i in range(200)]
+    target = spark.createDataFrame([(5, 7, -1)], "a int, b int, seq int")
+    out = U.insert_absent(target, spark.createDataFrame(rows, "a int, b int, seq int"), ["a", "b"], seq="seq")
+    assert sorted(r["seq"] for r in out.collect()) == sorted([-1, *greedy(rows, ((5,), (7,)))])
+
+
+def test_insert_absent_settles_many_components(spark):
+    """A thousand small components whose firsts wait for others: the same rows as row after row."""
+    rows = [x for g in range(0, 6000, 6) for x in [(g, g, g), (g, g + 1, g + 1), (g + 1, g + 1, g + 2), (g + 2, g + 1, g + 3), (g + 2, g + 3, g + 4)]]
+    out = U.insert_absent(spark.createDataFrame([], "a int, b int, seq int"), spark.createDataFrame(rows, "a int, b int, seq int"), ["a", "b"], seq="seq")
+    assert sorted(r["seq"] for r in out.collect()) == greedy(rows)
