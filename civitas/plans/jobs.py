@@ -27,7 +27,7 @@ from civitas.operators.upsert import (KEEP, OVERWRITE, custom, fold_for, insert_
                                       upsert)
 from civitas.plans.summary import extract_summary
 from civitas.schemas import DISTRICT_DEMOGRAPHICS, FRAGMENT_COLUMNS, LGD_MASTER, SYNC_STATUS
-from civitas.sources.envelope import parse_bodies, parsed_records, rejected_bodies
+from civitas.sources.envelope import parse_bodies, parsed_records, plain_keys, record_struct, rejected_bodies
 from civitas.sources.records import stored
 
 
@@ -374,6 +374,7 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
     place = F.struct("i_district", "i_block", "i_cluster", F.col("parent_id").alias("cluster"), "page", "record_index")
     rows = parsed_records(joined, dict(SCHOOL_FIELDS),
                           keep=["parent_id", "page", "h_block_name", "h_cluster_name", "i_district", "i_block", "i_cluster"])
+    rows = with_unreadable(rows, "record", SCHOOL_FIELDS)
     st = initial_status(F.col("record"))
     schools = rows.select(
         *[F.col(k) for k in SCHOOL_FIELDS],
@@ -383,24 +384,25 @@ def discovered_schools(districts: DataFrame, blocks: DataFrame, clusters: DataFr
         st["school_status"].alias("school_status"), st["status_name"].alias("status_name"),
         st["scrape_status"].alias("scrape_status"),
         F.col("h_block_name").alias("block_name"), F.col("h_cluster_name").alias("cluster_name"),
-        place.alias("seq"), unreadable_fields("record", SCHOOL_FIELDS).alias("unreadable"))
+        place.alias("seq"), F.col("unreadable"))
     known = hier.select(F.col("h_cluster_id").alias("parent_id")).distinct()
     unlisted = pages.join(known, "parent_id", "left_anti").withColumn("reasons", F.lit("cluster_unknown"))
     shown = ["level", "parent_id", "page", "body", "reasons"]
     return stored(schools, "g4-schools"), rejected_bodies(bodies).select(*shown).unionByName(unlisted.select(*shown))
 
 
-def unreadable_fields(record: str, fields: Mapping[str, tuple[str, str] | str]) -> Column:
-    """Comma list of the typed fields whose JSON value is present, not null, and not of the type."""
-    # written over the field's own Variant, not as the expression of the typed
-    # column: Catalyst would try every mix of column and expression in the filter
+def with_unreadable(rows: DataFrame, record: str, fields: Mapping[str, tuple[str, str] | str]) -> DataFrame:
+    """``rows`` with ``unreadable``: comma list of the typed fields whose JSON value is present, not null, and not of the type."""
+    typed = {name: spec for name, spec in fields.items() if not isinstance(spec, str) and spec[1] != "string"}
+    plain = plain_keys(typed.values())
     tests = []
-    for name, spec in fields.items():
-        if not isinstance(spec, str) and spec[1] != "string":
-            x = f"variant_get({record}, '$.{spec[0]}', 'variant')"
-            tests.append(f"CASE WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) "
-                         f"AND try_variant_get({x}, '$', '{spec[1]}') IS NULL THEN '{name}' END")
-    return F.expr(f"concat_ws(',', {', '.join(tests)})") if tests else F.lit("")
+    for name, (key, typ) in typed.items():
+        x = f"__present.`{key}`" if key in plain else f"variant_get({record}, '$.{key}', 'variant')"
+        read = f"__typed.`{key}`" if key in plain else f"try_variant_get({x}, '$', '{typ}')"
+        tests.append(f"CASE WHEN {x} IS NOT NULL AND NOT is_variant_null({x}) AND {read} IS NULL THEN '{name}' END")
+    # two walks over a record tell for all fields
+    out = rows.withColumn("__typed", record_struct(record, plain)).withColumn("__present", record_struct(record, dict.fromkeys(plain, "variant")))
+    return out.withColumn("unreadable", F.expr(f"concat_ws(',', {', '.join(tests)})") if tests else F.lit("")).drop("__typed", "__present")
 
 
 def school_discovery(target: DataFrame, schools: DataFrame, as_of=None,

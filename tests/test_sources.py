@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from civitas.operators import upsert as U
 from civitas.sources import csv as S
 from civitas.sources import tables as T
-from civitas.sources.envelope import explode_records
+from civitas.sources.envelope import explode_records, parse_bodies
 from civitas.sources import zipped
 from civitas.sources.records import NOTED
 from civitas.sources.zipped import read_zip_member_csv
@@ -155,6 +155,32 @@ def test_explode_records_edges(spark):
     assert sorted((r["page"], r["record_index"], r["code"]) for r in out.collect()) == [(1, 0, "V1"), (1, 1, "V2")]
 
 
+def test_records_are_walked_once(spark):
+    """Fields come out of one struct of the record, equal to a search per field, whatever the record is."""
+    records = ['{"a": 1, "b": "x", "odd key": 3, "C": 5, "c": 6}', '{"a": "7", "b": null, "d": 2.5}', '{"a": "x", "b": {"k": 1}, "d": "z"}',
+               '[1, 2]', '"text"', 'null', '{}', '{"a": 99999999999, "d": true, "ts": "2024-01-02 03:04:05"}']
+    df = spark.createDataFrame([(1, '{"records": [' + ", ".join(records) + "]}")], "page int, body string")
+    fields = {"a": ("a", "int"), "b": "b", "cc": "C", "c": ("c", "int"), "d": ("d", "double"), "ts": ("ts", "timestamp_ntz"), "gone": "gone"}
+    out = explode_records(df, "body", "$.records", fields, keep=["page"])
+    single = [f"try_variant_get(record, '$.{k}', '{t}')" for k, t in ((f, "string") if isinstance(f, str) else f for f in fields.values())]
+    assert out.count() == len(records)
+    assert out.filter(" OR ".join(f"NOT ({e} <=> {n})" for e, n in zip(single, fields, strict=True))).count() == 0
+    plain = explode_records(df, "body", "$.records", {f"f{i}": (f"k{i}", "int") for i in range(20)})
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get(record") == 1
+
+
+def test_body_kinds(spark):
+    """Objects, arrays and other values at every step of the path: the same reasons as ever."""
+    bodies = {'{"data": {"content": [1, {"a": 2}]}}': "", '{"data": {"content": []}}': "", '{"data": {}}': "", '{"data": null}': "", "{}": "",
+              '{"data": {"content": null}}': "", '{"data": [1]}': "records_not_array", '{"data": {"content": {"a": 1}}}': "records_not_array",
+              '{"data": {"content": "none"}}': "records_not_array", "[]": "records_not_array", "3": "records_not_array", "null": "records_not_array",
+              "{": "invalid_body", '{"data": 5}': "records_not_array"}
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    parsed = parse_bodies(df, "body", "$.data.content")
+    assert {r["body"]: r["reasons"] for r in parsed.select("body", "reasons").collect()} == bodies
+    assert "map<string,variant>" not in parsed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_versions_rotate_and_evolve(spark, scratch):
     base = f"{scratch}/t"
     df = spark.createDataFrame([(1, "a")], "k int, v string")
