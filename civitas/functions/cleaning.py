@@ -81,12 +81,11 @@ def clean_int(col: ColumnOrName) -> Column:
     raw = _c(col).cast("string")
     # the lookbehind regex is costly: only text holding '_' needs it
     s = F.when(raw.contains("_"), F.regexp_replace(raw, r"(?<=\d)_(?=\d)", "")).otherwise(raw)
-    numeric = s.rlike(NUMERIC_TEXT)
     d = s.try_cast("double")
     top = F.lit((1 << 63) - 1)
-    as_long = (F.when(F.abs(d) == F.lit(float("inf")), F.lit(0))
-               .when(d >= float(1 << 63), top).when(d < -float(1 << 63), -top).otherwise(d.try_cast("bigint")))
-    return F.coalesce(F.when(numeric, as_long), F.lit(0).cast("bigint"))
+    # the cast fails beyond BIGINT only: the usual value is read once
+    beyond = F.when(F.abs(d) == F.lit(float("inf")), F.lit(0)).when(d > 0, top).when(d < 0, -top)
+    return F.coalesce(F.when(s.rlike(NUMERIC_TEXT), F.coalesce(d.try_cast("bigint"), beyond)), F.lit(0).cast("bigint"))
 
 
 def row_sum(*cols: ColumnOrName) -> Column:

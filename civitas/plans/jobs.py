@@ -234,7 +234,8 @@ def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_o
     ``rows`` carries the header-named text columns and an ordering ``seq``.
     Counts are lenient integers (P10); the total is their row sum (P11).
     Only a bad row is rejected (null key part, count beyond INTEGER) -- the
-    rest of the load goes on.
+    rest of the load goes on. With ``checkpoint_batch`` the cleaned rows are
+    stored, and rules, fold and rejects read the numbers from there.
     """
     c = (rows.select(
         F.col("srcStateName").alias("state_name"), F.col("srcDistrictName").alias("district_name"),
@@ -244,13 +245,15 @@ def district_load(target: DataFrame, rows: DataFrame, seq: str = "line_no", as_o
         clean_int(F.col("`Number of general population`")).alias("general_population"),
         F.col(seq).alias("__seq"))
         .withColumn("total_population", row_sum("sc_population", "st_population", "general_population")))
+    if checkpoint_batch:
+        c = stored(c, "g2-batch")
     good, rejects = split_rejects(c, {
         "state_null": F.col("state_name").isNull(),
         "district_null": F.col("district_name").isNull(),
         "year_null": F.col("year_code").isNull(),
         "out_of_range": ~(fits("total_population", "int") & fits("sc_population", "int")
                           & fits("st_population", "int") & fits("general_population", "int")),
-    }, checkpoint=checkpoint_batch)
+    })
     batch = good.withColumn("source_file", F.lit(source_file)).withColumn("created_at", _as_of(as_of))
     rules = {k: OVERWRITE for k in ("total_population", "sc_population", "st_population", "general_population")}
     rules["created_at"] = stamp(_as_of(as_of))

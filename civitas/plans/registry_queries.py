@@ -948,7 +948,7 @@ def _land_archives(rows: DataFrame, number: Column, order: tuple[str, ...] = ())
 
         def pack(text):
             buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
                 z.writestr("readme.txt", "decoy member")
                 z.writestr("data/NDAP_9307_source_data.csv", text)
             return buf.getvalue()
@@ -1190,12 +1190,11 @@ def q_g2(spark, d):
         F.col("l_quantity").cast("string").alias("Number of SC population"),
         F.col("l_extendedprice").cast("string").alias("Number of ST population"), *_G2_ORDER)
     path = _land_archives(li, F.floor(F.col("l_orderkey") / 1000), _G2_ORDER)
-    rows = G.stored(read_zip_member_csv(spark, path, "9307_source_data.csv", dict(G.DISTRICT_HEADERS), glob="*"), "g2-rows")
-    rows = G.in_file_order(rows)
+    rows = G.in_file_order(read_zip_member_csv(spark, path, "9307_source_data.csv", dict(G.DISTRICT_HEADERS), glob="*"))
     target = conform(spark, t(spark, d, "supplier").select(
         F.lit("N").alias("state_name"), F.col("s_suppkey").cast("string").alias("district_name"), F.lit("2024").alias("year_code"),
         F.lit(1).alias("total_population"), F.lit("orig.csv").alias("source_file")), G.DISTRICT_DEMOGRAPHICS_DDL)
-    table, rejects = G.district_load(target, rows, as_of=_ts(_T1))
+    table, rejects = G.district_load(target, rows, as_of=_ts(_T1), checkpoint_batch=True)
     shown = ["state_name", "district_name", "total_population"]
     return table.select(*shown, "source_file", F.lit("").alias("reasons")).unionByName(rejects.select(
         "state_name", "district_name", F.col("total_population").cast("int").alias("total_population"),

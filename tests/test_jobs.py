@@ -60,6 +60,28 @@ def test_district_load(spark):
     assert sorted(r["reasons"] for r in rejects.collect()) == ["out_of_range", "state_null"]
 
 
+def test_district_load_reads_stored_numbers(spark):
+    """With ``checkpoint_batch`` no number is cleaned again for rules, fold or rejects; the results are the same."""
+    rows = spark.createDataFrame([("Goa", "North", "2021", "10", "1", None, 1), ("Goa", "North", "2021", "3", "1_000", "x", 2),
+                                  ("Goa", None, "2021", "1", "1", "1", 3), ("Goa", "Big", "2021", "3e10", "0", "0", 4)],
+                                 "srcStateName string, srcDistrictName string, srcYear string, `Number of SC population` string, "
+                                 "`Number of ST population` string, `Number of general population` string, line_no int")
+    target = spark.createDataFrame([], DISTRICT_DEMOGRAPHICS)
+    planned, kept = (G.district_load(target, rows, as_of=ts(), checkpoint_batch=c) for c in (False, True))
+    for a, b in zip(planned, kept, strict=True):
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+        assert "RLIKE" not in b._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unreadable_fields(spark):
+    records = ['{"n": 1, "t": "2024-01-01 00:00:00"}', '{"n": "x", "t": "never"}', '{"n": null}', "{}", '{"n": {"a": 1}, "s": 5}', "[1]"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "i int, r string").select("i", F.parse_json("r").alias("record"))
+    fields = {"num": ("n", "int"), "at": ("t", "timestamp_ntz"), "text": "s", "same": ("s", "string")}
+    out = G.with_unreadable(df, "record", fields)
+    assert out.columns == ["i", "record", "unreadable"]
+    assert [r["unreadable"] for r in out.orderBy("i").collect()] == ["", "num,at", "", "", "num", ""]
+
+
 def _resp(school, endpoint, attempt, status, body):
     return (school, endpoint, attempt, 0, status, None if body is None else json.dumps(body))
 
